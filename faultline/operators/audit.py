@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faultline.contract import EVENT_COLUMNS, EVENT_SCHEMA, LEVELS, MAX_LENGTH, TRACE_ID_LENGTH
@@ -47,21 +47,35 @@ def overflow_dates(events: DataFrame, first: dt.date, last: dt.date) -> DataFram
 
 def checksum(events: DataFrame) -> DataFrame:
     """Row count and a sum of row hashes; a sum keeps duplicates, which an exclusive or would cancel."""
-    hashed = F.xxhash64(*EVENT_COLUMNS).cast("decimal(38,0)")
-    return events.agg(F.count("*").alias("row_count"), F.sum(hashed).alias("hash_sum"))
+    return events.agg(F.count("*").alias("row_count"), F.sum(_row_hash()).alias("hash_sum"))
+
+
+def _row_hash() -> Column:
+    return F.xxhash64(*EVENT_COLUMNS).cast("decimal(38,0)")
 
 
 def copy_check(original: DataFrame, copy: DataFrame) -> DataFrame:
     """One row: counts of both tables and whether counts and contents agree."""
-    left = checksum(original).toDF("events_count", "events_hash")
-    right = checksum(copy).toDF("copy_count", "copy_hash")
-    # Both sides are one row, being aggregates without keys; the constant key joins them.
-    one = F.lit(1).alias("_one")
-    return left.select("*", one).join(right.select("*", one), "_one").select(
-        "events_count",
-        "copy_count",
-        (F.col("events_count") == F.col("copy_count")).alias("same_count"),
-        F.col("events_hash").eqNullSafe(F.col("copy_hash")).alias("same_content"),
+    def hashes(table: DataFrame, side: str) -> DataFrame:
+        return table.select(F.lit(side).alias("_side"), _row_hash().alias("_hash"))
+
+    is_copy = F.col("_side") == "copy"
+    signed = F.when(is_copy, -F.col("_hash")).otherwise(F.col("_hash"))
+    return (
+        hashes(original, "original")
+        .union(hashes(copy, "copy"))
+        .agg(
+            F.count_if(~is_copy).alias("events_count"),
+            F.count_if(is_copy).alias("copy_count"),
+            # Equal contents cancel to zero; two empty tables have no sum.
+            (F.coalesce(F.sum(signed), F.lit(0)) == 0).alias("_same_hash"),
+        )
+        .select(
+            "events_count",
+            "copy_count",
+            (F.col("events_count") == F.col("copy_count")).alias("same_count"),
+            (F.col("_same_hash") & (F.col("events_count") == F.col("copy_count"))).alias("same_content"),
+        )
     )
 
 
@@ -100,13 +114,9 @@ def level_mix(events: DataFrame, expected: dict[str, float], tolerance: float =
         expected.items(),
         F.lit(0.0),
     )
-    # One row per level before the total is taken, so the total is a sum of a handful of counts.
+    # The total is summed from the counts, whose shuffle both uses share.
     counted = events.groupBy("level").agg(F.count("*").alias("row_count"))
-    total = counted.agg(F.sum("row_count").alias("_total"), F.lit(1).alias("_one"))
-    share = exact.percent(F.col("row_count"), F.col("_total"))
-    return (
-        counted.withColumn("_one", F.lit(1))
-        .join(total, "_one")
-        .select("level", "row_count", share.alias("share_pct"), wanted.alias("expected_pct"))
-        .withColumn("within_tolerance", F.abs(F.col("share_pct") - F.col("expected_pct")) <= tolerance)
+    share = exact.percent(F.col("row_count"), counted.agg(F.sum("row_count")).scalar())
+    return counted.select("level", "row_count", share.alias("share_pct"), wanted.alias("expected_pct")).withColumn(
+        "within_tolerance", F.abs(F.col("share_pct") - F.col("expected_pct")) <= tolerance
     )

@@ -62,9 +62,13 @@ def append_batch(events: DataFrame, path: str) -> None:
     write_daily(events, path, mode="append")
 
 
+def _file_system(spark: SparkSession, target):
+    return target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    return _file_system(spark, target).exists(target)
 
 
 def write_flat(events: DataFrame, path: str) -> bool:
@@ -109,22 +113,34 @@ def append_new(batch: DataFrame, path: str) -> None:
     append_batch(batch, path)
 
 
+def day_directories(spark: SparkSession, path: str) -> dict[dt.date, str]:
+    """The stored days by one listing of the table's folder; no file is opened."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    names = [status.getPath().getName() for status in _file_system(spark, root).listStatus(root)]
+    days = (re.fullmatch(r"event_date=(\d{4}-\d{2}-\d{2})", name) for name in names)
+    return {dt.date.fromisoformat(day[1]): f"{path}/{day[0]}" for day in days if day}
+
+
+def latest_stored(spark: SparkSession, path: str) -> dt.datetime | None:
+    """The newest event time, read from the newest day only."""
+    days = day_directories(spark, path)
+    if not days:
+        return None
+    return read_store(spark, path).filter(F.col("event_date") == F.lit(max(days))).agg(F.max("ts")).first()[0]
+
+
 def drop_days_before(spark: SparkSession, path: str, first_kept: dt.date) -> list[dt.date]:
     """Remove the day directories older than first_kept; no file of a kept day is touched."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    dropped = []
-    for status in fs.listStatus(root):
-        match = re.fullmatch(r"event_date=(\d{4}-\d{2}-\d{2})", status.getPath().getName())
-        if match and dt.date.fromisoformat(match[1]) < first_kept:
-            fs.delete(status.getPath(), True)
-            dropped.append(dt.date.fromisoformat(match[1]))
-    return sorted(dropped)
+    expired = {day: folder for day, folder in day_directories(spark, path).items() if day < first_kept}
+    for folder in expired.values():
+        target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        _file_system(spark, target).delete(target, True)
+    return sorted(expired)
 
 
 def retain_days(spark: SparkSession, path: str, days: int) -> DataFrame:
     """Drop every day more than `days` before the newest stored one and return what remains."""
-    newest = read_store(spark, path).agg(F.max("event_date")).first()[0]
-    if newest is not None:
-        drop_days_before(spark, path, newest - dt.timedelta(days=days))
+    stored = day_directories(spark, path)
+    if stored:
+        drop_days_before(spark, path, max(stored) - dt.timedelta(days=days))
     return read_store(spark, path)
