@@ -39,9 +39,7 @@ def work_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-    root = os.path.join(tempfile.gettempdir(), f"faultline-{spark.sparkContext.applicationId}")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return os.path.join(tempfile.gettempdir(), f"faultline-{spark.sparkContext.applicationId}")
 
 
 def work_path(spark: SparkSession, name: str) -> str:
