@@ -56,18 +56,21 @@ def normalized(events: DataFrame) -> DataFrame:
     )
 
 
-def reject_reason() -> Column:
-    """The first broken rule of a row, or NULL for a good one."""
-    checks = [
-        (F.col("trace_id").isNull(), "trace_id missing"),
-        (F.length("trace_id") != TRACE_ID_LENGTH, "trace_id length"),
-        (F.col("service").isNull(), "service missing"),
-        (F.length("service") > MAX_LENGTH["service"], "service too long"),
-        (F.col("host").isNull(), "host missing"),
-        (F.length("host") > MAX_LENGTH["host"], "host too long"),
-        (F.col("level").isNull(), "level missing"),
-        (~F.col("level").isin(*LEVELS), "level unknown"),
-        (F.col("ts").isNull(), "ts missing or invalid"),
-        (F.length("endpoint") > MAX_LENGTH["endpoint"], "endpoint too long"),
-    ]
-    return F.coalesce(*[F.when(broken, F.lit(reason)) for broken, reason in checks])
+# Rules of the contract in the order they are checked, each as the SQL condition of a broken row.
+BROKEN = (
+    ("trace_id missing", "trace_id IS NULL"),
+    ("trace_id length", f"length(trace_id) <> {TRACE_ID_LENGTH}"),
+    ("service missing", "service IS NULL"),
+    ("service too long", f"length(service) > {MAX_LENGTH['service']}"),
+    ("host missing", "host IS NULL"),
+    ("host too long", f"length(host) > {MAX_LENGTH['host']}"),
+    ("level missing", "level IS NULL"),
+    ("level unknown", f"level NOT IN {LEVELS}"),
+    ("ts missing or invalid", "ts IS NULL"),
+    ("endpoint too long", f"length(endpoint) > {MAX_LENGTH['endpoint']}"),
+)
+
+
+def reject_reason(*before: tuple[str, str]) -> Column:
+    """The first broken rule of a row, or NULL for a good one; `before` are rules to check first."""
+    return F.expr(f"CASE {' '.join(f"WHEN {broken} THEN '{reason}'" for reason, broken in (*before, *BROKEN))} END")

@@ -1,6 +1,7 @@
 """Rounding to two digits on integers, halves away from zero.
 
 Engines differ when they round doubles, so the ratio is rounded as a whole number of hundredths.
+Arguments are SQL expressions of integer type.
 """
 
 from __future__ import annotations
@@ -9,17 +10,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _hundredths(scaled: Column, parts: Column) -> Column:
+def _hundredths(scaled: str, parts: str) -> Column:
     """scaled / parts in hundredths, where scaled already carries the factor 200; NULL when parts is 0."""
-    doubled = F.nullif(2 * parts, F.lit(0).cast("bigint"))
-    return F.call_function("div", scaled + parts, doubled).cast("double") / F.lit(100.0)
+    return F.expr(f"cast(({scaled} + ({parts})) div nullif(2 * ({parts}), 0L) AS double) / 100.0D")
 
 
-def percent(part: Column, total: Column) -> Column:
+def percent(part: str, total: str) -> Column:
     """100 * part / total, rounded to 2 digits, for 0 <= part <= total."""
-    return _hundredths(20000 * part, total)
+    return _hundredths(f"20000 * ({part})", total)
 
 
-def mean(total: Column, n: Column) -> Column:
+def mean(total: str, n: str) -> Column:
     """total / n rounded to 2 digits, for total >= 0."""
-    return _hundredths(200 * total, n)
+    return _hundredths(f"200 * ({total})", n)

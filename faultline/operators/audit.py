@@ -116,7 +116,9 @@ def level_mix(events: DataFrame, expected: dict[str, float], tolerance: float =
     )
     # The total is summed from the counts, whose shuffle both uses share.
     counted = events.groupBy("level").agg(F.count("*").alias("row_count"))
-    share = exact.percent(F.col("row_count"), counted.agg(F.sum("row_count")).scalar())
-    return counted.select("level", "row_count", share.alias("share_pct"), wanted.alias("expected_pct")).withColumn(
-        "within_tolerance", F.abs(F.col("share_pct") - F.col("expected_pct")) <= tolerance
+    total = counted.agg(F.sum("row_count")).scalar()
+    return (
+        counted.withColumn("_total", total)
+        .select("level", "row_count", exact.percent("row_count", "_total").alias("share_pct"), wanted.alias("expected_pct"))
+        .withColumn("within_tolerance", F.abs(F.col("share_pct") - F.col("expected_pct")) <= tolerance)
     )

@@ -54,11 +54,9 @@ def parse_messages(messages: DataFrame) -> DataFrame:
     parsed = F.from_json("body", BODY_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
     # As a generator the body is parsed once; as a struct column it would be parsed once per field taken from it.
     opened = messages.select("*", F.inline(F.array(parsed))).withColumns(
-        {"trace_id": F.lower("trace_id"), "ts": F.col("ts").try_cast("timestamp_ntz")}
+        {"trace_id": F.lower("trace_id"), "ts": F.expr("try_cast(ts AS timestamp_ntz)")}
     )
-    # A body that is no JSON object at all gives NULL in every column and fails the first rule after this one.
-    reason = F.when(F.col("_corrupt").isNotNull(), F.lit("malformed body")).otherwise(reject_reason())
-    return opened.withColumn("reject_reason", reason).drop("_corrupt")
+    return opened.withColumn("reject_reason", reject_reason(("malformed body", "_corrupt IS NOT NULL"))).drop("_corrupt")
 
 
 def accepted(parsed: DataFrame) -> DataFrame:

@@ -19,6 +19,8 @@ def local_session(cores: str = "8", app: str = "faultline") -> SparkSession:
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        # Looking up the calling line for every column operation takes longer than planning a small query.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
 

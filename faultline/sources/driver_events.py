@@ -7,10 +7,8 @@ rows by a fixed rule; plans/oracles.py states the same rules in SQL.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from faultline.contract import EVENT_COLUMNS
 from faultline.functions.timeframe import Moment, time_range
 
 RAW_SCHEMA = T.StructType(
@@ -36,32 +34,21 @@ def raw_event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def to_log_events(raw: DataFrame) -> DataFrame:
     """The columns of the contract."""
-    digest = F.md5(F.col("event_id").cast("string"))
-    trace = F.concat_ws("-", *[F.substring(digest, start, n) for start, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
-    user = F.col("user_id") % 5
-    name = (
-        F.when(user == 0, "auth")
-        .when(user == 1, "payment")
-        .when(user == 2, "order")
-        .when(user == 3, "inventory")
-        .otherwise("notification")
-    )
-    kind = F.col("event_type")
-    host = F.lpad((F.col("event_id") % 10 + 1).cast("string"), 2, "0")
-    return raw.select(
-        F.col("event_id").alias("id"),
-        trace.alias("trace_id"),
-        F.concat(name, F.lit("-service")).alias("service"),
-        F.concat(F.lit("host-"), host, F.lit(".internal")).alias("host"),
-        F.when(kind == "error", "ERROR")
-        .when(kind == "signup", "WARN")
-        .when(kind == "purchase", "DEBUG")
-        .otherwise("INFO")
-        .alias("level"),
-        F.date_trunc("millisecond", "ts").cast("timestamp_ntz").alias("ts"),
-        F.concat_ws(" ", kind, "props").alias("message"),
-        F.floor("value").cast("int").alias("latency_ms"),
-        F.concat(F.lit("/api/v1/"), name, F.lit("/"), (F.col("event_id") % 4).cast("string")).alias("endpoint"),
+    name = """CASE user_id % 5 WHEN 0 THEN 'auth' WHEN 1 THEN 'payment' WHEN 2 THEN 'order'
+                WHEN 3 THEN 'inventory' ELSE 'notification' END"""
+    digest = "md5(cast(event_id AS string))"
+    trace = ", ".join(f"substr({digest}, {start}, {n})" for start, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12)))
+    return raw.selectExpr(
+        "event_id AS id",
+        f"concat_ws('-', {trace}) AS trace_id",
+        f"concat({name}, '-service') AS service",
+        "concat('host-', lpad(cast(event_id % 10 + 1 AS string), 2, '0'), '.internal') AS host",
+        """CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'signup' THEN 'WARN' WHEN 'purchase' THEN 'DEBUG'
+             ELSE 'INFO' END AS level""",
+        "cast(date_trunc('millisecond', ts) AS timestamp_ntz) AS ts",
+        "concat_ws(' ', event_type, props) AS message",
+        "cast(floor(value) AS int) AS latency_ms",
+        f"concat('/api/v1/', {name}, '/', cast(event_id % 4 AS string)) AS endpoint",
     )
 
 
@@ -80,42 +67,33 @@ def deliveries(events: DataFrame) -> DataFrame:
     Attempt 0 is the event. Later attempts get a new id and an upper-case trace id; senders on hosts
     06 to 10 also stamp the time anew, one second per attempt.
     """
-    attempt = F.col("attempt")
-    restamps = F.col("id") % 10 >= 5
-    return (
-        events.withColumn("attempt", F.explode(F.sequence(F.lit(0), (F.col("id") % 4).cast("int"))))
-        .withColumns(
-            {
-                "trace_id": F.when(attempt > 0, F.upper("trace_id")).otherwise(F.col("trace_id")),
-                "ts": F.when(restamps, F.col("ts") + F.make_dt_interval(secs=attempt)).otherwise(F.col("ts")),
-                "id": F.col("id") * 4 + attempt,
-            }
-        )
-        .select(*EVENT_COLUMNS)
+    return events.selectExpr("*", "explode(sequence(0, cast(id % 4 AS int))) AS attempt").selectExpr(
+        "id * 4 + attempt AS id",
+        "if(attempt > 0, upper(trace_id), trace_id) AS trace_id",
+        "service",
+        "host",
+        "level",
+        "if(id % 10 >= 5, ts + make_dt_interval(0, 0, 0, attempt), ts) AS ts",
+        "message",
+        "latency_ms",
+        "endpoint",
     )
 
 
 def messages(events: DataFrame) -> DataFrame:
     """The events as queue messages with a JSON body, some of them damaged by id, all received 1 to 4 times."""
-    fault = F.col("id") % 16
-    sound = F.struct(
-        "id",
-        F.when(fault == 3, F.substring("trace_id", 1, 35)).otherwise(F.col("trace_id")).alias("trace_id"),
-        F.when(fault != 1, F.col("service")).alias("service"),
-        F.when(fault == 2, F.rpad("host", 65, "x")).otherwise(F.col("host")).alias("host"),
-        F.when(fault == 0, F.lit("FATAL")).otherwise(F.col("level")).alias("level"),
-        F.when(fault == 5, F.lit("yesterday")).otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSS")).alias("ts"),
-        "message",
-        "latency_ms",
-        "endpoint",
-    )
-    body = F.to_json(sound)
-    body = F.when(fault == 4, F.substring(body, F.lit(1), F.length(body) - 1)).otherwise(body)
-    # Bits above the fault number, so that every kind of fault occurs with every number of receives.
-    extra = (F.floor(F.col("id") / 16) % 4).cast("int")
-    return events.select(
-        F.concat(F.lit("m"), F.col("id").cast("string")).alias("message_id"),
-        F.col("ts").alias("sent_at"),
-        body.alias("body"),
-        F.explode(F.sequence(F.lit(1), extra + 1)).alias("receive"),
+    body = """to_json(named_struct(
+        'id', id,
+        'trace_id', if(id % 16 = 3, substr(trace_id, 1, 35), trace_id),
+        'service', if(id % 16 = 1, NULL, service),
+        'host', if(id % 16 = 2, rpad(host, 65, 'x'), host),
+        'level', if(id % 16 = 0, 'FATAL', level),
+        'ts', if(id % 16 = 5, 'yesterday', date_format(ts, 'yyyy-MM-dd HH:mm:ss.SSS')),
+        'message', message, 'latency_ms', latency_ms, 'endpoint', endpoint))"""
+    # Receives go by bits above the fault number, so that every fault occurs with every number of them.
+    return events.selectExpr("*", f"{body} AS _body").selectExpr(
+        "concat('m', cast(id AS string)) AS message_id",
+        "ts AS sent_at",
+        "if(id % 16 = 4, substr(_body, 1, length(_body) - 1), _body) AS body",
+        "explode(sequence(1, cast((id div 16) % 4 AS int) + 1)) AS receive",
     )
