@@ -8,8 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faultline.contract import EVENT_COLUMNS, EVENT_SCHEMA, LEVELS, MAX_LENGTH, TRACE_ID_LENGTH
-from faultline.functions import exact
+from faultline.contract import EVENT_COLUMNS, EVENT_SCHEMA, LEVELS, MAX_LENGTH, TRACE_ID_LENGTH, level_rank
+from faultline.functions import dialect, exact
 
 
 def row_count(events: DataFrame) -> DataFrame:
@@ -17,13 +17,26 @@ def row_count(events: DataFrame) -> DataFrame:
 
 
 def partition_profile(events: DataFrame) -> DataFrame:
-    """Rows and time span of every day, counted rather than estimated."""
+    """Name, upper bound, rows and time span of every day's partition; rows are counted, not estimated."""
     day = F.col("event_date") if "event_date" in events.columns else F.to_date("ts")
-    return events.groupBy(day.cast("string").alias("event_date")).agg(
-        F.count("*").alias("row_count"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts")
+    return (
+        events.groupBy(day.alias("_day"))
+        .agg(F.count("*").alias("row_count"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
+        .select(
+            _partition_name("_day").alias("partition_name"),
+            dialect.to_days(F.date_add("_day", 1)).alias("less_than_days"),
+            F.col("_day").cast("string").alias("event_date"),
+            "row_count",
+            "first_ts",
+            "last_ts",
+        )
     )
 
 
+def _partition_name(day: str) -> Column:
+    return F.concat(F.lit("p"), F.date_format(day, "yyyyMMdd"))
+
+
 def overflow_dates(events: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
     """Days with rows outside the expected ones, and the partition each would need.
 
@@ -39,7 +52,7 @@ def overflow_dates(events: DataFrame, first: dt.date, last: dt.date) -> DataFram
             F.col("_day").cast("string").alias("event_date"),
             "row_count",
             F.when(F.col("_day") < F.lit(first), "before").otherwise("after").alias("side"),
-            F.concat(F.lit("p"), F.date_format("_day", "yyyyMMdd")).alias("partition_name"),
+            _partition_name("_day").alias("partition_name"),
             F.date_add("_day", 1).cast("string").alias("less_than"),
         )
     )
@@ -119,6 +132,6 @@ def level_mix(events: DataFrame, expected: dict[str, float], tolerance: float =
     total = counted.agg(F.sum("row_count")).scalar()
     return (
         counted.withColumn("_total", total)
-        .select("level", "row_count", exact.percent("row_count", "_total").alias("share_pct"), wanted.alias("expected_pct"))
+        .select("level", level_rank("level").alias("level_rank"), "row_count", exact.percent("row_count", "_total").alias("share_pct"), wanted.alias("expected_pct"))
         .withColumn("within_tolerance", F.abs(F.col("share_pct") - F.col("expected_pct")) <= tolerance)
     )

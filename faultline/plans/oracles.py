@@ -169,8 +169,23 @@ _ON_EVENTS = {
         SELECT {STORED} FROM log_events
         WHERE cast(ts AS date) >= (SELECT max(cast(ts AS date)) FROM log_events) - INTERVAL 7 DAY""",
     "partition_profile": """
-        SELECT strftime(ts, '%Y-%m-%d') AS event_date, count(*) AS row_count, min(ts) AS first_ts, max(ts) AS last_ts
-        FROM log_events GROUP BY 1""",
+        SELECT strftime(d, 'p%Y%m%d') AS partition_name, cast(date_diff('day', DATE '1970-01-01', d) + 719529 AS int) AS less_than_days,
+          strftime(d, '%Y-%m-%d') AS event_date, row_count, first_ts, last_ts
+        FROM (SELECT cast(ts AS date) AS d, count(*) AS row_count, min(ts) AS first_ts, max(ts) AS last_ts
+              FROM log_events GROUP BY ALL)""",
+    "copy_check": """
+        SELECT count(*) AS events_count, count(*) AS copy_count, TRUE AS same_count, TRUE AS same_content FROM log_events""",
+    "scalar_functions": """
+        SELECT id, cast(floor(epoch(ts)) AS bigint) AS unix_seconds,
+          make_timestamp(cast(floor(epoch(ts) / 300) AS bigint) * 300 * 1000000) AS five_minutes,
+          cast(ceil(cast('0.95' AS decimal(3,2)) * id) AS bigint) AS rank,
+          cast((200 * cast(latency_ms AS bigint) + 7) // 14 AS double) / 100 AS weekly_ms,
+          coalesce(nullif(latency_ms, 0), -1) AS nonzero_ms,
+          CASE WHEN level = 'ERROR' THEN 1 ELSE 0 END AS is_error, strftime(ts, '%Y-%m-%d %H:00:00') AS hour_text,
+          cast(date_diff('day', DATE '1970-01-01', cast(ts AS date)) + 719528 AS int) AS day_number,
+          strftime(ts + INTERVAL 8 DAY, 'p%Y%m%d') AS partition_ahead,
+          cast(list_position(['DEBUG', 'INFO', 'WARN', 'ERROR'], level) AS int) AS level_rank
+        FROM log_events""",
     "row_count": "SELECT count(*) AS total_count FROM log_events",
     "schema_check": _schema(),
     "pruned_range": f"SELECT {COLUMNS} FROM log_events WHERE {_between('2024-01-10 06:00:00', '2024-01-12 18:00:00')}",
@@ -227,7 +242,8 @@ _ON_EVENTS = {
            WHERE ts >= (SELECT max(ts) FROM log_events) - INTERVAL 1 HOUR GROUP BY service) USING (service)""",
     "level_mix": f"""
         SELECT *, abs(share_pct - expected_pct) <= 1.0 AS within_tolerance
-        FROM (SELECT level, row_count, {_pct('row_count', 'total')} AS share_pct,
+        FROM (SELECT level, cast(list_position(['DEBUG', 'INFO', 'WARN', 'ERROR'], level) AS int) AS level_rank, row_count,
+                {_pct('row_count', 'total')} AS share_pct,
                 cast(CASE level WHEN 'ERROR' THEN 5 WHEN 'WARN' THEN 15 WHEN 'INFO' THEN 60 WHEN 'DEBUG' THEN 20 END AS double)
                   AS expected_pct
               FROM (SELECT level, count(*) AS row_count FROM log_events GROUP BY level),
@@ -302,6 +318,9 @@ _ON_RECEIVED = {
         SELECT coalesce(reject_reason, 'accepted') AS outcome, count(*) AS row_count FROM received GROUP BY ALL""",
     "dead_letter": _DEAD,
     "stream_ingest": f"SELECT DISTINCT {COLUMNS} FROM received WHERE reject_reason IS NULL",
+    "archive_raw": """
+        SELECT message_id, ts AS sent_at, cast(receive AS int) AS receive, coalesce(reject_reason, 'accepted') AS outcome
+        FROM received""",
     "stream_quarantine": _QUARANTINE,
     "stream_dead_letter": _DEAD,
 }

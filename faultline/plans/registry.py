@@ -12,7 +12,8 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.contract import EVENT_COLUMNS
+from faultline.contract import EVENT_COLUMNS, level_rank
+from faultline.functions import dialect
 from faultline.functions.timeframe import time_range
 from faultline.operators import alerts, analytics, audit, latency, quality
 from faultline.session import use_utc, work_path
@@ -54,14 +55,13 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @lru_cache(maxsize=None)
-def _stored(application: str, sf_dir: str) -> str:
-    spark = SparkSession.getActiveSession()
+def _stored(spark: SparkSession, sf_dir: str) -> str:
     return store.write_daily(_events(spark, sf_dir), work_path(spark, "daily"))
 
 
 def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The day-partitioned table of an input folder, written once per application."""
-    return store.read_store(spark, _stored(spark.sparkContext.applicationId, sf_dir))
+    """The day-partitioned table of an input folder, written once per session."""
+    return store.read_store(spark, _stored(spark, sf_dir))
 
 
 def _listed(stored: DataFrame) -> DataFrame:
@@ -133,6 +133,24 @@ def synthetic_events(spark, sf_dir):
     return synthetic.synthesize(ids)
 
 
+@query
+def scalar_functions(spark, sf_dir):
+    """The functions of the reference's SQL over every event."""
+    return _events(spark, sf_dir).select(
+        "id",
+        dialect.unix_timestamp("ts").alias("unix_seconds"),
+        dialect.from_unixtime(F.floor(dialect.unix_timestamp("ts") / 300) * 300).alias("five_minutes"),
+        F.expr("ceil(0.95 * id)").cast("bigint").alias("rank"),
+        F.round(F.col("latency_ms").cast("decimal(20,3)") / 7, 2).cast("double").alias("weekly_ms"),
+        F.expr("coalesce(nullif(latency_ms, 0), -1)").alias("nonzero_ms"),
+        F.expr("CASE WHEN level = 'ERROR' THEN 1 ELSE 0 END").alias("is_error"),
+        F.date_format("ts", "yyyy-MM-dd HH:00:00").alias("hour_text"),
+        dialect.to_days("ts").alias("day_number"),
+        F.concat(F.lit("p"), F.date_format(F.date_add(F.to_date("ts"), 8), "yyyyMMdd")).alias("partition_ahead"),
+        level_rank("level").alias("level_rank"),
+    )
+
+
 # Ranges and lookups
 
 
@@ -350,15 +368,14 @@ def errors_per_hour_from_rollup(spark, sf_dir):
 
 
 @lru_cache(maxsize=None)
-def _stored_rollup(application: str, sf_dir: str) -> str:
-    spark = SparkSession.getActiveSession()
+def _stored_rollup(spark: SparkSession, sf_dir: str) -> str:
     path = work_path(spark, "rollup")
     alerts.rollup_minute(_events(spark, sf_dir)).write.parquet(path)
     return path
 
 
 def _rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(_stored_rollup(spark.sparkContext.applicationId, sf_dir))
+    return spark.read.parquet(_stored_rollup(spark, sf_dir))
 
 
 @query
@@ -389,17 +406,12 @@ def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @lru_cache(maxsize=None)
-def _ingested(application: str, sf_dir: str) -> ingest.Sinks:
-    spark = SparkSession.getActiveSession()
+def _sinks(spark: SparkSession, sf_dir: str) -> ingest.Sinks:
     sinks = ingest.Sinks(work_path(spark, "ingest"))
     ingest.ingest(driver_events.messages(_stream(spark, sf_dir)), sinks)
     return sinks
 
 
-def _sinks(spark: SparkSession, sf_dir: str) -> ingest.Sinks:
-    return _ingested(spark.sparkContext.applicationId, sf_dir)
-
-
 @query
 def stream_ingest(spark, sf_dir):
     return store.read_store(spark, _sinks(spark, sf_dir).store).select(*EVENT_COLUMNS)
@@ -418,8 +430,8 @@ def stream_dead_letter(spark, sf_dir):
 
 @query
 def archive_raw(spark, sf_dir):
-    archived = ingest.read_archive(spark, _sinks(spark, sf_dir).archive)
-    return archived.select("message_id", "sent_at", "receive", F.length("body").alias("body_length"))
+    archived = quality.parse_messages(ingest.read_archive(spark, _sinks(spark, sf_dir).archive))
+    return archived.select("message_id", "sent_at", "receive", F.coalesce("reject_reason", F.lit("accepted")).alias("outcome"))
 
 
 @query

@@ -13,6 +13,9 @@ from faultline.functions.ranking import first_of_each
 
 # A day list longer than this is replaced by its range when stored rows are looked up.
 MAX_LISTED_DAYS = 4000
+# Input bytes per task of a clustered write; sorted in memory or with a spill or two.
+TASK_BYTES = 512 * 1024 * 1024
+UNKNOWN_BYTES = 10**18
 
 
 def read_store(spark: SparkSession, path: str) -> DataFrame:
@@ -23,6 +26,18 @@ def read_flat(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(EVENT_SCHEMA).parquet(path)
 
 
+def write_tasks(events: DataFrame) -> int | None:
+    """The number of tasks of TASK_BYTES each, where it is more than the session's shuffles have.
+
+    Otherwise None, which leaves the number to the session: at run time a range shuffle can be made
+    coarser but not finer. Estimates beyond UNKNOWN_BYTES are Spark's stand-in for not knowing.
+    """
+    estimate = events._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    session = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = -(-int(estimate) // TASK_BYTES)
+    return tasks if session < tasks and estimate < UNKNOWN_BYTES else None
+
+
 def clustered(events: DataFrame, files: int | None = None) -> DataFrame:
     """Rows range-partitioned and sorted by (day, service, time).
 
@@ -32,6 +47,7 @@ def clustered(events: DataFrame, files: int | None = None) -> DataFrame:
     """
     keys = ["event_date", "service", "ts", "id"]
     dated = with_event_date(events)
+    files = files or write_tasks(events)
     ranged = dated.repartitionByRange(files, *keys) if files else dated.repartitionByRange(*keys)
     return ranged.sortWithinPartitions(*keys)
 

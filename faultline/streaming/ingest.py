@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from faultline.operators.quality import MAX_RECEIVES, accepted, parse_messages, rejected
 from faultline.sources.store import append_new, path_exists
-from faultline.streaming.jobs import run_available
+from faultline.streaming.jobs import MESSAGE_SCHEMA, run_available
 
 MESSAGE_COLUMNS = ["message_id", "sent_at", "body", "receive"]
 QUARANTINE_SCHEMA = (
@@ -54,8 +54,6 @@ def archive_raw(messages: DataFrame, path: str) -> None:
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    from faultline.streaming.jobs import MESSAGE_SCHEMA
-
     return spark.read.schema(f"{MESSAGE_SCHEMA}, batch bigint").json(path).drop("batch")
 
 
@@ -117,4 +115,4 @@ def ingest(messages: DataFrame, sinks: Sinks, max_receives: int = MAX_RECEIVES)
     writer = messages.writeStream.foreachBatch(
         lambda batch, batch_id: ingest_batch(batch, batch_id, sinks, max_receives)
     )
-    run_available(writer, sinks.checkpoint)
+    run_available(messages.sparkSession, writer, sinks.checkpoint)

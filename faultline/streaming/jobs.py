@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
+from faultline.contract import EVENT_SCHEMA
 from faultline.session import work_path
 
 MESSAGE_SCHEMA = "message_id string, sent_at timestamp_ntz, body string, receive int"
@@ -21,8 +22,6 @@ def message_stream(spark: SparkSession, path: str, max_files: int | None = None)
 
 def event_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """Stored events as a stream."""
-    from faultline.contract import EVENT_SCHEMA
-
     reader = spark.readStream.schema(EVENT_SCHEMA)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
@@ -38,15 +37,29 @@ def without_zone(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({name: F.col(name).cast("timestamp_ntz") for name in columns})
 
 
-def run_available(writer: DataStreamWriter, checkpoint: str) -> None:
+def use_rocksdb(spark: SparkSession) -> None:
+    """State on the executor's disk, with only its changes written to the checkpoint.
+
+    The default keeps all state on the heap, which the keys of duplicate removal outgrow.
+    """
+    spark.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    )
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+
+
+def run_available(spark: SparkSession, writer: DataStreamWriter, checkpoint: str) -> None:
     """Process what is there, then stop. A service would leave the trigger out and keep the query."""
+    use_rocksdb(spark)
     writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
 def to_table(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
     """Append a stream to Parquet and read it back; the file sink lists each batch's files once."""
-    run_available(stream.writeStream.format("parquet").option("path", path).outputMode("append"), checkpoint)
-    return stream.sparkSession.read.schema(stream.schema).parquet(path)
+    spark = stream.sparkSession
+    run_available(spark, stream.writeStream.format("parquet").option("path", path).outputMode("append"), checkpoint)
+    return spark.read.schema(stream.schema).parquet(path)
 
 
 def materialize(stream: DataFrame, name: str) -> DataFrame:

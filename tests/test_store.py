@@ -73,6 +73,15 @@ def test_a_day_with_most_rows_is_spread_over_tasks(spark, events_of):
     assert len(sizes) >= 6 and max(sizes) < 1500
 
 
+def test_write_tasks_grow_with_the_input(spark, stored, events_of, monkeypatch):
+    known = store.read_store(spark, stored).drop("event_date")
+    assert store.write_tasks(known) is None
+    monkeypatch.setattr(store, "TASK_BYTES", 10_000)
+    tasks = store.write_tasks(known)
+    assert tasks > 50 and store.write_tasks(known.union(known)) >= 2 * tasks - 1
+    assert store.write_tasks(events_of([event(1)])) is None
+
+
 def test_overwrite_replaces_and_append_adds(spark, events_of):
     path = work_path(spark, "modes")
     store.write_daily(events_of([event(1)]), path)
