@@ -1,0 +1,25 @@
+import datetime as dt
+
+from faultline.__main__ import main
+from faultline.session import work_path
+from faultline.sources import store
+from tests.conftest import rows_of
+
+
+def test_generate_query_and_retain(spark, capsys):
+    path, out = work_path(spark, "cli"), work_path(spark, "cli-out")
+    main(["generate", "--path", path, "--rows", "20000"])
+    main(["verify", "--path", path])
+    assert "20000" in capsys.readouterr().out
+    main(["query", "error-rate", "--path", path, "--service", "auth-service", "--from", "2026-10-02", "--to", "2026-10-03", "--out", out])
+    hours = {row.window_start.date() for row in spark.read.parquet(out).collect()}
+    assert hours == {dt.date(2026, 10, 2)}
+    for name in ("p95", "slowest-endpoints", "lookup", "errors", "errors-per-hour", "events", "alert", "latency-summary"):
+        main(["query", name, "--path", path, "--service", "auth-service", "--from", "2026-10-02", "--out", out])
+        assert spark.read.parquet(out).count() > 0, name
+    main(["retain", "--path", path, "--days", "1"])
+    assert len(store.day_directories(spark, path)) == 2
+    assert rows_of(store.read_store(spark, path).select("event_date").distinct()) == [
+        (dt.date(2026, 10, 1),),
+        (dt.date(2026, 10, 2),),
+    ]
