@@ -23,6 +23,8 @@ CALLS = {
     "inventory": ("check", "reserve", "restock", "sku"),
     "notifications": ("email", "sms", "push", "webhook"),
 }
+# Number of hosts and the form of their names.
+HOSTS, HOST_NAME = 10, "host-%02d.ec2.internal"
 # Upper bounds of the level shares, lognormal parameters, extra latency of an error.
 LEVEL_BOUNDS = (("ERROR", 0.05), ("WARN", 0.20), ("INFO", 0.80))
 LATENCY_MU, LATENCY_SIGMA = 3.6, 0.9
@@ -81,7 +83,7 @@ def synthesize(ids: DataFrame, seed: int = 42, end: Moment = PERIOD_END, seconds
             {
                 "trace_id": trace,
                 "_service": service_index,
-                "host": F.format_string("host-%02d.ec2.internal", F.floor(_uniform(2, seed) * 10).cast("int") + 1),
+                "host": F.format_string(HOST_NAME, F.floor(_uniform(2, seed) * HOSTS).cast("int") + 1),
                 "level": level,
                 "ts": start + F.make_dt_interval(secs=(offset_ms / 1000).cast("decimal(18,6)")),
             }
