@@ -74,33 +74,42 @@ def nearest_rank(df: DataFrame, keys: list[str], value: str, q: str, out: str) -
     )
 
 
-def row_numbers(df: DataFrame, key: str, value: str, ts: str, tie: str, slot: str = "1 minute") -> DataFrame:
-    """Every row with its ROW_NUMBER over (key, ordered by value, ts, tie) and the key's row count.
+def tie_shift(df: DataFrame, tie: str) -> int:
+    """Low bits of the tie that one block spans: at most 2**20 blocks, and no less than 2**16 ties each.
+
+    Read from one row of minimum and maximum. Dense ids up to 2**40 give blocks of at most 2**20 rows;
+    hashed ids spread evenly over their blocks.
+    """
+    lo, hi = df.agg(F.min(tie), F.max(tie)).first()
+    return 16 if lo is None else max(16, (hi - lo).bit_length() - 20)
+
+
+def row_numbers(df: DataFrame, key: str, value: str, tie: str, shift: int | None = None) -> DataFrame:
+    """Every row with its ROW_NUMBER over (key, ordered by value and tie) and the key's row count.
 
     A window over the key would sort all its rows in one task. The number is instead a sum of three
-    offsets: rows of smaller values, rows of the same value in earlier time slots, and the place
-    within (key, value, slot), which is the only part that sorts rows.
+    offsets: rows of smaller values, rows of the same value in blocks of smaller ties, and the place
+    within (key, value, block). Only the last sorts rows, and unique ties bound a block, so that even
+    a key whose rows all have one value is spread out.
     """
-    slotted = df.select(key, value, ts, tie, rank_key(value).alias("_key"), F.window(ts, slot).getField("start").alias("_slot"))
-    before_slot = (
-        Window.partitionBy(key, "_key").orderBy("_slot").rowsBetween(Window.unboundedPreceding, 0)
-    )
-    slots = (
-        slotted.groupBy(key, "_key", "_slot")
+    shift = tie_shift(df, tie) if shift is None else shift
+    blocked = df.select(key, value, tie, rank_key(value).alias("_key"), F.shiftright(tie, shift).alias("_block"))
+    earlier = Window.partitionBy(key, "_key").orderBy("_block").rowsBetween(Window.unboundedPreceding, 0)
+    blocks = (
+        blocked.groupBy(key, "_key", "_block")
         .agg(F.count("*").alias("_n"))
-        .withColumn("_before_slot", F.sum("_n").over(before_slot) - F.col("_n"))
+        .withColumn("_before_block", F.sum("_n").over(earlier) - F.col("_n"))
         .drop("_n")
     )
     runs = value_runs(df, [key], value).select(
         key, rank_key(value).alias("_key"), (F.col("first_rn") - 1).alias("_before_value"), "cnt"
     )
-    place = F.row_number().over(Window.partitionBy(key, "_key", "_slot").orderBy(ts, tie))
+    place = F.row_number().over(Window.partitionBy(key, "_key", "_block").orderBy(tie))
+    number = F.col("_before_value") + F.col("_before_block") + F.col("_place")
     return (
-        slotted.withColumn("_place", place)
-        .join(slots.join(runs, [key, "_key"]), [key, "_key", "_slot"])
-        .select(
-            tie, key, value, (F.col("_before_value") + F.col("_before_slot") + F.col("_place")).alias("rn"), "cnt"
-        )
+        blocked.withColumn("_place", place)
+        .join(blocks.join(runs, [key, "_key"]), [key, "_key", "_block"])
+        .select(tie, key, value, number.alias("rn"), "cnt")
     )
 
 

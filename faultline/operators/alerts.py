@@ -60,35 +60,36 @@ def rolling_errors(events: DataFrame, window: dt.timedelta = dt.timedelta(minute
     """Errors of the service in the window ending at each event, both ends counted.
 
     The plain form, a RANGE frame over the service, sorts a whole service in one task and adds up the
-    frame anew for every row. Here time is cut into chunks as long as the window and each chunk is
-    its own group. An error counts +1 when it happens and -1 when it leaves the window, so the answer
-    is a running sum; an error that reaches into the next chunk is carried there by an extra row.
+    frame anew for every row. Here the answer is found once per distinct (service, time) and joined
+    back; a time that many events share is split by the skew join. Time is cut into chunks as long as
+    the window, each its own group, so a chunk holds no more rows than the window has milliseconds,
+    times three. An error counts +1 when it happens and -1 when it leaves the window, which makes the
+    answer a running sum; errors that reach into the next chunk are carried there by an extra row.
     """
     width = int(window.total_seconds() * 1_000_000)
-    at = F.unix_micros(F.col("ts").cast("timestamp"))
-    # The window includes its lower end, so an error leaves one microsecond after it.
-    leaves = F.col("_at") + width + 1
-    chunk = F.col("_at") - F.pmod("_at", F.lit(width))
-    marked = events.select("id", "service", "ts", is_error().cast("int").alias("_error"), at.alias("_at")).withColumn("_chunk", chunk)
-
-    def mark(chunk: Column, time: Column, change: Column, own: bool) -> Column:
-        return F.struct(
-            chunk.alias("_chunk"), time.alias("_time"), change.cast("int").alias("_change"), F.lit(own).alias("_own")
-        )
-
-    event = mark(F.col("_chunk"), F.col("_at"), F.col("_error"), True)
-    carried = mark(F.col("_chunk") + width, F.col("_at"), F.lit(1), False)
-    gone = mark(F.col("_chunk") + width, leaves, F.lit(-1), False)
-    # Chunks are as long as the window, so an error always leaves in the next chunk or on its far edge.
-    marks = F.when(F.col("_error") == 1, F.array(event, carried, gone)).otherwise(F.array(event))
-
+    times = (
+        events.groupBy("service", "ts")
+        .agg(F.expr("count_if(level = 'ERROR') AS _errors"))
+        .selectExpr("service", "ts", "_errors", "unix_micros(cast(ts AS timestamp)) AS _at")
+        .selectExpr("*", f"_at - pmod(_at, {width}L) AS _chunk")
+    )
+    # The window includes its lower end, so an error leaves one microsecond after it. Chunks are as
+    # long as the window, so that is in the next chunk or at its far edge.
+    def mark(chunk: str, time: str, change: str, own: str) -> str:
+        return f"named_struct('_chunk', {chunk}, '_time', {time}, '_change', {change}, '_own', {own})"
+
+    event = mark("_chunk", "_at", "_errors", "true")
+    carried = mark(f"_chunk + {width}L", "_at", "_errors", "false")
+    gone = mark(f"_chunk + {width}L", f"_at + {width + 1}L", "-_errors", "false")
+    marks = F.expr(f"inline(if(_errors > 0, array({event}, {carried}, {gone}), array({event})))")
     running = Window.partitionBy("service", "_chunk").orderBy("_time").rangeBetween(Window.unboundedPreceding, 0)
-    return (
-        marked.select("id", "service", "ts", F.inline(marks))
+    rolled = (
+        times.select("service", "ts", marks)
         .withColumn("errors_in_window", F.sum("_change").over(running))
         .filter("_own")
-        .select("id", "service", "ts", "errors_in_window")
+        .select("service", "ts", "errors_in_window")
     )
+    return events.select("id", "service", "ts").join(rolled, ["service", "ts"]).select("id", "service", "ts", "errors_in_window")
 
 
 def sliding_error_rate(events: DataFrame, length: str = "5 minutes", slide: str = "1 minute") -> DataFrame:

@@ -13,8 +13,8 @@ from faultline.functions.timeframe import Moment, ntz
 
 
 def latency_row_numbers(events: DataFrame) -> DataFrame:
-    """ROW_NUMBER and COUNT over each service by latency, for every event; ties by time and id."""
-    return row_numbers(events, "service", "latency_ms", "ts", "id")
+    """ROW_NUMBER and COUNT over each service by latency, for every event; ties by id."""
+    return row_numbers(events, "service", "latency_ms", "id")
 
 
 def p95_row_number(events: DataFrame, q: str = "0.95") -> DataFrame:

@@ -209,7 +209,7 @@ _ON_EVENTS = {
         FROM log_events WHERE latency_ms IS NOT NULL GROUP BY service""",
     "latency_row_numbers": """
         SELECT id, service, latency_ms, count(*) OVER (PARTITION BY service) AS cnt,
-          row_number() OVER (PARTITION BY service ORDER BY latency_ms NULLS FIRST, ts, id) AS rn
+          row_number() OVER (PARTITION BY service ORDER BY latency_ms NULLS FIRST, id) AS rn
         FROM log_events""",
     "slowest_endpoints": _slowest(),
     "slowest_endpoints_service_week": _slowest(_between("2024-01-08", "2024-01-15", "auth-service")),

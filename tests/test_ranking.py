@@ -4,7 +4,7 @@ from fractions import Fraction
 
 import pytest
 
-from faultline.functions.ranking import row_numbers, target_rank
+from faultline.functions.ranking import row_numbers, target_rank, tie_shift
 from faultline.operators.latency import latency_row_numbers, p95_approx, p95_disc, p95_histogram, p95_row_number
 from tests.conftest import event, rows_of
 
@@ -64,15 +64,24 @@ def test_target_rank_is_exact_in_decimals(spark):
     assert all(r == math.ceil(Fraction(7, 100) * n) for n, r in wrong)
 
 
-@pytest.mark.parametrize("slot", ["1 minute", "1 hour"])
-def test_row_numbers_equal_the_plain_window(slot, spark, events_of):
+@pytest.mark.parametrize("shift", [None, 0, 3])
+def test_row_numbers_equal_the_plain_window(shift, spark, events_of):
     df = events_of(by_service(GROUPS))
     df.createOrReplaceTempView("ranked_input")
     plain = spark.sql(
-        """SELECT id, row_number() OVER (PARTITION BY service ORDER BY latency_ms NULLS FIRST, ts, id) AS rn,
+        """SELECT id, row_number() OVER (PARTITION BY service ORDER BY latency_ms NULLS FIRST, id) AS rn,
              count(*) OVER (PARTITION BY service) AS cnt FROM ranked_input"""
     )
-    assert rows_of(row_numbers(df, "service", "latency_ms", "ts", "id", slot), "id", "rn", "cnt") == rows_of(plain)
+    assert rows_of(row_numbers(df, "service", "latency_ms", "id", shift), "id", "rn", "cnt") == rows_of(plain)
+
+
+def test_blocks_of_ties_are_bounded(spark):
+    for ids in (spark.range(10), spark.range(0, 2**40, 2**38), spark.sql("SELECT explode(array(-(1L << 62), 1L << 62)) AS id")):
+        shift = tie_shift(ids, "id")
+        lo, hi = ids.selectExpr(f"shiftright(min(id), {shift})", f"shiftright(max(id), {shift})").first()
+        assert shift >= 16 and hi - lo <= 2**20
+    assert tie_shift(spark.range(0, 2**40, 2**38), "id") <= 20
+    assert tie_shift(spark.range(0), "id") == 16
 
 
 def plan_of(df):
@@ -80,10 +89,10 @@ def plan_of(df):
 
 
 def test_no_window_sees_rows_of_a_whole_service(events_of):
-    """Windows by service alone run over counts; the one over events is also cut by value and time."""
+    """Windows by service alone run over counts; the one over events is also cut by value and block of ids."""
     plan = plan_of(latency_row_numbers(events_of(by_service(GROUPS))))
     row_windows = [line for line in plan.splitlines() if "Window [row_number()" in line]
-    assert row_windows and all("_slot" in line and "_key" in line for line in row_windows)
+    assert row_windows and all("_block" in line and "_key" in line for line in row_windows)
     assert "Window" not in plan_of(p95_approx(events_of(by_service(GROUPS))))
 
 
