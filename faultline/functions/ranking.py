@@ -25,8 +25,8 @@ def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     return df.groupBy(*keys, value).agg(F.count("*").alias("n"))
 
 
-def value_runs(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """Each distinct value with the row numbers its rows take in the order of the value.
+def value_runs(counts: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """Each distinct value, given with its row count n, and the row numbers its rows take in its order.
 
     All rows of one value are neighbours in ROW_NUMBER() OVER (PARTITION BY keys ORDER BY value), so
     first_rn, last_rn and cnt say all that the row-by-row numbering says.
@@ -34,8 +34,7 @@ def value_runs(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     within = Window.partitionBy(*keys).orderBy(F.asc_nulls_first(value))
     whole = Window.partitionBy(*keys)
     return (
-        value_counts(df, keys, value)
-        .withColumn("last_rn", F.sum("n").over(within.rowsBetween(Window.unboundedPreceding, 0)))
+        counts.withColumn("last_rn", F.sum("n").over(within.rowsBetween(Window.unboundedPreceding, 0)))
         .withColumn("first_rn", F.col("last_rn") - F.col("n") + 1)
         .withColumn("cnt", F.sum("n").over(whole))
     )
@@ -95,14 +94,10 @@ def row_numbers(df: DataFrame, key: str, value: str, tie: str, shift: int | None
     shift = tie_shift(df, tie) if shift is None else shift
     blocked = df.select(key, value, tie, rank_key(value).alias("_key"), F.shiftright(tie, shift).alias("_block"))
     earlier = Window.partitionBy(key, "_key").orderBy("_block").rowsBetween(Window.unboundedPreceding, 0)
-    blocks = (
-        blocked.groupBy(key, "_key", "_block")
-        .agg(F.count("*").alias("_n"))
-        .withColumn("_before_block", F.sum("_n").over(earlier) - F.col("_n"))
-        .drop("_n")
-    )
-    runs = value_runs(df, [key], value).select(
-        key, rank_key(value).alias("_key"), (F.col("first_rn") - 1).alias("_before_value"), "cnt"
+    counts = blocked.groupBy(key, "_key", "_block").agg(F.count("*").alias("n"))
+    blocks = counts.select(key, "_key", "_block", (F.sum("n").over(earlier) - F.col("n")).alias("_before_block"))
+    runs = value_runs(counts.groupBy(key, "_key").agg(F.sum("n").alias("n")), [key], "_key").select(
+        key, "_key", (F.col("first_rn") - 1).alias("_before_value"), "cnt"
     )
     place = F.row_number().over(Window.partitionBy(key, "_key", "_block").orderBy(tie))
     number = F.col("_before_value") + F.col("_before_block") + F.col("_place")

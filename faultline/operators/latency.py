@@ -21,7 +21,7 @@ def p95_row_number(events: DataFrame, q: str = "0.95") -> DataFrame:
     """The value whose row numbers include CEIL(q * cnt)."""
     rank = target_rank(q, F.col("cnt"))
     return (
-        value_runs(events, ["service"], "latency_ms")
+        value_runs(value_counts(events, ["service"], "latency_ms"), ["service"], "latency_ms")
         .filter((F.col("first_rn") <= rank) & (rank <= F.col("last_rn")))
         .select("service", rank.alias("rn"), "cnt", F.col("latency_ms").alias("p95_latency_ms"))
     )

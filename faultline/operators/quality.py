@@ -53,8 +53,11 @@ def parse_messages(messages: DataFrame) -> DataFrame:
     """Message columns, the event in the body, and reject_reason (NULL for a good event)."""
     parsed = F.from_json("body", BODY_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
     # As a generator the body is parsed once; as a struct column it would be parsed once per field taken from it.
-    opened = messages.select("*", F.inline(F.array(parsed))).withColumns(
-        {"trace_id": F.lower("trace_id"), "ts": F.expr("try_cast(ts AS timestamp_ntz)")}
+    opened = (
+        messages.select("*", F.inline(F.array(parsed)))
+        .withColumns({"trace_id": F.lower("trace_id"), "ts": F.expr("try_cast(ts AS timestamp_ntz)")})
+        # Senders need not number their events; the number then follows from the event's key.
+        .withColumn("id", F.coalesce("id", F.xxhash64("trace_id", "ts")))
     )
     return opened.withColumn("reject_reason", reject_reason(("malformed body", "_corrupt IS NOT NULL"))).drop("_corrupt")
 

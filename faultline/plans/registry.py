@@ -16,7 +16,7 @@ from faultline.contract import EVENT_COLUMNS, level_rank
 from faultline.functions import dialect
 from faultline.functions.timeframe import time_range
 from faultline.operators import alerts, analytics, audit, latency, quality
-from faultline.session import use_utc, work_path
+from faultline.session import fit_local, use_utc, work_path
 from faultline.sources import driver_events, store, synthetic
 from faultline.streaming import episodes, ingest, jobs, windows
 
@@ -40,7 +40,7 @@ _QUERIES: dict[str, Query] = {}
 
 def query(function: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return function(use_utc(spark), sf_dir)
+        return function(fit_local(use_utc(spark)), sf_dir)
 
     _QUERIES[function.__name__] = run
     return function

@@ -52,6 +52,7 @@ def body(**changes):
 
 BODIES = {
     "ok": (body(), None),
+    "no-id": (body(id=...), None),
     "ok-nulls": (body(message=None, latency_ms=..., endpoint=None), None),
     "iso": (body(ts="2024-01-01T00:00:00.123"), None),
     "level": (body(level="FATAL"), "level unknown"),
@@ -89,7 +90,14 @@ def test_good_and_rejected_rows_are_all_rows(parsed):
     assert {r.ts for r in good.collect()} == {at("2024-01-01 00:00:00.123")}
     assert {r.message_id: r.body for r in bad.collect()}["cut"] == BODIES["cut"][0]
     counts = {r.outcome: r.row_count for r in quality.quarantine_counts(parsed).collect()}
-    assert counts["accepted"] == 4 and counts["malformed body"] == 3 and sum(counts.values()) == len(BODIES)
+    assert counts["accepted"] == 5 and counts["malformed body"] == 3 and sum(counts.values()) == len(BODIES)
+
+
+def test_event_without_id_is_numbered_by_its_key(parsed):
+    from pyspark.sql import functions as F
+
+    got = parsed.filter("message_id = 'no-id'").select("id", F.xxhash64("trace_id", "ts").alias("key")).first()
+    assert got.id == got.key
 
 
 def test_body_is_parsed_once(parsed):
