@@ -16,6 +16,7 @@ def spark():
     session = local_session(os.environ.get("TEST_CPUS", "8"), "faultline-tests")
     session.sparkContext.setLogLevel("ERROR")
     session.conf.set("spark.sql.maxMetadataStringLength", 10000)
+    session.conf.set("spark.sql.shuffle.partitions", "3")
     yield session
     session.stop()
 
