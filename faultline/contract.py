@@ -21,8 +21,15 @@ EVENT_SCHEMA = T.StructType(
 )
 EVENT_COLUMNS = EVENT_SCHEMA.names
 
-# As stored in day directories: the same columns and the partition column.
-STORED_SCHEMA = T.StructType([*EVENT_SCHEMA.fields, T.StructField("event_date", T.DateType(), False)])
+# As stored in day directories: the same columns, the time as epoch milliseconds and the partition column.
+# Spark's Parquet reader skips row groups by numbers, but not by times without a zone.
+STORED_SCHEMA = T.StructType(
+    [
+        *EVENT_SCHEMA.fields,
+        T.StructField("ts_ms", T.LongType(), False),
+        T.StructField("event_date", T.DateType(), False),
+    ]
+)
 
 # Fixed values of the contract: levels in rank order, column lengths.
 LEVELS = ("DEBUG", "INFO", "WARN", "ERROR")

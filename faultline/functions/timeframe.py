@@ -19,22 +19,27 @@ def ntz(value: Moment) -> Column:
     return F.lit(moment(value).isoformat(sep=" ")).cast("timestamp_ntz")
 
 
+def epoch_ms(value: Moment) -> int:
+    """Milliseconds since 1970, rounded down."""
+    return (moment(value) - dt.datetime(1970, 1, 1)) // dt.timedelta(milliseconds=1)
+
+
 def time_range(df: DataFrame, lo: Moment | None = None, hi: Moment | None = None, column: str = "ts") -> DataFrame:
     """Rows with lo <= ts < hi; either bound may be open.
 
-    A filter on ts alone does not prune day directories, so where the frame has event_date the same
-    range is put on it too.
+    A filter on ts alone prunes neither day directories nor row groups, so on a stored table the same
+    range is put on event_date and, rounded outwards, on ts_ms too.
     """
-    stored_by_day = "event_date" in df.columns
+    stored = {"event_date", "ts_ms"} <= set(df.columns)
     if lo is not None:
         df = df.filter(F.col(column) >= ntz(lo))
-        if stored_by_day:
-            df = df.filter(F.col("event_date") >= F.lit(moment(lo).date()))
+        if stored:
+            df = df.filter((F.col("event_date") >= F.lit(moment(lo).date())) & (F.col("ts_ms") >= epoch_ms(lo)))
     if hi is not None:
         df = df.filter(F.col(column) < ntz(hi))
-        if stored_by_day:
+        if stored:
             last = moment(hi) - dt.timedelta(microseconds=1)
-            df = df.filter(F.col("event_date") <= F.lit(last.date()))
+            df = df.filter((F.col("event_date") <= F.lit(last.date())) & (F.col("ts_ms") <= epoch_ms(last)))
     return df
 
 

@@ -65,7 +65,7 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _listed(stored: DataFrame) -> DataFrame:
-    return stored.withColumn("event_date", F.col("event_date").cast("string"))
+    return stored.select(*EVENT_COLUMNS, F.col("event_date").cast("string").alias("event_date"))
 
 
 # Sources and sinks

@@ -46,7 +46,7 @@ def clustered(events: DataFrame, files: int | None = None) -> DataFrame:
     stretch of (service, ts), which is what its minima and maxima are good for.
     """
     keys = ["event_date", "service", "ts", "id"]
-    dated = with_event_date(events)
+    dated = with_event_date(events).withColumn("ts_ms", F.expr("unix_millis(cast(ts AS timestamp))"))
     files = files or write_tasks(events)
     ranged = dated.repartitionByRange(files, *keys) if files else dated.repartitionByRange(*keys)
     return ranged.sortWithinPartitions(*keys)

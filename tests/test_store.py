@@ -31,13 +31,41 @@ def test_range_reads_one_day(spark, stored):
     hour = time_range(store.read_store(spark, stored), "2026-10-02 14:00:00", "2026-10-02 15:00:00")
     assert all("event_date=2026-10-02" in path for path in files_read(hour))
     plan = hour._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(event_date" in plan and "GreaterThanOrEqual(ts" in plan
+    assert "PartitionFilters: [isnotnull(event_date" in plan and "GreaterThanOrEqual(ts_ms" in plan
+
+
+def rows_scanned(df):
+    """Rows the scan of an executed plan put out, before any filter."""
+    df.collect()
+    scans, left = [], [df._jdf.queryExecution().executedPlan()]
+    while left:
+        node = left.pop()
+        name = node.nodeName()
+        if name.startswith("Scan parquet"):
+            scans.append(node.metrics().apply("numOutputRows").value())
+        left += [node.children().apply(i) for i in range(node.children().size())]
+    return sum(scans)
+
+
+def test_row_groups_outside_the_hour_are_skipped(spark, events_of):
+    rows = [event(i, dt.datetime(2024, 1, 1) + dt.timedelta(milliseconds=1234 * i), message=f"{i * 7919 % 100_003} " * 40) for i in range(20_000)]
+    path = store.write_daily(events_of(rows), work_path(spark, "groups"), files=1, row_group_bytes=200_000)
+    hour = analytics.window_events(store.read_store(spark, path), "a-service", "2024-01-01 03:00:00", "2024-01-01 03:10:00")
+    assert len(hour.collect()) == 486
+    assert rows_scanned(hour) < 5_000
+
+
+def test_bounds_finer_than_a_millisecond_keep_their_rows(spark, events_of):
+    path = store.write_daily(events_of([event(i, f"2024-01-01 00:00:00.00{i}") for i in range(5)]), work_path(spark, "fine"))
+    table = store.read_store(spark, path)
+    assert rows_of(time_range(table, "2024-01-01 00:00:00.000500", "2024-01-01 00:00:00.003500"), "id") == [(1,), (2,), (3,)]
+    assert rows_of(time_range(table, "2024-01-01 00:00:00.001", "2024-01-01 00:00:00.003"), "id") == [(1,), (2,)]
 
 
 def test_lookup_reads_only_its_columns(spark, stored):
     rate = analytics.error_rate(store.read_store(spark, stored), "payment-service", "2026-10-02", "2026-10-03")
     plan = rate._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<service:string,level:string,ts:timestamp_ntz>" in plan
+    assert "ReadSchema: struct<service:string,level:string,ts:timestamp_ntz,ts_ms:bigint>" in plan
     assert "EqualTo(service,payment-service)" in plan
 
 
