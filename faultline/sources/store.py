@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faultline.contract import EVENT_COLUMNS, EVENT_SCHEMA, STORED_SCHEMA, normalized, with_event_date
@@ -38,6 +38,10 @@ def write_tasks(events: DataFrame) -> int | None:
     return tasks if session < tasks and estimate < UNKNOWN_BYTES else None
 
 
+def _epoch_ms() -> Column:
+    return F.expr("unix_millis(cast(ts AS timestamp))")
+
+
 def clustered(events: DataFrame, files: int | None = None) -> DataFrame:
     """Rows range-partitioned and sorted by (day, service, time).
 
@@ -46,7 +50,7 @@ def clustered(events: DataFrame, files: int | None = None) -> DataFrame:
     stretch of (service, ts), which is what its minima and maxima are good for.
     """
     keys = ["event_date", "service", "ts", "id"]
-    dated = with_event_date(events).withColumn("ts_ms", F.expr("unix_millis(cast(ts AS timestamp))"))
+    dated = with_event_date(events).withColumn("ts_ms", _epoch_ms())
     files = files or write_tasks(events)
     ranged = dated.repartitionByRange(files, *keys) if files else dated.repartitionByRange(*keys)
     return ranged.sortWithinPartitions(*keys)
@@ -96,27 +100,28 @@ def write_flat(events: DataFrame, path: str) -> bool:
     return True
 
 
-def days_of(events: DataFrame) -> list[dt.date] | None:
-    """The days a batch touches, or None where there are too many to list."""
-    days = events.select("event_date").distinct().limit(MAX_LISTED_DAYS + 1).collect()
-    return None if len(days) > MAX_LISTED_DAYS else sorted(row[0] for row in days)
-
-
-def new_rows(batch: DataFrame, stored: DataFrame) -> DataFrame:
-    """Rows of the batch whose (trace_id, ts) is neither stored nor earlier in the batch.
+def touched_rows(batch: DataFrame, stored: DataFrame) -> DataFrame:
+    """The stored rows of the days a batch has events on, within the batch's span of time.
 
-    Only the days of the batch are read from the store, and of those only the key columns.
+    The days and the span are read first, as one row per day, so that they are literals and prune.
     """
-    fresh = with_event_date(first_of_each(normalized(batch), ["trace_id", "ts"], ["id"]))
-    # One event time has one day, so the days of the raw batch are those of the fresh rows.
-    dated = with_event_date(batch.select("ts"))
-    days = days_of(dated)
-    if days is None:
-        lo, hi = dated.agg(F.min("event_date"), F.max("event_date")).first()
-        touched = stored.filter(F.col("event_date").between(F.lit(lo), F.lit(hi)))
+    times = batch.select(F.to_date("ts").alias("day"), _epoch_ms().alias("ms"))
+    days = times.groupBy("day").agg(F.min("ms"), F.max("ms")).limit(MAX_LISTED_DAYS + 1).collect()
+    if len(days) > MAX_LISTED_DAYS:
+        days = [(None, *times.agg(F.min("ms"), F.max("ms")).first())]
+        first, last = (dt.date(1970, 1, 1) + dt.timedelta(days=ms // 86_400_000) for ms in days[0][1:])
+        in_days = F.col("event_date").between(F.lit(first), F.lit(last))
     else:
-        touched = stored.filter(F.col("event_date").isin(days))
-    return fresh.join(touched.select("trace_id", "ts"), ["trace_id", "ts"], "left_anti").select(*EVENT_COLUMNS)
+        in_days = F.col("event_date").isin([day[0] for day in days])
+    span = F.col("ts_ms").between(min((day[1] for day in days), default=0), max((day[2] for day in days), default=0))
+    return stored.filter(in_days & span)
+
+
+def new_rows(batch: DataFrame, stored: DataFrame) -> DataFrame:
+    """Rows of the batch whose (trace_id, ts) is neither stored nor earlier in the batch."""
+    fresh = first_of_each(normalized(batch), ["trace_id", "ts"], ["id"])
+    known = touched_rows(batch, stored).select("trace_id", "ts")
+    return fresh.join(known, ["trace_id", "ts"], "left_anti").select(*EVENT_COLUMNS)
 
 
 def append_new(batch: DataFrame, path: str) -> None:

@@ -162,12 +162,15 @@ def test_only_touched_days_are_looked_up(spark, stored):
     assert fresh.count() == 0
     plan = fresh._jdf.queryExecution().executedPlan().toString()
     assert "LeftAnti" in plan and "event_date#" in plan.split("PartitionFilters: [")[-1]
+    assert "GreaterThanOrEqual(ts_ms" in plan and store.new_rows(batch.limit(0), known).count() == 0
 
 
-def test_too_many_days_fall_back_to_a_range(spark, stored, monkeypatch):
+def test_too_many_days_fall_back_to_a_range(spark, stored, events_of, monkeypatch):
     monkeypatch.setattr(store, "MAX_LISTED_DAYS", 1)
     known = store.read_store(spark, stored)
-    assert store.new_rows(known.drop("event_date"), known).count() == 0
+    assert store.new_rows(known.drop("event_date", "ts_ms"), known).count() == 0
+    older = events_of([event(1, "1969-12-31 23:59:59.999"), event(2, "2030-01-01")])
+    assert store.new_rows(older, known).count() == 2
 
 
 def test_retention_drops_whole_days(spark, stored):
