@@ -74,7 +74,7 @@ class Cache(dict):
         return value
 
 
-def slices(batches: Iterable[pa.RecordBatch], text: str = "text", most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterable[pa.RecordBatch], text: str = "text", most_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about most_bytes of text at most, or one row, so that a batch of long texts stays small."""
     for batch in batches:
         rows, size = batch.num_rows, batch.column(text).nbytes

@@ -46,7 +46,7 @@ def components(edges: DataFrame) -> DataFrame:
     """
     now = edges.where("a <> b").select("a", "b").mapInArrow(_local_forest, "a long, b long").distinct()
     now, before = saved(now, "edges"), None
-    while True:
+    while before is None or before[0]:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = both.join(least, "a").where("b > a and b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -55,7 +55,7 @@ def components(edges: DataFrame) -> DataFrame:
         now = saved(small.unionByName(least.withColumnRenamed("m", "b")).distinct(), "edges")
         state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == before:
-            return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
-                now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
-            )
+            break
         before = state
+    roots = now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
+    return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)

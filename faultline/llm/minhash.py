@@ -23,8 +23,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faultline.llm.common import Cache, saved, slices, texts_of
+from faultline.llm.common import saved, slices, texts_of
 from faultline.llm.components import components
+from faultline.llm.words import mixed, word_hashes
 
 WORDS = 5
 GROUPS = 10  # of either side
@@ -35,31 +36,26 @@ SEED = 20_240_917
 #: 3 bits; at s = 0.75 a pair agrees in 31.2 of 40 on average with a deviation of 2.6, so fewer than 17 is 5.4 deviations off.
 LEAST_AGREE = 17
 
-_word_hash = Cache(xxhash.xxh3_64_intdigest)
 _random = np.random.default_rng(SEED)
 _SPREAD = _random.integers(1, 1 << 63, size=WORDS, dtype=np.uint64) | np.uint64(1)
 _FACTORS = _random.integers(1, 1 << 63, size=(2 * GROUPS * HASHES, 1), dtype=np.uint64) | np.uint64(1)
-_MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(32))) * _MIX
-    return x ^ (x >> np.uint64(29))
-
-
-def shingles(text: bytes | None) -> np.ndarray:
-    """The sorted distinct 64-bit hashes of a text's shingles of WORDS words; A-Z are lower-cased, words end at ASCII white space."""
-    words = (text or b"").lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
-    if len(words) < WORDS:
-        return np.array([xxhash.xxh3_64_intdigest(b"\x00".join(words))], np.uint64)
-    hashes = np.fromiter(map(_word_hash.__getitem__, words), np.uint64, len(words))
-    n = len(hashes) - WORDS + 1
-    total = np.zeros(n, np.uint64)
+def shingle_sets(texts: list[bytes | None]) -> list[np.ndarray]:
+    """For each text the sorted distinct 64-bit hashes of its shingles of WORDS words; A-Z are lower-cased, words end at ASCII white space."""
+    hashes, before = word_hashes([t and t.lower() for t in texts])
+    total = np.zeros(max(0, len(hashes) - WORDS + 1), np.uint64)
     for i in range(WORDS):
-        total += _mixed(hashes[i : i + n] ^ _SPREAD[i]) * _SPREAD[i]
-    return np.unique(_mixed(total))
+        total += mixed(hashes[i : i + len(total)] ^ _SPREAD[i])
+    total = mixed(total)
+    found = []
+    for start, stop in zip(before[:-1].tolist(), before[1:].tolist()):
+        if stop - start >= WORDS:
+            found.append(np.unique(total[start : stop - WORDS + 1]))
+        else:  # the whole sequence, told apart from a full shingle by its length
+            short = hashes[start:stop]
+            found.append(mixed((mixed(short ^ _SPREAD[: len(short)]).sum(keepdims=True)) + np.uint64(len(short))) if len(short) else short)
+    return found
 
 
 def minhashes(found: np.ndarray) -> np.ndarray:
@@ -72,7 +68,7 @@ def minhashes(found: np.ndarray) -> np.ndarray:
 
 def sketch(least: np.ndarray) -> tuple[int, int]:
     """Three well-mixed bits of each of the hashes, 20 hashes to a word."""
-    bits = (_mixed(least) >> np.uint64(40)) & np.uint64(7)
+    bits = (mixed(least) >> np.uint64(40)) & np.uint64(7)
     shift = np.arange(20, dtype=np.uint64) * np.uint64(3)
     return tuple(int(np.bitwise_or.reduce(part << shift)) for part in (bits[:20], bits[20:]))
 
@@ -94,8 +90,7 @@ _SKETCH = "doc_id long, n_shingles long, d1 long, d2 long, halves array<long>, s
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         n, digests, halves, marks = [], [], [], []
-        for text in texts_of(batch):
-            found = shingles(text)
+        for found in shingle_sets(texts_of(batch)):
             n.append(len(found))
             if not len(found):
                 digests.append((0, 0)), halves.append(None), marks.append((0, 0))
@@ -106,7 +101,7 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pair = least.reshape(-1, HASHES)
             key = np.zeros(len(pair), np.uint64)
             for i in range(HASHES):
-                key = _mixed(key + pair[:, i])
+                key = mixed(key + pair[:, i])
             halves.append(key.view(np.int64))
             marks.append(sketch(least))
         d, m = (np.array(x, np.uint64).reshape(-1, 2).view(np.int64) for x in (digests, marks))
@@ -118,7 +113,7 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
-        found = [shingles(text).tobytes() for text in texts_of(batch)]
+        found = [x.tobytes() for x in shingle_sets(texts_of(batch))]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.binary())], names=["id", "shingles"])
 
 
