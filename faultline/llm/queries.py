@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faultline.llm import minhash
-from faultline.llm.common import table
+from faultline.llm import langid, minhash, packing
+from faultline.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,3 +31,15 @@ def oracle_sql() -> dict[str, str]:
 @query
 def op9_minhash_neardup(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_best_fit_packing(spark, sf_dir):
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_langid_ppm(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = langid.identify(docs.select("doc_id", "text"), langid.fit(docs))
+    return found.select("doc_id", held_out(langid.FOLDS, langid.FOLD_OUT).alias("held_out"), "lang_pred", "score")
