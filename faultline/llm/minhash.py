@@ -32,13 +32,15 @@ GROUPS = 10  # of either side
 HASHES = 2  # in a group
 LEAST_PERCENT = 75
 SEED = 20_240_917
-#: Sketch bits compared before two members of a bucket are verified, and how many of them must agree: each of the 40 hashes gives
-#: 3 bits; at s = 0.75 a pair agrees in 31.2 of 40 on average with a deviation of 2.6, so fewer than 17 is 5.4 deviations off.
-LEAST_AGREE = 17
+#: Bits of the sketches that are compared before members of an open bucket are verified, and how many must agree. A bit of a
+#: pair agrees with probability (1 + s) / 2: at s = 0.75 in 1792 of 2048 on average with a deviation of 15, and LEAST_AGREE is 4.5 of them below.
+BITS = 2048
+LEAST_AGREE = 1725
 
 _random = np.random.default_rng(SEED)
 _SPREAD = _random.integers(1, 1 << 63, size=WORDS, dtype=np.uint64) | np.uint64(1)
 _FACTORS = _random.integers(1, 1 << 63, size=(2 * GROUPS * HASHES, 1), dtype=np.uint64) | np.uint64(1)
+_BIT_FACTORS = _random.integers(1, 1 << 31, size=(BITS, 1), dtype=np.uint32) | np.uint32(1)
 
 
 def shingle_sets(texts: list[bytes | None]) -> list[np.ndarray]:
@@ -66,49 +68,44 @@ def minhashes(found: np.ndarray) -> np.ndarray:
     return least
 
 
-def sketch(least: np.ndarray) -> tuple[int, int]:
-    """Three well-mixed bits of each of the hashes, 20 hashes to a word."""
-    bits = (mixed(least) >> np.uint64(40)) & np.uint64(7)
-    shift = np.arange(20, dtype=np.uint64) * np.uint64(3)
-    return tuple(int(np.bitwise_or.reduce(part << shift)) for part in (bits[:20], bits[20:]))
+def sketch(found: np.ndarray) -> bytes:
+    """One bit of the least value of each of BITS hash functions."""
+    short = (found >> np.uint64(32)).astype(np.uint32)
+    least = np.full(BITS, np.iinfo(np.uint32).max, np.uint32)
+    for start in range(0, len(short), 64):
+        least = np.minimum(least, (_BIT_FACTORS * short[None, start : start + 64]).min(axis=1))
+    return np.packbits((mixed(least.astype(np.uint64)) >> np.uint64(40)).astype(np.uint8) & 1).tobytes()
 
 
 def agreeing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """How many of the hashes' bits agree, for all rows of a (n, 2) against all rows of b (m, 2)."""
-    total = np.zeros((len(a), len(b)), np.uint8)
-    ones = np.uint64(0o111_111_111_111_111_111_11)
-    for k in range(2):
-        x = a[:, None, k] ^ b[None, :, k]
-        x = (x | (x >> np.uint64(1)) | (x >> np.uint64(2))) & ones
-        total += 20 - np.bitwise_count(x)
+    """How many bits of sketches agree, for all rows of a against all rows of b, given as 64-bit words."""
+    total = np.full((len(a), len(b)), BITS, np.int16)
+    for k in range(a.shape[1]):
+        total -= np.bitwise_count(a[:, None, k] ^ b[None, :, k])
     return total
 
 
-_SKETCH = "doc_id long, n_shingles long, d1 long, d2 long, halves array<long>, s1 long, s2 long"
+_SKETCH = "doc_id long, n_shingles long, d1 long, d2 long, halves array<long>"
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
-        n, digests, halves, marks = [], [], [], []
+        n, digests, halves = [], [], []
         for found in shingle_sets(texts_of(batch)):
             n.append(len(found))
             if not len(found):
-                digests.append((0, 0)), halves.append(None), marks.append((0, 0))
+                digests.append((0, 0)), halves.append(None)
                 continue
             whole = xxhash.xxh3_128_intdigest(found.tobytes())
             digests.append((whole >> 64, whole & ((1 << 64) - 1)))
-            least = minhashes(found)
-            pair = least.reshape(-1, HASHES)
+            pair = minhashes(found).reshape(-1, HASHES)
             key = np.zeros(len(pair), np.uint64)
             for i in range(HASHES):
                 key = mixed(key + pair[:, i])
             halves.append(key.view(np.int64))
-            marks.append(sketch(least))
-        d, m = (np.array(x, np.uint64).reshape(-1, 2).view(np.int64) for x in (digests, marks))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(d[:, 0]), pa.array(d[:, 1]), pa.array(halves, pa.list_(pa.int64())), pa.array(m[:, 0]), pa.array(m[:, 1])],
-            names=["doc_id", "n_shingles", "d1", "d2", "halves", "s1", "s2"],
-        )
+        d = np.array(digests, np.uint64).reshape(-1, 2).view(np.int64)
+        columns = [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(d[:, 0]), pa.array(d[:, 1]), pa.array(halves, pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "d1", "d2", "halves"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,41 +132,54 @@ def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.select("a", "b").join(left, "a").join(right, "b").mapInArrow(_verified, "a long, b long")
 
 
+def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column("shingles")]
+        columns = [batch.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([sketch(s) for s in sets], pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, names=["id", "n", "mark"])
+
+
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of a bucket's members that are in different components and may be similar.
+    """Pairs of documents in different components that agree in a group of the first side and may be similar, by size and sketch.
 
-    The rows come sorted by key; a bucket is compared in blocks, so only its ids, sizes and sketches are held at once.
+    The rows come sorted by key, which stands for a group's number and value; a pair is returned for the first group it
+    agrees in. A key's rows are compared in blocks; ids, components, sizes and sketches are held, no pairs.
     """
-    rest: list[np.ndarray] = []
+    rest: list[pa.RecordBatch] = []
     held = None
 
-    def pairs(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
-        rows = np.unique(rows, axis=0)
-        marks = rows[:, 4:6].view(np.uint64)
-        for i in range(0, len(rows), 512):
-            for j in range(i, len(rows), 2048):
-                x, y = rows[i : i + 512], rows[j : j + 2048]
-                small = np.minimum(x[:, None, 3], y[None, :, 3])
-                fit = 100 * small >= LEAST_PERCENT * np.maximum(x[:, None, 3], y[None, :, 3])
-                fit &= (x[:, None, 2] != y[None, :, 2]) & (x[:, None, 1] < y[None, :, 1])
-                fit &= agreeing(marks[i : i + 512], marks[j : j + 2048]) >= LEAST_AGREE
-                a, b = np.nonzero(fit)
-                if len(a):
-                    yield pa.RecordBatch.from_arrays([pa.array(x[a, 1]), pa.array(y[b, 1])], names=["a", "b"])
+    def pairs(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        ids, component, n = (rows[c].to_numpy() for c in ("id", "component", "n"))
+        if len(ids) < 2 or component.min() == component.max():
+            return
+        group = rows["i"][0].as_py()
+        earlier = np.asarray(rows["x"].combine_chunks().flatten()).reshape(len(ids), -1)[:, :group]
+        marks = np.frombuffer(b"".join(rows["mark"].to_pylist()), np.uint64).reshape(len(ids), -1)
+        for i in range(0, len(ids), 256):
+            for j in range(0, len(ids), 1024):
+                x, y = slice(i, i + 256), slice(j, j + 1024)
+                small, large = np.minimum(n[x, None], n[None, y]), np.maximum(n[x, None], n[None, y])
+                fit = (100 * small >= LEAST_PERCENT * large) & (component[x, None] != component[None, y]) & (ids[x, None] < ids[None, y])
+                for k in range(group):
+                    fit &= earlier[x, None, k] != earlier[None, y, k]
+                if fit.any():
+                    fit &= agreeing(marks[x], marks[y]) >= LEAST_AGREE
+                    a, b = np.nonzero(fit)
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[x][a]), pa.array(ids[y][b])], names=["a", "b"])
 
     for batch in batches:
         if not batch.num_rows:
             continue
-        rows = np.stack([np.asarray(batch.column(i)) for i in range(6)], axis=1)
-        cuts = np.flatnonzero(np.diff(rows[:, 0])) + 1
-        for part in np.split(rows, cuts):
-            if rest and part[0, 0] != held:
-                yield from pairs(np.concatenate(rest))
+        keys = batch.column("key").to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(keys)) + 1).tolist(), len(keys)]
+        for start, stop in zip(cuts, cuts[1:]):
+            if rest and keys[start] != held:
+                yield from pairs(pa.Table.from_batches(rest))
                 rest = []
-            rest.append(part)
-            held = part[0, 0]
+            rest.append(batch.slice(start, stop - start))
+            held = keys[start]
     if rest:
-        yield from pairs(np.concatenate(rest))
+        yield from pairs(pa.Table.from_batches(rest))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -177,12 +187,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     Links are pairs with at least LEAST_PERCENT of their united shingles in common.
 
-    Equal sets are one class, represented by its smallest doc_id, before any table is built. A bucket first links each
-    member with its smallest one, of which the member's most frequent is verified. Only where a
-    bucket still holds several components are its other pairs compared, by size and sketch, and verified.
-    So copies cost one pair each, yet no pair that shares a bucket and could join two components is left out.
+    Equal sets are one class, represented by its smallest doc_id, before any table is built. Each member of a bucket is verified
+    with the bucket's smallest one, a pair for each table at most. Only members of buckets that still hold several components
+    are compared further: all pairs of them that agree in a group of the first side, which any table's pairs do, are compared by size and
+    sketch inside the tasks, and those that may be similar are verified. So no pair that could join two components
+    is left out, and what is shuffled does not grow with the pairs of a group.
     """
-    spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sketched = saved(docs.mapInArrow(_sketches, _SKETCH), "minhash-sketch")
     linked = sketched.where("n_shingles > 0 and doc_id is not null")
@@ -205,13 +215,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "minhash-buckets",
     )
 
-    sizes = reps.select("id", F.col("n_shingles").alias("n"), "s1", "s2")
     wanted = shared.select("id").distinct()
     sets = saved(docs.join(wanted, docs["doc_id"] == wanted["id"], "left_semi").mapInArrow(_sets, "id long, shingles binary"), "minhash-sets")
-    votes = shared.where("id <> lead").groupBy("id", "lead").agg(F.count("*").alias("votes"))
-    best = votes.groupBy("id").agg(F.max(F.struct("votes", (-F.col("lead")).alias("lead"))).alias("top"))
-    first = best.select(F.col("id").alias("b"), (-F.col("top.lead")).alias("a"))
-    links = saved(_verify(first, sets), "minhash-links")
+    leads = shared.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
+    links = saved(_verify(leads, sets), "minhash-links")
     # An id that stands for several texts joins their groups.
     again = members.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b").select("a", "b")
     links = links.unionByName(again)
@@ -219,8 +226,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     placed = shared.join(known.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
     split = placed.groupBy("key").agg(F.min("component").alias("c"), F.max("component").alias("d")).where("c < d").select("key")
-    open_ = placed.join(split, "key", "left_semi").join(sizes, "id").select("key", "id", "component", "n", "s1", "s2")
-    more = open_.repartition("key").sortWithinPartitions("key").mapInArrow(_across, "a long, b long").distinct()
+    open_ = saved(placed.join(split, "key", "left_semi").select("id", "component").distinct(), "minhash-open")
+    marks = sets.join(open_.select("id"), "id", "left_semi").mapInArrow(_marks, "id long, n long, mark binary")
+    sides = reps.select("id", F.slice("halves", 1, half).alias("x")).join(open_, "id").join(marks, "id")
+    sides = sides.select("*", F.posexplode("x").alias("i", "kx")).withColumn("key", F.xxhash64("i", "kx"))
+    sides = sides.select("key", "i", "id", "component", "n", "x", "mark").repartition("key").sortWithinPartitions("key")
+    more = saved(sides.mapInArrow(_across, "a long, b long"), "minhash-pairs").distinct()
     links = links.unionByName(saved(_verify(more, sets), "minhash-links"))
     known = components(links)
 

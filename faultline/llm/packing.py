@@ -15,7 +15,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -80,14 +79,15 @@ def best_fit(sizes: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.nd
     return bins, places
 
 
-def _pack(rows: pd.DataFrame, round_: int, last: bool, length: int, nearly_full: int, carry: int) -> pd.DataFrame:
+def _pack(rows: pa.Table, round_: int, last: bool, length: int, nearly_full: int, carry: int) -> pa.Table:
     if round_:
-        rows = rows.sort_values(["bin", "offset"], kind="stable").reset_index(drop=True)
-        item = (rows["bin"] != rows["bin"].shift()).cumsum().to_numpy() - 1
+        rows = rows.sort_by([("bin", "ascending"), ("offset", "ascending")])
+        bin_ = rows["bin"].to_numpy()
+        item = np.cumsum(np.concatenate([[0], bin_[1:] != bin_[:-1]]))
     else:
-        rows = rows.sort_values(["length", "doc_id", "piece", "ids_crc32"], ascending=False, kind="stable").reset_index(drop=True)
-        item = np.arange(len(rows))
-    sizes = np.bincount(item, rows["length"]).astype(np.int64)
+        rows = rows.sort_by([(c, "descending") for c in ("length", "doc_id", "piece", "ids_crc32")])
+        item = np.arange(rows.num_rows)
+    sizes = np.bincount(item, rows["length"].to_numpy()).astype(np.int64)
     order = np.argsort(-sizes, kind="stable")
     bins, places = np.empty_like(sizes), np.empty_like(sizes)
     bins[order], places[order] = best_fit(sizes[order], length)
@@ -95,8 +95,18 @@ def _pack(rows: pd.DataFrame, round_: int, last: bool, length: int, nearly_full:
     done = fill >= (0 if last else nearly_full)
     left = np.flatnonzero(~done)
     done[left[np.argsort(fill[left], kind="stable")[carry:]]] = True
-    part = int(rows["part"].iloc[0])
-    return rows.assign(offset=rows["offset"] + places[item], bin=(round_ << 56) + (part << 24) + bins[item], done=done[bins[item]])
+    part = rows["part"][0].as_py()
+    new = {"bin": (round_ << 56) + (part << 24) + bins[item], "offset": rows["offset"].to_numpy() + places[item], "done": done[bins[item]]}
+    for name, values in new.items():
+        rows = rows.set_column(rows.column_names.index(name), name, pa.array(values))
+    return rows
+
+
+def _packer(*settings):
+    def packed(group: pa.Table) -> pa.Table:
+        return _pack(group, *settings)
+
+    return packed
 
 
 def pack(pieces: DataFrame, length: int = LENGTH, per_group: int = PIECES, fan: int = FAN, nearly_full: int = NEARLY_FULL, carry: int = CARRY) -> DataFrame:
@@ -106,11 +116,8 @@ def pack(pieces: DataFrame, length: int = LENGTH, per_group: int = PIECES, fan:
     rows = pieces.select("*", F.lit(-1).cast("long").alias("bin"), F.lit(0).cast("long").alias("offset"), F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(parts)).alias("part"))
     done, round_ = None, 0
     while True:
-
-        def packed(group: pd.DataFrame, round_=round_, last=parts == 1) -> pd.DataFrame:
-            return _pack(group, round_, last, length, nearly_full, carry)
-
-        rows = saved(rows.withColumn("done", F.lit(False)).groupBy("part").applyInPandas(packed, _PLACED), "packing")
+        packed = _packer(round_, parts == 1, length, nearly_full, carry)
+        rows = saved(rows.withColumn("done", F.lit(False)).groupBy("part").applyInArrow(packed, _PLACED), "packing")
         ready = rows.where("done").drop("done", "part")
         done = ready if done is None else done.unionByName(ready)
         if parts == 1:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faultline.llm import langid, minhash, packing
+from faultline.llm import langid, minhash, packing, quality, toxicity
 from faultline.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,3 +43,13 @@ def op1_langid_ppm(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     found = langid.identify(docs.select("doc_id", "text"), langid.fit(docs))
     return found.select("doc_id", held_out(langid.FOLDS, langid.FOLD_OUT).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op2_quality_neighbours(spark, sf_dir):
+    return quality.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op4_toxicity_counterfactual(spark, sf_dir):
+    return toxicity.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
