@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faultline.llm import langid, minhash, packing, quality, toxicity
+from faultline.llm import langid, minhash, mixing, packing, quality, toxicity
 from faultline.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,3 +53,54 @@ def op2_quality_neighbours(spark, sf_dir):
 @query
 def op4_toxicity_counterfactual(spark, sf_dir):
     return toxicity.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op5_source_mixing(spark, sf_dir):
+    return mixing.digest(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op5_source_mixing"] = """
+WITH sized AS (
+    SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size FROM documents
+), units AS (
+    SELECT doc_id, source, size, (count(*) * size)::BIGINT AS words,
+        ('0x' || substr(md5('mix-1|' || coalesce(doc_id::VARCHAR, 'null') || '|' || size), 1, 15))::BIGINT AS spot
+    FROM sized GROUP BY doc_id, source, size
+), blocks AS (
+    SELECT source, spot >> 50 AS block, sum(words)::BIGINT AS words FROM units GROUP BY source, spot >> 50
+), ranked AS (
+    SELECT source, sum(words)::BIGINT AS source_size, row_number() OVER (ORDER BY source ASC NULLS LAST) - 1 AS place FROM blocks GROUP BY source
+), weighted AS (
+    SELECT *, [5.0, 2.0, 1.0][place % 3 + 1]::DOUBLE AS weight, 2.0::DOUBLE * source_size AS cap, 1.5::DOUBLE * sum(source_size) OVER () AS total FROM ranked
+), levels AS (
+    SELECT *, cap / weight <= (total - coalesce(sum(cap) OVER (ORDER BY cap / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+        / sum(weight) OVER (ORDER BY cap / weight, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS capped
+    FROM weighted
+), aims AS (
+    SELECT source, source_size, CASE WHEN capped THEN cap ELSE least(cap, weight * ((total - sum(CASE WHEN capped THEN cap ELSE 0 END) OVER ())
+        / sum(CASE WHEN capped THEN 0 ELSE weight END) OVER ())) END AS target FROM levels
+), quotas AS (
+    SELECT *, coalesce(floor(target / nullif(source_size, 0)), 0) AS epochs, target - coalesce(floor(target / nullif(source_size, 0)), 0) * source_size AS more FROM aims
+), laid AS (
+    SELECT b.*, q.source_size, q.target, q.epochs, q.more, sum(words) OVER (PARTITION BY b.source ORDER BY block) AS upto
+    FROM blocks b JOIN quotas q ON b.source IS NOT DISTINCT FROM q.source
+), drawn AS (
+    SELECT u.*, source_size, target, epochs, l.upto <= more AS whole, l.upto > more AND l.upto - l.words < more AS part, more - (l.upto - l.words) AS left_over
+    FROM units u JOIN laid l ON u.source IS NOT DISTINCT FROM l.source AND u.spot >> 50 = l.block
+), edge AS (
+    SELECT *, part AND sum(CASE WHEN part THEN words ELSE 0 END) OVER (PARTITION BY source, part ORDER BY spot, doc_id NULLS FIRST, size ROWS UNBOUNDED PRECEDING) <= left_over AS in_part
+    FROM drawn
+), missing AS (
+    SELECT source, any_value(left_over) - sum(CASE WHEN in_part THEN words ELSE 0 END) AS missing FROM edge WHERE part GROUP BY source
+), filled AS (
+    SELECT e.source, e.doc_id, e.size, row_number() OVER (PARTITION BY e.source ORDER BY abs(words - missing), spot, e.doc_id NULLS FIRST, e.size) AS nearest
+    FROM edge e JOIN missing m ON e.source IS NOT DISTINCT FROM m.source
+    WHERE NOT whole AND NOT in_part AND words > 0 AND abs(words - missing) < missing
+), copies AS (
+    SELECT e.*, (epochs + CASE WHEN whole OR in_part OR f.nearest IS NOT NULL THEN 1 ELSE 0 END)::BIGINT AS copies
+    FROM edge e LEFT JOIN filled f ON f.nearest = 1 AND e.source IS NOT DISTINCT FROM f.source AND e.doc_id IS NOT DISTINCT FROM f.doc_id AND e.size = f.size
+)
+SELECT s.doc_id, s.size, source_size, target, (s.size * copies)::BIGINT AS taken
+FROM sized s JOIN copies c ON s.doc_id IS NOT DISTINCT FROM c.doc_id AND s.source IS NOT DISTINCT FROM c.source AND s.size = c.size
+"""
