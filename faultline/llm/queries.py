@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faultline.llm import langid, minhash, mixing, packing, quality, toxicity
+from faultline.llm import langid, licenses, minhash, mixing, packing, quality, toxicity
 from faultline.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -104,3 +104,11 @@ WITH sized AS (
 SELECT s.doc_id, s.size, source_size, target, (s.size * copies)::BIGINT AS taken
 FROM sized s JOIN copies c ON s.doc_id IS NOT DISTINCT FROM c.doc_id AND s.source IS NOT DISTINCT FROM c.source AND s.size = c.size
 """
+
+
+@query
+def op10_license_diagonals(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op10_license_diagonals"] = licenses.oracle_sql()
