@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faultline.llm import langid, licenses, minhash, mixing, packing, quality, toxicity
+from faultline.llm import covertree, langid, licenses, minhash, mixing, packing, postings, quality, toxicity
 from faultline.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -112,3 +112,28 @@ def op10_license_diagonals(spark, sf_dir):
 
 
 ORACLES["op10_license_diagonals"] = licenses.oracle_sql()
+
+
+@query
+def op3_embedding_covertree(spark, sf_dir):
+    return covertree.link(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op3_embedding_covertree"] = """
+WITH RECURSIVE good AS (
+    SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, x -> x <> 0)) > 0
+), links AS MATERIALIZED (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.95
+), reach(a, b) AS (
+    SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+)
+SELECT v.vec_id, (SELECT count(*) FROM links l WHERE l.a = v.vec_id) AS n_links, min(r.b) AS component_id, min(r.b) = v.vec_id AS kept
+FROM embeddings v JOIN reach r ON r.a = v.vec_id GROUP BY v.vec_id
+"""
+
+
+@query
+def op6_ann_postings(spark, sf_dir):
+    return postings.search(table(spark, sf_dir, "embeddings"))
