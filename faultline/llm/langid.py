@@ -211,3 +211,15 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
 
     schema = docs.select(kept).schema.add("lang_pred", "string").add("score", "double")
     return docs.select(kept).mapInArrow(scored, schema)
+
+
+def known(docs: DataFrame, model: Model | None = None, least: float = 0.5) -> DataFrame:
+    """The rows of docs, with all their columns, whose language is predicted with a score of `least` or more."""
+    shared = docs.sparkSession.sparkContext.broadcast(model or fit(docs))
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            lang, score = predict(shared.value, texts_of(batch))
+            yield batch.filter(pa.array([x != UNKNOWN and s >= least for x, s in zip(lang, score)], pa.bool_()))
+
+    return docs.mapInArrow(kept, docs.schema)

@@ -240,3 +240,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     result = sketched.select("doc_id", "n_shingles", "d1", "d2").join(placed, ["doc_id", "d1", "d2"], "left")
     component = F.coalesce("component", "doc_id")
     return result.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+def distinct_documents(docs: DataFrame) -> DataFrame:
+    """The rows of docs, with all their columns, less all but one of each group of near-duplicates.
+
+    The smallest doc_id of a group stays; of rows that repeat it the one whose text hashes lowest. Rows with a null doc_id stay.
+    """
+    stays = near_duplicates(docs).where("kept and doc_id is not null").select(F.col("doc_id").alias("stays_id")).distinct()
+    own = docs.select(*(F.col(c).alias(f"own_{i}") for i, c in enumerate(docs.columns)), F.col("doc_id").cast("long").alias("own_id"), F.xxhash64("text").alias("own_text"))
+    first = own.join(stays, F.col("own_id") == F.col("stays_id"), "left_semi")
+    first = first.withColumn("own_nth", F.expr("row_number() over (partition by own_id order by own_text)")).where("own_nth = 1").drop("own_nth")
+    both = first.unionByName(own.where("own_id is null"))
+    return both.select(*(F.col(f"own_{i}").alias(c) for i, c in enumerate(docs.columns)))

@@ -43,8 +43,9 @@ def _order() -> Column:
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("size", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"))
+def _keys() -> list[Column]:
+    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")
+    return [F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), size]
 
 
 def targets(sources: DataFrame, weights: Sequence[int] = WEIGHTS, budget: float = BUDGET, epochs: int = EPOCHS) -> DataFrame:
@@ -100,7 +101,7 @@ def _split(quotas: DataFrame, shards: int) -> DataFrame:
 
 def plan(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """One row per unit: doc_id, source, size, source_size, target, copies, and the shards its copies go to."""
-    units = sized(docs).groupBy(*_UNIT).agg(F.count("*").alias("rows"))
+    units = docs.select(*_keys()).groupBy(*_UNIT).agg(F.count("*").alias("rows"))
     units = units.withColumn("at", _order()).withColumn("words", F.col("size") * F.col("rows"))
     units = saved(units.withColumn("block", F.shiftright("at", 60 - BLOCK_BITS)), "mix-units")
     blocks = units.groupBy("source", "block").agg(F.sum("words").alias("words"))
@@ -148,21 +149,25 @@ def plan(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
 
 
 def _with_plan(docs: DataFrame, shards: int) -> DataFrame:
-    found = plan(docs, shards)
-    found = found.select(*(F.col(c).alias(f"plan_{c}") for c in found.columns))
-    same = [F.col(c).eqNullSafe(F.col(f"plan_{c}")) for c in _UNIT]
-    return sized(docs).join(found, same[0] & same[1] & same[2])
+    """docs with its columns named own_0, own_1, ..., and the columns of the plan."""
+    found = plan(docs.select("doc_id", "text", "source"), shards).withColumnsRenamed({c: f"plan_{c}" for c in _UNIT})
+    own = docs.select(*(F.col(c).alias(f"own_{i}") for i, c in enumerate(docs.columns)), *_keys())
+    return own.join(found, F.expr("doc_id <=> plan_doc_id and source <=> plan_source and size = plan_size"))
 
 
 def digest(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, taken (words the mix takes, repeats counted)."""
     found = _with_plan(docs.select("doc_id", "text", "source"), shards)
-    return found.select("doc_id", "size", F.col("plan_source_size").alias("source_size"), F.col("plan_target").alias("target"), (F.col("size") * F.col("plan_copies")).alias("taken"))
+    return found.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
-def mix(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """The documents as often as they are drawn, with their shard; each shard in an order of its own."""
-    kept = [c for c in docs.columns if c != "shard"]
-    found = _with_plan(docs.select(kept), shards).select(*kept, F.posexplode("plan_shards").alias("epoch", "shard"))
-    order = F.xxhash64(F.lit(SEED), "shard", "epoch", "doc_id")
-    return found.withColumn("order", order).repartition("shard", (F.col("order") % 16)).sortWithinPartitions("shard", "order").select(*kept, "shard")
+def mix(docs: DataFrame, shards: int = SHARDS, shard: str | None = None) -> DataFrame:
+    """The documents as often as they are drawn, with all their columns; each shard is written together, in an order of its own.
+
+    `shard` names a column for the shard's number; a column of docs with that name is replaced.
+    """
+    found = _with_plan(docs, shards).select("*", F.posexplode("shards").alias("epoch", "shard"))
+    found = found.withColumn("order", F.xxhash64(F.lit(SEED), "shard", "epoch", "doc_id", "size"))
+    found = found.repartition("shard", F.pmod("order", F.lit(16))).sortWithinPartitions("shard", "order")
+    kept = [F.col(f"own_{i}").alias(c) for i, c in enumerate(docs.columns) if c != shard]
+    return found.select(*kept, *([F.col("shard").alias(shard)] if shard else []))

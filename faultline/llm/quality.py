@@ -172,3 +172,14 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
     found = score(docs.select("doc_id", "text"), fit(docs, labels))
     return found.select("doc_id", held_out(FOLDS, FOLD_OUT).alias("held_out"), "score", "predicted")
+
+
+def good(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of docs, with all their columns, that score KEEP_FROM or more."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            yield batch.filter(pa.array(shared.value.scores(texts_of(batch)) >= KEEP_FROM))
+
+    return docs.mapInArrow(kept, docs.schema)

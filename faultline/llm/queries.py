@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faultline.llm import covertree, langid, licenses, minhash, mixing, packing, postings, quality, toxicity
+from faultline.llm import covertree, langid, licenses, minhash, mixing, packing, postings, quality, toxicity, wordpieces
 from faultline.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -137,3 +137,8 @@ FROM embeddings v JOIN reach r ON r.a = v.vec_id GROUP BY v.vec_id
 @query
 def op6_ann_postings(spark, sf_dir):
     return postings.search(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op7_token_counts(spark, sf_dir):
+    return wordpieces.count_tokens(table(spark, sf_dir, "documents"))

@@ -26,7 +26,7 @@ _WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^\n{_
 _SPECIAL = "<|"
 
 
-def _byte_of_letter() -> dict[str, int]:
+def byte_of_letter() -> dict[str, int]:
     """The bytes behind the letters of a byte-level vocabulary: printable ones are themselves, the others follow from 256."""
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     rest = [b for b in range(256) if b not in plain]
@@ -39,7 +39,7 @@ class Encoder:
     def __init__(self, path: str, most: int = 400_000):
         self.library = Tokenizer.from_file(path)
         model = json.loads(open(path, encoding="utf-8").read())["model"]
-        letters = _byte_of_letter()
+        letters = byte_of_letter()
 
         def raw(token: str) -> bytes:
             end = token.endswith(WORD_END) and token != WORD_END
