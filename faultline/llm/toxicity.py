@@ -9,8 +9,9 @@ costs more than it gains, and neutral mentions are not scored for it.
 The sample has at most SAMPLE learnable documents of either class, of at most BYTES bytes each; features in fewer than LEAST_TEXTS of
 them are left out. Only weights other than zero are broadcast, so the model is bounded by the sample.
 
-Cases: an empty or null text has no feature and scores as the intercept does, which is the share of label 1 where nothing
-else speaks. If either class cannot be learned, every text scores the share of label 1 among the learnable rows, 0 without any. A word that occurs
+Both classes weigh the same, so a score above one half says that a text is likelier among toxic texts than among others.
+
+Cases: an empty or null text has no feature and scores as the intercept does. If either class cannot be learned, every text scores the share of label 1 among the learnable rows, 0 without any. A word that occurs
 often counts once. Repeated rows score alike.
 """
 
@@ -192,7 +193,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, fairness: floa
         return Matrix([c[c >= 0] for c in (column[r] for r in rows)], len(known))
 
     label = label[order]
-    weight = np.where(label == 1, share / label.mean(), (1 - share) / (1 - label.mean()))
+    weight = np.where(label == 1, 0.5 / label.mean(), 0.5 / (1 - label.mean()))
     both = [i for i in order if swapped[i] is not None]
     pairs = matrix([own[i] for i in both]), matrix([swapped[i] for i in both])
     w, b = train(matrix([own[i] for i in order]), label, weight, pairs, fairness)
