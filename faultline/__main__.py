@@ -4,7 +4,8 @@
     python -m faultline verify --path STORE
     python -m faultline query error-rate --path STORE --service payment-service --from 2026-10-02 --to 2026-10-03
     python -m faultline ingest --messages LANDING --root SINKS
-    python -m faultline retain --path STORE --days 7
+    python -m faultline retain --path STORE --days 7 --dry-run
+    python -m faultline compact --path STORE --day 2026-10-02
 
 The session takes its settings from spark-submit; without it, a local one is started.
 """
@@ -12,6 +13,7 @@ The session takes its settings from spark-submit; without it, a local one is sta
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,16 +38,23 @@ QUERIES = {
 }
 
 
+#: Queries that return events without a limit; they go to a folder.
+UNBOUNDED = {"events"}
+
+
 def deliver(result: DataFrame, out: str | None) -> None:
-    """To a folder, or the first rows to the terminal."""
+    """To a folder, or all rows to the terminal; those are aggregates or limited."""
     if out:
         result.write.mode("overwrite").parquet(out)
-    else:
-        result.show(50, truncate=False)
+        return
+    print("\t".join(result.columns))
+    for row in result.toLocalIterator():
+        print("\t".join("NULL" if value is None else str(value) for value in row))
 
 
 def generate(spark: SparkSession, a: argparse.Namespace) -> None:
-    store.write_daily(synthetic.synthetic_events(spark, a.rows, a.seed), a.path, row_group_bytes=a.row_group_bytes)
+    events = synthetic.synthetic_events(spark, a.rows, a.seed)
+    store.write_daily(events, a.path, a.mode, row_group_bytes=a.row_group_bytes)
 
 
 def verify(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -56,7 +65,12 @@ def verify(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def query(spark: SparkSession, a: argparse.Namespace) -> None:
-    deliver(QUERIES[a.name](store.read_store(spark, a.path), a), a.out)
+    if a.name in UNBOUNDED and not a.out:
+        raise SystemExit(f"{a.name} returns events without a limit: name a folder with --out")
+    table = store.read_store(spark, a.path)
+    if a.loose:
+        table, a.service = analytics.of_service(table, a.service, loose=True), None
+    deliver(QUERIES[a.name](table, a), a.out)
 
 
 def take_in(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -64,7 +78,15 @@ def take_in(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def retain(spark: SparkSession, a: argparse.Namespace) -> None:
-    deliver(audit.partition_profile(store.retain_days(spark, a.path, a.days)).orderBy("event_date"), None)
+    as_of = dt.date.fromisoformat(a.as_of) if a.as_of else None
+    if a.dry_run:
+        print(*store.expired_days(spark, a.path, a.days, as_of), sep="\n")
+        return
+    deliver(audit.partition_profile(store.retain_days(spark, a.path, a.days, as_of)).orderBy("event_date"), None)
+
+
+def compact(spark: SparkSession, a: argparse.Namespace) -> None:
+    store.compact_day(spark, a.path, dt.date.fromisoformat(a.day), a.files)
 
 
 def arguments() -> argparse.ArgumentParser:
@@ -81,6 +103,7 @@ def arguments() -> argparse.ArgumentParser:
     filled.add_argument("--rows", type=int, default=1_000_000)
     filled.add_argument("--seed", type=int, default=42)
     filled.add_argument("--row-group-bytes", type=int)
+    filled.add_argument("--mode", choices=["append", "overwrite", "errorifexists"], default="append")
 
     command("verify", verify).add_argument("--path", required=True)
 
@@ -93,6 +116,7 @@ def arguments() -> argparse.ArgumentParser:
     asked.add_argument("--top", type=int, default=10)
     asked.add_argument("--limit", type=int, default=100)
     asked.add_argument("--out")
+    asked.add_argument("--loose", action="store_true", help="compare the service without case, accents and trailing spaces")
 
     taken = command("ingest", take_in)
     taken.add_argument("--messages", required=True)
@@ -103,6 +127,13 @@ def arguments() -> argparse.ArgumentParser:
     kept = command("retain", retain)
     kept.add_argument("--path", required=True)
     kept.add_argument("--days", type=int, required=True)
+    kept.add_argument("--as-of", help="the newest day that may be stored; today by default")
+    kept.add_argument("--dry-run", action="store_true", help="list the days that would go")
+
+    packed = command("compact", compact)
+    packed.add_argument("--path", required=True)
+    packed.add_argument("--day", required=True)
+    packed.add_argument("--files", type=int)
     return parser
 
 

@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 
 
 def _hundredths(scaled: str, parts: str) -> Column:
-    """scaled / parts in hundredths, where scaled already carries the factor 200; NULL when parts is 0."""
-    return F.expr(f"cast(({scaled} + ({parts})) div nullif(2 * ({parts}), 0L) AS double) / 100.0D")
+    """scaled / parts in hundredths, where scaled already carries the factor 200; NULL when parts is 0.
+
+    div cuts towards zero, so the half is added away from it.
+    """
+    return F.expr(f"cast(({scaled} + if({scaled} < 0, -1L, 1L) * ({parts})) div nullif(2 * ({parts}), 0L) AS double) / 100.0D")
 
 
 def percent(part: str, total: str) -> Column:
@@ -21,5 +24,5 @@ def percent(part: str, total: str) -> Column:
 
 
 def mean(total: str, n: str) -> Column:
-    """total / n rounded to 2 digits, for total >= 0."""
+    """total / n rounded to 2 digits."""
     return _hundredths(f"200 * ({total})", n)

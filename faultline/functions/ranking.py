@@ -7,6 +7,8 @@ key with a third of all rows costs no more after the shuffle than its number of
 from __future__ import annotations
 
 from decimal import Decimal
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,14 +31,24 @@ def value_runs(counts: DataFrame, keys: list[str], value: str) -> DataFrame:
     """Each distinct value, given with its row count n, and the row numbers its rows take in its order.
 
     All rows of one value are neighbours in ROW_NUMBER() OVER (PARTITION BY keys ORDER BY value), so
-    first_rn, last_rn and cnt say all that the row-by-row numbering says.
+    first_rn, last_rn and cnt say all that the row-by-row numbering says. Rows of smaller high bits are summed first,
+    so no window sees more than 65,537 rows of one key.
     """
-    within = Window.partitionBy(*keys).orderBy(F.asc_nulls_first(value))
-    whole = Window.partitionBy(*keys)
+    counts = counts.withColumn("_run_key", rank_key(value)).withColumn("_run_high", F.shiftright("_run_key", _LOW_BITS))
+    earlier = Window.partitionBy(*keys).orderBy("_run_high").rowsBetween(Window.unboundedPreceding, -1)
+    highs = (
+        counts.groupBy(*keys, "_run_high")
+        .agg(F.sum("n").alias("_run_n"))
+        .withColumn("_run_before", F.coalesce(F.sum("_run_n").over(earlier), F.lit(0)))
+        .withColumn("cnt", F.sum("_run_n").over(Window.partitionBy(*keys)))
+        .drop("_run_n")
+    )
+    within = Window.partitionBy(*keys, "_run_high").orderBy("_run_key").rowsBetween(Window.unboundedPreceding, 0)
     return (
-        counts.withColumn("last_rn", F.sum("n").over(within.rowsBetween(Window.unboundedPreceding, 0)))
+        counts.join(highs, [*keys, "_run_high"])
+        .withColumn("last_rn", F.col("_run_before") + F.sum("n").over(within))
         .withColumn("first_rn", F.col("last_rn") - F.col("n") + 1)
-        .withColumn("cnt", F.sum("n").over(whole))
+        .drop("_run_key", "_run_high", "_run_before")
     )
 
 
@@ -45,32 +57,49 @@ def target_rank(q: str, cnt: Column) -> Column:
     return F.ceil(F.lit(Decimal(q)) * cnt.cast("decimal(19,0)")).cast("bigint")
 
 
-def nearest_rank(df: DataFrame, keys: list[str], value: str, q: str, out: str) -> DataFrame:
-    """The 32-bit integer at rank CEIL(q * rows) of each key, NULLs counted and ranked first.
+def values_at(df: DataFrame, keys: list[str], value: str, ranks: dict[str, Column]) -> DataFrame:
+    """The 32-bit integers at given ranks of each key, NULLs counted and ranked first; one column for each rank.
 
-    Two steps down a histogram: the high 16 bits find the bucket that holds the rank, then only the
-    values of that bucket are walked. No window sees more than 65,537 rows of one key, whatever the
-    number of rows or of distinct values.
+    ranks: by name, the rank as an expression of the column cnt, the key's number of rows. Two steps down a histogram:
+    the high 16 bits find the bucket that holds the rank, then only the values of that bucket are walked. No window sees
+    more than 65,537 rows of one key, whatever the number of rows or of distinct values.
     """
     counts = value_counts(df, keys, value).withColumn("_key", rank_key(value))
     counts = counts.withColumn("_high", F.shiftright("_key", _LOW_BITS))
 
     by_high = Window.partitionBy(*keys).orderBy("_high").rowsBetween(Window.unboundedPreceding, 0)
+    wanted = F.explode(F.array(*[F.struct(F.lit(name).alias("name"), rank.cast("bigint").alias("rank")) for name, rank in ranks.items()]))
     buckets = (
         counts.groupBy(*keys, "_high")
         .agg(F.sum("n").alias("_in_bucket"))
         .withColumn("_upto", F.sum("_in_bucket").over(by_high))
-        .withColumn("_rank", target_rank(q, F.sum("_in_bucket").over(Window.partitionBy(*keys))))
-        .filter((F.col("_upto") >= F.col("_rank")) & (F.col("_upto") - F.col("_in_bucket") < F.col("_rank")))
-        .select(*keys, "_high", (F.col("_rank") - F.col("_upto") + F.col("_in_bucket")).alias("_left"))
+        .withColumn("cnt", F.sum("_in_bucket").over(Window.partitionBy(*keys)))
+        .withColumn("_rank", wanted)
+        .filter((F.col("_upto") >= F.col("_rank.rank")) & (F.col("_upto") - F.col("_in_bucket") < F.col("_rank.rank")))
+        .select(*keys, "_high", F.col("_rank.name").alias("_name"), (F.col("_rank.rank") - F.col("_upto") + F.col("_in_bucket")).alias("_left"))
     )
-    by_value = Window.partitionBy(*keys).orderBy("_key").rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        counts.join(buckets, [*keys, "_high"])
+    by_value = Window.partitionBy(*keys, "_name").orderBy("_key").rowsBetween(Window.unboundedPreceding, 0)
+    # A NULL key is a key like any other.
+    buckets = buckets.withColumnsRenamed({k: f"_in_{k}" for k in (*keys, "_high")})
+    same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_in_{k}")) for k in (*keys, "_high")))
+    found = (
+        counts.join(buckets, same)
         .withColumn("_upto", F.sum("n").over(by_value))
         .filter((F.col("_upto") >= F.col("_left")) & (F.col("_upto") - F.col("n") < F.col("_left")))
-        .select(*keys, F.col(value).alias(out))
     )
+    return found.groupBy(*keys).agg(*[F.max(F.when(F.col("_name") == name, F.col(value))).alias(name) for name in ranks])
+
+
+def nearest_rank(df: DataFrame, keys: list[str], value: str, q: str, out: str) -> DataFrame:
+    """The 32-bit integer at rank CEIL(q * rows) of each key, NULLs counted and ranked first."""
+    return values_at(df, keys, value, {out: target_rank(q, F.col("cnt"))})
+
+
+def median(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
+    """The median of the non-NULL 32-bit integers of each key, half-way between the two in the middle of an even number."""
+    ranks = {"_low": F.expr("(cnt + 1) div 2"), "_high_value": F.expr("cnt div 2 + 1")}
+    middle = values_at(df.filter(F.col(value).isNotNull()), keys, value, ranks)
+    return middle.select(*keys, ((F.col("_low").cast("double") + F.col("_high_value")) / 2).alias(out))
 
 
 def tie_shift(df: DataFrame, tie: str) -> int:

@@ -49,8 +49,5 @@ def bucket(length: str, column: str = "ts") -> Column:
 
 
 def latest(events: DataFrame) -> dt.datetime | None:
-    """The newest event time: one row, and on day directories only the newest one is read for it."""
-    if "event_date" in events.columns:
-        day = events.agg(F.max("event_date")).first()[0]
-        events = events.filter(F.col("event_date") == F.lit(day))
+    """The newest event time, by one pass over the column. For a store, store.latest_stored reads only its newest day."""
     return events.agg(F.max("ts")).first()[0]

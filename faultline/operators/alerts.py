@@ -14,14 +14,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from faultline.contract import is_error
-from faultline.functions.timeframe import bucket
+from faultline.functions.timeframe import Moment, bucket, moment, ntz
 from faultline.operators.analytics import error_counts, with_error_rate
 
-# Rules are written by people; beyond this many they are joined like any other table.
-MAX_BROADCAST_RULES = 10_000
-# Stands in the join key for a rule without a service; no service has an empty name.
-ALL_SERVICES = ""
-
 
 def rollup_minute(events: DataFrame) -> DataFrame:
     """Count, latency sum and maximum per service, level and minute."""
@@ -44,6 +39,31 @@ def error_rate_from_rollup(rollup: DataFrame, length: str = "5 minutes") -> Data
     return with_error_rate(counted).orderBy("window_start", "service")
 
 
+def alert_from_rollup(rollup: DataFrame, span: dt.timedelta, as_of: Moment) -> DataFrame:
+    """Q8 from the minute rollup, over the whole minutes of the span that ends with the minute of as_of."""
+    hi = moment(as_of).replace(second=0, microsecond=0) + dt.timedelta(minutes=1)
+    minutes = rollup.filter((F.col("minute") >= ntz(hi - span)) & (F.col("minute") < ntz(hi)))
+    if "event_date" in rollup.columns:
+        minutes = minutes.filter(F.col("event_date").between(F.lit((hi - span).date()), F.lit(hi.date())))
+    return with_error_rate(minutes.groupBy("service").agg(*_rollup_counts()))
+
+
+def write_rollup(events: DataFrame, path: str) -> str:
+    """The minute rollup in day directories; days that events has are replaced, others stay."""
+    daily = rollup_minute(events).withColumn("event_date", F.to_date("minute"))
+    daily.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("event_date").parquet(path)
+    return path
+
+
+def update_rollup(path: str, stored: DataFrame, batch: DataFrame) -> None:
+    """Bring the rollup up to date after a batch was stored: its days are counted anew from the store, no others are read."""
+    days = batch.select(F.to_date("ts").alias("event_date")).distinct()
+    first, last = days.agg(F.min("event_date"), F.max("event_date")).first()
+    if first is not None:
+        near = stored.filter(F.col("event_date").between(F.lit(first), F.lit(last)))
+        write_rollup(near.join(days, "event_date", "left_semi"), path)
+
+
 def errors_per_hour_from_rollup(rollup: DataFrame) -> DataFrame:
     """Q6 from the minute rollup."""
     hours = (
@@ -118,17 +138,15 @@ class Rule:
 
 def rules_frame(spark: SparkSession, rules: Sequence[Rule]) -> DataFrame:
     rows = [(r.name, r.service, r.window_minutes, r.min_events, float(r.max_error_pct)) for r in rules]
-    frame = spark.createDataFrame(
+    return spark.createDataFrame(
         rows, "rule string, rule_service string, window_minutes int, min_events bigint, max_error_pct double"
     )
-    frame = frame.withColumn("_scope", F.coalesce("rule_service", F.lit(ALL_SERVICES))).drop("rule_service")
-    return F.broadcast(frame) if len(rules) <= MAX_BROADCAST_RULES else frame
 
 
 def with_rules(counted: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Counts joined by equality to the rules of their service and to those for all services."""
-    scopes = F.explode(F.array(F.col("service"), F.lit(ALL_SERVICES)))
-    return counted.withColumn("_scope", scopes).join(rules_frame(counted.sparkSession, rules), "_scope").drop("_scope")
+    """Windows joined to the rules of their length that are for their service or for all."""
+    joined = counted.join(rules_frame(counted.sparkSession, rules), "window_minutes")
+    return joined.filter("rule_service IS NULL OR rule_service = service").drop("rule_service")
 
 
 def broken_rules(counted: DataFrame) -> DataFrame:
@@ -141,14 +159,16 @@ def threshold_alerts(events: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Windows that break a rule, for rules of any window length, in one pass over the events."""
     minutes = events.groupBy("service", bucket("1 minute").alias("_minute")).agg(*error_counts())
     seconds = F.unix_seconds(F.col("_minute").cast("timestamp"))
+    lengths = F.array(*[F.lit(n) for n in sorted({rule.window_minutes for rule in rules})])
     length = F.col("window_minutes").cast("bigint") * 60
     start = F.timestamp_seconds(seconds - F.pmod(seconds, length)).cast("timestamp_ntz")
+    # Minutes are copied once for each length, not for each rule; rules meet whole windows.
     counted = (
-        with_rules(minutes, rules)
-        .groupBy("rule", "service", "min_events", "max_error_pct", "window_minutes", start.alias("window_start"))
+        minutes.withColumn("window_minutes", F.explode(lengths))
+        .groupBy("service", "window_minutes", start.alias("window_start"))
         .agg(F.sum("total_events").alias("total_events"), F.sum("error_events").alias("error_events"))
     )
-    return broken_rules(counted).select(
+    return broken_rules(with_rules(counted, rules)).select(
         "rule", "service", "window_start", "window_minutes", "total_events", "error_events", "error_rate_pct"
     )
 

@@ -122,12 +122,13 @@ def alert_error_rate(
     span: dt.timedelta = dt.timedelta(minutes=5),
     as_of: Moment | None = None,
 ) -> DataFrame:
-    """Q8: error rate over the span before as_of, by default the newest event; the newest row counts too.
+    """Q8: error rate over the span before as_of, by default the newest event; a row at as_of counts, later ones do not.
 
     as_of is read first, as one row, so that the range is a literal and prunes days and row groups.
     """
     as_of = latest(events) if as_of is None else moment(as_of)
     # A table without rows has no newest event; any bound then gives the empty answer.
-    lo = (as_of or dt.datetime(1970, 1, 2)) - span
-    counted = of_service(time_range(events, lo), service).groupBy("service").agg(*error_counts())
+    hi = as_of or dt.datetime(1970, 1, 2)
+    within = time_range(events, hi - span, hi + dt.timedelta(microseconds=1))
+    counted = of_service(within, service).groupBy("service").agg(*error_counts())
     return with_error_rate(counted)

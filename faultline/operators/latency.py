@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from faultline.contract import LEVELS
-from faultline.functions.ranking import nearest_rank, row_numbers, target_rank, value_counts, value_runs
+from faultline.functions.ranking import median, nearest_rank, row_numbers, target_rank, value_counts, value_runs
 from faultline.functions.timeframe import Moment, ntz
 
 
@@ -44,7 +46,8 @@ def p95_disc(events: DataFrame, q: str = "0.95") -> DataFrame:
 def p95_approx(events: DataFrame, q: float = 0.95, sketch_size: int = 800, parts: int = 64) -> DataFrame:
     """A KLL sketch per service, merged in two steps so that no task merges the sketches of all map tasks.
 
-    With size 800 the rank is off by about 0.3% of the rows.
+    With size 800 the rank is off by about 0.3% of the rows. NULL latencies are not counted, as in PERCENTILE_DISC. Sketches are
+    random, so the value may differ from run to run; approx_rank_error says how far it is off.
     """
     part = F.spark_partition_id() % parts
     return (
@@ -56,33 +59,41 @@ def p95_approx(events: DataFrame, q: float = 0.95, sketch_size: int = 800, parts
     )
 
 
-def _median(frequency: Column) -> Column:
-    """Interpolated median over (value, frequency) rows."""
-    return F.percentile("latency_ms", 0.5, frequency)
+def approx_rank_error(events: DataFrame, q: float = 0.95, most: float = 0.01) -> DataFrame:
+    """Whether the sketch's value stands within `most` of the rank q, per service."""
+    known = events.filter(F.col("latency_ms").isNotNull())
+    shares = (
+        known.join(p95_approx(known, q), "service")
+        .groupBy("service")
+        .agg(
+            (F.count_if(F.expr("latency_ms < p95_latency_ms")) / F.count("*")).alias("_below"),
+            (F.count_if(F.expr("latency_ms <= p95_latency_ms")) / F.count("*")).alias("_upto"),
+        )
+    )
+    return shares.select("service", ((F.col("_below") <= q + most) & (F.col("_upto") >= q - most)).alias("within_one_percent"))
 
 
 def latency_summary(events: DataFrame) -> DataFrame:
     """Median, minimum and maximum latency per service and endpoint."""
+    keys = ["service", "endpoint"]
     known = events.filter(F.col("latency_ms").isNotNull())
-    return (
-        value_counts(known, ["service", "endpoint"], "latency_ms")
-        .groupBy("service", "endpoint")
-        .agg(
-            _median(F.col("n")).alias("median_latency_ms"),
-            F.min("latency_ms").alias("min_latency_ms"),
-            F.max("latency_ms").alias("max_latency_ms"),
-        )
+    ends = known.groupBy(*keys).agg(F.min("latency_ms").alias("min_latency_ms"), F.max("latency_ms").alias("max_latency_ms"))
+    return _same_key(median(known, keys, "latency_ms", "median_latency_ms"), ends, keys).select(
+        *keys, "median_latency_ms", "min_latency_ms", "max_latency_ms"
     )
 
 
+def _same_key(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """An inner join in which a NULL key, such as a missing endpoint, is a key like any other."""
+    right = right.withColumnsRenamed({k: f"_{k}" for k in keys})
+    return left.join(right, reduce(and_, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys)))
+
+
 def latency_pivot(events: DataFrame) -> DataFrame:
     """Median latency, one row per endpoint and one column per level."""
-    known = events.filter(F.col("latency_ms").isNotNull())
-    return (
-        value_counts(known, ["service", "endpoint", "level"], "latency_ms")
-        .groupBy("service", "endpoint")
-        .agg(*[_median(F.when(F.col("level") == level, F.col("n")).otherwise(0)).alias(level.lower()) for level in LEVELS])
-    )
+    keys = ["service", "endpoint"]
+    found = median(events, [*keys, "level"], "latency_ms", "_median")
+    return found.groupBy(*keys).agg(*[F.max(F.when(F.col("level") == level, F.col("_median"))).alias(level.lower()) for level in LEVELS])
 
 
 def midpoint(events: DataFrame) -> dt.datetime:
@@ -94,16 +105,15 @@ def midpoint(events: DataFrame) -> dt.datetime:
 def latency_change(events: DataFrame, split: Moment) -> DataFrame:
     """Median per endpoint before and from `split`, their ratio, and a verdict at 0.9 and 1.1.
 
-    Both medians come from one pass: each distinct latency carries its count on either side.
+    Both medians come from one histogram, of which the side of the split is a key.
     """
-    earlier = F.col("ts") < ntz(split)
+    keys = ["service", "endpoint"]
+    sides = events.withColumn("_side", F.when(F.col("ts") < ntz(split), "before_ms").otherwise("after_ms"))
+    found = median(sides, [*keys, "_side"], "latency_ms", "_median")
     ratio = F.col("after_ms") / F.nullif("before_ms", F.lit(0.0))
     return (
-        events.filter(F.col("latency_ms").isNotNull())
-        .groupBy("service", "endpoint", "latency_ms")
-        .agg(F.count_if(earlier).alias("_before"), F.count_if(~earlier).alias("_after"))
-        .groupBy("service", "endpoint")
-        .agg(_median(F.col("_before")).alias("before_ms"), _median(F.col("_after")).alias("after_ms"))
+        found.groupBy(*keys)
+        .agg(*[F.max(F.when(F.col("_side") == side, F.col("_median"))).alias(side) for side in ("before_ms", "after_ms")])
         .filter(F.col("before_ms").isNotNull() & F.col("after_ms").isNotNull())
         .withColumn("ratio", ratio)
         .withColumn(

@@ -55,7 +55,8 @@ def parse_messages(messages: DataFrame) -> DataFrame:
     # As a generator the body is parsed once; as a struct column it would be parsed once per field taken from it.
     opened = (
         messages.select("*", F.inline(F.array(parsed)))
-        .withColumns({"trace_id": F.lower("trace_id"), "ts": F.expr("try_cast(ts AS timestamp_ntz)")})
+        # A time with an offset is that instant; without one it is UTC, as the session is.
+        .withColumns({"trace_id": F.lower("trace_id"), "ts": F.expr("cast(try_cast(ts AS timestamp) AS timestamp_ntz)")})
         # Senders need not number their events; the number then follows from the event's key.
         .withColumn("id", F.coalesce("id", F.xxhash64("trace_id", "ts")))
     )
@@ -81,12 +82,11 @@ def dead_letters(parsed: DataFrame, max_receives: int = MAX_RECEIVES) -> DataFra
     A reason follows from the body alone, so a message is either always rejected or never, and any of
     its reasons is its reason.
     """
-    return (
-        parsed.filter(F.col("reject_reason").isNotNull())
-        .groupBy("message_id")
-        .agg(F.count("*").alias("receives"), F.max("reject_reason").alias("reject_reason"), F.max("body").alias("body"))
-        .filter(F.col("receives") >= max_receives)
-    )
+    refused = parsed.filter(F.col("reject_reason").isNotNull() & F.col("message_id").isNotNull())
+    # Numbers are combined on the map side; bodies are fetched for the letters alone.
+    counted = refused.groupBy("message_id").agg(F.count("*").alias("receives")).filter(F.col("receives") >= max_receives)
+    bodies = first_of_each(refused.select("message_id", "reject_reason", "body", "receive"), ["message_id"], ["receive"]).drop("receive")
+    return counted.join(bodies, "message_id").select("message_id", "receives", "reject_reason", "body")
 
 
 def silent_services(events: DataFrame, known: DataFrame, lo: Moment, hi: Moment | None = None) -> DataFrame:

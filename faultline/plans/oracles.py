@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from faultline.sources import synthetic
+
 LOG_EVENTS = """
 log_events AS (
   SELECT event_id AS id,
@@ -19,6 +21,12 @@ log_events AS (
         FROM events) e
 )"""
 
+# The feed of sources/driver_events.signed_latencies.
+SIGNED = """
+signed_events AS (
+  SELECT * REPLACE (CASE WHEN id % 7 <> 0 THEN latency_ms - 150 END AS latency_ms) FROM log_events
+)"""
+
 # The retries of sources/driver_events.deliveries, with trace ids as stored.
 DELIVERIES = """
 deliveries AS (
@@ -31,7 +39,7 @@ deliveries AS (
 # The damage of sources/driver_events.messages and the reason each kind of it is rejected for.
 RECEIVED = """
 received AS (
-  SELECT *, concat('m', cast(id AS varchar)) AS message_id, unnest(range(1, (id // 16) % 4 + 2)) AS receive,
+  SELECT *, CASE WHEN id % 32 <> 3 THEN ts END AS sent_at, concat('m', cast(id AS varchar)) AS message_id, unnest(range(1, (id // 16) % 4 + 2)) AS receive,
     CASE id % 16 WHEN 0 THEN 'level unknown' WHEN 1 THEN 'service missing' WHEN 2 THEN 'host too long'
       WHEN 3 THEN 'trace_id length' WHEN 4 THEN 'malformed body' WHEN 5 THEN 'ts missing or invalid' END AS reject_reason
   FROM log_events
@@ -154,6 +162,46 @@ def _alerts(closed: str = "TRUE") -> str:
     )
 
 
+_ROLLUP = """
+    SELECT service, level, time_bucket(INTERVAL '1 minute', ts) AS minute, count(*) AS event_count,
+      count(latency_ms) AS latency_count, cast(sum(latency_ms) AS bigint) AS latency_sum, max(latency_ms) AS latency_max
+    FROM log_events GROUP BY ALL"""
+
+_ALERT_PAST = f"""
+    SELECT service, count(*) AS total_events, {ERRORS} AS error_events, {_pct(ERRORS, 'count(*)')} AS error_rate_pct
+    FROM log_events WHERE ts BETWEEN TIMESTAMP '2024-01-15' AND TIMESTAMP '2024-01-16' GROUP BY service"""
+
+
+def _synthetic(seed: int = 42) -> str:
+    """The generator of sources/synthetic.py, one event for each of the table's."""
+    services, calls = list(synthetic.SERVICES), [[f"/api/v1/{a}/{c}" for c in cs] for a, cs in synthetic.CALLS.items()]
+
+    def u(salt: int) -> str:
+        digits = f"substr(md5(concat('{seed}:{salt // 2}:', id)), {1 + 16 * (salt % 2)}, 13)"
+        return f"((('0x' || {digits})::BIGINT::DOUBLE + 0.5) / {float(2**52)!r}::DOUBLE)"
+
+    def pick(values, salt: int) -> str:
+        return f"{values}[cast(floor({u(salt)} * {len(values)}) AS int) + 1]"
+
+    levels = " ".join(f"WHEN {u(3)} < {bound}::DOUBLE THEN '{name}'" for name, bound in synthetic.LEVEL_BOUNDS)
+    trace = ", '-', ".join(f"substr(h, {at}, {n})" for at, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12)))
+    return f"""
+    SELECT id, trace_id, service, host, level, ts, latency_ms, endpoint,
+      concat(split_part(endpoint, '/', 5), ' ', CASE level WHEN 'ERROR' THEN 'failed' WHEN 'WARN' THEN 'was slow' WHEN 'INFO' THEN 'done'
+        ELSE 'traced' END, ' after=', latency_ms, 'ms n=', id) AS message
+    FROM (
+      SELECT id, concat({trace}) AS trace_id, {services}[s] AS service,
+        printf('host-%02d.ec2.internal', cast(floor({u(2)} * {synthetic.HOSTS}) AS int) + 1) AS host, level,
+        TIMESTAMP '{synthetic.PERIOD_END}' - INTERVAL {synthetic.PERIOD_SECONDS} SECOND
+          + to_milliseconds(cast(floor({u(4)} * {synthetic.PERIOD_SECONDS * 1000}) AS bigint)) AS ts,
+        cast(floor(exp({synthetic.LATENCY_MU}::DOUBLE + {synthetic.LATENCY_SIGMA}::DOUBLE * sqrt(-2 * ln({u(6)})) * cos(2 * pi() * {u(7)}))) AS int)
+          + CASE WHEN level = 'ERROR' THEN {pick(list(synthetic.ERROR_PENALTIES), 8)} ELSE 0 END AS latency_ms,
+        {calls}[s][cast(floor({u(5)} * 4) AS int) + 1] AS endpoint
+      FROM (SELECT id, md5(concat('{seed}:', id)) AS h, cast(floor({u(1)} * {len(services)}) AS int) + 1 AS s,
+              CASE {levels} ELSE 'DEBUG' END AS level
+            FROM log_events))"""
+
+
 _ON_EVENTS = {
     "scan_events": f"SELECT {COLUMNS} FROM log_events",
     "append_events": f"SELECT {STORED} FROM log_events",
@@ -207,6 +255,20 @@ _ON_EVENTS = {
     "p95_disc": """
         SELECT service, cast(percentile_disc(0.95) WITHIN GROUP (ORDER BY latency_ms) AS int) AS p95_latency_ms
         FROM log_events WHERE latency_ms IS NOT NULL GROUP BY service""",
+    "p95_approx_error": "SELECT DISTINCT service, TRUE AS within_one_percent FROM log_events WHERE latency_ms IS NOT NULL",
+    "slowest_endpoints_signed": """
+        SELECT * FROM (
+          SELECT *, dense_rank() OVER (PARTITION BY service ORDER BY avg_latency_ms DESC) AS latency_rank
+          FROM (SELECT service, endpoint, calls AS call_count, max_latency_ms,
+                  sign(total) * cast((200 * abs(total) + n) // (2 * n) AS double) / 100 AS avg_latency_ms
+                FROM (SELECT service, endpoint, count(*) AS calls, cast(sum(latency_ms) AS bigint) AS total, count(latency_ms) AS n,
+                        max(latency_ms) AS max_latency_ms
+                      FROM signed_events GROUP BY service, endpoint)))
+        WHERE latency_rank <= 10""",
+    "latency_summary_signed": """
+        SELECT service, endpoint, median(latency_ms) AS median_latency_ms, min(latency_ms) AS min_latency_ms,
+          max(latency_ms) AS max_latency_ms
+        FROM signed_events WHERE latency_ms IS NOT NULL GROUP BY service, endpoint""",
     "latency_row_numbers": """
         SELECT id, service, latency_ms, count(*) OVER (PARTITION BY service) AS cnt,
           row_number() OVER (PARTITION BY service ORDER BY latency_ms NULLS FIRST, id) AS rn
@@ -218,6 +280,16 @@ _ON_EVENTS = {
     "alert_error_rate": f"""
         SELECT service, count(*) AS total_events, {ERRORS} AS error_events, {_pct(ERRORS, 'count(*)')} AS error_rate_pct
         FROM log_events WHERE ts >= (SELECT max(ts) FROM log_events) - INTERVAL 24 HOUR GROUP BY service""",
+    "alert_error_rate_past": _ALERT_PAST,
+    "alert_from_rollup": f"""
+        SELECT service, count(*) AS total_events, {ERRORS} AS error_events, {_pct(ERRORS, 'count(*)')} AS error_rate_pct
+        FROM log_events WHERE ts >= TIMESTAMP '2024-01-15 00:01:00' AND ts < TIMESTAMP '2024-01-16 00:01:00' GROUP BY service""",
+    "error_lookup_by_level": f"""
+        SELECT id, trace_id, service, level, ts, latency_ms, endpoint, message FROM log_events
+        WHERE level = 'ERROR' AND {_between('2024-01-15', '2024-01-16', 'notification-service')} ORDER BY ts, id LIMIT 100""",
+    "rollup_incremental": _ROLLUP,
+    "idempotent_append_trace": f"SELECT {STORED} FROM (SELECT * REPLACE (id * 4 AS id) FROM log_events)",
+    "synthetic_events": _synthetic(),
     "latency_summary": """
         SELECT service, endpoint, median(latency_ms) AS median_latency_ms, min(latency_ms) AS min_latency_ms,
           max(latency_ms) AS max_latency_ms
@@ -259,10 +331,7 @@ _ON_EVENTS = {
         FROM (SELECT service, level, time_bucket(INTERVAL '1 minute', ts) - unnest(range(5)) * INTERVAL 1 MINUTE AS window_start
               FROM log_events)
         GROUP BY service, window_start""",
-    "rollup_minute": """
-        SELECT service, level, time_bucket(INTERVAL '1 minute', ts) AS minute, count(*) AS event_count,
-          count(latency_ms) AS latency_count, cast(sum(latency_ms) AS bigint) AS latency_sum, max(latency_ms) AS latency_max
-        FROM log_events GROUP BY ALL""",
+    "rollup_minute": _ROLLUP,
     "error_rate_from_rollup": _rate(),
     "errors_per_hour_from_rollup": _per_hour(),
     "threshold_alerts": _alerts(),
@@ -306,11 +375,14 @@ _ON_DELIVERIES = {
     "stream_dedup_trace": "SELECT DISTINCT trace_id, service, host, level, message, latency_ms, endpoint FROM deliveries",
 }
 
-_QUARANTINE = "SELECT message_id, ts AS sent_at, cast(receive AS int) AS receive, reject_reason FROM received WHERE reject_reason IS NOT NULL"
+_QUARANTINE = "SELECT message_id, sent_at, cast(receive AS int) AS receive, reject_reason FROM received WHERE reject_reason IS NOT NULL"
 _DEAD = """
     SELECT message_id, count(*) AS receives, any_value(reject_reason) AS reject_reason
     FROM received WHERE reject_reason IS NOT NULL GROUP BY message_id HAVING count(*) >= 3"""
 
+# A line of sources/driver_events.landed_lines that is cut off.
+_CUT = """concat('{"message_id":"m', id, '","receive":', receive, ',"body')"""
+
 _ON_RECEIVED = {
     "quarantine": _QUARANTINE,
     "accepted_messages": f"SELECT {COLUMNS} FROM received WHERE reject_reason IS NULL",
@@ -319,16 +391,23 @@ _ON_RECEIVED = {
     "dead_letter": _DEAD,
     "stream_ingest": f"SELECT DISTINCT {COLUMNS} FROM received WHERE reject_reason IS NULL",
     "archive_raw": """
-        SELECT message_id, ts AS sent_at, cast(receive AS int) AS receive, coalesce(reject_reason, 'accepted') AS outcome
+        SELECT message_id, sent_at, cast(receive AS int) AS receive, coalesce(reject_reason, 'accepted') AS outcome
         FROM received""",
     "stream_quarantine": _QUARANTINE,
     "stream_dead_letter": _DEAD,
+    "landed_ingest": f"SELECT DISTINCT {COLUMNS} FROM received WHERE reject_reason IS NULL AND id % 64 <> 9",
+    "landed_quarantine": f"""
+        SELECT CASE WHEN id % 64 = 9 THEN 'broken envelope' ELSE reject_reason END AS reject_reason, count(*) AS row_count,
+          cast(sum(CASE WHEN id % 64 = 9 THEN length({_CUT}) ELSE 0 END) AS bigint) AS broken_chars
+        FROM received WHERE id % 64 = 9 OR reject_reason IS NOT NULL GROUP BY 1""",
+    "landed_archive": f"SELECT CASE WHEN id % 64 = 9 THEN {_CUT} END AS line, count(*) AS row_count FROM received GROUP BY 1",
+    "landed_dead_letter": _DEAD.replace("WHERE", "WHERE id % 64 <> 9 AND"),
 }
 
 
 def oracle_sql() -> dict[str, str]:
     groups = (
-        ((LOG_EVENTS,), _ON_EVENTS),
+        ((LOG_EVENTS, SIGNED), _ON_EVENTS),
         ((LOG_EVENTS, _HOURS), _ON_HOURS),
         ((LOG_EVENTS, _HOURS, _EPISODES), _ON_EPISODES),
         ((LOG_EVENTS, DELIVERIES), _ON_DELIVERIES),

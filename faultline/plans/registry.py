@@ -16,7 +16,7 @@ from faultline.contract import EVENT_COLUMNS, level_rank
 from faultline.functions import dialect
 from faultline.functions.timeframe import time_range
 from faultline.operators import alerts, analytics, audit, latency, quality
-from faultline.session import fit_local, use_utc, work_path
+from faultline.session import use_utc, work_path
 from faultline.sources import driver_events, store, synthetic
 from faultline.streaming import episodes, ingest, jobs, windows
 
@@ -40,7 +40,7 @@ _QUERIES: dict[str, Query] = {}
 
 def query(function: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return function(fit_local(use_utc(spark)), sf_dir)
+        return function(use_utc(spark), sf_dir)
 
     _QUERIES[function.__name__] = run
     return function
@@ -54,14 +54,21 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return driver_events.log_events(spark, sf_dir)
 
 
+def _version(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
+    """When the events were written, and their size: another version is another table."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/events.parquet")
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.getFileStatus(path).getModificationTime(), system.getContentSummary(path).getLength()
+
+
 @lru_cache(maxsize=None)
-def _stored(spark: SparkSession, sf_dir: str) -> str:
-    return store.write_daily(_events(spark, sf_dir), work_path(spark, "daily"))
+def _stored(spark: SparkSession, sf_dir: str, version: tuple[int, int]) -> str:
+    return store.write_daily(_events(spark, sf_dir), work_path(spark, "daily"), "errorifexists")
 
 
 def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The day-partitioned table of an input folder, written once per session."""
-    return store.read_store(spark, _stored(spark, sf_dir))
+    """The day-partitioned table of an input folder, written once per session and version of the input."""
+    return store.read_store(spark, _stored(spark, sf_dir, _version(spark, sf_dir)))
 
 
 def _listed(stored: DataFrame) -> DataFrame:
@@ -103,8 +110,8 @@ def overflow_dates(spark, sf_dir):
 
 @query
 def retain_days(spark, sf_dir):
-    path = store.write_daily(_events(spark, sf_dir), work_path(spark, "retained"))
-    return _listed(store.retain_days(spark, path, 7))
+    path = store.write_daily(_events(spark, sf_dir), work_path(spark, "retained"), "errorifexists")
+    return _listed(store.retain_days(spark, path, 7, dt.date(2024, 12, 31)))
 
 
 @query
@@ -178,6 +185,13 @@ def window_events(spark, sf_dir):
     return analytics.window_events(driver_events.log_events(spark, sf_dir, lo, hi), "payment-service", lo, hi)
 
 
+@query
+def error_lookup_by_level(spark, sf_dir):
+    """Q5 on a table that is clustered by level within a service."""
+    path = store.write_daily(_events(spark, sf_dir), work_path(spark, "by-level"), "errorifexists", order=store.LEVEL_ORDER)
+    return analytics.error_lookup(store.read_store(spark, path), "notification-service", "2024-01-15", "2024-01-16")
+
+
 @query
 def clustered_lookup(spark, sf_dir):
     return analytics.window_events(daily(spark, sf_dir), "payment-service", "2024-01-15", "2024-01-16")
@@ -223,6 +237,21 @@ def p95_approx(spark, sf_dir):
     return latency.p95_approx(_events(spark, sf_dir))
 
 
+@query
+def p95_approx_error(spark, sf_dir):
+    return latency.approx_rank_error(_events(spark, sf_dir))
+
+
+@query
+def slowest_endpoints_signed(spark, sf_dir):
+    return analytics.slowest_endpoints(driver_events.signed_latencies(_events(spark, sf_dir)))
+
+
+@query
+def latency_summary_signed(spark, sf_dir):
+    return latency.latency_summary(driver_events.signed_latencies(_events(spark, sf_dir)))
+
+
 @query
 def latency_row_numbers(spark, sf_dir):
     return latency.latency_row_numbers(_events(spark, sf_dir))
@@ -257,6 +286,12 @@ def alert_error_rate(spark, sf_dir):
     return analytics.alert_error_rate(driver_events.log_events(spark, sf_dir, as_of - DAY), span=DAY, as_of=as_of)
 
 
+@query
+def alert_error_rate_past(spark, sf_dir):
+    """Q8 as of a moment that many events follow."""
+    return analytics.alert_error_rate(_events(spark, sf_dir), span=DAY, as_of=SPLIT)
+
+
 @query
 def latency_summary(spark, sf_dir):
     return latency.latency_summary(_events(spark, sf_dir))
@@ -295,6 +330,16 @@ def idempotent_append(spark, sf_dir):
     return _listed(store.read_store(spark, path))
 
 
+@query
+def idempotent_append_trace(spark, sf_dir):
+    """The duplicate rule of trace_id alone: retries with a new time add nothing either."""
+    path = work_path(spark, "idempotent-trace")
+    events = _events(spark, sf_dir)
+    store.append_new(events.withColumn("id", F.col("id") * 4), path, ["trace_id"])
+    store.append_new(driver_events.deliveries(events), path, ["trace_id"])
+    return _listed(store.read_store(spark, path))
+
+
 @query
 def retry_audit(spark, sf_dir):
     return quality.retry_audit(driver_events.deliveries(_events(spark, sf_dir)))
@@ -367,15 +412,30 @@ def errors_per_hour_from_rollup(spark, sf_dir):
     return alerts.errors_per_hour_from_rollup(_rollup(spark, sf_dir))
 
 
+@query
+def rollup_incremental(spark, sf_dir):
+    """The rollup of a store that was filled in two batches and brought up to date after each."""
+    path, rollup = work_path(spark, "rolled"), work_path(spark, "rollup")
+    noon = SPLIT + DAY / 2
+    for lo, hi in ((None, noon), (noon, None)):
+        batch = driver_events.log_events(spark, sf_dir, lo, hi)
+        store.append_batch(batch, path)
+        alerts.update_rollup(rollup, store.read_store(spark, path), batch)
+    return spark.read.parquet(rollup).drop("event_date")
+
+
+@query
+def alert_from_rollup(spark, sf_dir):
+    return alerts.alert_from_rollup(_rollup(spark, sf_dir), DAY, SPLIT)
+
+
 @lru_cache(maxsize=None)
-def _stored_rollup(spark: SparkSession, sf_dir: str) -> str:
-    path = work_path(spark, "rollup")
-    alerts.rollup_minute(_events(spark, sf_dir)).write.parquet(path)
-    return path
+def _stored_rollup(spark: SparkSession, sf_dir: str, version: tuple[int, int]) -> str:
+    return alerts.write_rollup(_events(spark, sf_dir), work_path(spark, "rollup"))
 
 
 def _rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(_stored_rollup(spark, sf_dir))
+    return spark.read.parquet(_stored_rollup(spark, sf_dir, _version(spark, sf_dir)))
 
 
 @query
@@ -405,10 +465,27 @@ def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return driver_events.to_log_events(driver_events.raw_event_stream(spark, sf_dir))
 
 
+#: State stores of each stateful step, for tables of the size of the driver's.
+STATE_PARTS = 8
+
+
 @lru_cache(maxsize=None)
-def _sinks(spark: SparkSession, sf_dir: str) -> ingest.Sinks:
+def _ingested(spark: SparkSession, sf_dir: str, version: tuple[int, int]) -> ingest.Sinks:
     sinks = ingest.Sinks(work_path(spark, "ingest"))
-    ingest.ingest(driver_events.messages(_stream(spark, sf_dir)), sinks)
+    ingest.ingest(driver_events.messages(_stream(spark, sf_dir)), sinks, parts=STATE_PARTS)
+    return sinks
+
+
+def _sinks(spark: SparkSession, sf_dir: str) -> ingest.Sinks:
+    return _ingested(spark, sf_dir, _version(spark, sf_dir))
+
+
+@lru_cache(maxsize=None)
+def _landed(spark: SparkSession, sf_dir: str, version: tuple[int, int]) -> ingest.Sinks:
+    """The sinks of messages that came as files of lines, some of them cut off."""
+    landing, sinks = work_path(spark, "landing"), ingest.Sinks(work_path(spark, "landed"))
+    driver_events.landed_lines(_events(spark, sf_dir)).write.text(landing)
+    ingest.ingest(jobs.message_stream(spark, landing), sinks, parts=STATE_PARTS)
     return sinks
 
 
@@ -430,37 +507,63 @@ def stream_dead_letter(spark, sf_dir):
 
 @query
 def archive_raw(spark, sf_dir):
-    archived = quality.parse_messages(ingest.read_archive(spark, _sinks(spark, sf_dir).archive))
+    archived = ingest.parse_landed(ingest.read_archive(spark, _sinks(spark, sf_dir).archive))
     return archived.select("message_id", "sent_at", "receive", F.coalesce("reject_reason", F.lit("accepted")).alias("outcome"))
 
 
+@query
+def landed_quarantine(spark, sf_dir):
+    """Rejects by reason, and how many characters of them are kept."""
+    kept = ingest.read_quarantine(spark, _landed(spark, sf_dir, _version(spark, sf_dir)))
+    broken = F.when(F.col("reject_reason") == "broken envelope", F.length("body")).otherwise(0)
+    return kept.groupBy("reject_reason").agg(F.count("*").alias("row_count"), F.sum(broken).alias("broken_chars"))
+
+
+@query
+def landed_ingest(spark, sf_dir):
+    return store.read_store(spark, _landed(spark, sf_dir, _version(spark, sf_dir)).store).select(*EVENT_COLUMNS)
+
+
+@query
+def landed_archive(spark, sf_dir):
+    """The broken lines as archived, and the number of whole messages."""
+    archived = ingest.read_archive(spark, _landed(spark, sf_dir, _version(spark, sf_dir)).archive)
+    return archived.groupBy(F.col(jobs.BROKEN_LINE).alias("line")).agg(F.count("*").alias("row_count"))
+
+
+@query
+def landed_dead_letter(spark, sf_dir):
+    letters = ingest.read_dead_letters(spark, _landed(spark, sf_dir, _version(spark, sf_dir)))
+    return letters.select("message_id", "receives", "reject_reason")
+
+
 @query
 def stream_dedup(spark, sf_dir):
     once = windows.stream_dedup(driver_events.deliveries(_stream(spark, sf_dir)), DELAY)
-    return jobs.materialize(once.drop("id"), "stream-dedup")
+    return jobs.materialize(once.drop("id"), "stream-dedup", STATE_PARTS)
 
 
 @query
 def stream_dedup_trace(spark, sf_dir):
     once = windows.stream_dedup_trace(driver_events.deliveries(_stream(spark, sf_dir)), DELAY)
-    return jobs.materialize(once.drop("id", "ts"), "stream-dedup-trace")
+    return jobs.materialize(once.drop("id", "ts"), "stream-dedup-trace", STATE_PARTS)
 
 
 @query
 def stream_error_rate(spark, sf_dir):
-    return jobs.materialize(windows.stream_error_rate(_stream(spark, sf_dir), "5 minutes", DELAY), "stream-rate")
+    return jobs.materialize(windows.stream_error_rate(_stream(spark, sf_dir), "5 minutes", DELAY), "stream-rate", STATE_PARTS)
 
 
 @query
 def stream_threshold_alerts(spark, sf_dir):
-    return jobs.materialize(windows.stream_threshold_alerts(_stream(spark, sf_dir), RULES, DELAY), "stream-alerts")
+    return jobs.materialize(windows.stream_threshold_alerts(_stream(spark, sf_dir), RULES, DELAY), "stream-alerts", STATE_PARTS)
 
 
 @query
 def stream_alert_episodes(spark, sf_dir):
-    return jobs.materialize(episodes.stream_alert_episodes(_stream(spark, sf_dir), DELAY), "stream-episodes")
+    return jobs.materialize(episodes.stream_alert_episodes(_stream(spark, sf_dir), DELAY), "stream-episodes", STATE_PARTS)
 
 
 @query
 def stream_error_sessions(spark, sf_dir):
-    return jobs.materialize(windows.stream_error_sessions(_stream(spark, sf_dir), "30 minutes", DELAY), "stream-sessions")
+    return jobs.materialize(windows.stream_error_sessions(_stream(spark, sf_dir), "30 minutes", DELAY), "stream-sessions", STATE_PARTS)

@@ -32,17 +32,6 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def fit_local(spark: SparkSession) -> SparkSession:
-    """On a local master, shuffle into as many parts as there are cores, unless another number was chosen.
-
-    Each part of a stateful stream is a state store of its own; 200 of them on one machine only wait for each other.
-    """
-    name = "spark.sql.shuffle.partitions"
-    if spark.sparkContext.master.startswith("local") and spark.conf.get(name) == "200":
-        spark.conf.set(name, str(spark.sparkContext.defaultParallelism))
-    return spark
-
-
 def work_root(spark: SparkSession) -> str:
     """The folder all executors share, as the cluster names it in spark.checkpoint.dir.
 

@@ -81,19 +81,39 @@ def deliveries(events: DataFrame) -> DataFrame:
 
 
 def messages(events: DataFrame) -> DataFrame:
-    """The events as queue messages with a JSON body, some of them damaged by id, all received 1 to 4 times."""
+    """The events as queue messages with a JSON body, some of them damaged by id, all received 1 to 4 times.
+
+    Some senders give times with an offset, and some of those whose events are bad leave out when they sent.
+    """
     body = """to_json(named_struct(
         'id', id,
         'trace_id', if(id % 16 = 3, substr(trace_id, 1, 35), trace_id),
         'service', if(id % 16 = 1, NULL, service),
         'host', if(id % 16 = 2, rpad(host, 65, 'x'), host),
         'level', if(id % 16 = 0, 'FATAL', level),
-        'ts', if(id % 16 = 5, 'yesterday', date_format(ts, 'yyyy-MM-dd HH:mm:ss.SSS')),
+        'ts', CASE id % 16 WHEN 5 THEN 'yesterday'
+            WHEN 6 THEN date_format(ts + make_dt_interval(0, 5, 30), "yyyy-MM-dd'T'HH:mm:ss.SSS'+05:30'")
+            ELSE date_format(ts, 'yyyy-MM-dd HH:mm:ss.SSS') END,
         'message', message, 'latency_ms', latency_ms, 'endpoint', endpoint))"""
     # Receives go by bits above the fault number, so that every fault occurs with every number of them.
     return events.selectExpr("*", f"{body} AS _body").selectExpr(
         "concat('m', cast(id AS string)) AS message_id",
-        "ts AS sent_at",
+        "if(id % 32 = 3, NULL, ts) AS sent_at",
         "if(id % 16 = 4, substr(_body, 1, length(_body) - 1), _body) AS body",
         "explode(sequence(1, cast((id div 16) % 4 AS int) + 1)) AS receive",
     )
+
+
+def landed_lines(events: DataFrame) -> DataFrame:
+    """The messages as lines of a landing folder; those of every 64th id are cut off."""
+    whole = messages(events).selectExpr(
+        "cast(substr(message_id, 2) AS bigint) AS id",
+        "receive",
+        "to_json(named_struct('message_id', message_id, 'sent_at', sent_at, 'body', body, 'receive', receive)) AS line",
+    )
+    return whole.selectExpr("if(id % 64 = 9, concat('{\"message_id\":\"m', id, '\",\"receive\":', receive, ',\"body'), line) AS value")
+
+
+def signed_latencies(events: DataFrame) -> DataFrame:
+    """The events of a feed whose clocks run apart: latencies below zero, and none for every seventh id."""
+    return events.selectExpr(*[c for c in events.columns if c != "latency_ms"], "if(id % 7 = 0, NULL, latency_ms - 150) AS latency_ms")

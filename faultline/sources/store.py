@@ -4,19 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faultline.contract import EVENT_COLUMNS, EVENT_SCHEMA, STORED_SCHEMA, normalized, with_event_date
 from faultline.functions.ranking import first_of_each
-
-# A day list longer than this is replaced by its range when stored rows are looked up.
-MAX_LISTED_DAYS = 4000
-# Input bytes per task of a clustered write; sorted in memory or with a spill or two.
-TASK_BYTES = 512 * 1024 * 1024
-UNKNOWN_BYTES = 10**18
-
+from faultline.session import work_path
 
 def read_store(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(STORED_SCHEMA).parquet(path)
@@ -26,32 +21,25 @@ def read_flat(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(EVENT_SCHEMA).parquet(path)
 
 
-def write_tasks(events: DataFrame) -> int | None:
-    """The number of tasks of TASK_BYTES each, where it is more than the session's shuffles have.
-
-    Otherwise None, which leaves the number to the session: at run time a range shuffle can be made
-    coarser but not finer. Estimates beyond UNKNOWN_BYTES are Spark's stand-in for not knowing.
-    """
-    estimate = events._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    session = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tasks = -(-int(estimate) // TASK_BYTES)
-    return tasks if session < tasks and estimate < UNKNOWN_BYTES else None
-
-
 def _epoch_ms() -> Column:
     return F.expr("unix_millis(cast(ts AS timestamp))")
 
 
-def clustered(events: DataFrame, files: int | None = None) -> DataFrame:
-    """Rows range-partitioned and sorted by (day, service, time).
+TIME_ORDER = ("service", "ts", "id")
+#: For lookups of one level: its rows of a service stand together.
+LEVEL_ORDER = ("service", "level", "ts", "id")
+
+
+def clustered(events: DataFrame, files: int | None = None, order: Sequence[str] = TIME_ORDER) -> DataFrame:
+    """Rows range-partitioned and sorted by day and `order`.
 
     Ranges are cut by sampled quantiles, so a day or a service with a third of all rows is spread over
     a third of the tasks, where hashing by day would give it to one. Each file then covers one short
-    stretch of (service, ts), which is what its minima and maxima are good for.
+    stretch of the order, which is what its minima and maxima are good for. `files` is the number of tasks, by
+    default the session's shuffle partitions; a task should get about 512 MB.
     """
-    keys = ["event_date", "service", "ts", "id"]
+    keys = ["event_date", *order]
     dated = with_event_date(events).withColumn("ts_ms", _epoch_ms())
-    files = files or write_tasks(events)
     ranged = dated.repartitionByRange(files, *keys) if files else dated.repartitionByRange(*keys)
     return ranged.sortWithinPartitions(*keys)
 
@@ -59,16 +47,19 @@ def clustered(events: DataFrame, files: int | None = None) -> DataFrame:
 def write_daily(
     events: DataFrame,
     path: str,
-    mode: str = "overwrite",
+    mode: str,
     files: int | None = None,
     row_group_bytes: int | None = None,
     trace_bloom: bool = False,
+    order: Sequence[str] = TIME_ORDER,
 ) -> str:
-    """Write day directories; overwrite replaces the table, append adds to it.
+    """Write day directories; mode is Spark's: overwrite replaces the table, append adds to it, errorifexists refuses.
 
+    Rows are stored normalized, so that duplicates are found whichever way they came.
     trace_bloom adds a Bloom filter on trace_id for lookups that have no time range.
     """
-    writer = clustered(events.select(*EVENT_COLUMNS), files).write.mode(mode).partitionBy("event_date")
+    rows = normalized(events.select(*EVENT_COLUMNS))
+    writer = clustered(rows, files, order).write.mode(mode).partitionBy("event_date")
     if row_group_bytes:
         writer = writer.option("parquet.block.size", row_group_bytes)
     if trace_bloom:
@@ -82,6 +73,18 @@ def append_batch(events: DataFrame, path: str) -> None:
     write_daily(events, path, mode="append")
 
 
+def compact_day(spark: SparkSession, path: str, day: dt.date, files: int | None = None) -> None:
+    """Rewrite a day's files, as many small batches leave them, as few clustered ones.
+
+    The rows are written to the shared folder first: a run that fails leaves the day or that copy whole.
+    """
+    rows = read_store(spark, path).filter(F.col("event_date") == F.lit(day)).select(*EVENT_COLUMNS)
+    copy = work_path(spark, "compact")
+    clustered(rows, files).write.parquet(copy)
+    whole = spark.read.schema(STORED_SCHEMA).parquet(copy).sortWithinPartitions("event_date", *TIME_ORDER)
+    whole.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("event_date").parquet(path)
+
+
 def _file_system(spark: SparkSession, target):
     return target.getFileSystem(spark._jsc.hadoopConfiguration())
 
@@ -103,42 +106,51 @@ def write_flat(events: DataFrame, path: str) -> bool:
 def touched_rows(batch: DataFrame, stored: DataFrame) -> DataFrame:
     """The stored rows of the days a batch has events on, within the batch's span of time.
 
-    The days and the span are read first, as one row per day, so that they are literals and prune.
+    The span is read first, as one row, so that it is a literal and prunes folders and row groups; days between that
+    the batch does not have are left out by a join with its days.
     """
-    times = batch.select(F.to_date("ts").alias("day"), _epoch_ms().alias("ms"))
-    days = times.groupBy("day").agg(F.min("ms"), F.max("ms")).limit(MAX_LISTED_DAYS + 1).collect()
-    if len(days) > MAX_LISTED_DAYS:
-        days = [(None, *times.agg(F.min("ms"), F.max("ms")).first())]
-        first, last = (dt.date(1970, 1, 1) + dt.timedelta(days=ms // 86_400_000) for ms in days[0][1:])
-        in_days = F.col("event_date").between(F.lit(first), F.lit(last))
-    else:
-        in_days = F.col("event_date").isin([day[0] for day in days])
-    span = F.col("ts_ms").between(min((day[1] for day in days), default=0), max((day[2] for day in days), default=0))
-    return stored.filter(in_days & span)
+    times = batch.select(F.to_date("ts").alias("event_date"), _epoch_ms().alias("ms"))
+    first, last, lo, hi = times.agg(F.min("event_date"), F.max("event_date"), F.min("ms"), F.max("ms")).first()
+    near = stored.filter(F.col("event_date").between(F.lit(first), F.lit(last)) & F.col("ts_ms").between(F.lit(lo), F.lit(hi)))
+    return near.join(times.select("event_date").distinct(), "event_date", "left_semi")
+
 
+DUPLICATE_KEYS = ("trace_id", "ts")
 
-def new_rows(batch: DataFrame, stored: DataFrame) -> DataFrame:
-    """Rows of the batch whose (trace_id, ts) is neither stored nor earlier in the batch."""
-    fresh = first_of_each(normalized(batch), ["trace_id", "ts"], ["id"])
-    known = touched_rows(batch, stored).select("trace_id", "ts")
-    return fresh.join(known, ["trace_id", "ts"], "left_anti").select(*EVENT_COLUMNS)
 
+def _first_rows(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return first_of_each(normalized(batch), list(keys), [c for c in ("ts", "id") if c not in keys])
 
-def append_new(batch: DataFrame, path: str) -> None:
-    """Append a batch so that repeating it, or any event in it, adds nothing."""
+
+def new_rows(batch: DataFrame, stored: DataFrame, keys: Sequence[str] = DUPLICATE_KEYS) -> DataFrame:
+    """Rows of the batch whose keys are neither stored nor earlier in the batch.
+
+    Keys with ts are looked up in the touched days only; a trace_id alone may be stored on any day.
+    """
+    fresh = _first_rows(batch, keys)
+    known = touched_rows(normalized(batch), stored) if "ts" in keys else stored
+    return fresh.join(known.select(*keys), list(keys), "left_anti").select(*EVENT_COLUMNS)
+
+
+def append_new(batch: DataFrame, path: str, keys: Sequence[str] = DUPLICATE_KEYS) -> None:
+    """Append a batch so that repeating it, or any event in it, adds nothing. keys: (trace_id, ts), or trace_id alone."""
     spark = batch.sparkSession
     if path_exists(spark, path):
-        batch = new_rows(batch, read_store(spark, path))
+        batch = new_rows(batch, read_store(spark, path), keys)
     else:
-        batch = first_of_each(normalized(batch), ["trace_id", "ts"], ["id"])
+        batch = _first_rows(batch, keys)
     append_batch(batch, path)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """What a folder holds, by one listing."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return [status.getPath().getName() for status in _file_system(spark, root).listStatus(root)]
+
+
 def day_directories(spark: SparkSession, path: str) -> dict[dt.date, str]:
     """The stored days by one listing of the table's folder; no file is opened."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    names = [status.getPath().getName() for status in _file_system(spark, root).listStatus(root)]
-    days = (re.fullmatch(r"event_date=(\d{4}-\d{2}-\d{2})", name) for name in names)
+    days = (re.fullmatch(r"event_date=(\d{4}-\d{2}-\d{2})", name) for name in folder_names(spark, path))
     return {dt.date.fromisoformat(day[1]): f"{path}/{day[0]}" for day in days if day}
 
 
@@ -159,9 +171,21 @@ def drop_days_before(spark: SparkSession, path: str, first_kept: dt.date) -> lis
     return sorted(expired)
 
 
-def retain_days(spark: SparkSession, path: str, days: int) -> DataFrame:
+def expired_days(spark: SparkSession, path: str, days: int, as_of: dt.date | None = None) -> list[dt.date]:
+    """The stored days more than `days` before the newest one, which retain_days would remove.
+
+    A day after as_of (today by default) is an event with a wrong clock. Counted from it, everything else would have
+    expired, so it is an error.
+    """
+    stored = sorted(day_directories(spark, path))
+    limit = as_of or dt.datetime.now(dt.timezone.utc).date()
+    if late := [day.isoformat() for day in stored if day > limit]:
+        raise ValueError(f"{path} has days after {limit}: {', '.join(late)}")
+    return [day for day in stored if day < stored[-1] - dt.timedelta(days=days)]
+
+
+def retain_days(spark: SparkSession, path: str, days: int, as_of: dt.date | None = None) -> DataFrame:
     """Drop every day more than `days` before the newest stored one and return what remains."""
-    stored = day_directories(spark, path)
-    if stored:
-        drop_days_before(spark, path, max(stored) - dt.timedelta(days=days))
+    if expired := expired_days(spark, path, days, as_of):
+        drop_days_before(spark, path, expired[-1] + dt.timedelta(days=1))
     return read_store(spark, path)

@@ -32,19 +32,13 @@ ERROR_PENALTIES = (0, 500, 1500, 5000)
 # Newest possible time and length of the generated period.
 PERIOD_END, PERIOD_SECONDS = "2026-10-03 00:00:00", 7 * 86400
 
-MESSAGES = {
-    "ERROR": ("upstream call timed out", "transaction rolled back after deadlock", "bad gateway from provider",
-              "signature of token has expired", "charge declined by gateway", "worker ran out of memory"),
-    "WARN": ("query took longer than expected", "close to the request quota", "call retried",
-             "cache had no entry", "heap is nearly full"),
-    "INFO": ("request served", "user signed in", "order moved to shipping", "push batch sent", "expired cart released"),
-    "DEBUG": ("name resolved", "pool state sampled", "headers parsed", "feature flag read"),
-}
-
-
 def _uniform(salt: int, seed: int) -> Column:
-    """A number in (0, 1) from the row id: 52 bits of a hash, offset by a half so that neither end occurs."""
-    bits = F.shiftrightunsigned(F.xxhash64("id", F.lit(seed), F.lit(salt)), 12)
+    """A number in (0, 1) from the row id: 52 bits of a digest, offset by a half so that neither end occurs.
+
+    The digest is of text, which any engine can repeat; each holds the bits of two numbers.
+    """
+    digest = F.md5(F.concat_ws(":", F.lit(seed), F.lit(salt // 2), "id"))
+    bits = F.conv(F.substring(digest, 1 + 16 * (salt % 2), 13), 16, 10).cast("bigint")
     return (bits.cast("double") + 0.5) / F.lit(float(2**52))
 
 
@@ -53,6 +47,12 @@ def _pick(values: tuple, salt: int, seed: int) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), index)
 
 
+def _message() -> Column:
+    """What the event says of itself: how its call ended, after how long, and its number."""
+    outcome = F.when(F.col("level") == "ERROR", "failed").when(F.col("level") == "WARN", "was slow").when(F.col("level") == "INFO", "done").otherwise("traced")
+    return F.concat_ws(" ", F.element_at(F.split("endpoint", "/"), -1), outcome, F.concat(F.lit("after="), F.col("latency_ms"), F.lit("ms")), F.concat(F.lit("n="), F.col("id")))
+
+
 def synthesize(ids: DataFrame, seed: int = 42, end: Moment = PERIOD_END, seconds: int = PERIOD_SECONDS) -> DataFrame:
     """One event per row of a frame with a column id."""
     level_draw = _uniform(3, seed)
@@ -68,10 +68,6 @@ def synthesize(ids: DataFrame, seed: int = 42, end: Moment = PERIOD_END, seconds
     base = F.floor(F.exp(LATENCY_MU + LATENCY_SIGMA * normal)).cast("int")
     penalty = F.when(F.col("level") == "ERROR", _pick(ERROR_PENALTIES, 8, seed)).otherwise(0)
 
-    text = F.lit(None).cast("string")
-    for name, values in MESSAGES.items():
-        text = F.when(F.col("level") == name, _pick(values, 9, seed)).otherwise(text)
-
     offset_ms = F.floor(_uniform(4, seed) * (seconds * 1000))
     start = ntz(end) - F.make_dt_interval(secs=F.lit(seconds))
     digest = F.md5(F.concat_ws(":", F.lit(seed), "id"))
@@ -93,9 +89,9 @@ def synthesize(ids: DataFrame, seed: int = 42, end: Moment = PERIOD_END, seconds
                 "service": F.element_at(F.array(*[F.lit(s) for s in SERVICES]), F.col("_service")),
                 "endpoint": F.element_at(F.element_at(paths, F.col("_service")), call),
                 "latency_ms": base + penalty,
-                "message": text,
             }
         )
+        .withColumn("message", _message())
         .select(*EVENT_COLUMNS)
     )
 

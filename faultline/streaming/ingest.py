@@ -1,24 +1,29 @@
 """From queue messages to the store, the quarantine, the dead letters and the raw archive.
 
 Each batch may be delivered again after a failure, so every write can be repeated: the store by its
-duplicate rule, the others because a batch owns a path.
+duplicate rule, the others because a batch owns a folder within each day. Days come first in these folders, so that a batch lists
+and reads the days it is about, however many batches came before.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from faultline.functions.ranking import first_of_each
 from faultline.operators.quality import MAX_RECEIVES, accepted, parse_messages, rejected
-from faultline.sources.store import append_new, path_exists
-from faultline.streaming.jobs import MESSAGE_SCHEMA, run_available
+from faultline.sources.store import append_new, folder_names, path_exists
+from faultline.streaming.jobs import BROKEN_LINE, MESSAGE_SCHEMA, run_available
 
 MESSAGE_COLUMNS = ["message_id", "sent_at", "body", "receive"]
 QUARANTINE_SCHEMA = (
-    "message_id string, sent_at timestamp_ntz, body string, receive int, reject_reason string, batch bigint, sent_date date"
+    "message_id string, sent_at timestamp_ntz, body string, receive int, reject_reason string, sent_date date, batch bigint"
 )
+#: The folder of messages without a time.
+NO_DAY = "sent_date=__HIVE_DEFAULT_PARTITION__"
 DEAD_LETTER_SCHEMA = "message_id string, receives bigint, reject_reason string, body string, batch bigint"
 
 
@@ -47,72 +52,99 @@ class Sinks:
         return f"{self.root}/checkpoint"
 
 
-def archive_raw(messages: DataFrame, path: str) -> None:
-    """Whole messages as gzip JSON lines."""
-    lines = messages.select(F.to_json(F.struct(*MESSAGE_COLUMNS)).alias("value"))
-    lines.write.mode("overwrite").option("compression", "gzip").text(path)
+def with_broken_lines(messages: DataFrame) -> DataFrame:
+    """Landed lines that are no messages get the line as their body."""
+    if BROKEN_LINE not in messages.columns:
+        messages = messages.withColumn(BROKEN_LINE, F.lit(None).cast("string"))
+    return messages.withColumn("body", F.coalesce(BROKEN_LINE, "body"))
+
+
+def parse_landed(messages: DataFrame) -> DataFrame:
+    """parse_messages, with broken lines rejected as such."""
+    parsed = parse_messages(with_broken_lines(messages))
+    reason = F.when(F.col(BROKEN_LINE).isNotNull(), F.lit("broken envelope")).otherwise(F.col("reject_reason"))
+    return parsed.withColumn("reject_reason", reason)
+
+
+def _in_days(rows: DataFrame, batch_id: int):
+    dated = rows.withColumn("batch", F.lit(batch_id).cast("bigint"))
+    return dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("sent_date", "batch")
+
+
+def archive_raw(messages: DataFrame, path: str, batch_id: int) -> None:
+    """Whole messages as gzip JSON lines; a line that was no message is archived as it came."""
+    line = F.coalesce(BROKEN_LINE, F.to_json(F.struct(*MESSAGE_COLUMNS)))
+    lines = messages.select(line.alias("value"), F.to_date("sent_at").alias("sent_date"))
+    _in_days(lines, batch_id).option("compression", "gzip").text(path)
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(f"{MESSAGE_SCHEMA}, batch bigint").json(path).drop("batch")
+    reader = spark.read.schema(f"{MESSAGE_SCHEMA}, {BROKEN_LINE} string, sent_date date, batch bigint")
+    return reader.option("columnNameOfCorruptRecord", BROKEN_LINE).json(path).drop("sent_date", "batch")
 
 
 def read_quarantine(spark: SparkSession, sinks: Sinks) -> DataFrame:
     return spark.read.schema(QUARANTINE_SCHEMA).parquet(sinks.quarantine)
 
 
+def read_quarantine_days(spark: SparkSession, sinks: Sinks, first: dt.date, last: dt.date) -> DataFrame:
+    """The quarantine of messages sent on these days or with no time; other days' folders are not listed."""
+    days = {f"sent_date={first + dt.timedelta(days=n)}" for n in range((last - first).days + 1)} | {NO_DAY}
+    paths = [f"{sinks.quarantine}/{name}" for name in folder_names(spark, sinks.quarantine) if name in days]
+    return spark.read.schema(QUARANTINE_SCHEMA).option("basePath", sinks.quarantine).parquet(*paths)
+
+
 def read_dead_letters(spark: SparkSession, sinks: Sinks) -> DataFrame:
     return spark.read.schema(DEAD_LETTER_SCHEMA).parquet(sinks.dead_letter)
 
 
 def _write_quarantine(refused: DataFrame, sinks: Sinks, batch_id: int) -> None:
-    dated = refused.withColumn("sent_date", F.to_date("sent_at"))
-    dated.write.mode("overwrite").partitionBy("sent_date").parquet(f"{sinks.quarantine}/batch={batch_id}")
+    _in_days(refused.withColumn("sent_date", F.to_date("sent_at")), batch_id).parquet(sinks.quarantine)
 
 
-def _write_dead_letters(spark: SparkSession, sinks: Sinks, batch_id: int, max_receives: int) -> None:
+def _write_dead_letters(refused: DataFrame, sinks: Sinks, batch_id: int, max_receives: int) -> None:
     """Messages whose number of rejected receives reaches the limit in this batch.
 
     The count before the batch is taken from the same rows, so repeating a batch gives the same answer.
-    All receives of a message carry one sent_at, so only the days of this batch's rejects are read.
+    All receives of a message carry one sent_at, or none, so only the days of this batch's rejects are read. Broken lines have
+    no message to count receives of. Keys are counted first; bodies are fetched for the letters alone, from this batch.
     """
-    history = read_quarantine(spark, sinks).filter(F.col("batch") <= batch_id)
-    current = history.filter(F.col("batch") == batch_id)
-    lo, hi = current.agg(F.min("sent_date"), F.max("sent_date")).first()
-    if lo is None:
+    spark = refused.sparkSession
+    refused = refused.filter(F.col("message_id").isNotNull())
+    some, first, last = refused.agg(F.count("*"), F.min(F.to_date("sent_at")), F.max(F.to_date("sent_at"))).first()
+    if not some:
         return
+    day = dt.date(1970, 1, 1)
+    history = read_quarantine_days(spark, sinks, first or day, last or day)
     now = F.count_if(F.col("batch") == batch_id)
-    letters = (
-        history.filter(F.col("sent_date").between(F.lit(lo), F.lit(hi)))
+    counted = (
+        history.filter((F.col("batch") <= batch_id) & F.col("message_id").isNotNull())
         .groupBy("message_id")
-        .agg(
-            F.count("*").alias("receives"),
-            now.alias("_now"),
-            F.max("reject_reason").alias("reject_reason"),
-            F.max("body").alias("body"),
-        )
+        .agg(F.count("*").alias("receives"), now.alias("_now"))
         .filter((F.col("receives") >= max_receives) & (F.col("receives") - F.col("_now") < max_receives))
         .drop("_now")
     )
+    bodies = first_of_each(refused.select("message_id", "reject_reason", "body", "receive"), ["message_id"], ["receive"]).drop("receive")
+    letters = counted.join(bodies, "message_id").select("message_id", "receives", "reject_reason", "body")
     letters.write.mode("overwrite").parquet(f"{sinks.dead_letter}/batch={batch_id}")
 
 
 def ingest_batch(messages: DataFrame, batch_id: int, sinks: Sinks, max_receives: int = MAX_RECEIVES) -> None:
-    spark = messages.sparkSession
-    parsed = parse_messages(messages).persist()
+    parsed = parse_landed(messages).persist()
     try:
-        archive_raw(parsed, f"{sinks.archive}/batch={batch_id}")
+        archive_raw(parsed, sinks.archive, batch_id)
         append_new(accepted(parsed), sinks.store)
-        _write_quarantine(rejected(parsed, MESSAGE_COLUMNS), sinks, batch_id)
-        if path_exists(spark, f"{sinks.quarantine}/batch={batch_id}"):
-            _write_dead_letters(spark, sinks, batch_id, max_receives)
+        refused = rejected(parsed, MESSAGE_COLUMNS)
+        _write_quarantine(refused, sinks, batch_id)
+        if path_exists(messages.sparkSession, sinks.quarantine):
+            _write_dead_letters(refused, sinks, batch_id, max_receives)
     finally:
         parsed.unpersist()
 
 
-def ingest(messages: DataFrame, sinks: Sinks, max_receives: int = MAX_RECEIVES) -> None:
+def ingest(messages: DataFrame, sinks: Sinks, max_receives: int = MAX_RECEIVES, parts: int | None = None) -> None:
     """Run the ingest over all waiting messages."""
     writer = messages.writeStream.foreachBatch(
         lambda batch, batch_id: ingest_batch(batch, batch_id, sinks, max_receives)
     )
-    run_available(messages.sparkSession, writer, sinks.checkpoint)
+    run_available(messages.sparkSession, writer, sinks.checkpoint, parts)

@@ -61,7 +61,7 @@ def stream_threshold_alerts(events: DataFrame, rules: Sequence[Rule], delay: str
         counted = windowed_counts(events, f"{minutes} minutes", delay).select(
             "service", F.col("window.start").cast("timestamp_ntz").alias("window_start"), "total_events", "error_events"
         )
-        parts.append(broken_rules(with_rules(counted, [rule for rule in rules if rule.window_minutes == minutes])))
+        parts.append(broken_rules(with_rules(counted.withColumn("window_minutes", F.lit(minutes)), rules)))
     columns = ["rule", "service", "window_start", "window_minutes", "total_events", "error_events", "error_rate_pct"]
     return reduce(DataFrame.union, [part.select(*columns) for part in parts])
 
@@ -72,8 +72,6 @@ def stream_error_sessions(events: DataFrame, gap: str, delay: str) -> DataFrame:
     Other events have no gap, which leaves them out. A filter would be moved below the watermark,
     and a session would then stay open until the next errors instead of the next events.
     """
-    # Sessions of one service meet in one task; merging them before the shuffle as well keeps that small.
-    events.sparkSession.conf.set("spark.sql.sessionWindow.merge.sessions.in.local.partition", "true")
     own_gap = F.when(is_error(), F.lit(gap)).otherwise(F.lit("0 seconds"))
     timed = with_event_time(events, delay)
     sessions = timed.groupBy("service", F.session_window("ts", own_gap)).agg(F.count("*").alias("error_events"))

@@ -94,16 +94,10 @@ def test_rules_by_service_and_for_all(events_of):
     ]
 
 
-def test_rules_are_broadcast_only_while_few(events_of, monkeypatch):
-    df = events_of(windows_with_errors(4))
-    rules = [alerts.Rule("any", 60, 1, 1.0)]
-    hinted = alerts.threshold_alerts(df, rules)
-    monkeypatch.setattr(alerts, "MAX_BROADCAST_RULES", 0)
-    plain = alerts.threshold_alerts(df, rules)
-    assert "broadcast" in hinted._jdf.queryExecution().logical().toString().lower()
-    assert "broadcast" not in plain._jdf.queryExecution().logical().toString().lower()
-    assert rows_of(hinted) == rows_of(plain)
-    assert "NestedLoop" not in plain._jdf.queryExecution().executedPlan().toString()
+def test_rules_carry_no_hint_and_join_by_equality(events_of):
+    found = alerts.threshold_alerts(events_of(windows_with_errors(4)), [alerts.Rule("any", 60, 1, 1.0)])
+    assert "broadcast" not in found._jdf.queryExecution().logical().toString().lower()
+    assert "NestedLoop" not in found._jdf.queryExecution().executedPlan().toString() and found.count()
 
 
 def test_spike_needs_history_and_counts_empty_windows_as_zero(events_of):

@@ -13,7 +13,7 @@ from tests.conftest import at, event, rows_of
 @pytest.fixture(scope="module")
 def stored(spark):
     path = work_path(spark, "store-test")
-    store.write_daily(synthetic_events(spark, 40_000), path, files=16)
+    store.write_daily(synthetic_events(spark, 40_000), path, "errorifexists", files=16)
     return path
 
 
@@ -49,14 +49,14 @@ def rows_scanned(df):
 
 def test_row_groups_outside_the_hour_are_skipped(spark, events_of):
     rows = [event(i, dt.datetime(2024, 1, 1) + dt.timedelta(milliseconds=1234 * i), message=f"{i * 7919 % 100_003} " * 40) for i in range(20_000)]
-    path = store.write_daily(events_of(rows), work_path(spark, "groups"), files=1, row_group_bytes=200_000)
+    path = store.write_daily(events_of(rows), work_path(spark, "groups"), "errorifexists", files=1, row_group_bytes=200_000)
     hour = analytics.window_events(store.read_store(spark, path), "a-service", "2024-01-01 03:00:00", "2024-01-01 03:10:00")
     assert len(hour.collect()) == 486
     assert rows_scanned(hour) < 5_000
 
 
 def test_bounds_finer_than_a_millisecond_keep_their_rows(spark, events_of):
-    path = store.write_daily(events_of([event(i, f"2024-01-01 00:00:00.00{i}") for i in range(5)]), work_path(spark, "fine"))
+    path = store.write_daily(events_of([event(i, f"2024-01-01 00:00:00.00{i}") for i in range(5)]), work_path(spark, "fine"), "errorifexists")
     table = store.read_store(spark, path)
     assert rows_of(time_range(table, "2024-01-01 00:00:00.000500", "2024-01-01 00:00:00.003500"), "id") == [(1,), (2,), (3,)]
     assert rows_of(time_range(table, "2024-01-01 00:00:00.001", "2024-01-01 00:00:00.003"), "id") == [(1,), (2,)]
@@ -95,27 +95,18 @@ def test_files_hold_short_stretches(spark, stored):
 def test_a_day_with_most_rows_is_spread_over_tasks(spark, events_of):
     rows = [event(i, dt.datetime(2024, 1, 1) + dt.timedelta(seconds=i)) for i in range(4000)]
     rows += [event(10_000 + i, f"2024-01-{2 + i:02d}") for i in range(10)]
-    path = store.write_daily(events_of(rows), work_path(spark, "hot-day"), files=8)
+    path = store.write_daily(events_of(rows), work_path(spark, "hot-day"), "errorifexists", files=8)
     hot = store.read_store(spark, path).filter("event_date = DATE '2024-01-01'")
     sizes = [r["count"] for r in hot.selectExpr("input_file_name() f").groupBy("f").count().collect()]
     assert len(sizes) >= 6 and max(sizes) < 1500
 
 
-def test_write_tasks_grow_with_the_input(spark, stored, events_of, monkeypatch):
-    known = store.read_store(spark, stored).drop("event_date")
-    assert store.write_tasks(known) is None
-    monkeypatch.setattr(store, "TASK_BYTES", 10_000)
-    tasks = store.write_tasks(known)
-    assert tasks > 50 and store.write_tasks(known.union(known)) >= 2 * tasks - 1
-    assert store.write_tasks(events_of([event(1)])) is None
-
-
 def test_overwrite_replaces_and_append_adds(spark, events_of):
     path = work_path(spark, "modes")
-    store.write_daily(events_of([event(1)]), path)
+    store.write_daily(events_of([event(1)]), path, "overwrite")
     store.append_batch(events_of([event(2, "2024-01-05")]), path)
     assert rows_of(store.read_store(spark, path), "id") == [(1,), (2,)]
-    store.write_daily(events_of([event(3)]), path)
+    store.write_daily(events_of([event(3)]), path, "overwrite")
     assert rows_of(store.read_store(spark, path), "id", "event_date") == [(3, dt.date(2024, 1, 1))]
 
 
@@ -165,16 +156,59 @@ def test_only_touched_days_are_looked_up(spark, stored):
     assert "GreaterThanOrEqual(ts_ms" in plan and store.new_rows(batch.limit(0), known).count() == 0
 
 
-def test_too_many_days_fall_back_to_a_range(spark, stored, events_of, monkeypatch):
-    monkeypatch.setattr(store, "MAX_LISTED_DAYS", 1)
+def test_days_between_are_left_out_without_a_list(spark, stored, events_of):
     known = store.read_store(spark, stored)
     assert store.new_rows(known.drop("event_date", "ts_ms"), known).count() == 0
     older = events_of([event(1, "1969-12-31 23:59:59.999"), event(2, "2030-01-01")])
-    assert store.new_rows(older, known).count() == 2
+    assert store.touched_rows(older, known).count() == 0 and store.new_rows(older, known).count() == 2
+
+
+def test_every_write_normalizes(spark, events_of):
+    path = work_path(spark, "normalized")
+    odd = events_of([event(1, "2024-01-01 00:00:00.123456", trace="AB" * 18)])
+    store.append_batch(odd, path)
+    store.append_new(odd, path)
+    assert rows_of(store.read_store(spark, path), "trace_id", "ts") == [("ab" * 18, at("2024-01-01 00:00:00.123"))]
+
+
+def test_trace_alone_is_a_duplicate_on_any_day(spark, events_of):
+    path = work_path(spark, "trace-alone")
+    store.append_new(events_of([event(1, trace="ab" * 18)]), path, ["trace_id"])
+    store.append_new(events_of([event(2, "2025-05-05", trace="AB" * 18), event(3, "2025-05-06"), event(4, "2025-05-05", trace=f"{3:036d}")]), path, ["trace_id"])
+    assert rows_of(store.read_store(spark, path), "id") == [(1,), (4,)]
+
+
+def test_compaction_keeps_rows_and_lessens_files(spark, events_of):
+    path, day = work_path(spark, "compacted"), dt.date(2024, 1, 1)
+    for i in range(5):
+        store.append_batch(events_of([event(10 * i + j, f"2024-01-0{1 + j % 2} 00:00:0{i}") for j in range(4)]), path)
+    before = rows_of(store.read_store(spark, path))
+    store.compact_day(spark, path, day, files=1)
+    assert rows_of(store.read_store(spark, path)) == before
+    files = store.folder_names(spark, f"{path}/event_date=2024-01-01")
+    assert sum(name.endswith(".parquet") and not name.startswith(".") for name in files) == 1
+    assert len(store.folder_names(spark, f"{path}/event_date=2024-01-02")) >= 5
+
+
+def test_a_day_ahead_of_the_clock_stops_retention(spark, events_of):
+    path = store.write_daily(events_of([event(i, f"2024-01-0{i}") for i in range(1, 10)] + [event(99, "2099-01-01")]), work_path(spark, "ahead"), "errorifexists")
+    with pytest.raises(ValueError, match="2099-01-01"):
+        store.retain_days(spark, path, 7)
+    assert store.read_store(spark, path).count() == 10
+    assert store.expired_days(spark, path, 7, dt.date(2099, 1, 1))[-1] == dt.date(2024, 1, 9)
+
+
+def test_level_order_scans_fewer_rows(spark):
+    events = synthetic_events(spark, 60_000)
+    paths = [store.write_daily(events, work_path(spark, "order"), "errorifexists", files=4, row_group_bytes=100_000, order=o) for o in (store.TIME_ORDER, store.LEVEL_ORDER)]
+    lookups = [analytics.error_lookup(store.read_store(spark, p), "auth-service", "2026-10-01", "2026-10-02") for p in paths]
+    assert lookups[0].collect() == lookups[1].collect()
+    by_time, by_level = (rows_scanned(df) for df in lookups)
+    assert by_level < by_time
 
 
 def test_retention_drops_whole_days(spark, stored):
-    path = store.write_daily(store.read_store(spark, stored), work_path(spark, "retain-test"))
+    path = store.write_daily(store.read_store(spark, stored), work_path(spark, "retain-test"), "errorifexists")
     kept = store.retain_days(spark, path, 2)
     assert sorted(store.day_directories(spark, path)) == [dt.date(2026, 9, 30), dt.date(2026, 10, 1), dt.date(2026, 10, 2)]
     assert kept.agg({"ts": "min"}).first()[0] >= at("2026-09-30")
@@ -192,7 +226,7 @@ def test_overflow_names_the_missing_partition(events_of):
 
 def test_bloom_filter_option_writes(spark, events_of):
     path = store.write_daily(
-        events_of([event(i) for i in range(100)]), work_path(spark, "bloom"), row_group_bytes=1 << 20, trace_bloom=True
+        events_of([event(i) for i in range(100)]), work_path(spark, "bloom"), "errorifexists", row_group_bytes=1 << 20, trace_bloom=True
     )
     assert store.read_store(spark, path).filter(f"trace_id = '{7:036d}'").count() == 1
 
