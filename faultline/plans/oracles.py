@@ -400,7 +400,7 @@ _ON_RECEIVED = {
         SELECT CASE WHEN id % 64 = 9 THEN 'broken envelope' ELSE reject_reason END AS reject_reason, count(*) AS row_count,
           cast(sum(CASE WHEN id % 64 = 9 THEN length({_CUT}) ELSE 0 END) AS bigint) AS broken_chars
         FROM received WHERE id % 64 = 9 OR reject_reason IS NOT NULL GROUP BY 1""",
-    "landed_archive": f"SELECT CASE WHEN id % 64 = 9 THEN {_CUT} END AS line, count(*) AS row_count FROM received GROUP BY 1",
+    "landed_archive": f"SELECT CASE WHEN id % 64 = 9 THEN {_CUT} END AS line, count(*) AS row_count, count(*) FILTER (id % 64 <> 9) AS message_count FROM received GROUP BY 1",
     "landed_dead_letter": _DEAD.replace("WHERE", "WHERE id % 64 <> 9 AND"),
 }
 

@@ -528,7 +528,7 @@ def landed_ingest(spark, sf_dir):
 def landed_archive(spark, sf_dir):
     """The broken lines as archived, and the number of whole messages."""
     archived = ingest.read_archive(spark, _landed(spark, sf_dir, _version(spark, sf_dir)).archive)
-    return archived.groupBy(F.col(jobs.BROKEN_LINE).alias("line")).agg(F.count("*").alias("row_count"))
+    return archived.groupBy(F.col(jobs.BROKEN_LINE).alias("line")).agg(F.count("*").alias("row_count"), F.count("message_id").alias("message_count"))
 
 
 @query
