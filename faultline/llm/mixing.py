@@ -32,6 +32,7 @@ EPOCHS = 2
 BLOCK_BITS = 10
 BLOCKS = 1 << BLOCK_BITS
 SHARDS = 16
+SLICES = 4096
 SEED = "mix-1"
 WORD = r"[^\x20\x09-\x0D]+"
 _UNIT = ("doc_id", "source", "size")
@@ -162,12 +163,13 @@ def digest(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
 
 
 def mix(docs: DataFrame, shards: int = SHARDS, shard: str | None = None) -> DataFrame:
-    """The documents as often as they are drawn, with all their columns; each shard is written together, in an order of its own.
+    """The documents as often as they are drawn, with all their columns; each shard in an order of its own.
 
     `shard` names a column for the shard's number; a column of docs with that name is replaced.
     """
     found = _with_plan(docs, shards).select("*", F.posexplode("shards").alias("epoch", "shard"))
     found = found.withColumn("order", F.xxhash64(F.lit(SEED), "shard", "epoch", "doc_id", "size"))
-    found = found.repartition("shard", F.pmod("order", F.lit(16))).sortWithinPartitions("shard", "order")
+    # A shard is dealt over as many tasks as the session's shuffles have; by slices of its order, each is a shuffled part of it.
+    found = found.repartition("shard", F.pmod("order", F.lit(SLICES))).sortWithinPartitions("shard", "order")
     kept = [F.col(f"own_{i}").alias(c) for i, c in enumerate(docs.columns) if c != shard]
     return found.select(*kept, *([F.col("shard").alias(shard)] if shard else []))
