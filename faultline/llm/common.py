@@ -63,7 +63,7 @@ def class_counts(labels: DataFrame, label: str, folds: int, fold_out: int) -> tu
 class Cache(dict):
     """Values by key, computed on first use; emptied when it holds `most` entries, which bounds a worker's memory."""
 
-    def __init__(self, make, most: int = 400_000):
+    def __init__(self, make, most: int = 150_000):
         super().__init__()
         self.make, self.most = make, most
 

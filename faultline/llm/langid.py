@@ -170,7 +170,8 @@ def fit(docs: DataFrame, per_lang: int = DOCS) -> Model:
     counts = picked.select("lang", "text").mapInArrow(_counts, "lang string, depth int, key long, n long")
     found = counts.groupBy("lang", "depth", "key").agg(F.sum("n").alias("n")).toArrow()
     depth, key, n = (found.column(c).to_numpy() for c in ("depth", "key", "n"))
-    column = np.array([langs.index(x) for x in found.column("lang").to_pylist()], np.int64)
+    names = found.column("lang").combine_chunks().dictionary_encode()
+    column = np.array([langs.index(x) for x in names.dictionary.to_pylist()], np.int64)[names.indices.to_numpy()]
     by_order = []
     for order in range(ORDER + 1):
         own = depth == order

@@ -102,33 +102,16 @@ class Model:
 
 
 def _leading_axes(rows: list[np.ndarray], values: list[np.ndarray], rank: int) -> np.ndarray:
-    """The leading right singular vectors of a sparse matrix of DIMENSIONS columns, by power iteration on random vectors."""
+    """The leading right singular vectors of a sparse matrix of DIMENSIONS columns, by power iteration on random vectors.
+
+    Products are made axis by axis, which holds no more than the matrix's own values at once.
+    """
     row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     column, value = np.concatenate(rows), np.concatenate(values)
-
-    def times(x: np.ndarray) -> np.ndarray:  # matrix @ x
-        out = np.zeros((len(rows), x.shape[1]))
-        starts = np.searchsorted(row, np.arange(len(rows)))
-        for low in range(0, len(rows), 256):
-            a, b = starts[low], starts[low + 256] if low + 256 < len(rows) else len(row)
-            out[low : low + 256] = np.add.reduceat(value[a:b, None] * x[column[a:b]], starts[low : low + 256] - a)
-        return out
-
-    order = np.argsort(column, kind="stable")
-    c_sorted, firsts = np.unique(column[order], return_index=True)
-
-    def back(y: np.ndarray) -> np.ndarray:  # matrix.T @ y
-        out = np.zeros((DIMENSIONS, y.shape[1]))
-        lasts = np.append(firsts[1:], len(order))
-        for low in range(0, len(c_sorted), 1024):
-            a, b = firsts[low], lasts[min(low + 1024, len(c_sorted)) - 1]
-            at = order[a:b]
-            out[c_sorted[low : low + 1024]] = np.add.reduceat(value[at, None] * y[row[at]], firsts[low : low + 1024] - a)
-        return out
-
     basis = np.random.default_rng(11).standard_normal((DIMENSIONS, rank))
     for _ in range(3):
-        basis, _ = np.linalg.qr(back(times(basis)))
+        image = np.stack([np.bincount(row, value * axis[column], len(rows)) for axis in basis.T])
+        basis, _ = np.linalg.qr(np.stack([np.bincount(column, value * axis[row], DIMENSIONS) for axis in image]).T)
     return basis
 
 

@@ -36,7 +36,7 @@ def byte_of_letter() -> dict[str, int]:
 class Encoder:
     """Ids of texts by a tokenizer file of lower-cased byte-level byte-pairs with word ends."""
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 200_000):
         self.library = Tokenizer.from_file(path)
         model = json.loads(open(path, encoding="utf-8").read())["model"]
         letters = byte_of_letter()
