@@ -224,11 +224,17 @@ def test_overflow_names_the_missing_partition(events_of):
     ]
 
 
-def test_bloom_filter_option_writes(spark, events_of):
-    path = store.write_daily(
-        events_of([event(i) for i in range(100)]), work_path(spark, "bloom"), "errorifexists", row_group_bytes=1 << 20, trace_bloom=True
-    )
-    assert store.read_store(spark, path).filter(f"trace_id = '{7:036d}'").count() == 1
+def test_bloom_filter_is_written(spark, events_of):
+    def size(bloom):
+        path = work_path(spark, "bloom")
+        store.write_daily(events_of([event(i) for i in range(100)]), path, "errorifexists", files=1, row_group_bytes=1 << 20, trace_bloom=bloom)
+        assert store.read_store(spark, path).filter(f"trace_id = '{7:036d}'").count() == 1
+        return spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(
+            spark._jvm.org.apache.hadoop.fs.Path(path)
+        ).getLength()
+
+    # The filter is of a fixed size, by default one megabyte at most.
+    assert size(True) > size(False) + 10_000
 
 
 class FakeSession:
