@@ -196,7 +196,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sketched = saved(docs.mapInArrow(_sketches, _SKETCH), "minhash-sketch")
     linked = sketched.where("n_shingles > 0 and doc_id is not null")
-    classes = linked.groupBy("d1", "d2").agg(F.min("doc_id").alias("id"))
+    # Written first, so that the join below has nothing but shuffles under it and a set with very many copies is split.
+    classes = saved(linked.groupBy("d1", "d2").agg(F.min("doc_id").alias("id")), "minhash-classes")
     members = saved(linked.join(classes, ["d1", "d2"]).select("doc_id", "d1", "d2", "id"), "minhash-members")
     chosen = members.where("doc_id = id").select("id", "d1", "d2").distinct()
     reps = linked.withColumnRenamed("doc_id", "id").join(chosen, ["id", "d1", "d2"])

@@ -122,8 +122,8 @@ def op3_embedding_covertree(spark, sf_dir):
 ORACLES["op3_embedding_covertree"] = """
 WITH RECURSIVE good AS (
     SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
-    WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-        AND len(list_filter(embedding, x -> x <> 0)) > 0
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0
 ), links AS MATERIALIZED (
     SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.95
 ), reach(a, b) AS (
