@@ -159,7 +159,7 @@ def threshold_alerts(events: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Windows that break a rule, for rules of any window length, in one pass over the events."""
     minutes = events.groupBy("service", bucket("1 minute").alias("_minute")).agg(*error_counts())
     seconds = F.unix_seconds(F.col("_minute").cast("timestamp"))
-    lengths = F.array(*[F.lit(n) for n in sorted({rule.window_minutes for rule in rules})])
+    lengths = F.array(*[F.lit(n) for n in sorted({rule.window_minutes for rule in rules})]).cast("array<int>")
     length = F.col("window_minutes").cast("bigint") * 60
     start = F.timestamp_seconds(seconds - F.pmod(seconds, length)).cast("timestamp_ntz")
     # Minutes are copied once for each length, not for each rule; rules meet whole windows.
