@@ -142,3 +142,27 @@ def op6_ann_postings(spark, sf_dir):
 @query
 def op7_token_counts(spark, sf_dir):
     return wordpieces.count_tokens(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op9_minhash_neardup"] = """
+WITH RECURSIVE docs AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+    FROM documents
+), listed AS (
+    SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS shingles FROM docs
+), sets AS MATERIALIZED (
+    SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM listed
+), shared AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb, count(*) AS n
+    FROM sets a JOIN sets b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+    WHERE 100 * least(a.n, b.n) >= 75 * greatest(a.n, b.n) GROUP BY ALL
+), links AS MATERIALIZED (
+    SELECT a, b FROM shared WHERE 100 * n >= 75 * (na + nb - n) UNION ALL SELECT b, a FROM shared WHERE 100 * n >= 75 * (na + nb - n)
+), reach(a, b) AS (
+    SELECT doc_id, doc_id FROM documents UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), lowest AS (
+    SELECT a, min(b) AS component_id FROM reach GROUP BY a
+)
+SELECT doc_id, len(shingles)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM listed JOIN lowest ON doc_id = a
+"""

@@ -2,8 +2,6 @@ import random
 
 import pytest
 
-from tests.conftest import spark  # noqa: F401  the same session
-
 WORDS = "alpha bravo charlie delta echo foxtrot golf hotel india juliet kilo lima mike november oscar papa".split()
 
 
@@ -43,10 +41,10 @@ EDGES = [
 
 
 @pytest.fixture(scope="session")
-def edges(spark):  # noqa: F811
+def edges(spark):
     return spark.createDataFrame(EDGES, COLUMNS).repartition(3).cache()
 
 
 @pytest.fixture(scope="session")
-def nothing(spark):  # noqa: F811
+def nothing(spark):
     return spark.createDataFrame([], COLUMNS)
