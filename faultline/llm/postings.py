@@ -7,8 +7,9 @@ distance is at most BOUNDARY times the least. Centroids are searched by best-fir
 reads the lists whose distance is at most `ratio` times the least, LEAST_LISTS at least; the ratio is set on the sample, such that it would
 have found TARGET of the true neighbours there (neighbours are nearer, so easier, in the whole table). All vectors of those lists are scored.
 
-Lists are read in blocks of about BLOCK vectors against chunks of about CHUNK queries, so a list may have any length. Equal vectors are one entry
-with their TOP + 1 smallest ids, which is all that any query's result can hold of them.
+Neighbouring lists, in the order of the halving, share a shelf of at most SHELF entries; a longer list has several shelves to itself. A query
+goes to each shelf that holds one of its lists once, in chunks of about CHUNK queries, and gets the shelf's best, so what is returned grows with
+shelves and not with lists. Equal vectors are one entry with their TOP + 1 smallest ids, which is all that any query's result can hold of them.
 
 Cases: vectors that are null, empty, zero or hold null or non-finite numbers, and null ids, take no part. Shorter vectors count as followed
 by zeros. Ties go to the smaller vec_id. With fewer candidates than TOP all are returned. A query id that occurs twice with different vectors
@@ -33,7 +34,7 @@ REPLICAS = 4
 BOUNDARY = 1.15
 LEAST_LISTS = 4
 TARGET = 0.97
-BLOCK = 4096
+SHELF = 16384
 CHUNK = 8192
 NEIGHBOURS, BEAM = 16, 16
 
@@ -123,7 +124,24 @@ def _ratio(graph: Graph, sample: np.ndarray, own: np.ndarray, top: int) -> float
     return float(np.quantile(need, TARGET)) if need else 1.0
 
 
-def search(vectors: DataFrame, every: int = 20, top: int = TOP, per_list: int = LIST, block: int = BLOCK, chunk: int = CHUNK) -> DataFrame:
+def shelves(sizes: dict[int, int], shelf: int) -> dict[int, list[int]]:
+    """The shelves of each list, given the lists' sizes."""
+    of_list: dict[int, list[int]] = {}
+    last, room = -1, 0
+    for number, size in sorted(sizes.items()):
+        if size > shelf:
+            parts = -(-size // shelf)
+            of_list[number] = [*range(last + 1, last + 1 + parts)]
+            last, room = last + parts, 0
+            continue
+        if size > room:
+            last, room = last + 1, shelf
+        of_list[number] = [last]
+        room -= size
+    return of_list
+
+
+def search(vectors: DataFrame, every: int = 20, top: int = TOP, per_list: int = LIST, shelf: int = SHELF, chunk: int = CHUNK) -> DataFrame:
     """For each vector whose id is divisible by `every`, its `top` nearest others: query_id, rank, vec_id, score."""
     spark = vectors.sparkSession
     good = usable(vectors)
@@ -151,22 +169,31 @@ def search(vectors: DataFrame, every: int = 20, top: int = TOP, per_list: int =
             found = shared.value.lists(lengthened(matrix(batch.column("embedding"), dims)), BOUNDARY, 1, REPLICAS)
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("embedding"), pa.array(found, pa.list_(pa.int64()))], names=["id", "embedding", "lists"])
 
+    posted = saved(entries.select("id", "embedding").mapInArrow(placed, "id long, embedding array<double>, lists array<long>"), "postings")
+    # As many rows as there are lists.
+    sizes = {r["list"]: r["n"] for r in posted.select(F.explode("lists").alias("list")).groupBy("list").agg(F.count("*").alias("n")).collect()}
+    of_list = shelves(sizes, shelf)
+
     def asked(batches: Batches) -> Batches:
         for batch in batches:
             rows = matrix(batch.column("embedding"), dims)
             found = shared.value.lists(np.concatenate([rows, np.zeros((len(rows), 1))], axis=1), ratio, LEAST_LISTS, lists)
-            yield pa.RecordBatch.from_arrays([batch.column("query_id"), batch.column("embedding"), pa.array(found, pa.list_(pa.int64()))], names=["query_id", "embedding", "lists"])
+            on = [sorted({s for number in some.tolist() for s in of_list.get(number, ())}) for some in found]
+            yield pa.RecordBatch.from_arrays([batch.column("query_id"), batch.column("embedding"), pa.array(on, pa.list_(pa.int64()))], names=["query_id", "embedding", "on"])
+
+    def shelve(batches: Batches) -> Batches:
+        for batch in batches:
+            # Copies of an entry in lists of one shelf are one there.
+            on = [sorted({of_list[n][id_ * 0x9E3779B1 % len(of_list[n])] for n in some}) for id_, some in zip(batch.column("id").to_pylist(), batch.column("lists").to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("embedding"), pa.array(on, pa.list_(pa.int64()))], names=["id", "embedding", "on"])
 
-    postings = entries.select("id", "embedding").mapInArrow(placed, "id long, embedding array<double>, lists array<long>")
-    postings = saved(postings.withColumn("list", F.explode("lists")).drop("lists"), "postings")
     queries = good.where(F.col("vec_id") % every == 0).groupBy(F.col("vec_id").alias("query_id")).agg(F.min("embedding").alias("embedding"))
     queries = saved(queries, "posting-queries")
     chunks = max(1, -(-queries.count() // chunk))
-    # As many rows as there are lists.
-    sizes = postings.groupBy("list").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    left = postings.join(sizes, "list").select("list", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), F.explode(F.expr(f"sequence(0, {chunks - 1})")).alias("chunk"), "id", "embedding")
-    right = queries.mapInArrow(asked, "query_id long, embedding array<double>, lists array<long>").withColumn("list", F.explode("lists"))
-    right = right.join(sizes, "list").select("list", F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"), F.pmod(F.xxhash64("query_id"), F.lit(chunks)).cast("int").alias("chunk"), "query_id", "embedding")
+    left = posted.mapInArrow(shelve, "id long, embedding array<double>, on array<long>").select(F.explode("on").alias("shelf"), "id", "embedding")
+    left = left.withColumn("chunk", F.explode(F.expr(f"sequence(0, {chunks - 1})")))
+    right = queries.mapInArrow(asked, "query_id long, embedding array<double>, on array<long>")
+    right = right.select(F.explode("on").alias("shelf"), F.pmod(F.xxhash64("query_id"), F.lit(chunks)).cast("int").alias("chunk"), "query_id", "embedding")
 
     def scored(have: pa.Table, want: pa.Table) -> pa.Table:
         out = []
@@ -187,7 +214,7 @@ def search(vectors: DataFrame, every: int = 20, top: int = TOP, per_list: int =
         query, id_, score = (np.concatenate(c) for c in zip(*out)) if out else (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
         return pa.table({"query_id": query, "id": id_, "score": score})
 
-    keys = ["list", "block", "chunk"]
+    keys = ["shelf", "chunk"]
     found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(scored, "query_id long, id long, score double")
     found = found.groupBy("query_id", "id").agg(F.max("score").alias("score"))
     found = found.withColumn("n", F.expr("row_number() over (partition by query_id order by score desc, id)")).where(f"n <= {top + 1}").drop("n")

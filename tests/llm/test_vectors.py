@@ -108,14 +108,19 @@ def test_search_of_one_list_is_exact(spark):
         assert [s for _, s in got[q]] == pytest.approx([s for _, s in best], abs=1e-12)
 
 
-def test_search_of_many_lists_and_blocks(spark):
+@pytest.mark.parametrize("shelf", [70, 900])
+def test_search_of_many_lists_and_shelves(spark, shelf):
     rows = clustered(3, 3000)
     want = nearest(rows)
-    found = postings.search(spark.createDataFrame(rows, SCHEMA), per_list=100, block=70, chunk=50).collect()
+    found = postings.search(spark.createDataFrame(rows, SCHEMA), per_list=100, shelf=shelf, chunk=50).collect()
     hits = sum(r["vec_id"] in {i for i, _ in want[r["query_id"]]} for r in found)
     assert len(found) == 20 * len(want) and hits >= 0.9 * len(found)
 
 
+def test_shelves_hold_whole_lists_or_parts_of_one():
+    assert postings.shelves({0: 5, 1: 4, 2: 25, 4: 9, 5: 1, 6: 1}, 10) == {0: [0], 1: [0], 2: [1, 2, 3], 4: [4], 5: [4], 6: [5]}
+
+
 def test_ties_and_few_candidates(spark):
     rows = [(i, [1.0, 0.0], 0, "x", "y") for i in range(0, 60)]
     out = postings.search(spark.createDataFrame(rows, SCHEMA)).where("query_id = 20").orderBy("rank").collect()
