@@ -74,18 +74,15 @@ def _split(quotas: DataFrame, shards: int) -> DataFrame:
     nodes = quotas.agg(F.sort_array(F.collect_list(F.struct(F.col("place").cast("int").alias("place"), F.col("quota").cast("int").alias("quota")))).alias("left"))
     nodes = nodes.select(F.lit(0).alias("first"), F.lit(shards).alias("width"), F.col("left").alias("has"))
     # Selection sampling: each block still to come is taken with the chance that fills the half exactly.
-    draw = f"""aggregate(has,
-        struct(cast(aggregate(has, 0L, (n, x) -> n + x.quota) as bigint) as rest,
-               cast(floor(aggregate(has, 0L, (n, x) -> n + x.quota) * floor(width / 2) / width) as bigint) as need,
-               cast(array() as array<int>) as got),
-        (state, x) -> named_struct('rest', state.rest - x.quota, 'need', state.need, 'got', state.got)).got"""
-    step = f"""aggregate(if(x.quota > 0, sequence(1, x.quota), cast(array() as array<int>)),
-        named_struct('rest', state.rest, 'need', state.need, 'k', 0),
-        (s, i) -> if((shiftrightunsigned(xxhash64('{SEED}', first, width, x.place, i), 11) / 9007199254740992.0D) * s.rest < s.need,
-            named_struct('rest', s.rest - 1, 'need', s.need - 1, 'k', s.k + 1),
-            named_struct('rest', s.rest - 1, 'need', s.need, 'k', s.k)),
+    chance = f"shiftrightunsigned(xxhash64('{SEED}', first, width, x.place, i), 11) / 9007199254740992.0D"
+    one = f"""named_struct('rest', s.rest - 1, 'need', s.need - int({chance} * s.rest < s.need), 'k', s.k + int({chance} * s.rest < s.need))"""
+    source = f"""aggregate(if(x.quota > 0, sequence(1, x.quota), cast(array() as array<int>)),
+        named_struct('rest', state.rest, 'need', state.need, 'k', 0), (s, i) -> {one},
         s -> named_struct('rest', s.rest, 'need', s.need, 'got', array_append(state.got, s.k)))"""
-    draw = draw.replace("named_struct('rest', state.rest - x.quota, 'need', state.need, 'got', state.got)", step)
+    total = "aggregate(has, 0L, (n, x) -> n + x.quota)"
+    draw = f"""aggregate(has,
+        named_struct('rest', {total}, 'need', {total} * floor(width / 2) div width, 'got', cast(array() as array<int>)),
+        (state, x) -> {source}).got"""
     halves = """inline(array(
         named_struct('first', first, 'width', cast(floor(width / 2) as int),
             'has', zip_with(has, got, (x, k) -> named_struct('place', x.place, 'quota', k))),
