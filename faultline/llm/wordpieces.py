@@ -1,11 +1,12 @@
 """Token counts by greedy longest match, in one pass over the letters and without building pieces.
 
-The vocabulary is a trie of byte strings; a word ends with a closing symbol, which pieces that end a word contain. Each trie node
+The vocabulary is a trie of byte strings; a word ends with a closing symbol, which pieces that end a word contain. The last piece of a
+word may be any piece, with or without a closing form of its own; the others have none. Each trie node
 has a failure link, the node that stands for what remains once the longest pieces of its string are taken, and the number of pieces taken
 on the way. A letter without an edge follows failure links and adds their numbers; no letter is read twice.
 
 Words: runs of small letters and bytes beyond ASCII, single digits, and runs of other signs, between ASCII white space, after lower-casing
-A-Z. A word that the vocabulary cannot spell counts as one token. Counts of chunks between white space are kept in a bounded cache.
+A-Z. A word with a byte that is no piece counts as one token; the public vocabulary has every byte. Counts of chunks between white space are kept in a bounded cache.
 
 Cases: null and empty texts have no words and no tokens. A word of any length takes time in proportion to it. Null and repeated ids
 are counted row by row.
@@ -33,15 +34,19 @@ _ROOT, _NONE = 0, -1
 
 
 def vocabulary(path: str) -> list[tuple[int, ...]]:
-    """The pieces of a byte-level vocabulary file as symbols; those that end a word end with END."""
+    """The pieces of a byte-level vocabulary file as symbols; those that end a word end with END.
+
+    Pieces without a word end come in both forms, as any of them can be a word's last: else greedy words would end on one without a way on.
+    """
     letters = byte_of_letter()
-    pieces = []
+    pieces = {}
     for token in json.loads(open(path, encoding="utf-8").read())["model"]["vocab"]:
         ends = token.endswith(WORD_END) and token != WORD_END
         body = token[: -len(WORD_END)] if ends else token
         if all(c in letters for c in body):
-            pieces.append((*(letters[c] for c in body), *([END] if ends else [])))
-    return pieces
+            piece = tuple(letters[c] for c in body)
+            pieces |= dict.fromkeys([(*piece, END)] if ends else [piece, (*piece, END)])
+    return list(pieces)
 
 
 class Automaton:

@@ -1,5 +1,6 @@
 """Token counts against taking the longest piece again and again."""
 
+import json
 import random
 
 import public_tokenizers
@@ -45,5 +46,32 @@ def test_the_vocabulary(edges, pieces):
     assert sorted(map(tuple, out), key=str) == sorted(want, key=str)
 
 
+def test_every_word_of_known_bytes_is_spelled(pieces):
+    """The pieces of the file itself: mid-word those without a word end, at the end either form."""
+    letters = wordpieces.byte_of_letter()
+    inner, last = set(), set()
+    for token in json.loads(open(public_tokenizers.path(wordpieces.VOCABULARY), encoding="utf-8").read())["model"]["vocab"]:
+        body = token.removesuffix(wordpieces.WORD_END) if token != wordpieces.WORD_END else token
+        if all(c in letters for c in body):
+            last.add(raw := bytes(letters[c] for c in body))
+            if body == token:
+                inner.add(raw)
+
+    def spelled(word):
+        n = 0
+        while word:
+            stop = len(word) if word in last else next(s for s in range(len(word) - 1, 0, -1) if word[:s] in inner)
+            word, n = word[stop:], n + 1
+        return n
+
+    automaton = wordpieces.Automaton(pieces)
+    assert [automaton.count(w.encode()) for w in ("aluxtionç", "привет", "=" * 40)] == [4, 4, 5]
+    draw = random.Random(5)
+    some = sorted(inner)
+    words = [*some, *(b"".join(draw.choices(some, k=draw.randint(2, 4))) for _ in range(3000)), *(bytes(draw.choices(range(256), k=draw.randint(1, 30))) for _ in range(1000))]
+    for word in words:
+        assert automaton.count(word) == spelled(word)
+
+
 def test_no_rows(nothing):
     assert wordpieces.count_tokens(nothing).collect() == []
