@@ -1,9 +1,10 @@
 """Best-fit packing of documents into token sequences, as a tree of local packings.
 
 Pieces are dealt into groups of about PIECES by hash. Each group packs its pieces best-fit, longest first.
-Bins that are nearly full are sequences; the others are items of the next round, in which FAN groups meet. The last group emits
-all. A group hands on its CARRY emptiest bins and emits the rest, so that no group grows with the input. The outcome
-depends on the rows alone, not on how Spark deals or repeats tasks.
+Bins that are nearly full are sequences; all others are items of the next round, dealt by hash into as many groups as their number asks for,
+about FAN * CARRY to a group, so that no group grows with the input. The last group emits all. Where a round would leave no fewer
+groups, the next one hands on only bins that are at most half full: the others have no room for one another, and best fit leaves at most one
+such bin in a group, so a group misses one place at most. The outcome depends on the rows alone, not on how Spark deals or repeats tasks.
 
 Cases: a null or empty text is a document of the closing id alone. Repeated rows and null ids are packed like any others.
 A table without rows gives no rows.
@@ -79,7 +80,7 @@ def best_fit(sizes: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.nd
     return bins, places
 
 
-def _pack(rows: pa.Table, round_: int, last: bool, length: int, nearly_full: int, carry: int) -> pa.Table:
+def _pack(rows: pa.Table, round_: int, done_from: int, length: int) -> pa.Table:
     if round_:
         rows = rows.sort_by([("bin", "ascending"), ("offset", "ascending")])
         bin_ = rows["bin"].to_numpy()
@@ -92,9 +93,7 @@ def _pack(rows: pa.Table, round_: int, last: bool, length: int, nearly_full: int
     bins, places = np.empty_like(sizes), np.empty_like(sizes)
     bins[order], places[order] = best_fit(sizes[order], length)
     fill = np.bincount(bins, sizes).astype(np.int64)
-    done = fill >= (0 if last else nearly_full)
-    left = np.flatnonzero(~done)
-    done[left[np.argsort(fill[left], kind="stable")[carry:]]] = True
+    done = fill >= done_from
     part = rows["part"][0].as_py()
     new = {"bin": (round_ << 56) + (part << 24) + bins[item], "offset": rows["offset"].to_numpy() + places[item], "done": done[bins[item]]}
     for name, values in new.items():
@@ -114,16 +113,19 @@ def pack(pieces: DataFrame, length: int = LENGTH, per_group: int = PIECES, fan:
     pieces = saved(pieces, "pieces")
     parts = max(1, -(-pieces.count() // per_group))
     rows = pieces.select("*", F.lit(-1).cast("long").alias("bin"), F.lit(0).cast("long").alias("offset"), F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(parts)).alias("part"))
-    done, round_ = None, 0
+    done, round_, done_from = None, 0, nearly_full
     while True:
-        packed = _packer(round_, parts == 1, length, nearly_full, carry)
+        packed = _packer(round_, 0 if parts == 1 else done_from, length)
         rows = saved(rows.withColumn("done", F.lit(False)).groupBy("part").applyInArrow(packed, _PLACED), "packing")
         ready = rows.where("done").drop("done", "part")
         done = ready if done is None else done.unionByName(ready)
         if parts == 1:
             return done.withColumnRenamed("bin", "sequence_id").select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
-        parts, round_ = -(-parts // fan), round_ + 1
-        rows = rows.where("not done").withColumn("part", F.col("part") % parts)
+        rows = rows.where("not done")
+        after = max(1, -(-rows.where("offset = 0").count() // (fan * carry)))
+        done_from = nearly_full if after < parts else length // 2 + 1
+        parts, round_ = after, round_ + 1
+        rows = rows.withColumn("part", F.pmod(F.xxhash64("bin"), F.lit(parts)))
 
 
 def pack_documents(docs: DataFrame, path: str | None = None) -> DataFrame:

@@ -94,3 +94,14 @@ def test_bins_beyond_the_carry_are_kept(spark):
     pieces = spark.range(900).selectExpr("id AS doc_id", "0 AS piece", "0L AS start", "600L AS length", "id AS ids_crc32")
     rows = packing.pack(pieces, 1000, per_group=100, carry=5).collect()
     assert len(rows) == 900 and len(checked(rows, 1000)) == 900
+
+
+def test_a_group_hands_on_all_its_underfull_bins(spark):
+    """Seven groups have one bin with 450 left to place, the eighth ten bins of 545."""
+    dealt = defaultdict(list)
+    for r in spark.range(400).selectExpr("id", "pmod(xxhash64(id, 0, id), 8) AS part").collect():
+        dealt[r["part"]].append(r["id"])
+    sizes = {i: 545 if part == 7 else 450 if place == 0 else 1000 for part, ids in dealt.items() for place, i in enumerate(ids[:10])}
+    pieces = spark.createDataFrame([(i, 0, 0, size, i) for i, size in sizes.items()], packing._PIECE)
+    rows = packing.pack(pieces, 1000, per_group=10, fan=8, nearly_full=990, carry=3).collect()
+    assert len(rows) == 80 and len(checked(rows, 1000)) == 63 + 10
