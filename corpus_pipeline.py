@@ -7,6 +7,8 @@ costs one stage at most.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from faultline.llm import langid, minhash, mixing, packing, quality
@@ -50,10 +52,13 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+def run(spark: SparkSession, sf_dir: str, last: Callable[[SparkSession, DataFrame, str], DataFrame] = packed) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for number, (_, stage) in enumerate(STAGES, 1):
-        docs = stage(spark, docs, sf_dir)
-        if number < len(STAGES):
-            docs = saved(docs, f"stage-{number}")
-    return docs
+    for number, (_, stage) in enumerate(STAGES[:-1], 1):
+        docs = saved(stage(spark, docs, sf_dir), f"stage-{number}")
+    return last(spark, docs, sf_dir)
+
+
+def training_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The token ids of each packed sequence, where run() returns the places of the pieces."""
+    return run(spark, sf_dir, lambda spark, docs, sf_dir: packing.sequences(docs))

@@ -6,12 +6,16 @@ about FAN * CARRY to a group, so that no group grows with the input. The last gr
 groups, the next one hands on only bins that are at most half full: the others have no room for one another, and best fit leaves at most one
 such bin in a group, so a group misses one place at most. The outcome depends on the rows alone, not on how Spark deals or repeats tasks.
 
+Only the pieces' lengths take part in the rounds. pack_ids() joins the token ids to their places afterwards, by SHA-256 of the ids;
+sequences() gives the packed sequences themselves.
+
 Cases: a null or empty text is a document of the closing id alone. Repeated rows and null ids are packed like any others.
 A table without rows gives no rows.
 """
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections.abc import Iterator
 
@@ -20,6 +24,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from faultline.llm.common import saved, slices, texts_of
 from faultline.llm.tokens import encoder
@@ -33,28 +38,42 @@ NEARLY_FULL = LENGTH - LENGTH // 128
 CARRY = 4096
 
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
-_PLACED = _PIECE + ", bin long, offset long, part long, done boolean"
+_IDS = ", ids_sha256 binary, ids array<int>"
+
+
+def _ids_columns(parts: list[bytes]) -> list[pa.Array]:
+    ends = np.cumsum([0, *(len(p) // 4 for p in parts)])
+    ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(parts), "<i4")))
+    return [pa.array([hashlib.sha256(p).digest() for p in parts], pa.binary()), ids]
 
 
-def cut(docs: DataFrame, path: str | None = None, length: int = LENGTH) -> DataFrame:
-    """Pieces of at most `length` tokens: doc_id, piece, start, length, ids_crc32. Only documents of more tokens are cut."""
+def cut(docs: DataFrame, path: str | None = None, length: int = LENGTH, with_ids: bool = False) -> DataFrame:
+    """Pieces of at most `length` tokens: doc_id, piece, start, length, ids_crc32. Only documents of more tokens are cut.
+
+    On request also ids_sha256 and ids, the token ids; crc32 and SHA-256 are those of unsigned 32-bit little-endian numbers.
+    """
     path = path or public_tokenizers.path(TOKENIZER)
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path).encode
         for batch in slices(batches):
-            rows = []
+            rows, parts = [], []
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode(texts_of(batch))):
                 ids += CLOSING_ID.to_bytes(4, "little")
                 for piece, start in enumerate(range(0, len(ids), 4 * length)):
                     part = ids[start : start + 4 * length]
                     rows.append((doc_id, piece, start // 4, len(part) // 4, zlib.crc32(part)))
+                    if with_ids:
+                        parts.append(part)
             columns = list(zip(*rows)) or [[]] * 5
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
+            arrays, names = [pa.array(c, k) for c, k in zip(columns, kinds)], ["doc_id", "piece", "start", "length", "ids_crc32"]
+            if with_ids:
+                arrays, names = arrays + _ids_columns(parts), [*names, "ids_sha256", "ids"]
+            yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return docs.mapInArrow(pieces, _PIECE)
+    return docs.mapInArrow(pieces, _PIECE + _IDS if with_ids else _PIECE)
 
 
 def best_fit(sizes: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
@@ -109,18 +128,21 @@ def _packer(*settings):
 
 
 def pack(pieces: DataFrame, length: int = LENGTH, per_group: int = PIECES, fan: int = FAN, nearly_full: int = NEARLY_FULL, carry: int = CARRY) -> DataFrame:
-    """The rows of cut() with sequence_id and offset: the place in the sequence, without gaps from 0."""
+    """The rows of cut(), with all their columns, and sequence_id and offset: the place in the sequence, without gaps from 0."""
+    columns = pieces.columns
     pieces = saved(pieces, "pieces")
     parts = max(1, -(-pieces.count() // per_group))
     rows = pieces.select("*", F.lit(-1).cast("long").alias("bin"), F.lit(0).cast("long").alias("offset"), F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(parts)).alias("part"))
     done, round_, done_from = None, 0, nearly_full
     while True:
         packed = _packer(round_, 0 if parts == 1 else done_from, length)
-        rows = saved(rows.withColumn("done", F.lit(False)).groupBy("part").applyInArrow(packed, _PLACED), "packing")
+        rows = rows.withColumn("done", F.lit(False))
+        schema = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema])
+        rows = saved(rows.groupBy("part").applyInArrow(packed, schema), "packing")
         ready = rows.where("done").drop("done", "part")
         done = ready if done is None else done.unionByName(ready)
         if parts == 1:
-            return done.withColumnRenamed("bin", "sequence_id").select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+            return done.withColumnRenamed("bin", "sequence_id").select(*columns, "sequence_id", "offset")
         rows = rows.where("not done")
         after = max(1, -(-rows.where("offset = 0").count() // (fan * carry)))
         done_from = nearly_full if after < parts else length // 2 + 1
@@ -130,3 +152,17 @@ def pack(pieces: DataFrame, length: int = LENGTH, per_group: int = PIECES, fan:
 
 def pack_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     return pack(cut(docs, path))
+
+
+def pack_ids(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """The rows of pack_documents() with ids, the token ids of each piece as an array."""
+    pieces = saved(cut(docs, path, with_ids=True), "piece-ids")
+    # Equal pieces are one row here, however often they are packed.
+    ids = pieces.groupBy("ids_sha256").agg(F.first("ids").alias("ids"))
+    return pack(pieces.drop("ids")).join(ids, "ids_sha256").drop("ids_sha256")
+
+
+def sequences(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """The packed training sequences: sequence_id, ids (at most LENGTH)."""
+    parts = pack_ids(docs, path).groupBy("sequence_id").agg(F.sort_array(F.collect_list(F.struct("offset", "ids"))).alias("parts"))
+    return parts.select("sequence_id", F.flatten("parts.ids").alias("ids"))

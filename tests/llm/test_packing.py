@@ -105,3 +105,14 @@ def test_a_group_hands_on_all_its_underfull_bins(spark):
     pieces = spark.createDataFrame([(i, 0, 0, size, i) for i, size in sizes.items()], packing._PIECE)
     rows = packing.pack(pieces, 1000, per_group=10, fan=8, nearly_full=990, carry=3).collect()
     assert len(rows) == 80 and len(checked(rows, 1000)) == 63 + 10
+
+
+def test_sequences_hold_the_ids_of_all_documents(edges, nothing, library):
+    placed = packing.pack_ids(edges).collect()
+    assert all(zlib.crc32(np.array(r["ids"], "<u4").tobytes()) == r["ids_crc32"] and len(r["ids"]) == r["length"] for r in placed)
+    assert sorted((tuple(r)[:7] for r in placed), key=str) == sorted(map(tuple, packing.pack_documents(edges).collect()), key=str)
+    rows = packing.sequences(edges).collect()
+    assert all(len(r["ids"]) <= packing.LENGTH for r in rows) and len({r["sequence_id"] for r in rows}) == len(rows)
+    want = sum((library.encode(row[1] or "", add_special_tokens=False).ids + [0] for row in EDGES), [])
+    assert sorted(x for r in rows for x in r["ids"]) == sorted(want)
+    assert packing.sequences(nothing).collect() == []
