@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -85,3 +86,11 @@ def slices(batches: Iterable[pa.RecordBatch], text: str = "text", most_bytes: in
 
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[bytes | None]:
     return batch.column(column).cast(pa.binary()).to_pylist()
+
+
+def passage(text: bytes, most: int) -> bytes:
+    """A text of at most `most` bytes itself; of a longer one whole characters of about that many, from a place chosen by its hash."""
+    if len(text) <= most:
+        return text
+    start = zlib.crc32(text) % (len(text) - most + 1)
+    return text[start : start + most].decode("utf-8", "ignore").encode()

@@ -6,8 +6,8 @@ paid and the next shorter context asked, down to 8 bits for an unseen byte. Coun
 of a text is a sum over its bytes, each a function of the byte and the ORDER before it. The language with the shortest code is predicted;
 `score` is its share of 2 ^ -code length over all languages.
 
-The trees are learned from about DOCS documents of each language, those with the smallest hashes of their ids among texts of at most BYTES
-bytes; this bounds the model, which is broadcast. Languages are the distinct labels and few, as the model has a column for each.
+The trees are learned from about DOCS documents of each language, those with the smallest hashes of their ids, and from a passage
+of BYTES bytes of longer texts; this bounds the model, which is broadcast. Languages are the distinct labels and few, as the model has a column for each.
 
 Cases: a null text or one without a letter is `und` with score 0, as is every text if nothing could be learned. Equal codes go to the
 first language by code point. Null ids are scored like others and never learned from. Very long texts are scored in pieces of whole bytes.
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faultline.llm.common import held_out, slices, texts_of
+from faultline.llm.common import held_out, passage, slices, texts_of
 
 ORDER = 4
 DOCS = 250
@@ -45,7 +45,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         by_lang: dict[str, list[bytes]] = {}
         for lang, text in zip(batch.column("lang").to_pylist(), texts_of(batch)):
-            by_lang.setdefault(lang, []).append(text.lower())
+            by_lang.setdefault(lang, []).append(passage(text, BYTES).lower())
         for lang, texts in by_lang.items():
             data = np.frombuffer(_PAD + _PAD.join(texts), np.uint8)
             for order in range(ORDER + 1):
@@ -157,8 +157,7 @@ class Model:
 
 def fit(docs: DataFrame, per_lang: int = DOCS) -> Model:
     """Learn from documents with text and a language that are not held out."""
-    known = docs.where("lang is not null and text is not null").where(~held_out(FOLDS, FOLD_OUT))
-    known = known.where(F.octet_length("text") <= BYTES).select("doc_id", "lang", "text")
+    known = docs.where("lang is not null and text is not null").where(~held_out(FOLDS, FOLD_OUT)).select("doc_id", "lang", "text")
     of_lang = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     langs = sorted(of_lang)
     if not langs:

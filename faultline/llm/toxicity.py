@@ -6,7 +6,7 @@ by accelerated proximal gradient descent: each labelled text that names a group
 for the next of its list, and FAIRNESS times the squared difference of the two scores is added. A weight that only tells groups apart so
 costs more than it gains, and neutral mentions are not scored for it.
 
-The sample has at most SAMPLE learnable documents of either class, of at most BYTES bytes each; features in fewer than LEAST_TEXTS of
+The sample has at most SAMPLE learnable documents of either class, and of longer texts a passage of BYTES bytes; features in fewer than LEAST_TEXTS of
 them are left out. Only weights other than zero are broadcast, so the model is bounded by the sample.
 
 Both classes weigh the same, so a score above one half says that a text is likelier among toxic texts than among others.
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faultline.llm.common import Cache, class_counts, held_out, labelled_sample, slices, texts_of
+from faultline.llm.common import Cache, class_counts, held_out, labelled_sample, passage, slices, texts_of
 
 FOLDS, FOLD_OUT = 5, 0
 SAMPLE = 2500  # of either class
@@ -94,6 +94,7 @@ def _sampler(swaps: dict[str, str]):
         for batch in slices(batches):
             own, swapped = [], []
             for text in texts_of(batch):
+                text = passage(text, BYTES)
                 now = places(text)
                 words = {bare(c) for c in set(text.split())}
                 own.append(np.array(sorted(now), np.int32))
@@ -176,8 +177,7 @@ class Model:
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, fairness: float = FAIRNESS, terms: Sequence[Sequence[str]] = TERMS) -> Model:
     zero, one = class_counts(labels, "toxic", FOLDS, FOLD_OUT)
     share = one / (zero + one) if zero + one else 0.0
-    short = docs.where(F.octet_length("text") <= BYTES)
-    picked = labelled_sample(short, labels, "toxic", FOLDS, FOLD_OUT, sample)
+    picked = labelled_sample(docs, labels, "toxic", FOLDS, FOLD_OUT, sample)
     table = picked.mapInArrow(_sampler(_swaps(terms)), "doc_id long, label int, own array<int>, swapped array<int>").toArrow().combine_chunks()
     label = table["label"].to_numpy().astype(np.float64)
     if not 0 < label.sum() < len(label):

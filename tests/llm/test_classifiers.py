@@ -83,3 +83,13 @@ def test_counterfactuals_spare_neutral_mentions(spark):
     other = f"{prose(9999, 8)} jews".encode()
     assert abs(fair.scores([neutral])[0] - fair.scores([other])[0]) < 0.1
     assert fair.scores([f"{prose(9999, 8)} grukk".encode()])[0] > 0.5
+
+
+def test_a_class_of_long_texts_alone_is_learned(spark):
+    rows = [document(i, prose(i, 9_000) + " vile" * 400 if i % 2 else prose(i, 40)) for i in range(40)]
+    rows = [document(r[0], " ".join(random.Random(r[0]).sample(r[1].split(), len(r[1].split())))) for r in rows]
+    assert min(len(r[1]) for r in rows if r[0] % 2) > toxicity.BYTES
+    model = toxicity.fit(spark.createDataFrame(rows, COLUMNS), spark.createDataFrame([(i, None, i % 2) for i in range(40)], LABELS))
+    assert model.intercept is not None
+    vile, plain = model.scores([b"alpha3 vile", b"alpha3 bravo5"])
+    assert vile > plain

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from faultline.llm import langid, queries
+from faultline.llm.common import passage
 from tests.conftest import TESTDATA
 from tests.llm.conftest import EDGES
 
@@ -85,5 +86,22 @@ def test_nothing_to_learn(spark, edges, nothing):
     assert {r["lang_pred"] for r in blind} == {"und"}
 
 
+def test_a_language_of_long_texts_alone_is_learned(spark):
+    short, long_ = "the cat sat on the mat and the dog ", "le château était très éloigné de la forêt "
+    rows = [(i, short * 20, "en") for i in range(40)] + [(100 + i, long_ * 2000, "fr") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert min(len(r[1].encode()) for r in rows if r[2] == "fr") > langid.BYTES
+    model = langid.fit(docs)
+    assert model.langs == ["en", "fr"]
+    found = langid.identify(spark.createDataFrame([(1, short), (2, long_)], "doc_id long, text string"), model).collect()
+    assert {r["doc_id"]: r["lang_pred"] for r in found} == {1: "en", 2: "fr"}
+
+
+def test_passages():
+    text = "aé日".encode() * 1000
+    part = passage(text, 500)
+    assert passage(text, len(text)) == text and part == passage(text, 500) and part in text and 494 <= len(part) <= 500 and part.decode()
+
+
 def test_letters():
     assert [langid.has_letter(t) for t in (None, b"", b"12 ?", "é".encode(), "日".encode(), b"x")] == [False, False, False, True, True, True]
