@@ -74,24 +74,41 @@ def _grams(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     return found.withColumn("gram", F.xxhash64("first", "second"))
 
 
-def scan(docs: DataFrame, base: Sequence[tuple[str, str]] = BASE, texts: Sequence[tuple[str, str]] = TEXTS) -> DataFrame:
-    """One row per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, and spans (template, start, cover)."""
-    docs = docs.select(F.col("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+def _plain(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+
+
+def spans(docs: DataFrame, base: Sequence[tuple[str, str]] = BASE, texts: Sequence[tuple[str, str]] = TEXTS) -> DataFrame:
+    """Where templates stand: doc_id, text_hash, template (a number), label, is_base, start, end, cover.
+
+    start is the number of the first word that voted, end that of the last one and 1. text_hash is xxhash64 of the text, empty for null; it
+    tells texts of one id apart. Rows equal in doc_id and text have their spans once.
+    """
+    docs = _plain(docs)
     words = docs.select(*_key(), F.array_remove(F.split(F.lower("text"), BREAK), "").alias("words")).where("size(words) > 1")
     pairs = words.select("doc_id", "text_hash", "words", F.explode(F.expr("sequence(0, size(words) - 2)")).alias("at"))
     pairs = pairs.select("*", F.expr("xxhash64(words[at], words[at + 1])").alias("gram"))
     # As many rows as the templates have pairs, whatever the input.
     grams = F.broadcast(_grams(docs.sparkSession, templates(base, texts)).withColumnRenamed("gram", "g"))
     same = "gram = g and words[at] = first and words[at + 1] = second and (third is null or (at + 2 < size(words) and words[at + 2] = third))"
-    votes = pairs.join(grams, F.expr(same)).select("doc_id", "text_hash", "template", "label", "is_base", "pairs", (F.col("at") - F.col("place")).alias("diagonal"), F.expr("shiftleft(1L, place)").alias("vote"))
-    lines = votes.groupBy("doc_id", "text_hash", "template", "label", "is_base", "pairs", "diagonal").agg(F.expr("bit_or(vote)").alias("votes"))
+    votes = pairs.join(grams, F.expr(same)).select("doc_id", "text_hash", "template", "label", "is_base", "pairs", "at", (F.col("at") - F.col("place")).alias("diagonal"), F.expr("shiftleft(1L, place)").alias("vote"))
+    ends = F.min("at").alias("start"), F.expr("max(at) + if(is_base, 2, 3)").alias("end")
+    lines = votes.groupBy("doc_id", "text_hash", "template", "label", "is_base", "pairs", "diagonal").agg(F.expr("bit_or(vote)").alias("votes"), *ends)
     # Phrases stand on one diagonal with all votes; those of texts are merged with their neighbours.
     by = "partition by doc_id, text_hash, template order by diagonal"
     lines = lines.withColumn("opens", F.expr(f"int(is_base or coalesce(diagonal - lag(diagonal) over ({by}) > {GAP}, true))"))
     lines = lines.withColumn("run", F.expr(f"sum(opens) over ({by})"))
-    spans = lines.groupBy("doc_id", "text_hash", "template", "label", "is_base", "pairs", "run").agg(F.min("diagonal").alias("start"), F.expr("bit_count(bit_or(votes))").alias("n"))
-    spans = spans.withColumn("cover", F.expr("cast(n as double) / pairs")).where(f"if(is_base, n = pairs, cover >= {LEAST_COVER})")
-    found = spans.groupBy("doc_id", "text_hash").agg(
+    merged = F.min("start").alias("start"), F.max("end").alias("end"), F.expr("bit_count(bit_or(votes))").alias("n")
+    found = lines.groupBy("doc_id", "text_hash", "template", "label", "is_base", "pairs", "run").agg(*merged)
+    found = found.withColumn("cover", F.expr("cast(n as double) / pairs")).where(f"if(is_base, n = pairs, cover >= {LEAST_COVER})")
+    return found.select("doc_id", "text_hash", "template", "label", "is_base", "start", "end", "cover")
+
+
+def scan(docs: DataFrame, base: Sequence[tuple[str, str]] = BASE, texts: Sequence[tuple[str, str]] = TEXTS) -> DataFrame:
+    """One row per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score: a digest of its spans()."""
+    docs = _plain(docs)
+    found = spans(docs, base, texts)
+    found = found.groupBy("doc_id", "text_hash").agg(
         F.count(F.when(F.col("is_base"), 1)).alias("n_base"),
         F.min(F.when(F.col("is_base"), F.col("start"))).alias("first_word"),
         F.max(F.when(F.col("is_base"), F.col("start"))).alias("last_word"),

@@ -40,6 +40,17 @@ def test_licenses_match_sql_on_edges(spark):
     assert labels[20] == "apache,gpl,mit" and labels[21] == "mit" and labels[22] in ("", "apache,cc")
 
 
+def test_spans_say_where_licenses_stand(spark):
+    rows = defaultdict(list)
+    for r in licenses.spans(spark.createDataFrame(LICENSED, COLUMNS)).collect():
+        rows[r["doc_id"]].append((r["label"], r["is_base"], r["start"], r["end"], r["cover"]))
+    assert sorted(rows[13]) == [("mit", True, 3, 5, 1.0), ("mit", True, 5, 7, 1.0), ("mit", True, 7, 9, 1.0)]
+    assert sorted(rows[20])[:2] == [("apache", True, 120, 122, 1.0), ("gpl", True, 0, 3, 1.0)] and len(rows[20]) == 42
+    [(label, is_base, start, end, cover)] = rows[21]
+    assert (label, is_base, start, end) == ("mit", False, 1, 21) and licenses.LEAST_COVER <= cover < 1
+    assert set(rows) == {None, 13, 20, 21, 22}
+
+
 def test_no_rows(nothing):
     assert licenses.scan(nothing).collect() == [] and mixing.digest(nothing).collect() == [] and mixing.mix(nothing).collect() == []
 
