@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faultline.llm import covertree, langid, licenses, minhash, mixing, packing, periods, postings, quality, toxicity, wordpieces
+from faultline.llm import chats, covertree, langid, licenses, minhash, mixing, packing, periods, postings, quality, toxicity, wordpieces
 from faultline.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -144,6 +144,14 @@ def op7_token_counts(spark, sf_dir):
     return wordpieces.count_tokens(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_chat_events(spark, sf_dir):
+    return chats.digest(table(spark, sf_dir, "conversations"))
+
+
+ORACLES["op11_chat_events"] = chats.ORACLE
+
+
 @query
 def op12_periodic_runs(spark, sf_dir):
     return periods.digest(table(spark, sf_dir, "documents"))
