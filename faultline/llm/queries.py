@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faultline.llm import chats, covertree, langid, licenses, minhash, mixing, packing, periods, postings, quality, toxicity, wordpieces
+from faultline.llm import chats, collocations, covertree, langid, licenses, minhash, mixing, packing, periods, postings, quality, toxicity, wordpieces
 from faultline.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -157,6 +157,13 @@ def op12_periodic_runs(spark, sf_dir):
     return periods.digest(table(spark, sf_dir, "documents"))
 
 
+@query
+def op13_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_collocations"] = collocations.oracle_sql()
+
 ORACLES["op9_minhash_neardup"] = """
 WITH RECURSIVE docs AS (
     SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
