@@ -29,6 +29,7 @@ are not read. Texts of any length are worked on in parts of PART bytes that end
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Callable, Iterable, Iterator
 from functools import reduce
 from typing import NamedTuple
@@ -169,22 +170,28 @@ def _joined(part: Part, words: np.ndarray) -> np.ndarray:
     return known[:-1] & known[1:] & (part.piece[:-1] == part.piece[1:])
 
 
-def _pair_rows(seed: int, words) -> Callable:
+def _opened(bitmap) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(bitmap.value), np.uint8)
+
+
+def _pair_rows(seed: int, word_bits) -> Callable:
     def each(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = _opened(word_bits)
         for part in _parts(batches, seed, []):
-            at = np.flatnonzero(_joined(part, words.value))
+            at = np.flatnonzero(_joined(part, words))
             yield _longs(_summed([part.hashes[at], part.hashes[at + 1]]), ["w1", "w2", "n"])
 
     return each
 
 
-def _edge_rows(seed: int, words, pairs) -> Callable:
+def _edge_rows(seed: int, word_bits, pair_bits) -> Callable:
     def each(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, pairs = _opened(word_bits), _opened(pair_bits)
         for part in _parts(batches, seed, []):
             h = part.hashes
-            joined = _joined(part, words.value)
+            joined = _joined(part, words)
             bit = (h[:-1] ^ (h[1:] >> np.uint64(7))) & _mask(PAIR_BITS)
-            joined[joined] = _in_bitmap(pairs.value, bit[joined])
+            joined[joined] = _in_bitmap(pairs, bit[joined])
             at = np.flatnonzero(joined)
             # Where the stretch of joined words that a word stands in comes to its end.
             broken = np.append(np.flatnonzero(~joined), len(joined))
@@ -195,15 +202,15 @@ def _edge_rows(seed: int, words, pairs) -> Callable:
     return each
 
 
-def _bitmap(bits: DataFrame, size: int) -> np.ndarray:
-    """The column `bit` of a table as a bitmap of 2**size bits; the driver gets that many bits, whatever the table."""
+def _bitmap(bits: DataFrame, size: int) -> bytes:
+    """The column `bit` of a table as a bitmap of 2**size bits, compressed; the driver gets that many bits, whatever the table."""
     number = F.col("bit") + 1
     rows = bits.groupBy(F.bitmap_bucket_number(number).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("bits")).collect()
     found = np.zeros((1 << size) // 8, np.uint8)
     for row in rows:
         start = (row["bucket"] - 1) * 4096
         found[start : start + 4096] = np.frombuffer(row["bits"], np.uint8)[: len(found) - start]
-    return found
+    return zlib.compress(found.tobytes(), 1)
 
 
 class Graph(NamedTuple):
