@@ -389,6 +389,9 @@ _ON_RECEIVED = {
     "quarantine_counts": """
         SELECT coalesce(reject_reason, 'accepted') AS outcome, count(*) AS row_count FROM received GROUP BY ALL""",
     "dead_letter": _DEAD,
+    "dead_letter_days": _DEAD,
+    # The third receive makes the letter, in the third batch.
+    "stream_dead_letter_days": f"SELECT message_id, cast(3 AS bigint) AS receives, reject_reason, cast(2 AS bigint) AS letter_batch FROM ({_DEAD})",
     "stream_ingest": f"SELECT DISTINCT {COLUMNS} FROM received WHERE reject_reason IS NULL",
     "archive_raw": """
         SELECT message_id, sent_at, cast(receive AS int) AS receive, coalesce(reject_reason, 'accepted') AS outcome

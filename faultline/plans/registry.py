@@ -465,14 +465,10 @@ def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return driver_events.to_log_events(driver_events.raw_event_stream(spark, sf_dir))
 
 
-#: State stores of each stateful step, for tables of the size of the driver's.
-STATE_PARTS = 8
-
-
 @lru_cache(maxsize=None)
 def _ingested(spark: SparkSession, sf_dir: str, version: tuple[int, int]) -> ingest.Sinks:
     sinks = ingest.Sinks(work_path(spark, "ingest"))
-    ingest.ingest(driver_events.messages(_stream(spark, sf_dir)), sinks, parts=STATE_PARTS)
+    ingest.ingest(driver_events.messages(_stream(spark, sf_dir)), sinks)
     return sinks
 
 
@@ -485,7 +481,7 @@ def _landed(spark: SparkSession, sf_dir: str, version: tuple[int, int]) -> inges
     """The sinks of messages that came as files of lines, some of them cut off."""
     landing, sinks = work_path(spark, "landing"), ingest.Sinks(work_path(spark, "landed"))
     driver_events.landed_lines(_events(spark, sf_dir)).write.text(landing)
-    ingest.ingest(jobs.message_stream(spark, landing), sinks, parts=STATE_PARTS)
+    ingest.ingest(jobs.message_stream(spark, landing), sinks)
     return sinks
 
 
@@ -505,6 +501,30 @@ def stream_dead_letter(spark, sf_dir):
     return ingest.read_dead_letters(spark, _sinks(spark, sf_dir)).select("message_id", "receives", "reject_reason")
 
 
+@lru_cache(maxsize=None)
+def _late_receives(spark: SparkSession, sf_dir: str, version: tuple[int, int]) -> ingest.Sinks:
+    """The sinks of messages whose receives come one at a time, sent on different days."""
+    landing, sinks = work_path(spark, "receives-landing"), ingest.Sinks(work_path(spark, "receives"))
+    messages = driver_events.later_receives(driver_events.messages(_events(spark, sf_dir)))
+    for receive in range(1, 5):
+        messages.filter(F.col("receive") == receive).write.mode("append").json(landing)
+        ingest.ingest(jobs.message_stream(spark, landing), sinks)
+    return sinks
+
+
+@query
+def stream_dead_letter_days(spark, sf_dir):
+    """Messages are counted by themselves, whenever their receives were sent and whichever batch they came in."""
+    letters = ingest.read_dead_letters(spark, _late_receives(spark, sf_dir, _version(spark, sf_dir)))
+    return letters.select("message_id", "receives", "reject_reason", F.col("batch").alias("letter_batch"))
+
+
+@query
+def dead_letter_days(spark, sf_dir):
+    messages = driver_events.later_receives(driver_events.messages(_events(spark, sf_dir)))
+    return quality.dead_letters(quality.parse_messages(messages)).drop("body")
+
+
 @query
 def archive_raw(spark, sf_dir):
     archived = ingest.parse_landed(ingest.read_archive(spark, _sinks(spark, sf_dir).archive))
@@ -540,30 +560,30 @@ def landed_dead_letter(spark, sf_dir):
 @query
 def stream_dedup(spark, sf_dir):
     once = windows.stream_dedup(driver_events.deliveries(_stream(spark, sf_dir)), DELAY)
-    return jobs.materialize(once.drop("id"), "stream-dedup", STATE_PARTS)
+    return jobs.materialize(once.drop("id"), "stream-dedup")
 
 
 @query
 def stream_dedup_trace(spark, sf_dir):
     once = windows.stream_dedup_trace(driver_events.deliveries(_stream(spark, sf_dir)), DELAY)
-    return jobs.materialize(once.drop("id", "ts"), "stream-dedup-trace", STATE_PARTS)
+    return jobs.materialize(once.drop("id", "ts"), "stream-dedup-trace")
 
 
 @query
 def stream_error_rate(spark, sf_dir):
-    return jobs.materialize(windows.stream_error_rate(_stream(spark, sf_dir), "5 minutes", DELAY), "stream-rate", STATE_PARTS)
+    return jobs.materialize(windows.stream_error_rate(_stream(spark, sf_dir), "5 minutes", DELAY), "stream-rate")
 
 
 @query
 def stream_threshold_alerts(spark, sf_dir):
-    return jobs.materialize(windows.stream_threshold_alerts(_stream(spark, sf_dir), RULES, DELAY), "stream-alerts", STATE_PARTS)
+    return jobs.materialize(windows.stream_threshold_alerts(_stream(spark, sf_dir), RULES, DELAY), "stream-alerts")
 
 
 @query
 def stream_alert_episodes(spark, sf_dir):
-    return jobs.materialize(episodes.stream_alert_episodes(_stream(spark, sf_dir), DELAY), "stream-episodes", STATE_PARTS)
+    return jobs.materialize(episodes.stream_alert_episodes(_stream(spark, sf_dir), DELAY), "stream-episodes")
 
 
 @query
 def stream_error_sessions(spark, sf_dir):
-    return jobs.materialize(windows.stream_error_sessions(_stream(spark, sf_dir), "30 minutes", DELAY), "stream-sessions", STATE_PARTS)
+    return jobs.materialize(windows.stream_error_sessions(_stream(spark, sf_dir), "30 minutes", DELAY), "stream-sessions")

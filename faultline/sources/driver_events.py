@@ -7,6 +7,7 @@ rows by a fixed rule; plans/oracles.py states the same rules in SQL.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from faultline.functions.timeframe import Moment, time_range
@@ -104,6 +105,11 @@ def messages(events: DataFrame) -> DataFrame:
     )
 
 
+def later_receives(messages: DataFrame) -> DataFrame:
+    """The messages as a sender stamps them who sends anew: every receive a day and a half after the one before."""
+    return messages.withColumn("sent_at", F.expr("sent_at + make_dt_interval((receive - 1) * 3 div 2, (receive - 1) % 2 * 12)"))
+
+
 def landed_lines(events: DataFrame) -> DataFrame:
     """The messages as lines of a landing folder; those of every 64th id are cut off."""
     whole = messages(events).selectExpr(

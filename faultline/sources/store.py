@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -148,6 +148,18 @@ def folder_names(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in _file_system(spark, root).listStatus(root)]
 
 
+def glob_folders(spark: SparkSession, pattern: str) -> list[str]:
+    """The folders that match a pattern, by one call."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    return [status.getPath().toString() for status in _file_system(spark, target).globStatus(target) or () if status.isDirectory()]
+
+
+def delete_folders(spark: SparkSession, paths: Iterable[str]) -> None:
+    for path in paths:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        _file_system(spark, target).delete(target, True)
+
+
 def day_directories(spark: SparkSession, path: str) -> dict[dt.date, str]:
     """The stored days by one listing of the table's folder; no file is opened."""
     days = (re.fullmatch(r"event_date=(\d{4}-\d{2}-\d{2})", name) for name in folder_names(spark, path))
@@ -165,9 +177,7 @@ def latest_stored(spark: SparkSession, path: str) -> dt.datetime | None:
 def drop_days_before(spark: SparkSession, path: str, first_kept: dt.date) -> list[dt.date]:
     """Remove the day directories older than first_kept; no file of a kept day is touched."""
     expired = {day: folder for day, folder in day_directories(spark, path).items() if day < first_kept}
-    for folder in expired.values():
-        target = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        _file_system(spark, target).delete(target, True)
+    delete_folders(spark, expired.values())
     return sorted(expired)
 
 

@@ -1,13 +1,12 @@
 """From queue messages to the store, the quarantine, the dead letters and the raw archive.
 
 Each batch may be delivered again after a failure, so every write can be repeated: the store by its
-duplicate rule, the others because a batch owns a folder within each day. Days come first in these folders, so that a batch lists
-and reads the days it is about, however many batches came before.
+duplicate rule, the others because a batch owns a folder within each day or bucket. How often a message was rejected is kept by message, in hash
+buckets, so that its receives may have been sent at any time, and a batch reads the buckets of its own messages and no quarantine.
 """
 
 from __future__ import annotations
 
-import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,15 +14,14 @@ from pyspark.sql import functions as F
 
 from faultline.functions.ranking import first_of_each
 from faultline.operators.quality import MAX_RECEIVES, accepted, parse_messages, rejected
-from faultline.sources.store import append_new, folder_names, path_exists
+from faultline.sources.buckets import BucketTable
+from faultline.sources.store import append_new
 from faultline.streaming.jobs import BROKEN_LINE, MESSAGE_SCHEMA, run_available
 
 MESSAGE_COLUMNS = ["message_id", "sent_at", "body", "receive"]
 QUARANTINE_SCHEMA = (
     "message_id string, sent_at timestamp_ntz, body string, receive int, reject_reason string, sent_date date, batch bigint"
 )
-#: The folder of messages without a time.
-NO_DAY = "sent_date=__HIVE_DEFAULT_PARTITION__"
 DEAD_LETTER_SCHEMA = "message_id string, receives bigint, reject_reason string, body string, batch bigint"
 
 
@@ -43,6 +41,11 @@ class Sinks:
     def dead_letter(self) -> str:
         return f"{self.root}/dead_letter"
 
+    @property
+    def receives(self) -> BucketTable:
+        """How often each message has been rejected so far."""
+        return BucketTable(f"{self.root}/receives", "message_id string, receives bigint", "message_id")
+
     @property
     def archive(self) -> str:
         return f"{self.root}/archive"
@@ -87,13 +90,6 @@ def read_quarantine(spark: SparkSession, sinks: Sinks) -> DataFrame:
     return spark.read.schema(QUARANTINE_SCHEMA).parquet(sinks.quarantine)
 
 
-def read_quarantine_days(spark: SparkSession, sinks: Sinks, first: dt.date, last: dt.date) -> DataFrame:
-    """The quarantine of messages sent on these days or with no time; other days' folders are not listed."""
-    days = {f"sent_date={first + dt.timedelta(days=n)}" for n in range((last - first).days + 1)} | {NO_DAY}
-    paths = [f"{sinks.quarantine}/{name}" for name in folder_names(spark, sinks.quarantine) if name in days]
-    return spark.read.schema(QUARANTINE_SCHEMA).option("basePath", sinks.quarantine).parquet(*paths)
-
-
 def read_dead_letters(spark: SparkSession, sinks: Sinks) -> DataFrame:
     return spark.read.schema(DEAD_LETTER_SCHEMA).parquet(sinks.dead_letter)
 
@@ -105,28 +101,24 @@ def _write_quarantine(refused: DataFrame, sinks: Sinks, batch_id: int) -> None:
 def _write_dead_letters(refused: DataFrame, sinks: Sinks, batch_id: int, max_receives: int) -> None:
     """Messages whose number of rejected receives reaches the limit in this batch.
 
-    The count before the batch is taken from the same rows, so repeating a batch gives the same answer.
-    All receives of a message carry one sent_at, or none, so only the days of this batch's rejects are read. Broken lines have
-    no message to count receives of. Keys are counted first; bodies are fetched for the letters alone, from this batch.
+    Broken lines have no message to count receives of. Keys are counted first; bodies are fetched for the letters alone, from this batch.
     """
-    spark = refused.sparkSession
+    spark, table = refused.sparkSession, sinks.receives
     refused = refused.filter(F.col("message_id").isNotNull())
-    some, first, last = refused.agg(F.count("*"), F.min(F.to_date("sent_at")), F.max(F.to_date("sent_at"))).first()
-    if not some:
+    counted = refused.groupBy("message_id").agg(F.count("*").alias("_now"))
+    touched = table.touched(counted)
+    if not touched:
         return
-    day = dt.date(1970, 1, 1)
-    history = read_quarantine_days(spark, sinks, first or day, last or day)
-    now = F.count_if(F.col("batch") == batch_id)
-    counted = (
-        history.filter((F.col("batch") <= batch_id) & F.col("message_id").isNotNull())
-        .groupBy("message_id")
-        .agg(F.count("*").alias("receives"), now.alias("_now"))
-        .filter((F.col("receives") >= max_receives) & (F.col("receives") - F.col("_now") < max_receives))
-        .drop("_now")
+    before = table.read(spark, touched, batch_id).withColumnRenamed("receives", "_before")
+    totals = counted.join(before, "message_id", "left").select(
+        "message_id", F.coalesce("_before", F.lit(0).cast("bigint")).alias("_before"), (F.coalesce("_before", F.lit(0)) + F.col("_now")).alias("receives")
     )
+    table.write(totals, batch_id)
+    reached = totals.filter((F.col("receives") >= max_receives) & (F.col("_before") < max_receives)).drop("_before")
     bodies = first_of_each(refused.select("message_id", "reject_reason", "body", "receive"), ["message_id"], ["receive"]).drop("receive")
-    letters = counted.join(bodies, "message_id").select("message_id", "receives", "reject_reason", "body")
+    letters = reached.join(bodies, "message_id").select("message_id", "receives", "reject_reason", "body")
     letters.write.mode("overwrite").parquet(f"{sinks.dead_letter}/batch={batch_id}")
+    table.merge(spark, batch_id, touched)
 
 
 def ingest_batch(messages: DataFrame, batch_id: int, sinks: Sinks, max_receives: int = MAX_RECEIVES) -> None:
@@ -136,8 +128,7 @@ def ingest_batch(messages: DataFrame, batch_id: int, sinks: Sinks, max_receives:
         append_new(accepted(parsed), sinks.store)
         refused = rejected(parsed, MESSAGE_COLUMNS)
         _write_quarantine(refused, sinks, batch_id)
-        if path_exists(messages.sparkSession, sinks.quarantine):
-            _write_dead_letters(refused, sinks, batch_id, max_receives)
+        _write_dead_letters(refused, sinks, batch_id, max_receives)
     finally:
         parsed.unpersist()
 
