@@ -17,7 +17,7 @@ from faultline.functions import dialect
 from faultline.functions.timeframe import time_range
 from faultline.operators import alerts, analytics, audit, latency, quality
 from faultline.session import use_utc, work_path
-from faultline.sources import driver_events, store, synthetic
+from faultline.sources import driver_events, store, synthetic, traces
 from faultline.streaming import episodes, ingest, jobs, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -335,8 +335,8 @@ def idempotent_append_trace(spark, sf_dir):
     """The duplicate rule of trace_id alone: retries with a new time add nothing either."""
     path = work_path(spark, "idempotent-trace")
     events = _events(spark, sf_dir)
-    store.append_new(events.withColumn("id", F.col("id") * 4), path, ["trace_id"])
-    store.append_new(driver_events.deliveries(events), path, ["trace_id"])
+    traces.append_once(events.withColumn("id", F.col("id") * 4), path)
+    traces.append_once(driver_events.deliveries(events), path)
     return _listed(store.read_store(spark, path))
 
 

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.sources.store import delete_folders, folder_names, glob_folders, path_exists
+from faultline.sources.files import delete_folders, folder_names, glob_folders, path_exists
 
 #: Keys are spread evenly by hash, so a bucket is this part of the table; fixed for the life of a table.
 BUCKETS = 256

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from faultline.contract import EVENT_COLUMNS, EVENT_SCHEMA, STORED_SCHEMA, normalized, with_event_date
 from faultline.functions.ranking import first_of_each
 from faultline.session import work_path
+from faultline.sources.files import delete_folders, folder_names, path_exists
+
 
 def read_store(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(STORED_SCHEMA).parquet(path)
@@ -85,15 +87,6 @@ def compact_day(spark: SparkSession, path: str, day: dt.date, files: int | None
     whole.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("event_date").parquet(path)
 
 
-def _file_system(spark: SparkSession, target):
-    return target.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return _file_system(spark, target).exists(target)
-
-
 def write_flat(events: DataFrame, path: str) -> bool:
     """Copy to an undivided table, unless the copy is there with the same number of rows."""
     spark = events.sparkSession
@@ -118,48 +111,23 @@ def touched_rows(batch: DataFrame, stored: DataFrame) -> DataFrame:
 DUPLICATE_KEYS = ("trace_id", "ts")
 
 
-def _first_rows(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return first_of_each(normalized(batch), list(keys), [c for c in ("ts", "id") if c not in keys])
-
+def new_rows(batch: DataFrame, stored: DataFrame) -> DataFrame:
+    """Rows of the batch whose (trace_id, ts) is neither stored nor earlier in the batch; only the touched days are looked at."""
+    keys = list(DUPLICATE_KEYS)
+    fresh = first_of_each(normalized(batch), keys, ["id"])
+    return fresh.join(touched_rows(normalized(batch), stored).select(*keys), keys, "left_anti").select(*EVENT_COLUMNS)
 
-def new_rows(batch: DataFrame, stored: DataFrame, keys: Sequence[str] = DUPLICATE_KEYS) -> DataFrame:
-    """Rows of the batch whose keys are neither stored nor earlier in the batch.
-
-    Keys with ts are looked up in the touched days only; a trace_id alone may be stored on any day.
-    """
-    fresh = _first_rows(batch, keys)
-    known = touched_rows(normalized(batch), stored) if "ts" in keys else stored
-    return fresh.join(known.select(*keys), list(keys), "left_anti").select(*EVENT_COLUMNS)
 
-
-def append_new(batch: DataFrame, path: str, keys: Sequence[str] = DUPLICATE_KEYS) -> None:
-    """Append a batch so that repeating it, or any event in it, adds nothing. keys: (trace_id, ts), or trace_id alone."""
+def append_new(batch: DataFrame, path: str) -> None:
+    """Append a batch so that repeating it, or any event in it, adds nothing. For the rule of trace_id alone see traces.append_once."""
     spark = batch.sparkSession
     if path_exists(spark, path):
-        batch = new_rows(batch, read_store(spark, path), keys)
+        batch = new_rows(batch, read_store(spark, path))
     else:
-        batch = _first_rows(batch, keys)
+        batch = first_of_each(normalized(batch), list(DUPLICATE_KEYS), ["id"])
     append_batch(batch, path)
 
 
-def folder_names(spark: SparkSession, path: str) -> list[str]:
-    """What a folder holds, by one listing."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return [status.getPath().getName() for status in _file_system(spark, root).listStatus(root)]
-
-
-def glob_folders(spark: SparkSession, pattern: str) -> list[str]:
-    """The folders that match a pattern, by one call."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(pattern)
-    return [status.getPath().toString() for status in _file_system(spark, target).globStatus(target) or () if status.isDirectory()]
-
-
-def delete_folders(spark: SparkSession, paths: Iterable[str]) -> None:
-    for path in paths:
-        target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        _file_system(spark, target).delete(target, True)
-
-
 def day_directories(spark: SparkSession, path: str) -> dict[dt.date, str]:
     """The stored days by one listing of the table's folder; no file is opened."""
     days = (re.fullmatch(r"event_date=(\d{4}-\d{2}-\d{2})", name) for name in folder_names(spark, path))

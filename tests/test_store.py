@@ -4,7 +4,7 @@ import pytest
 
 from faultline.operators import analytics, audit
 from faultline.session import work_path, work_root
-from faultline.sources import store
+from faultline.sources import store, traces
 from faultline.sources.synthetic import synthetic_events
 from faultline.functions.timeframe import time_range
 from tests.conftest import at, event, rows_of
@@ -173,8 +173,8 @@ def test_every_write_normalizes(spark, events_of):
 
 def test_trace_alone_is_a_duplicate_on_any_day(spark, events_of):
     path = work_path(spark, "trace-alone")
-    store.append_new(events_of([event(1, trace="ab" * 18)]), path, ["trace_id"])
-    store.append_new(events_of([event(2, "2025-05-05", trace="AB" * 18), event(3, "2025-05-06"), event(4, "2025-05-05", trace=f"{3:036d}")]), path, ["trace_id"])
+    traces.append_once(events_of([event(1, trace="ab" * 18)]), path)
+    traces.append_once(events_of([event(2, "2025-05-05", trace="AB" * 18), event(3, "2025-05-06"), event(4, "2025-05-05", trace=f"{3:036d}")]), path)
     assert rows_of(store.read_store(spark, path), "id") == [(1,), (4,)]
 
 
