@@ -11,13 +11,14 @@ Compaction: where all flow through a phrase passes one longer phrase, on the lef
 absorbed by it. What remains are branching points, and those are the phrases reported. paths() follows unary paths to their ends and gives
 the long phrases that always stand as a whole.
 
-Solid graph: a phrase that occurs LEAST times is made of words, and of pairs of words, that do. Two passes count words and pairs, and leave a bitmap of
-those that are frequent, of a fixed number of bits whatever the input; the third pass cuts pieces where the bitmap has no bit. A bit that is
-set by another pair keeps an edge that will not be frequent, and changes no count. So the shuffles carry what may be frequent and little else,
-and at sizes where most bits are set, all edges.
+Solid graph: a phrase that occurs LEAST times is made of words, of pairs and of triples of words that do. Passes over the texts count words, pairs and
+triples by hashes of KEY_BITS bits, each only where the shorter ones inside are frequent, and leave a bitmap of those that are frequent, of a fixed number of
+bits whatever the input; the last pass cuts pieces where the bitmaps have no bit. A hash or bit that is shared keeps an edge
+that will not be frequent, and changes no count. So the shuffles carry what may be frequent and little else, and at sizes where most
+bits are set, all edges.
 
-Words travel as 64-bit hashes that hold their language. The word table is checked for two words of one hash before anything is counted by it; if there
-are such words, all is done with other hashes.
+Words travel as 64-bit hashes that hold their language. The table of frequent words is checked for two words of one hash; if there are
+such words, all is done with other hashes.
 
 score of a cut after k words: floor(1000 * a * n / (l * r)), in decimals of 38 digits; l, r are the counts of the parts, a that of the phrase, n all words.
 A phrase has the score of its worst cut.
@@ -30,13 +31,13 @@ from __future__ import annotations
 
 import hashlib
 import zlib
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faultline.llm.common import saved, slices, texts_of
@@ -46,9 +47,9 @@ LONGEST = 5
 LEAST = 100
 TOP = 2000
 PART = 1 << 20
-#: Bits of the two bitmaps: 8 MB of frequent words, 16 MB of frequent pairs.
-WORD_BITS = 26
-PAIR_BITS = 27
+KEY_BITS = 40
+#: Bits of each bitmap: 16 MB.
+BITMAP_BITS = 27
 SALTS = 16
 
 BREAK = np.zeros(256, bool)
@@ -130,126 +131,145 @@ def _summed(columns: list[np.ndarray]) -> list[np.ndarray]:
     return [*(c[first] for c in columns), np.diff(np.append(first, len(opens)))]
 
 
-def _in_bitmap(bitmap: np.ndarray, bit: np.ndarray) -> np.ndarray:
-    return (bitmap[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
+_KEY = np.uint64((1 << KEY_BITS) - 1)
+_BIT = np.uint64((1 << BITMAP_BITS) - 1)
 
 
-def _longs(columns: list[np.ndarray], names: list[str]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in columns], names=names)
+def _in_bitmap(bitmap: np.ndarray, key: np.ndarray) -> np.ndarray:
+    bit = key & _BIT
+    return (bitmap[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
-def _mask(bits: int) -> np.uint64:
-    return np.uint64((1 << bits) - 1)
+def _opened(bitmaps) -> list[np.ndarray]:
+    return [np.frombuffer(zlib.decompress(b.value), np.uint8) for b in bitmaps]
 
 
-def _word_rows(seed: int) -> Callable:
-    def each(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names: list[str] = []
-        for part in _parts(batches, seed, names):
-            ends = np.concatenate([[0], np.cumsum(part.sizes)]).astype(np.int64)
-            words = pa.Array.from_buffers(pa.large_binary(), len(part.sizes), [None, pa.py_buffer(ends), pa.py_buffer(part.letters)])
-            # By the words themselves, so that two words of one hash stay two rows.
-            coded = words.dictionary_encode().indices.to_numpy().astype(np.int64)
-            _, first, counts = np.unique(coded * len(names) + part.language, return_index=True, return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(names, pa.string()).take(pa.array(part.language[first])),
-                    words.take(pa.array(first)).cast(pa.large_string()).cast(pa.string()),
-                    pa.array(part.hashes[first].view(np.int64)),
-                    pa.array(counts),
-                ],
-                names=["lang", "word", "h", "n"],
-            )
+def _solid(part: Part, bitmaps: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """For each bitmap, shortest phrases first, which words begin a phrase that may be frequent; then the words that begin one more
+    word than that of which all phrases inside may be, and its keys."""
+    h = part.hashes
+    found: list[np.ndarray] = []
+    known, key = np.ones(len(h), bool), h.copy()
+    for size, bitmap in enumerate(bitmaps, 1):
+        at = np.flatnonzero(known)
+        known[at] = _in_bitmap(bitmap, key[at])
+        found.append(known)
+        longer = np.zeros(len(h), bool)
+        longer[:-size] = known[:-size] & known[1 : len(h) - size + 1] & (part.piece[:-size] == part.piece[size:]) if len(h) > size else False
+        at = np.flatnonzero(longer)
+        key, known = key.copy(), longer
+        key[at] = mixed(key[at] * np.uint64(3) + h[at + size])
+    return found, np.flatnonzero(known), key[known] & _KEY
 
-    return each
+
+COUNTED = "lang string, word string, key long, n long"
 
 
-def _joined(part: Part, words: np.ndarray) -> np.ndarray:
-    """Whether each word but the last and its successor are frequent words of one piece."""
-    known = _in_bitmap(words, part.hashes & _mask(WORD_BITS))
-    return known[:-1] & known[1:] & (part.piece[:-1] == part.piece[1:])
+def _counted(languages: pa.Array, words: pa.Array, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([languages, words, pa.array(keys.view(np.int64)), pa.array(counts)], names=["lang", "word", "key", "n"])
 
 
-def _opened(bitmap) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(bitmap.value), np.uint8)
+def _phrase_rows(seed: int, bitmaps: Sequence, spelled: bool) -> Callable:
+    """Keys of the phrases one word longer than the bitmaps know, and with no bitmap all words of each language as rows without a key.
 
+    spelled: also the words whose bit is set, as texts.
+    """
 
-def _pair_rows(seed: int, word_bits) -> Callable:
     def each(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _opened(word_bits)
-        for part in _parts(batches, seed, []):
-            at = np.flatnonzero(_joined(part, words))
-            yield _longs(_summed([part.hashes[at], part.hashes[at + 1]]), ["w1", "w2", "n"])
+        known = _opened(bitmaps)
+        names: list[str] = []
+        for part in _parts(batches, seed, names):
+            found, _, keys = _solid(part, known)
+            keys, counts = np.unique(keys, return_counts=True)
+            yield _counted(pa.nulls(len(keys), pa.string()), pa.nulls(len(keys), pa.string()), keys, counts)
+            if not known:
+                numbers, totals = np.unique(part.language, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array([names[i] for i in numbers]), pa.nulls(len(numbers), pa.string()), pa.nulls(len(numbers), pa.int64()), pa.array(totals)], names=["lang", "word", "key", "n"])
+            if spelled:
+                at = np.flatnonzero(found[0])
+                ends = np.concatenate([[0], np.cumsum(part.sizes)]).astype(np.int64)
+                words = pa.Array.from_buffers(pa.large_binary(), len(part.sizes), [None, pa.py_buffer(ends), pa.py_buffer(part.letters)]).take(pa.array(at))
+                # By the words themselves, so that two words of one hash stay two rows.
+                coded = words.dictionary_encode().indices.to_numpy().astype(np.int64)
+                _, first, counts = np.unique(coded * len(names) + part.language[at], return_index=True, return_counts=True)
+                languages = pa.array(names, pa.string()).take(pa.array(part.language[at][first]))
+                yield _counted(languages, words.take(pa.array(first)).cast(pa.large_string()).cast(pa.string()), part.hashes[at][first], counts)
 
     return each
 
 
-def _edge_rows(seed: int, word_bits, pair_bits) -> Callable:
+def _edge_rows(seed: int, bitmaps: Sequence) -> Callable:
+    """The stretch of up to LONGEST words at each word that begins a pair, as far as all triples in it may be frequent."""
+
     def each(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, pairs = _opened(word_bits), _opened(pair_bits)
+        known = _opened(bitmaps)
         for part in _parts(batches, seed, []):
             h = part.hashes
-            joined = _joined(part, words)
-            bit = (h[:-1] ^ (h[1:] >> np.uint64(7))) & _mask(PAIR_BITS)
-            joined[joined] = _in_bitmap(pairs, bit[joined])
-            at = np.flatnonzero(joined)
-            # Where the stretch of joined words that a word stands in comes to its end.
-            broken = np.append(np.flatnonzero(~joined), len(joined))
-            end = broken[np.searchsorted(broken, at)]
-            columns = [np.where(at + i <= end, h[np.minimum(at + i, len(h) - 1)], np.uint64(0)) for i in range(LONGEST)]
-            yield _longs(_summed(columns), [*_W, "n"])
+            (_, pairs, triples), _, _ = _solid(part, known)
+            at = np.flatnonzero(pairs)
+            reach, columns = np.ones(len(at), bool), [h[at], h[at + 1]]
+            for i in range(2, LONGEST):
+                reach &= triples[np.minimum(at + i - 2, len(h) - 1)]
+                columns.append(np.where(reach, h[np.minimum(at + i, len(h) - 1)], np.uint64(0)))
+            columns = _summed(columns)
+            yield pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in columns], names=[*_W, "n"])
 
     return each
 
 
-def _bitmap(bits: DataFrame, size: int) -> bytes:
-    """The column `bit` of a table as a bitmap of 2**size bits, compressed; the driver gets that many bits, whatever the table."""
-    number = F.col("bit") + 1
-    rows = bits.groupBy(F.bitmap_bucket_number(number).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("bits")).collect()
-    found = np.zeros((1 << size) // 8, np.uint8)
+def _bitmap(keys: DataFrame) -> bytes:
+    """The column `key` of a table as a bitmap, compressed; the driver gets that many bits, whatever the table."""
+    number = F.expr(f"(key & {int(_BIT)}L) + 1")
+    rows = keys.groupBy(F.bitmap_bucket_number(number).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("bits")).collect()
+    found = np.zeros((1 << BITMAP_BITS) // 8, np.uint8)
     for row in rows:
         start = (row["bucket"] - 1) * 4096
-        found[start : start + 4096] = np.frombuffer(row["bits"], np.uint8)[: len(found) - start]
+        found[start : start + 4096] = np.frombuffer(row["bits"], np.uint8)
     return zlib.compress(found.tobytes(), 1)
 
 
 class Graph(NamedTuple):
-    """words: lang, word, h, n. phrases: w1 ... (0 beyond the last word), words (how many), n; those of 1 to LONGEST words that occur `least` times."""
+    """words: lang, word, h of frequent words and some others. totals: lang, n. phrases: w1 ... (0 beyond the last word), words (how many), n; those
+    of 1 to LONGEST words that occur `least` times."""
 
     words: DataFrame
+    totals: DataFrame
     phrases: DataFrame
 
 
-def _count_words(texts: DataFrame) -> tuple[DataFrame, int]:
-    """The word table, and the seed of hashes that no two of its words share."""
-    for seed in range(8):
-        rows = texts.mapInArrow(_word_rows(seed), "lang string, word string, h long, n long")
-        words = saved(rows.groupBy("lang", "word", "h").agg(F.sum("n").alias("n")), "words")
-        if words.groupBy("h").count().where("count > 1").isEmpty():
-            return words, seed
-    raise RuntimeError("words share hashes, whatever the seed")
-
-
 def graph(docs: DataFrame, least: int = LEAST) -> Graph:
     """Counts of all phrases of up to LONGEST words that occur at least `least` times in a language."""
-    context = docs.sparkSession.sparkContext
     texts = docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    words, seed = _count_words(texts)
-    frequent = words.where(F.col("n") >= least)
-    word_bits = context.broadcast(_bitmap(frequent.select(F.expr(f"h & {(1 << WORD_BITS) - 1}L").alias("bit")), WORD_BITS))
+    for seed in range(8):
+        if found := _graph(texts, least, seed):
+            return found
+    raise RuntimeError("words share hashes, whatever the seed")
 
-    pairs = texts.mapInArrow(_pair_rows(seed, word_bits), "w1 long, w2 long, n long").groupBy("w1", "w2").agg(F.sum("n").alias("n"))
-    bit = F.expr(f"(w1 ^ shiftrightunsigned(w2, 7)) & {(1 << PAIR_BITS) - 1}L")
-    pair_bits = context.broadcast(_bitmap(pairs.where(F.col("n") >= least).select(bit.alias("bit")), PAIR_BITS))
 
-    rows = texts.mapInArrow(_edge_rows(seed, word_bits, pair_bits), ", ".join(f"{w} long" for w in [*_W, "n"]))
-    levels = [frequent.select(F.col("h").alias("w1"), *[F.lit(0).cast("long").alias(w) for w in _W[1:]], F.lit(1).alias("words"), "n")]
+def _graph(texts: DataFrame, least: int, seed: int) -> Graph | None:
+    """The graph by the hashes of a seed, or nothing if two words share one."""
+    context = texts.sparkSession.sparkContext
+    bitmaps: list = []
+    for size in (1, 2, 3):
+        rows = texts.mapInArrow(_phrase_rows(seed, list(bitmaps), size == 2), COUNTED).groupBy("lang", "word", "key").agg(F.sum("n").alias("n"))
+        counted = saved(rows.where(F.col("lang").isNotNull() | (F.col("n") >= least)), f"keys-{size}")
+        bitmaps.append(context.broadcast(_bitmap(counted.where("lang is null").select("key"))))
+        if size == 1:
+            totals = counted.where("lang is not null").select("lang", "n")
+        if size == 2:
+            words = counted.where("word is not null").select("lang", "word", F.col("key").alias("h"), "n")
+            if not words.groupBy("h").count().where("count > 1").isEmpty():
+                return None
+
+    nothing = F.lit(0).cast("long")
+    levels = [words.where(F.col("n") >= least).select(F.col("h").alias("w1"), *[nothing.alias(w) for w in _W[1:]], F.lit(1).alias("words"), "n")]
+    rows = texts.mapInArrow(_edge_rows(seed, bitmaps), ", ".join(f"{w} long" for w in [*_W, "n"]))
     for size in range(LONGEST, 1, -1):
         # Flow out of each phrase: that of the edges to longer ones, and of the ends that stop here.
         rows = saved(rows.groupBy(*_W[:size]).agg(F.sum("n").alias("n")), f"flow-{size}")
         whole = rows.where((F.col(_W[size - 1]) != 0) & (F.col("n") >= least))
-        levels.append(whole.select(*_W[:size], *[F.lit(0).cast("long").alias(w) for w in _W[size:]], F.lit(size).alias("words"), "n"))
-    return Graph(words, saved(reduce(DataFrame.unionByName, levels), "phrases"))
+        levels.append(whole.select(*_W[:size], *[nothing.alias(w) for w in _W[size:]], F.lit(size).alias("words"), "n"))
+    return Graph(words, totals, saved(reduce(DataFrame.unionByName, levels), "phrases"))
 
 
 def _shorter(phrases: DataFrame) -> DataFrame:
@@ -277,7 +297,7 @@ def _cut_keys(left: bool) -> list[Column]:
     return [F.expr(f"coalesce(get(array({', '.join(_W)}), k + {i}), 0L)").alias(f"p{i}") for i in range(LONGEST)]
 
 
-def scored(phrases: DataFrame, kept: DataFrame, words: DataFrame) -> DataFrame:
+def scored(phrases: DataFrame, kept: DataFrame, words: DataFrame, totals: DataFrame) -> DataFrame:
     """kept with lang, n (all words), a, l, r, k and score of their worst cut, the smallest k of equals."""
     parts = phrases.join(words.select(F.col("h").alias("w1"), "lang"), "w1").select(
         *[F.col(w).alias(f"p{i}") for i, w in enumerate(_W)],
@@ -294,7 +314,6 @@ def scored(phrases: DataFrame, kept: DataFrame, words: DataFrame) -> DataFrame:
         asked = cuts.select(*_W, "words", "n", "k", *_cut_keys(left)).select("*", salt)
         sides.append(asked.join(parts, [*keys, "salt"]).select(*_W, "words", "n", "lang", F.struct("k", F.lit(left).alias("left"), "f").alias("side")))
     found = reduce(DataFrame.unionByName, sides).groupBy(*_W, "words", F.col("n").alias("a"), "lang").agg(F.sort_array(F.collect_list("side")).alias("sides"))
-    totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
     # Sides are in order of k, the right part of each cut before the left one.
     number = "cast({} as decimal(38, 0))"
     score = f"(1000 * {number.format('a')} * {number.format('n')}) div ({number.format('sides[2 * i + 1].f')} * {number.format('sides[2 * i].f')})"
@@ -304,8 +323,8 @@ def scored(phrases: DataFrame, kept: DataFrame, words: DataFrame) -> DataFrame:
 
 def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFrame:
     """The first `top` phrases of each language by score, count and text: lang, rank, phrase, a, l, r, n, score."""
-    words, phrases = graph(docs, least)
-    found = scored(phrases, compact(phrases), words)
+    words, totals, phrases = graph(docs, least)
+    found = scored(phrases, compact(phrases), words, totals)
     # Texts are fetched for phrases that can be among the first; equals of the last one still can.
     first = found.withColumn("place", F.expr("rank() over (partition by lang order by score desc, a desc)")).where(F.col("place") <= top).drop("place")
     spelled = first.select("*", F.posexplode(F.expr(f"slice(array({', '.join(_W)}), 1, words)")).alias("at", "h")).join(words.select("h", "word"), "h")
@@ -321,7 +340,7 @@ def paths(docs: DataFrame, least: int = LEAST) -> DataFrame:
     Two edges are one path where all flow of the node between them is theirs. Paths cannot be circles, as then no piece that enters could end.
     Each edge looks for the first of its path by doubling its reach, so a path of a million words takes twenty rounds.
     """
-    words, phrases = graph(docs, least)
+    words, _, phrases = graph(docs, least)
     edges = phrases.where(F.col("words") == LONGEST)
     nodes = phrases.where(F.col("words") == LONGEST - 1).select(*[F.col(w).alias(f"p{i}") for i, w in enumerate(_W[:-1])], "n")
     before = edges.select(*[F.col(w).alias(f"p{i}") for i, w in enumerate(_W[1:])], "n", F.array(*_W).alias("previous"))
