@@ -339,16 +339,31 @@ _ON_EVENTS = {
     "stream_error_rate": f"SELECT * FROM ({_rate()}) WHERE window_start + INTERVAL 5 MINUTE <= {CLOSED}",
     "stream_threshold_alerts": _alerts(f"{{end}} <= {CLOSED}"),
     "stream_error_sessions": f"SELECT * FROM ({_SESSIONS}) WHERE session_end <= {CLOSED}",
+    "stream_silent_services": f"""
+        SELECT service, window_start, window_start + INTERVAL 1 HOUR AS window_end
+        FROM (SELECT service, unnest(generate_series((SELECT date_trunc('day', min(ts)) FROM log_events), (SELECT max(ts) FROM log_events), INTERVAL 1 HOUR)) AS window_start
+              FROM (SELECT DISTINCT service FROM log_events UNION ALL SELECT 'search-service'))
+        WHERE window_start + INTERVAL 1 HOUR <= {CLOSED}
+          AND (service, window_start) NOT IN (SELECT (service, time_bucket(INTERVAL '1 hour', ts)) FROM log_events)""",
+    "stream_rolling_errors": f"""
+        SELECT service, ts, count(*) AS total_events, any_value(errors_in_window) AS errors_in_window
+        FROM (SELECT service, ts, cast(sum(CASE WHEN level = 'ERROR' THEN 1 ELSE 0 END) OVER (
+                PARTITION BY service ORDER BY ts RANGE BETWEEN INTERVAL 5 MINUTE PRECEDING AND CURRENT ROW) AS bigint) AS errors_in_window
+              FROM log_events)
+        WHERE time_bucket(INTERVAL '5 minutes', ts) + INTERVAL 5 MINUTE <= {CLOSED} GROUP BY service, ts""",
 }
 
-_ON_HOURS = {
-    "error_spikes": """
+_SPIKES = """
         SELECT service, window_start, error_events, previous_errors
         FROM (SELECT *, min(window_start) OVER (PARTITION BY service) AS first_start,
                 cast(coalesce(sum(error_events) OVER (PARTITION BY service ORDER BY window_start
                   RANGE BETWEEN INTERVAL 6 HOUR PRECEDING AND INTERVAL 1 HOUR PRECEDING), 0) AS bigint) AS previous_errors
               FROM hours)
-        WHERE error_events >= 3 AND window_start >= first_start + INTERVAL 6 HOUR AND error_events * 6 > previous_errors * 2""",
+        WHERE error_events >= 3 AND window_start >= first_start + INTERVAL 6 HOUR AND error_events * 6 > previous_errors * 2"""
+
+_ON_HOURS = {
+    "error_spikes": _SPIKES,
+    "stream_error_spikes": f"{_SPIKES} AND window_start + INTERVAL 1 HOUR <= {CLOSED}",
 }
 
 _ON_EPISODES = {

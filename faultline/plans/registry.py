@@ -18,7 +18,7 @@ from faultline.functions.timeframe import time_range
 from faultline.operators import alerts, analytics, audit, latency, quality
 from faultline.session import use_utc, work_path
 from faultline.sources import driver_events, store, synthetic, traces
-from faultline.streaming import episodes, ingest, jobs, windows
+from faultline.streaming import dedup, episodes, ingest, jobs, processors, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,7 +33,7 @@ RULES = (
     alerts.Rule("daily errors", window_minutes=1440, min_events=20, max_error_pct=22.0),
     alerts.Rule("payment errors", window_minutes=15, min_events=1, max_error_pct=10.0, service="payment-service"),
 )
-DELAY = "10 minutes"
+DELAY, DELAY_SPAN = "10 minutes", dt.timedelta(minutes=10)
 
 _QUERIES: dict[str, Query] = {}
 
@@ -559,14 +559,13 @@ def landed_dead_letter(spark, sf_dir):
 
 @query
 def stream_dedup(spark, sf_dir):
-    once = windows.stream_dedup(driver_events.deliveries(_stream(spark, sf_dir)), DELAY)
-    return jobs.materialize(once.drop("id"), "stream-dedup")
+    return dedup.dedup(driver_events.deliveries(_stream(spark, sf_dir)), work_path(spark, "stream-dedup"), DELAY_SPAN).drop("id")
 
 
 @query
 def stream_dedup_trace(spark, sf_dir):
-    once = windows.stream_dedup_trace(driver_events.deliveries(_stream(spark, sf_dir)), DELAY)
-    return jobs.materialize(once.drop("id", "ts"), "stream-dedup-trace")
+    kept = dedup.dedup(driver_events.deliveries(_stream(spark, sf_dir)), work_path(spark, "stream-dedup-trace"), DELAY_SPAN, dedup.TRACE)
+    return kept.drop("id", "ts")
 
 
 @query
@@ -576,7 +575,7 @@ def stream_error_rate(spark, sf_dir):
 
 @query
 def stream_threshold_alerts(spark, sf_dir):
-    return jobs.materialize(windows.stream_threshold_alerts(_stream(spark, sf_dir), RULES, DELAY), "stream-alerts")
+    return jobs.materialize(processors.stream_threshold_alerts(_stream(spark, sf_dir), RULES, DELAY), "stream-alerts")
 
 
 @query
@@ -586,4 +585,23 @@ def stream_alert_episodes(spark, sf_dir):
 
 @query
 def stream_error_sessions(spark, sf_dir):
-    return jobs.materialize(windows.stream_error_sessions(_stream(spark, sf_dir), "30 minutes", DELAY), "stream-sessions")
+    return jobs.materialize(processors.stream_error_sessions(_stream(spark, sf_dir), dt.timedelta(minutes=30), DELAY), "stream-sessions")
+
+
+@query
+def stream_silent_services(spark, sf_dir):
+    """Every hour from the day of the first event on in which a service was silent, and all hours of one that has no events at all."""
+    events = _events(spark, sf_dir)
+    since = events.agg(F.date_trunc("day", F.min("ts")).cast("timestamp_ntz")).first()[0] or SPLIT
+    known = quality.services_of(events).unionByName(spark.createDataFrame([("search-service",)], "service string"))
+    return jobs.materialize(processors.stream_silent_services(_stream(spark, sf_dir), known, since, 60, DELAY), "stream-silent")
+
+
+@query
+def stream_rolling_errors(spark, sf_dir):
+    return jobs.materialize(processors.stream_rolling_errors(_stream(spark, sf_dir), DELAY), "stream-rolling")
+
+
+@query
+def stream_error_spikes(spark, sf_dir):
+    return jobs.materialize(processors.stream_error_spikes(_stream(spark, sf_dir), DELAY), "stream-spikes")

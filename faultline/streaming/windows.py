@@ -1,4 +1,4 @@
-"""Duplicate removal, windowed rates, alerts and sessions on streams.
+"""Windowed rates on streams.
 
 All take events with a zone-less ts and return zone-less times, so that results compare to the batch
 forms. Append mode holds a window back until the watermark has passed its end.
@@ -6,42 +6,12 @@ forms. Append mode holds a window back until the watermark has passed its end.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faultline.contract import is_error
-from faultline.operators.alerts import Rule, broken_rules, with_rules
 from faultline.operators.analytics import error_counts, with_error_rate
 from faultline.streaming.jobs import with_event_time, without_zone
 
-# Tasks over which the copies of one event are spread before its last copy is dropped.
-COPY_PARTS = 16
-
-
-def _spread(events: DataFrame) -> DataFrame:
-    return events.withColumn("_part", F.spark_partition_id() % COPY_PARTS)
-
-
-def stream_dedup(events: DataFrame, delay: str) -> DataFrame:
-    """One row per (trace_id, ts) while the watermark is behind ts.
-
-    Copies of one event all go to one task, so they are first reduced per part of the input.
-    """
-    keys = ["trace_id", "ts"]
-    timed = with_event_time(events.withColumn("trace_id", F.lower("trace_id")), delay)
-    once = _spread(timed).dropDuplicates([*keys, "_part"]).dropDuplicates(keys)
-    return without_zone(once.drop("_part"), "ts")
-
-
-def stream_dedup_trace(events: DataFrame, delay: str) -> DataFrame:
-    """One row per trace_id within the delay, whatever its times."""
-    timed = with_event_time(events.withColumn("trace_id", F.lower("trace_id")), delay)
-    return without_zone(timed.dropDuplicatesWithinWatermark(["trace_id"]), "ts")
-
-
 def windowed_counts(events: DataFrame, length: str, delay: str) -> DataFrame:
     """Events and errors per service and window, still with the window column the watermark works on."""
     return with_event_time(events, delay).groupBy("service", F.window("ts", length)).agg(*error_counts())
@@ -52,36 +22,3 @@ def stream_error_rate(events: DataFrame, length: str, delay: str) -> DataFrame:
     counted = windowed_counts(events, length, delay)
     flat = counted.select("service", F.col("window.start").alias("window_start"), "total_events", "error_events")
     return without_zone(with_error_rate(flat), "window_start")
-
-
-def stream_threshold_alerts(events: DataFrame, rules: Sequence[Rule], delay: str) -> DataFrame:
-    """Rule breaches; rules with one window length share one set of windows."""
-    parts = []
-    for minutes in sorted({rule.window_minutes for rule in rules}):
-        counted = windowed_counts(events, f"{minutes} minutes", delay).select(
-            "service", F.col("window.start").cast("timestamp_ntz").alias("window_start"), "total_events", "error_events"
-        )
-        parts.append(broken_rules(with_rules(counted.withColumn("window_minutes", F.lit(minutes)), rules)))
-    columns = ["rule", "service", "window_start", "window_minutes", "total_events", "error_events", "error_rate_pct"]
-    return reduce(DataFrame.union, [part.select(*columns) for part in parts])
-
-
-def stream_error_sessions(events: DataFrame, gap: str, delay: str) -> DataFrame:
-    """Runs of errors no further apart than the gap.
-
-    Other events have no gap, which leaves them out. A filter would be moved below the watermark,
-    and a session would then stay open until the next errors instead of the next events.
-    """
-    own_gap = F.when(is_error(), F.lit(gap)).otherwise(F.lit("0 seconds"))
-    timed = with_event_time(events, delay)
-    sessions = timed.groupBy("service", F.session_window("ts", own_gap)).agg(F.count("*").alias("error_events"))
-    return without_zone(
-        sessions.select(
-            "service",
-            F.col("session_window.start").alias("session_start"),
-            F.col("session_window.end").alias("session_end"),
-            "error_events",
-        ),
-        "session_start",
-        "session_end",
-    )

@@ -1,0 +1,109 @@
+"""Stateful processors against the batch forms, over streams cut into batches in different ways."""
+
+import datetime as dt
+import random
+
+import pytest
+
+from faultline.operators import alerts
+from faultline.streaming import jobs, processors
+from tests.conftest import at, event, rows_of
+from tests.test_streams import landed
+
+DELAY = "10 minutes"
+SERVICES = ["a-service", "b-service", "c-service"]
+
+
+def feed(seed, n, hours=30, shuffle_minutes=5):
+    """Events in the order they arrive, a few minutes out of order; c-service falls silent half-way, the last event closes all before it."""
+    draw = random.Random(seed)
+    rows = []
+    for i in range(n):
+        hour = draw.choice([draw.uniform(0, hours), draw.gauss(hours / 2, 0.4) % hours])
+        service = draw.choice(SERVICES if hour < hours / 2 else SERVICES[:2])
+        rows.append(event(i, at("2024-01-01") + dt.timedelta(milliseconds=int(hour * 3_600_000)), service=service, level=draw.choice(["ERROR", "INFO", "INFO"])))
+    rows.sort(key=lambda r: r[5] + dt.timedelta(minutes=draw.uniform(0, shuffle_minutes)))
+    return rows + [event(n, at("2024-01-01") + dt.timedelta(hours=hours + 8), service="z-service")]
+
+
+@pytest.fixture(scope="module")
+def rows():
+    return feed(7, 500)
+
+
+@pytest.fixture(scope="module", params=[1, 6])
+def stream(request, spark, events_of, rows):
+    size = -(-len(rows) // request.param)
+    return lambda: landed(spark, events_of, *[rows[i : i + size] for i in range(0, len(rows), size)])
+
+
+@pytest.fixture(scope="module")
+def batch(events_of, rows):
+    return events_of(rows).cache()
+
+
+def watermark(rows):
+    return max(r[5] for r in rows) - dt.timedelta(minutes=10)
+
+
+RULES = (
+    alerts.Rule("quarter", window_minutes=15, min_events=3, max_error_pct=30.0),
+    alerts.Rule("hour", window_minutes=60, min_events=5, max_error_pct=35.0),
+    alerts.Rule("day of a", window_minutes=1440, min_events=5, max_error_pct=1.0, service="a-service"),
+)
+
+
+def test_rules_of_three_lengths_read_the_stream_once(stream, batch, rows):
+    found = processors.stream_threshold_alerts(stream(), RULES, DELAY)
+    assert found._jdf.queryExecution().analyzed().toString().count("StreamingRelation") == 1
+    got = jobs.materialize(found, "rules")
+    closed = [r for r in rows_of(alerts.threshold_alerts(batch, RULES)) if r[2] + dt.timedelta(minutes=r[3]) <= watermark(rows)]
+    assert rows_of(got) == closed and {r[0] for r in closed} == {r.name for r in RULES}
+
+
+def test_silence_is_found_without_events(spark, stream, rows):
+    known = spark.createDataFrame([(s,) for s in ("a-service", "c-service", "never-service")], "service string")
+    got = jobs.materialize(processors.stream_silent_services(stream(), known, "2023-12-31 22:30:00", 60, DELAY), "silent")
+    seen = {(r[2], r[5].replace(minute=0, second=0, microsecond=0)) for r in rows}
+    want = []
+    for service in ("a-service", "b-service", "c-service", "never-service"):
+        start = at("2023-12-31 22:00:00") if service != "b-service" else min(hour for s, hour in seen if s == service)
+        while start + dt.timedelta(hours=1) <= watermark(rows):
+            if (service, start) not in seen:
+                want.append((service, start, start + dt.timedelta(hours=1)))
+            start += dt.timedelta(hours=1)
+    assert rows_of(got) == sorted(want) and len([w for w in want if w[0] == "c-service"]) > 15
+
+
+def test_spikes(stream, batch, rows):
+    got = jobs.materialize(processors.stream_error_spikes(stream(), DELAY, 30, 6, 2, 3), "spikes")
+    closed = [r for r in rows_of(alerts.error_spikes(batch, 30, 6, 2, 3)) if r[1] + dt.timedelta(minutes=30) <= watermark(rows)]
+    assert rows_of(got) == closed and closed
+
+
+def test_sessions(stream, batch, rows):
+    gap = dt.timedelta(minutes=7)
+    got = jobs.materialize(processors.stream_error_sessions(stream(), gap, DELAY), "sessions")
+    closed = [r for r in rows_of(alerts.error_sessions(batch, gap), "service", "session_start", "session_end", "error_events") if r[2] <= watermark(rows)]
+    assert rows_of(got) == closed and max(r[3] for r in closed) > 10
+
+
+def test_rolling_counts(stream, batch, rows):
+    got = jobs.materialize(processors.stream_rolling_errors(stream(), DELAY), "rolling")
+    counts = {}
+    for r in alerts.rolling_errors(batch).collect():
+        before = counts.get((r["service"], r["ts"]), (0, 0))
+        counts[r["service"], r["ts"]] = (before[0] + 1, r["errors_in_window"])
+    end = watermark(rows).replace(second=0, microsecond=0)
+    end -= dt.timedelta(minutes=end.minute % 5)
+    want = sorted((*key, *value) for key, value in counts.items() if key[1] < end)
+    assert rows_of(got) == want and max(w[3] for w in want) > 3
+
+
+def test_a_window_closes_when_the_watermark_is_at_its_end(spark, events_of):
+    """Neither a millisecond before nor after."""
+    for late, n in (("2024-01-01 01:09:59.999", 0), ("2024-01-01 01:10:00.000", 1)):
+        rows = [event(i, f"2024-01-01 00:{10 * i:02d}:00", level="ERROR") for i in range(6)]
+        made = landed(spark, events_of, rows, [event(9, late, service="z-service")])
+        rule = alerts.Rule("hour", window_minutes=60, min_events=5, max_error_pct=35.0)
+        assert jobs.materialize(processors.stream_threshold_alerts(made, [rule], DELAY), "edge").count() == n

@@ -4,10 +4,11 @@ import os
 
 import pytest
 
+from faultline.functions.ranking import first_of_each
 from faultline.operators import alerts, analytics, quality
 from faultline.session import work_path
 from faultline.sources import store
-from faultline.streaming import episodes, ingest, jobs, windows
+from faultline.streaming import dedup, episodes, ingest, jobs, windows
 from tests.conftest import at, event, rows_of
 
 DELAY = "10 minutes"
@@ -50,7 +51,7 @@ def test_copies_in_one_and_in_later_batches_are_dropped(spark, events_of):
         [event(1, "2024-01-01 00:00:00", trace=trace), event(2, "2024-01-01 00:00:00", trace=trace.upper())],
         [event(3, "2024-01-01 00:00:00", trace=trace), event(4, "2024-01-01 00:00:01", trace=trace)],
     )
-    got = jobs.materialize(windows.stream_dedup(stream, DELAY), "dedup")
+    got = dedup.dedup(stream, work_path(spark, "dedup"), dt.timedelta(minutes=10))
     assert rows_of(got, "trace_id", "ts") == [(trace, at("2024-01-01 00:00:00")), (trace, at("2024-01-01 00:00:01"))]
 
 
@@ -65,8 +66,40 @@ def test_trace_is_dropped_within_the_delay_only(spark, events_of):
         [event(4, "2024-01-01 02:01:00", trace="ef" * 18)],
         [event(5, "2024-01-01 03:00:00", trace=trace)],
     )
-    got = jobs.materialize(windows.stream_dedup_trace(stream, DELAY), "dedup-trace")
+    path = work_path(spark, "dedup-trace")
+    got = dedup.dedup(stream, path, dt.timedelta(minutes=10), dedup.TRACE)
     assert rows_of(got, "id") == [(1,), (3,), (4,), (5,)]
+    # A batch that is delivered again finds what it found the first time.
+    dedup.dedup_batch(events_of([event(2, "2024-01-01 00:05:00", trace=trace)]), 1, path, dt.timedelta(minutes=10), dedup.TRACE)
+    dedup.dedup_batch(events_of([event(5, "2024-01-01 03:00:00", trace=trace)]), 4, path, dt.timedelta(minutes=10), dedup.TRACE)
+    assert rows_of(dedup.read_kept(spark, path), "id") == [(1,), (3,), (4,), (5,)]
+
+
+def test_a_trace_with_a_third_of_all_rows_sends_one_a_task(spark, events_of):
+    rows = [event(i, at("2024-01-01") + dt.timedelta(seconds=i), trace="ab" * 18 if i % 3 == 0 else None) for i in range(3000)]
+    once = first_of_each(events_of(rows).repartition(6), ["trace_id"], ["ts", "id"])
+    assert once.count() == 2001
+    once.collect()
+    sent, left = [], [once._jdf.queryExecution().executedPlan()]
+    while left:
+        node = left.pop()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            left.append(node.executedPlan())
+        elif "QueryStage" in node.nodeName():
+            left.append(node.plan())
+        elif node.nodeName() == "Exchange":
+            sent.append(node.metrics().apply("shuffleRecordsWritten").value())
+        left += [node.children().apply(i) for i in range(node.children().size())]
+    # All rows once, to spread them, then at most one row of the trace for each of six tasks.
+    assert sorted(sent) == [2006, 3000]
+
+
+def test_expired_keys_leave_with_a_merge(spark, events_of):
+    path, wait = work_path(spark, "expiry"), dt.timedelta(minutes=10)
+    for batch in range(17):
+        dedup.dedup_batch(events_of([event(batch, at("2024-01-01") + dt.timedelta(minutes=5 * batch), trace="ab" * 18)]), batch, path, wait, dedup.TRACE)
+    # A copy passes when the one kept before it is more than the delay away.
+    assert rows_of(dedup.read_kept(spark, path), "id") == [(i,) for i in range(0, 17, 3)]
 
 
 def hours(errors_per_hour, first_hour, first_id, service="a-service"):
