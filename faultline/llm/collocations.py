@@ -120,17 +120,6 @@ def _parts(batches: Iterable[pa.RecordBatch], seed: int, names: list[str]) -> It
             first = last
 
 
-def _summed(columns: list[np.ndarray]) -> list[np.ndarray]:
-    """Equal rows once, with their number as the last column; rows may come more than once, with parts of their number."""
-    if not len(columns[0]):
-        return [*columns, np.empty(0, np.int64)]
-    order = np.argsort(reduce(lambda key, column: mixed(key * np.uint64(3) + column), columns), kind="stable")
-    columns = [c[order] for c in columns]
-    opens = np.concatenate([[True], reduce(np.logical_or, [c[1:] != c[:-1] for c in columns])])
-    first = np.flatnonzero(opens)
-    return [*(c[first] for c in columns), np.diff(np.append(first, len(opens)))]
-
-
 _KEY = np.uint64((1 << KEY_BITS) - 1)
 _BIT = np.uint64((1 << BITMAP_BITS) - 1)
 
@@ -211,8 +200,7 @@ def _edge_rows(seed: int, bitmaps: Sequence) -> Callable:
             for i in range(2, LONGEST):
                 reach &= triples[np.minimum(at + i - 2, len(h) - 1)]
                 columns.append(np.where(reach, h[np.minimum(at + i, len(h) - 1)], np.uint64(0)))
-            columns = _summed(columns)
-            yield pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in columns], names=[*_W, "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in columns], names=_W)
 
     return each
 
@@ -263,7 +251,7 @@ def _graph(texts: DataFrame, least: int, seed: int) -> Graph | None:
 
     nothing = F.lit(0).cast("long")
     levels = [words.where(F.col("n") >= least).select(F.col("h").alias("w1"), *[nothing.alias(w) for w in _W[1:]], F.lit(1).alias("words"), "n")]
-    rows = texts.mapInArrow(_edge_rows(seed, bitmaps), ", ".join(f"{w} long" for w in [*_W, "n"]))
+    rows = texts.mapInArrow(_edge_rows(seed, bitmaps), ", ".join(f"{w} long" for w in _W)).withColumn("n", F.lit(1).cast("long"))
     for size in range(LONGEST, 1, -1):
         # Flow out of each phrase: that of the edges to longer ones, and of the ends that stop here.
         rows = saved(rows.groupBy(*_W[:size]).agg(F.sum("n").alias("n")), f"flow-{size}")
