@@ -64,7 +64,12 @@ def values_at(df: DataFrame, keys: list[str], value: str, ranks: dict[str, Colum
     the high 16 bits find the bucket that holds the rank, then only the values of that bucket are walked. No window sees
     more than 65,537 rows of one key, whatever the number of rows or of distinct values.
     """
-    counts = value_counts(df, keys, value).withColumn("_key", rank_key(value))
+    return values_at_counts(value_counts(df, keys, value), keys, value, ranks)
+
+
+def values_at_counts(counts: DataFrame, keys: list[str], value: str, ranks: dict[str, Column]) -> DataFrame:
+    """values_at for rows that are counted already: one row for each key and value, with their number n."""
+    counts = counts.withColumn("_key", rank_key(value))
     counts = counts.withColumn("_high", F.shiftright("_key", _LOW_BITS))
 
     by_high = Window.partitionBy(*keys).orderBy("_high").rowsBetween(Window.unboundedPreceding, 0)
@@ -95,11 +100,19 @@ def nearest_rank(df: DataFrame, keys: list[str], value: str, q: str, out: str) -
     return values_at(df, keys, value, {out: target_rank(q, F.col("cnt"))})
 
 
+def median_ranks() -> dict[str, Column]:
+    """The ranks of the one or two values in the middle."""
+    return {"_low": F.expr("(cnt + 1) div 2"), "_high_value": F.expr("cnt div 2 + 1")}
+
+
+def median_of_ranks(out: str) -> Column:
+    return ((F.col("_low").cast("double") + F.col("_high_value")) / 2).alias(out)
+
+
 def median(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
     """The median of the non-NULL 32-bit integers of each key, half-way between the two in the middle of an even number."""
-    ranks = {"_low": F.expr("(cnt + 1) div 2"), "_high_value": F.expr("cnt div 2 + 1")}
-    middle = values_at(df.filter(F.col(value).isNotNull()), keys, value, ranks)
-    return middle.select(*keys, ((F.col("_low").cast("double") + F.col("_high_value")) / 2).alias(out))
+    middle = values_at(df.filter(F.col(value).isNotNull()), keys, value, median_ranks())
+    return middle.select(*keys, median_of_ranks(out))
 
 
 def tie_shift(df: DataFrame, tie: str) -> int:

@@ -5,10 +5,10 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.contract import EVENT_COLUMNS, EVENT_SCHEMA, LEVELS, MAX_LENGTH, TRACE_ID_LENGTH, level_rank
+from faultline.contract import EVENT_COLUMNS, EVENT_SCHEMA, LEVELS, MAX_LENGTH, STORED_SCHEMA, TRACE_ID_LENGTH, level_rank
 from faultline.functions import dialect, exact
 
 
@@ -33,6 +33,50 @@ def partition_profile(events: DataFrame) -> DataFrame:
     )
 
 
+def footer_session(spark: SparkSession) -> SparkSession:
+    """A session beside this one that answers counts, minima and maxima of Parquet tables from the files' footers."""
+    other = spark.newSession()
+    # Only the newer of Spark's two Parquet readers hands aggregates to the footers.
+    for name, value in (
+        ("spark.sql.sources.useV1SourceList", ""),
+        ("spark.sql.parquet.aggregatePushdown", "true"),
+        ("spark.sql.session.timeZone", "UTC"),
+        ("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions")),
+    ):
+        other.conf.set(name, value)
+    return other
+
+
+def stored_profile(spark: SparkSession, path: str) -> DataFrame:
+    """partition_profile of a store without reading a row: files state how many rows they have and their first and last ts_ms.
+
+    Times are to the millisecond, as stored ones are.
+    """
+    stated = (
+        _by_footers(spark, path)
+        .groupBy("event_date")
+        .agg(F.count("*").alias("row_count"), F.min("ts_ms").alias("_first"), F.max("ts_ms").alias("_last"))
+    )
+    return stated.select(
+        _partition_name("event_date").alias("partition_name"),
+        dialect.to_days(F.date_add("event_date", 1)).alias("less_than_days"),
+        F.col("event_date").cast("string").alias("event_date"),
+        "row_count",
+        F.timestamp_millis("_first").cast("timestamp_ntz").alias("first_ts"),
+        F.timestamp_millis("_last").cast("timestamp_ntz").alias("last_ts"),
+    )
+
+
+def stored_row_count(spark: SparkSession, path: str) -> DataFrame:
+    """row_count of a store from the footers."""
+    return _by_footers(spark, path).agg(F.count("*").alias("total_count"))
+
+
+def _by_footers(spark: SparkSession, path: str) -> DataFrame:
+    """A store whose aggregates come from footers. Spark looks the statistics of a column up by its place, so the schema has to be the files' own, whole."""
+    return footer_session(spark).read.schema(STORED_SCHEMA).parquet(path)
+
+
 def _partition_name(day: str) -> Column:
     return F.concat(F.lit("p"), F.date_format(day, "yyyyMMdd"))
 

@@ -3,14 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from faultline.contract import LEVELS
-from faultline.functions.ranking import median, nearest_rank, row_numbers, target_rank, value_counts, value_runs
+from faultline.functions.ranking import median, median_of_ranks, median_ranks, nearest_rank, row_numbers, target_rank, value_counts, value_runs, values_at
 from faultline.functions.timeframe import Moment, ntz
 
 
@@ -77,16 +75,10 @@ def latency_summary(events: DataFrame) -> DataFrame:
     """Median, minimum and maximum latency per service and endpoint."""
     keys = ["service", "endpoint"]
     known = events.filter(F.col("latency_ms").isNotNull())
-    ends = known.groupBy(*keys).agg(F.min("latency_ms").alias("min_latency_ms"), F.max("latency_ms").alias("max_latency_ms"))
-    return _same_key(median(known, keys, "latency_ms", "median_latency_ms"), ends, keys).select(
-        *keys, "median_latency_ms", "min_latency_ms", "max_latency_ms"
-    )
-
-
-def _same_key(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """An inner join in which a NULL key, such as a missing endpoint, is a key like any other."""
-    right = right.withColumnsRenamed({k: f"_{k}" for k in keys})
-    return left.join(right, reduce(and_, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys)))
+    # All four are ranks of one histogram.
+    ranks = median_ranks() | {"min_latency_ms": F.lit(1), "max_latency_ms": F.col("cnt")}
+    found = values_at(known, keys, "latency_ms", ranks)
+    return found.select(*keys, median_of_ranks("median_latency_ms"), "min_latency_ms", "max_latency_ms")
 
 
 def latency_pivot(events: DataFrame) -> DataFrame:

@@ -202,6 +202,12 @@ def _synthetic(seed: int = 42) -> str:
             FROM log_events))"""
 
 
+_PROFILE = """
+        SELECT strftime(d, 'p%Y%m%d') AS partition_name, cast(date_diff('day', DATE '1970-01-01', d) + 719529 AS int) AS less_than_days,
+          strftime(d, '%Y-%m-%d') AS event_date, row_count, first_ts, last_ts
+        FROM (SELECT cast(ts AS date) AS d, count(*) AS row_count, min(ts) AS first_ts, max(ts) AS last_ts
+              FROM log_events GROUP BY ALL)"""
+
 _ON_EVENTS = {
     "scan_events": f"SELECT {COLUMNS} FROM log_events",
     "append_events": f"SELECT {STORED} FROM log_events",
@@ -216,11 +222,11 @@ _ON_EVENTS = {
     "retain_days": f"""
         SELECT {STORED} FROM log_events
         WHERE cast(ts AS date) >= (SELECT max(cast(ts AS date)) FROM log_events) - INTERVAL 7 DAY""",
-    "partition_profile": """
-        SELECT strftime(d, 'p%Y%m%d') AS partition_name, cast(date_diff('day', DATE '1970-01-01', d) + 719529 AS int) AS less_than_days,
-          strftime(d, '%Y-%m-%d') AS event_date, row_count, first_ts, last_ts
-        FROM (SELECT cast(ts AS date) AS d, count(*) AS row_count, min(ts) AS first_ts, max(ts) AS last_ts
-              FROM log_events GROUP BY ALL)""",
+    "partition_profile": _PROFILE,
+    "stored_profile": _PROFILE,
+    "stored_row_count": "SELECT count(*) AS total_count FROM log_events",
+    "p95_from_rollup": _p95(),
+    "p95_from_rollup_range": _p95("ts >= TIMESTAMP '2024-01-08 10:17:00' AND ts < TIMESTAMP '2024-01-15 03:05:00'"),
     "copy_check": """
         SELECT count(*) AS events_count, count(*) AS copy_count, TRUE AS same_count, TRUE AS same_content FROM log_events""",
     "scalar_functions": """

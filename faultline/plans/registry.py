@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from faultline.contract import EVENT_COLUMNS, level_rank
 from faultline.functions import dialect
 from faultline.functions.timeframe import time_range
-from faultline.operators import alerts, analytics, audit, latency, quality
+from faultline.operators import alerts, analytics, audit, histograms, latency, quality
 from faultline.session import use_utc, work_path
 from faultline.sources import driver_events, store, synthetic, traces
 from faultline.streaming import dedup, episodes, ingest, jobs, processors, windows
@@ -119,6 +119,17 @@ def partition_profile(spark, sf_dir):
     return audit.partition_profile(daily(spark, sf_dir))
 
 
+@query
+def stored_profile(spark, sf_dir):
+    """The profile of the stored table from its files' footers."""
+    return audit.stored_profile(spark, _stored(spark, sf_dir, _version(spark, sf_dir)))
+
+
+@query
+def stored_row_count(spark, sf_dir):
+    return audit.stored_row_count(spark, _stored(spark, sf_dir, _version(spark, sf_dir)))
+
+
 @query
 def row_count(spark, sf_dir):
     return audit.row_count(_events(spark, sf_dir))
@@ -424,6 +435,32 @@ def rollup_incremental(spark, sf_dir):
     return spark.read.parquet(rollup).drop("event_date")
 
 
+@lru_cache(maxsize=None)
+def _histograms(spark: SparkSession, sf_dir: str, version: tuple[int, int]) -> str:
+    """Latency counts of a store that was filled in two batches which share a day, brought up to date after each."""
+    path, rollup = work_path(spark, "counted"), work_path(spark, "histograms")
+    noon = SPLIT + DAY / 2
+    for lo, hi in ((None, noon), (noon, None)):
+        batch = driver_events.log_events(spark, sf_dir, lo, hi)
+        store.append_batch(batch, path)
+        histograms.update_histograms(rollup, store.read_store(spark, path), batch)
+    return rollup
+
+
+@query
+def p95_from_rollup(spark, sf_dir):
+    """Q2 from the daily counts."""
+    daily_counts = histograms.read_level(spark, _histograms(spark, sf_dir, _version(spark, sf_dir)), "day")
+    return histograms.p95_from_histogram(daily_counts)
+
+
+@query
+def p95_from_rollup_range(spark, sf_dir):
+    """Q2 of a range that is made of days, hours and minutes."""
+    path = _histograms(spark, sf_dir, _version(spark, sf_dir))
+    return histograms.p95_from_histogram(histograms.between(spark, path, "2024-01-08 10:17:00", "2024-01-15 03:05:00"))
+
+
 @query
 def alert_from_rollup(spark, sf_dir):
     return alerts.alert_from_rollup(_rollup(spark, sf_dir), DAY, SPLIT)

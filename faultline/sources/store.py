@@ -27,6 +27,8 @@ def _epoch_ms() -> Column:
     return F.expr("unix_millis(cast(ts AS timestamp))")
 
 
+#: Rows of one page. A page has its own minima and maxima in the file's column index, so a short range reads some pages of a row group.
+PAGE_ROWS = 1000
 TIME_ORDER = ("service", "ts", "id")
 #: For lookups of one level: its rows of a service stand together.
 LEVEL_ORDER = ("service", "level", "ts", "id")
@@ -61,7 +63,7 @@ def write_daily(
     trace_bloom adds a Bloom filter on trace_id for lookups that have no time range.
     """
     rows = normalized(events.select(*EVENT_COLUMNS))
-    writer = clustered(rows, files, order).write.mode(mode).partitionBy("event_date")
+    writer = clustered(rows, files, order).write.mode(mode).option("parquet.page.row.count.limit", PAGE_ROWS).partitionBy("event_date")
     if row_group_bytes:
         writer = writer.option("parquet.block.size", row_group_bytes)
     if trace_bloom:
@@ -84,7 +86,8 @@ def compact_day(spark: SparkSession, path: str, day: dt.date, files: int | None
     copy = work_path(spark, "compact")
     clustered(rows, files).write.parquet(copy)
     whole = spark.read.schema(STORED_SCHEMA).parquet(copy).sortWithinPartitions("event_date", *TIME_ORDER)
-    whole.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("event_date").parquet(path)
+    writer = whole.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("parquet.page.row.count.limit", PAGE_ROWS)
+    writer.partitionBy("event_date").parquet(path)
 
 
 def write_flat(events: DataFrame, path: str) -> bool:
