@@ -9,15 +9,18 @@ have found TARGET of the true neighbours there (neighbours are nearer, so easier
 
 Neighbouring lists, in the order of the halving, share a shelf of at most SHELF entries; a longer list has several shelves to itself. A query
 goes to each shelf that holds one of its lists once, in chunks of about CHUNK queries, and gets the shelf's best, so what is returned grows with
-shelves and not with lists. Equal vectors are one entry with their TOP + 1 smallest ids, which is all that any query's result can hold of them.
+shelves and not with lists. A shelf is copied as often as the queries that ask it fill chunks, and not at all if none does. Equal vectors are one entry with their TOP + 1 smallest ids, which is all that any query's result can hold of them.
 
 Cases: vectors that are null, empty, zero or hold null or non-finite numbers, and null ids, take no part. Shorter vectors count as followed
 by zeros. Ties go to the smaller vec_id. With fewer candidates than TOP all are returned. A query id that occurs twice with different vectors
-takes the vector that sorts first; a candidate id that does is found with its best score.
+takes the vector that sorts first; a candidate id that does is found with its best score. Where squares of the largest numbers would overflow, all vectors are divided
+by one power of two and scores are multiplied by its square; a score beyond the range of doubles is infinite, and the order is that of the scores before.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -119,11 +122,18 @@ def _ratio(graph: Graph, sample: np.ndarray, own: np.ndarray, top: int) -> float
     asked = sample[queries].copy()
     asked[:, -1] = 0
     distance = np.sqrt(np.maximum(0, (asked**2).sum(axis=1)[:, None] + graph.norms[None] - 2 * asked @ graph.centroids.T))
-    distance /= distance.min(axis=1, keepdims=True)
+    # A query that lies on a centroid has a least distance of 0.
+    rounding = 1e-9 * distance.mean() + np.finfo(float).tiny
+    distance = (distance + rounding) / (distance.min(axis=1, keepdims=True) + rounding)
     need = [distance[i, homes[j]].min() for i in range(len(queries)) for j in near[i]]
     return float(np.quantile(need, TARGET)) if need else 1.0
 
 
+def _scale(largest: float) -> float:
+    """A power of two to divide vectors by, 1 unless products of numbers as large as this could overflow."""
+    return 2.0 ** math.frexp(largest)[1] if largest > 2.0**400 else 1.0
+
+
 def shelves(sizes: dict[int, int], shelf: int) -> dict[int, list[int]]:
     """The shelves of each list, given the lists' sizes."""
     of_list: dict[int, list[int]] = {}
@@ -151,14 +161,18 @@ def search(vectors: DataFrame, every: int = 20, top: int = TOP, per_list: int =
     count, dims = entries.count(), width(entries)
     if not count:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    longest = entries.agg(F.max(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x * x))).first()[0]
+    scale = _scale(entries.agg(F.max(F.array_max(F.transform("embedding", F.abs)))).first()[0])
+    longest = entries.agg(F.max(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + (x / scale) * (x / scale)))).first()[0]
     lists = min(-(-count // per_list), MOST_LISTS)
 
+    def rows_of(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+        return matrix(column, dims) / scale
+
     def lengthened(rows: np.ndarray) -> np.ndarray:
         rest = np.sqrt(np.maximum(0, longest - (rows**2).sum(axis=1)))
         return np.concatenate([rows, rest[:, None]], axis=1)
 
-    own = matrix(entries.select("embedding").orderBy(F.xxhash64("id"), "id").limit(lists * PER_LIST).toArrow()["embedding"], dims)
+    own = rows_of(entries.select("embedding").orderBy(F.xxhash64("id"), "id").limit(lists * PER_LIST).toArrow()["embedding"])
     sample = lengthened(own)
     graph = Graph(balanced_lists(sample, lists))
     ratio = _ratio(graph, sample, own, top)
@@ -166,7 +180,7 @@ def search(vectors: DataFrame, every: int = 20, top: int = TOP, per_list: int =
 
     def placed(batches: Batches) -> Batches:
         for batch in batches:
-            found = shared.value.lists(lengthened(matrix(batch.column("embedding"), dims)), BOUNDARY, 1, REPLICAS)
+            found = shared.value.lists(lengthened(rows_of(batch.column("embedding"))), BOUNDARY, 1, REPLICAS)
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("embedding"), pa.array(found, pa.list_(pa.int64()))], names=["id", "embedding", "lists"])
 
     posted = saved(entries.select("id", "embedding").mapInArrow(placed, "id long, embedding array<double>, lists array<long>"), "postings")
@@ -176,7 +190,7 @@ def search(vectors: DataFrame, every: int = 20, top: int = TOP, per_list: int =
 
     def asked(batches: Batches) -> Batches:
         for batch in batches:
-            rows = matrix(batch.column("embedding"), dims)
+            rows = rows_of(batch.column("embedding"))
             found = shared.value.lists(np.concatenate([rows, np.zeros((len(rows), 1))], axis=1), ratio, LEAST_LISTS, lists)
             on = [sorted({s for number in some.tolist() for s in of_list.get(number, ())}) for some in found]
             yield pa.RecordBatch.from_arrays([batch.column("query_id"), batch.column("embedding"), pa.array(on, pa.list_(pa.int64()))], names=["query_id", "embedding", "on"])
@@ -188,20 +202,20 @@ def search(vectors: DataFrame, every: int = 20, top: int = TOP, per_list: int =
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("embedding"), pa.array(on, pa.list_(pa.int64()))], names=["id", "embedding", "on"])
 
     queries = good.where(F.col("vec_id") % every == 0).groupBy(F.col("vec_id").alias("query_id")).agg(F.min("embedding").alias("embedding"))
-    queries = saved(queries, "posting-queries")
-    chunks = max(1, -(-queries.count() // chunk))
+    queries = saved(queries.mapInArrow(asked, "query_id long, embedding array<double>, on array<long>"), "posting-queries")
+    right = queries.select(F.explode("on").alias("shelf"), "query_id", "embedding")
+    chunks = queries.select(F.explode("on").alias("shelf")).groupBy("shelf").agg(F.ceil(F.count("*") / chunk).alias("chunks"))
     left = posted.mapInArrow(shelve, "id long, embedding array<double>, on array<long>").select(F.explode("on").alias("shelf"), "id", "embedding")
-    left = left.withColumn("chunk", F.explode(F.expr(f"sequence(0, {chunks - 1})")))
-    right = queries.mapInArrow(asked, "query_id long, embedding array<double>, on array<long>")
-    right = right.select(F.explode("on").alias("shelf"), F.pmod(F.xxhash64("query_id"), F.lit(chunks)).cast("int").alias("chunk"), "query_id", "embedding")
+    left = left.join(chunks, "shelf").select("shelf", "id", "embedding", F.explode(F.expr("sequence(0L, chunks - 1)")).alias("chunk"))
+    right = right.join(chunks, "shelf").select("shelf", F.expr("pmod(xxhash64(query_id), chunks)").alias("chunk"), "query_id", "embedding")
 
     def scored(have: pa.Table, want: pa.Table) -> pa.Table:
         out = []
         if have.num_rows and want.num_rows:
-            x, ids = matrix(have["embedding"], dims), have["id"].to_numpy()
+            x, ids = rows_of(have["embedding"]), have["id"].to_numpy()
             asked_ids = want["query_id"].to_numpy()
             for start in range(0, len(asked_ids), 256):
-                rows = matrix(want["embedding"].slice(start, 256), dims)
+                rows = rows_of(want["embedding"].slice(start, 256))
                 score = rows @ x.T
                 keep = min(top + 1, len(ids))
                 least = -np.partition(-score, keep - 1, axis=1)[:, keep - 1 : keep]
@@ -221,4 +235,5 @@ def search(vectors: DataFrame, every: int = 20, top: int = TOP, per_list: int =
     found = found.join(entries.select("id", "ids"), "id").select("query_id", "score", F.explode("ids").alias("vec_id")).where("vec_id <> query_id")
     found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     found = found.withColumn("rank", F.expr("row_number() over (partition by query_id order by score desc, vec_id)")).where(f"rank <= {top}")
-    return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    # Exact, as a power of two.
+    return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", (F.col("score") * scale * scale).alias("score"))

@@ -129,6 +129,56 @@ def test_ties_and_few_candidates(spark):
     assert [tuple(r) for r in few] == [(0, 1, 1, 1.0), (0, 2, 2, 1.0)]
 
 
+def test_large_numbers_do_not_overflow(spark):
+    """Norms far beyond the range of squares: the order of the same vectors at a common size, and infinite scores."""
+    rows = [(i, [float(x) for x in v], 0, "x", "y") for i, v, *_ in clustered(8, 200)]
+    large = [(i, [x * 2.0**535 for x in v], *rest) for i, v, *rest in rows]
+    schema = SCHEMA.replace("float", "double")
+    got = {}
+    for r in postings.search(spark.createDataFrame(large, schema)).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    for q, best in nearest(rows).items():
+        assert [i for i, _ in got[q]] == [i for i, _ in best]
+        assert all(math.isinf(s) or abs(s) > 1e300 for _, s in got[q] if abs(s) > 0)
+
+
+def test_a_query_on_a_centroid(recwarn):
+    sample = np.array([[1.0, 0.0], [-1.0, 0.0]] * 40)
+    own = sample[:, :1]
+    graph = postings.Graph(np.array([[1.0, 0.0], [-1.0, 0.0]]))
+    assert postings._ratio(graph, sample, own, 5) == pytest.approx(1.0) and not recwarn.list
+
+
+def test_copies_of_postings_follow_their_queries(spark, monkeypatch):
+    """Postings sent to tasks: none to shelves that no query asks, and each once for each full chunk of those that do."""
+    rows = [(i, v, *rest) for i, v, *rest in clustered(4, 2000) if i % 20 or i < 2000]
+    table, asked = {}, postings.saved
+
+    def kept(df, name):
+        table[name] = asked(df, name)
+        return table[name]
+
+    monkeypatch.setattr(postings, "saved", kept)
+    found = postings.search(spark.createDataFrame(rows, SCHEMA), per_list=100, shelf=200, chunk=30)
+    want = {q: {i for i, _ in best} for q, best in nearest(rows).items()}
+    hits = [r["vec_id"] in want[r["query_id"]] for r in found.collect()]
+    assert len(hits) == 20 * len(want) and sum(hits) >= 0.95 * len(hits)
+    on = [r["on"] for r in table["posting-queries"].select("on").collect()]
+    asked_shelves = {s for shelves in on for s in shelves}
+    asks = sum(map(len, on))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert len(asked_shelves) > 5 and asks < len(on) * len(asked_shelves)
+
+
+def test_recall_over_many_lists_of_the_tables(spark):
+    vectors = spark.read.parquet(f"{TESTDATA}/sf0.1/embeddings.parquet")
+    rows = [(r["vec_id"], r["embedding"]) for r in vectors.select("vec_id", "embedding").collect()]
+    want = {q: {i for i, _ in best} for q, best in nearest(rows).items()}
+    found = postings.search(vectors, per_list=100).collect()
+    assert len(rows) == 2000 and sum(r["vec_id"] in want[r["query_id"]] for r in found) >= 0.95 * sum(map(len, want.values()))
+
+
 def test_recall_on_the_tables(spark):
     out = queries.queries()["op6_ann_postings"](spark, f"{TESTDATA}/sf0.01").collect()
     rows = [(i, v) for i, v in duckdb.sql(f"SELECT vec_id, embedding FROM '{TESTDATA}/sf0.01/embeddings.parquet'").fetchall()]
