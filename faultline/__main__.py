@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from faultline.operators import analytics, audit, latency
 from faultline.session import local_session, use_utc
-from faultline.sources import store, synthetic
+from faultline.sources import names, store, synthetic
 from faultline.streaming import ingest, jobs
 
 QUERIES = {
@@ -69,7 +69,7 @@ def query(spark: SparkSession, a: argparse.Namespace) -> None:
         raise SystemExit(f"{a.name} returns events without a limit: name a folder with --out")
     table = store.read_store(spark, a.path)
     if a.loose:
-        table, a.service = analytics.of_service(table, a.service, loose=True), None
+        table, a.service = analytics.of_service(table, names.spellings(spark, a.path, a.service)), None
     deliver(QUERIES[a.name](table, a), a.out)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,10 +17,15 @@ LOOKUP_COLUMNS = ["id", "trace_id", "service", "level", "ts", "latency_ms", "end
 WINDOW_COLUMNS = ["id", "trace_id", "service", "host", "level", "ts", "latency_ms", "endpoint", "message"]
 
 
-def of_service(events: DataFrame, service: str | None, loose: bool = False) -> DataFrame:
-    """Rows of one service; loose ignores case, accents and trailing spaces, at the price of pushdown."""
+def of_service(events: DataFrame, service: str | Sequence[str] | None, loose: bool = False) -> DataFrame:
+    """Rows of one service, or of several; loose ignores case, accents and trailing spaces, at the price of pushdown.
+
+    For a store, names.spellings gives the names to look up instead, which keeps pushdown.
+    """
     if service is None:
         return events
+    if not isinstance(service, str):
+        return events.filter(F.col("service").isin(list(service)))
     name = F.lit(service)
     if loose:
         return events.filter(F.collate("service", LOOSE_COLLATION) == F.collate(name, LOOSE_COLLATION))

@@ -32,3 +32,28 @@ def delete_folders(spark: SparkSession, paths: Iterable[str]) -> None:
     for path in paths:
         target = spark._jvm.org.apache.hadoop.fs.Path(path)
         _file_system(spark, target).delete(target, True)
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file of one file system; it is an error if that fails."""
+    old, new = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (source, target))
+    if not _file_system(spark, old).rename(old, new):
+        raise OSError(f"cannot move {source} to {target}")
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is there whole or not at all."""
+    part = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.part")
+    stream = _file_system(spark, part).create(part, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    move(spark, f"{path}.part", path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = _file_system(spark, target).open(target)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()

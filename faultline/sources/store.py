@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 import re
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,8 +13,7 @@ from pyspark.sql import functions as F
 
 from faultline.contract import EVENT_COLUMNS, EVENT_SCHEMA, STORED_SCHEMA, normalized, with_event_date
 from faultline.functions.ranking import first_of_each
-from faultline.session import work_path
-from faultline.sources.files import delete_folders, folder_names, path_exists
+from faultline.sources.files import delete_folders, folder_names, move, path_exists, read_text, write_text
 
 
 def read_store(spark: SparkSession, path: str) -> DataFrame:
@@ -78,16 +79,44 @@ def append_batch(events: DataFrame, path: str) -> None:
 
 
 def compact_day(spark: SparkSession, path: str, day: dt.date, files: int | None = None) -> None:
-    """Rewrite a day's files, as many small batches leave them, as few clustered ones.
+    """Rewrite a day's files, as many small batches leave them, as `files` clustered ones whose ranges do not overlap.
 
-    The rows are written to the shared folder first: a run that fails leaves the day or that copy whole.
+    The rows are written beside the store first. Then a note is left of the files that were read and of those that replace them, and what it says is
+    done: files are moved in, and the old ones removed. Files that others add meanwhile are in no note and stay. A run that fails before the note changes
+    nothing; one that fails after it leaves the rest to the next compaction, or to finish_compaction, and until then the day may have rows twice.
     """
-    rows = read_store(spark, path).filter(F.col("event_date") == F.lit(day)).select(*EVENT_COLUMNS)
-    copy = work_path(spark, "compact")
-    clustered(rows, files).write.parquet(copy)
-    whole = spark.read.schema(STORED_SCHEMA).parquet(copy).sortWithinPartitions("event_date", *TIME_ORDER)
-    writer = whole.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("parquet.page.row.count.limit", PAGE_ROWS)
-    writer.partitionBy("event_date").parquet(path)
+    finish_compaction(spark, path)
+    folder = f"{path}/event_date={day.isoformat()}"
+    old = [name for name in folder_names(spark, folder) if name.endswith(".parquet")] if path_exists(spark, folder) else []
+    if not old:
+        return
+    rows = spark.read.schema(EVENT_SCHEMA).parquet(*[f"{folder}/{name}" for name in old])
+    staged = f"{_compacting(path)}/{uuid.uuid4().hex}"
+    # All rows are of one day, so a task writes one file.
+    clustered(rows, files).drop("event_date").write.option("parquet.page.row.count.limit", PAGE_ROWS).parquet(staged)
+    new = [name for name in folder_names(spark, staged) if name.endswith(".parquet")]
+    write_text(spark, f"{_compacting(path)}/note", json.dumps({"folder": folder, "staged": staged, "old": old, "new": new}))
+    finish_compaction(spark, path)
+
+
+def _compacting(path: str) -> str:
+    return f"{path.rstrip('/')}.compacting"
+
+
+def finish_compaction(spark: SparkSession, path: str) -> bool:
+    """Do what the note of a compaction still leaves to do; whether there was one."""
+    note = f"{_compacting(path)}/note"
+    found = path_exists(spark, note)
+    if found:
+        plan = json.loads(read_text(spark, note))
+        waiting = set(folder_names(spark, plan["staged"])) if path_exists(spark, plan["staged"]) else set()
+        for name in plan["new"]:
+            if name in waiting:
+                move(spark, f"{plan['staged']}/{name}", f"{plan['folder']}/{name}")
+        delete_folders(spark, [f"{plan['folder']}/{name}" for name in plan["old"]])
+    # What has no note was given up.
+    delete_folders(spark, [_compacting(path)])
+    return found
 
 
 def write_flat(events: DataFrame, path: str) -> bool:

@@ -4,7 +4,7 @@ import pytest
 
 from faultline.operators import analytics, audit
 from faultline.session import work_path, work_root
-from faultline.sources import store, traces
+from faultline.sources import names, store, traces
 from faultline.sources.synthetic import synthetic_events
 from faultline.functions.timeframe import time_range
 from tests.conftest import at, event, rows_of
@@ -207,6 +207,86 @@ def test_level_order_scans_fewer_rows(spark):
     assert by_level < by_time
 
 
+@pytest.fixture
+def batches(spark, events_of):
+    """A day that thirty small appends have left, out of order, and another day."""
+    path = work_path(spark, "small-batches")
+    for i in range(6):
+        rows = [event(100 * i + j, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=(j * 37 + i) % 1440), service=f"s{j % 4}") for j in range(100)]
+        store.append_batch(events_of(rows), path)
+    store.append_batch(events_of([event(9999, "2024-01-02")]), path)
+    return path
+
+
+def test_compaction_gives_as_many_files_as_asked_and_no_overlap(spark, batches):
+    day = dt.date(2024, 1, 1)
+    before = rows_of(store.read_store(spark, batches), "id", "ts", "ts_ms", "event_date")
+    store.compact_day(spark, batches, day, files=8)
+    table = store.read_store(spark, batches)
+    assert rows_of(table, "id", "ts", "ts_ms", "event_date") == before
+    spans = table.filter("id < 9999").selectExpr("input_file_name() f", "struct(service, ts, id) k").groupBy("f").agg({"k": "min"}).collect()
+    highs = dict(tuple(r) for r in table.filter("id < 9999").selectExpr("input_file_name() f", "struct(service, ts, id) k").groupBy("f").agg({"k": "max"}).collect())
+    ordered = sorted((r[1], highs[r[0]]) for r in spans)
+    assert len(ordered) == 8 and all(a[1] < b[0] for a, b in zip(ordered, ordered[1:]))
+
+
+def test_rows_that_come_during_a_compaction_stay(spark, events_of, batches, monkeypatch):
+    plain = store.write_text
+
+    def interrupted(*args):
+        store.append_batch(events_of([event(5000, "2024-01-01 05:00:00")]), batches)
+        plain(*args)
+
+    monkeypatch.setattr(store, "write_text", interrupted)
+    store.compact_day(spark, batches, dt.date(2024, 1, 1), files=2)
+    assert store.read_store(spark, batches).count() == 602 and store.read_store(spark, batches).filter("id = 5000").count() == 1
+
+
+@pytest.mark.parametrize("step", ["move", "delete_folders"])
+def test_a_compaction_that_broke_off_is_finished(spark, batches, monkeypatch, step):
+    before = rows_of(store.read_store(spark, batches), "id")
+    plain, calls = getattr(store, step), []
+
+    def broken(*args):
+        calls.append(args)
+        if len(calls) == 2:
+            raise OSError("lost")
+        plain(*args)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(store, step, broken)
+        with pytest.raises(OSError):
+            store.compact_day(spark, batches, dt.date(2024, 1, 1), files=4)
+    assert {r[0] for r in rows_of(store.read_store(spark, batches), "id")} == {r[0] for r in before}
+    assert store.finish_compaction(spark, batches) and rows_of(store.read_store(spark, batches), "id") == before
+    assert not store.finish_compaction(spark, batches)
+
+
+def test_loose_names_are_looked_up_exactly(spark, events_of):
+    start = dt.datetime(2024, 1, 1)
+    spelled = ["payment", "Payment ", "pàyment", "zebra", "auth"]
+    rows = [event(i, start + dt.timedelta(seconds=i), service=spelled[i % 5] if i % 5 < 3 and i < 100 else spelled[3 + i % 2]) for i in range(20_000)]
+    path = store.write_daily(events_of(rows), work_path(spark, "loose"), "errorifexists", files=1)
+    assert names.spellings(spark, path, "PAYMENT") == ["Payment ", "payment", "pàyment"]
+    found = analytics.of_service(store.read_store(spark, path), names.spellings(spark, path, "PAYMENT"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "In(service, [" in plan and "collate" not in plan
+    assert found.count() == 60 and rows_scanned(found) < 20_000
+    # Only a day whose files have changed is read again.
+    kept = store.folder_names(spark, f"{path}.services/event_date=2024-01-01")
+    store.append_batch(events_of([event(30_000, "2024-01-05", service="PÂYMENT")]), path)
+    assert names.spellings(spark, path, "payment ") == ["PÂYMENT", "Payment ", "payment", "pàyment"]
+    assert names.spellings(spark, path, "payment", dt.date(2024, 1, 2)) == ["PÂYMENT"]
+    assert store.folder_names(spark, f"{path}.services/event_date=2024-01-01") == kept
+    assert names.spellings(spark, work_path_of(spark), "x") == []
+
+
+def work_path_of(spark):
+    path = work_path(spark, "nothing")
+    spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(spark._jvm.org.apache.hadoop.fs.Path(path))
+    return path
+
+
 def test_retention_drops_whole_days(spark, stored):
     path = store.write_daily(store.read_store(spark, stored), work_path(spark, "retain-test"), "errorifexists")
     kept = store.retain_days(spark, path, 2)
