@@ -195,19 +195,26 @@ def search(vectors: DataFrame, every: int = 20, top: int = TOP, per_list: int =
             on = [sorted({s for number in some.tolist() for s in of_list.get(number, ())}) for some in found]
             yield pa.RecordBatch.from_arrays([batch.column("query_id"), batch.column("embedding"), pa.array(on, pa.list_(pa.int64()))], names=["query_id", "embedding", "on"])
 
+    queries = good.where(F.col("vec_id") % every == 0).groupBy(F.col("vec_id").alias("query_id")).agg(F.min("embedding").alias("embedding"))
+    queries = saved(queries.mapInArrow(asked, "query_id long, embedding array<double>, on array<long>"), "posting-queries")
+    # As many rows as there are shelves that are asked.
+    asks = queries.select(F.explode("on").alias("shelf")).groupBy("shelf").agg(F.count("*").alias("n")).collect()
+    chunks = {r["shelf"]: -(-r["n"] // chunk) for r in asks}
+
     def shelve(batches: Batches) -> Batches:
         for batch in batches:
             # Copies of an entry in lists of one shelf are one there.
             on = [sorted({of_list[n][id_ * 0x9E3779B1 % len(of_list[n])] for n in some}) for id_, some in zip(batch.column("id").to_pylist(), batch.column("lists").to_pylist())]
+            on = [[s << 32 | c for s in some for c in range(chunks.get(s, 0))] for some in on]
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("embedding"), pa.array(on, pa.list_(pa.int64()))], names=["id", "embedding", "on"])
 
-    queries = good.where(F.col("vec_id") % every == 0).groupBy(F.col("vec_id").alias("query_id")).agg(F.min("embedding").alias("embedding"))
-    queries = saved(queries.mapInArrow(asked, "query_id long, embedding array<double>, on array<long>"), "posting-queries")
-    right = queries.select(F.explode("on").alias("shelf"), "query_id", "embedding")
-    chunks = queries.select(F.explode("on").alias("shelf")).groupBy("shelf").agg(F.ceil(F.count("*") / chunk).alias("chunks"))
-    left = posted.mapInArrow(shelve, "id long, embedding array<double>, on array<long>").select(F.explode("on").alias("shelf"), "id", "embedding")
-    left = left.join(chunks, "shelf").select("shelf", "id", "embedding", F.explode(F.expr("sequence(0L, chunks - 1)")).alias("chunk"))
-    right = right.join(chunks, "shelf").select("shelf", F.expr("pmod(xxhash64(query_id), chunks)").alias("chunk"), "query_id", "embedding")
+    def dealt(batches: Batches) -> Batches:
+        for batch in batches:
+            on = [[s << 32 | (id_ * 0x9E3779B1 >> 8) % chunks[s] for s in some] for id_, some in zip(batch.column("query_id").to_pylist(), batch.column("on").to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column("query_id"), batch.column("embedding"), pa.array(on, pa.list_(pa.int64()))], names=["query_id", "embedding", "on"])
+
+    left = posted.mapInArrow(shelve, "id long, embedding array<double>, on array<long>").select(F.explode("on").alias("part"), "id", "embedding")
+    right = queries.mapInArrow(dealt, "query_id long, embedding array<double>, on array<long>").select(F.explode("on").alias("part"), "query_id", "embedding")
 
     def scored(have: pa.Table, want: pa.Table) -> pa.Table:
         out = []
@@ -228,8 +235,7 @@ def search(vectors: DataFrame, every: int = 20, top: int = TOP, per_list: int =
         query, id_, score = (np.concatenate(c) for c in zip(*out)) if out else (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
         return pa.table({"query_id": query, "id": id_, "score": score})
 
-    keys = ["shelf", "chunk"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(scored, "query_id long, id long, score double")
+    found = left.groupBy("part").cogroup(right.groupBy("part")).applyInArrow(scored, "query_id long, id long, score double")
     found = found.groupBy("query_id", "id").agg(F.max("score").alias("score"))
     found = found.withColumn("n", F.expr("row_number() over (partition by query_id order by score desc, id)")).where(f"n <= {top + 1}").drop("n")
     found = found.join(entries.select("id", "ids"), "id").select("query_id", "score", F.explode("ids").alias("vec_id")).where("vec_id <> query_id")
