@@ -87,8 +87,7 @@ class BucketTable:
         names = [part.split()[0] for part in self.schema.split(", ")]
         # A bucket is written by one task; keys are distinct, so hashing them leaves no bucket larger than others.
         ordered = placed.select(*names, "bucket", "version").repartition("bucket").sortWithinPartitions("bucket", self.key)
-        writer = ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "version")
-        writer.option(f"parquet.bloom.filter.enabled#{self.key}", "true").parquet(self.root)
+        ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "version").parquet(self.root)
 
     def write(self, rows: DataFrame, batch: int) -> None:
         """The rows that batch adds or changes, one for each key."""

@@ -1,7 +1,6 @@
 """Appends that store a trace once, whatever its times, without reading the store.
 
-Beside a store stands a table of its trace ids in hash buckets. A batch is compared with the buckets its traces fall in; each file there is sorted
-by trace and has a Bloom filter on it. An append writes events first and their traces after that. Between the two a note says which days the append was about; an
+Beside a store stands a table of its trace ids in hash buckets. A batch is joined with the buckets its traces fall in. An append writes events first and their traces after that. Between the two a note says which days the append was about; an
 append that finds a note of one that broke off reads those days, and no others, and completes the table. There is one writer at a time, as for the store.
 
 Traces of days that retention has dropped are forgotten with them. Rows appended by other means than append_once are made known by rebuild().
