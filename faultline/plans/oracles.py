@@ -356,7 +356,7 @@ _ON_EVENTS = {
         FROM (SELECT service, ts, cast(sum(CASE WHEN level = 'ERROR' THEN 1 ELSE 0 END) OVER (
                 PARTITION BY service ORDER BY ts RANGE BETWEEN INTERVAL 5 MINUTE PRECEDING AND CURRENT ROW) AS bigint) AS errors_in_window
               FROM log_events)
-        WHERE time_bucket(INTERVAL '5 minutes', ts) + INTERVAL 5 MINUTE <= {CLOSED} GROUP BY service, ts""",
+        WHERE time_bucket(INTERVAL '6 hours', ts) + INTERVAL 6 HOUR <= {CLOSED} GROUP BY service, ts""",
 }
 
 _SPIKES = """
@@ -411,8 +411,8 @@ _ON_RECEIVED = {
         SELECT coalesce(reject_reason, 'accepted') AS outcome, count(*) AS row_count FROM received GROUP BY ALL""",
     "dead_letter": _DEAD,
     "dead_letter_days": _DEAD,
-    # The third receive makes the letter, in the third batch.
-    "stream_dead_letter_days": f"SELECT message_id, cast(3 AS bigint) AS receives, reject_reason, cast(2 AS bigint) AS letter_batch FROM ({_DEAD})",
+    # The third receive makes the letter, in the second batch, which may bring the fourth too.
+    "stream_dead_letter_days": f"SELECT *, cast(1 AS bigint) AS letter_batch FROM ({_DEAD})",
     "stream_ingest": f"SELECT DISTINCT {COLUMNS} FROM received WHERE reject_reason IS NULL",
     "archive_raw": """
         SELECT message_id, sent_at, cast(receive AS int) AS receive, coalesce(reject_reason, 'accepted') AS outcome

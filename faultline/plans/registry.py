@@ -540,11 +540,11 @@ def stream_dead_letter(spark, sf_dir):
 
 @lru_cache(maxsize=None)
 def _late_receives(spark: SparkSession, sf_dir: str, version: tuple[int, int]) -> ingest.Sinks:
-    """The sinks of messages whose receives come one at a time, sent on different days."""
+    """The sinks of messages whose receives were sent on different days and come in two batches."""
     landing, sinks = work_path(spark, "receives-landing"), ingest.Sinks(work_path(spark, "receives"))
     messages = driver_events.later_receives(driver_events.messages(_events(spark, sf_dir)))
-    for receive in range(1, 5):
-        messages.filter(F.col("receive") == receive).write.mode("append").json(landing)
+    for part in (F.col("receive") <= 2, F.col("receive") > 2):
+        messages.filter(part).write.mode("append").json(landing)
         ingest.ingest(jobs.message_stream(spark, landing), sinks)
     return sinks
 
@@ -636,7 +636,7 @@ def stream_silent_services(spark, sf_dir):
 
 @query
 def stream_rolling_errors(spark, sf_dir):
-    return jobs.materialize(processors.stream_rolling_errors(_stream(spark, sf_dir), DELAY), "stream-rolling")
+    return jobs.materialize(processors.stream_rolling_errors(_stream(spark, sf_dir), DELAY, chunk=dt.timedelta(hours=6)), "stream-rolling")
 
 
 @query

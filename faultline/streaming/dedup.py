@@ -60,4 +60,4 @@ def dedup(events: DataFrame, path: str, delay: dt.timedelta, keys: Sequence[str]
 
 
 def read_kept(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(EVENT_SCHEMA).parquet(f"{path}/events")
+    return spark.read.schema(EVENT_SCHEMA).parquet(f"{path}/events").select(*EVENT_COLUMNS)

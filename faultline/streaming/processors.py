@@ -12,6 +12,7 @@ objects: Spark takes no text column that pandas keeps in several Arrow chunks.
 from __future__ import annotations
 
 import datetime as dt
+import math
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -44,38 +45,41 @@ def _window_counts(events: DataFrame, length: str, delay: str) -> DataFrame:
 
 
 def longer_windows(steps: Sequence[int]) -> StatefulProcessor:
-    """Adds the counts of minutes up to windows of each length, in seconds, and puts a window out when it has ended."""
+    """Adds the counts of short windows up to windows of each length, in seconds, and puts a window out when it has ended.
+
+    The state is the windows that are open, read and written once a batch; one timer waits for the first of them to end.
+    """
 
     class LongerWindows(StatefulProcessor):
         def init(self, handle: StatefulProcessorHandle) -> None:
             self.handle = handle
-            self.open = handle.getMapState("open", "step long, start long", "total long, errors long")
+            self.open = handle.getListState("open", "step long, start long, total long, errors long")
 
         def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-            for minutes in rows:
-                for step in steps:
-                    starts = minutes["second"] - minutes["second"] % step
-                    for start, sums in minutes.groupby(starts)[["total_events", "error_events"]].sum().iterrows():
-                        place = (step, int(start))
-                        total, errors = (int(n) for n in sums)
-                        if self.open.containsKey(place):
-                            before = self.open.getValue(place)
-                            total, errors = total + before[0], errors + before[1]
-                        else:
-                            self.handle.registerTimer((place[1] + step) * 1000)
-                        self.open.updateValue(place, (total, errors))
-            return iter(())
+            counts = pd.concat(list(rows))
+            parts = [counts.assign(step=step, start=counts["second"] - counts["second"] % step) for step in steps]
+            now = pd.concat(parts)[["step", "start", "total_events", "error_events"]]
+            return self._close(key, pd.concat([self._waiting(), now]), timerValues)
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-            end = expiredTimerInfo.getExpiryTimeInMs() // 1000
-            for step in steps:
-                place = (step, end - step)
-                if end % step == 0 and self.open.containsKey(place):
-                    total, errors = self.open.getValue(place)
-                    self.open.removeKey(place)
-                    yield pd.DataFrame(
-                        {"service": [key[0]], "window_minutes": [step // 60], "second": [place[1]], "total_events": [total], "error_events": [errors]}
-                    ).astype({"service": object})
+            return self._close(key, self._waiting(), timerValues)
+
+        def _waiting(self) -> pd.DataFrame:
+            rows = list(self.open.get()) if self.open.exists() else []
+            return pd.DataFrame(rows, columns=["step", "start", "total_events", "error_events"]).astype("int64")
+
+        def _close(self, key, windows: pd.DataFrame, timerValues) -> Iterator[pd.DataFrame]:
+            windows = windows.groupby(["step", "start"], as_index=False).sum()
+            ends = (windows["step"] + windows["start"]) * 1000
+            ended = ends <= timerValues.getCurrentWatermarkInMs()
+            if ended.all():
+                self.open.clear()
+            else:
+                self.open.put([tuple(int(x) for x in row) for row in windows[~ended].itertuples(index=False)])
+                self.handle.registerTimer(int(ends[~ended].min()))
+            closed = windows[ended]
+            out = {"service": key[0], "window_minutes": (closed["step"] // 60).astype("int32"), "second": closed["start"]}
+            yield pd.DataFrame(out | {c: closed[c] for c in ("total_events", "error_events")}).astype({"service": object})
 
         def close(self) -> None:
             pass
@@ -84,13 +88,16 @@ def longer_windows(steps: Sequence[int]) -> StatefulProcessor:
 
 
 def stream_threshold_alerts(events: DataFrame, rules: Sequence[Rule], delay: str) -> DataFrame:
-    """Rule breaches of closed windows, for rules of any window length, from one read of the stream and one set of counts."""
-    steps = sorted({rule.window_minutes * 60 for rule in rules})
+    """Rule breaches of closed windows, for rules of any window length, from one read of the stream and one set of counts.
+
+    Events are counted in the longest windows that all lengths are whole numbers of.
+    """
+    lengths = sorted({rule.window_minutes for rule in rules})
     closed = (
-        _window_counts(events, "1 minute", delay)
+        _window_counts(events, f"{math.gcd(*lengths)} minutes", delay)
         .groupBy("service")
         .transformWithStateInPandas(
-            longer_windows(steps),
+            longer_windows([minutes * 60 for minutes in lengths]),
             outputStructType="service string, window_minutes int, second bigint, total_events bigint, error_events bigint",
             outputMode="append",
             timeMode="EventTime",
@@ -291,11 +298,11 @@ def stream_error_sessions(events: DataFrame, gap: dt.timedelta, delay: str) -> D
 # Rolling counts
 
 
-def running_sums(width: int) -> StatefulProcessor:
+def running_sums(length: int) -> StatefulProcessor:
     """The running sum of the changes in one chunk of time, put out when the chunk has ended.
 
     A chunk is a group of its own, as in alerts.rolling_errors, so the state of a service is spread over chunks, and a chunk holds
-    no more changes than it has milliseconds, times three.
+    no more changes than it has milliseconds, times two, and those carried over from the window before it.
     """
 
     class RunningSums(StatefulProcessor):
@@ -305,7 +312,7 @@ def running_sums(width: int) -> StatefulProcessor:
 
         def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
             if not self.changes.exists():
-                self.handle.registerTimer(-(-(key[1] + width) // 1000))
+                self.handle.registerTimer(-(-(key[1] + length) // 1000))
             for batch in rows:
                 self.changes.appendList(list(batch[["time", "change", "total", "own"]].itertuples(index=False, name=None)))
             return iter(())
@@ -325,29 +332,37 @@ def running_sums(width: int) -> StatefulProcessor:
     return RunningSums()
 
 
-def stream_rolling_errors(events: DataFrame, delay: str, window: dt.timedelta = dt.timedelta(minutes=5)) -> DataFrame:
+def stream_rolling_errors(
+    events: DataFrame, delay: str, window: dt.timedelta = dt.timedelta(minutes=5), chunk: dt.timedelta | None = None
+) -> DataFrame:
     """service, ts, total_events and errors_in_window for each time a service has events at: its errors in the window that ends there, both ends counted.
 
-    Times come out when the chunk of time they fall in has closed; chunks are as long as the window. alerts.rolling_errors has the same numbers, once for each event.
+    Times come out when the chunk of time they fall in has closed. Chunks are as long as the window unless `chunk` makes them longer: that is later and fewer groups.
+    alerts.rolling_errors has the same numbers, once for each event.
     """
-    width = window // dt.timedelta(microseconds=1)
+    width, length = (span // dt.timedelta(microseconds=1) for span in (window, chunk or window))
+    if length < width:
+        raise ValueError("a chunk is no shorter than the window")
     times = (
         with_event_time(events, delay)
         .groupBy("service", "ts")
         .agg(*error_counts())
         .select("service", F.unix_micros("ts").alias("at"), "total_events", "error_events")
-        .selectExpr("*", f"at - pmod(at, {width}L) AS chunk")
+        .selectExpr("*", f"at - pmod(at, {length}L) AS chunk")
     )
 
     def mark(chunk: str, time: str, change: str, total: str, own: str) -> str:
         return f"named_struct('chunk', {chunk}, 'time', {time}, 'change', {change}, 'total', {total}, 'own', {own})"
 
+    # The window includes its lower end, so an error leaves one microsecond after it, in its own chunk or in the next, which it is then carried to.
+    leaves = f"at + {width + 1}L"
     event = mark("chunk", "at", "error_events", "total_events", "true")
-    carried = mark(f"chunk + {width}L", "at", "error_events", "0L", "false")
-    gone = mark(f"chunk + {width}L", f"at + {width + 1}L", "-error_events", "0L", "false")
-    marks = times.selectExpr("service", f"inline(if(error_events > 0, array({event}, {carried}, {gone}), array({event})))")
-    rolled = marks.groupBy("service", "chunk").transformWithStateInPandas(
-        running_sums(width),
+    gone = mark("chunk", leaves, "-error_events", "0L", "false")
+    carried = mark(f"chunk + {length}L", "at", "error_events", "0L", "false")
+    gone_later = mark(f"chunk + {length}L", leaves, "-error_events", "0L", "false")
+    changes = f"CASE WHEN error_events = 0 THEN array({event}) WHEN {leaves} < chunk + {length}L THEN array({event}, {gone}) ELSE array({event}, {carried}, {gone_later}) END"
+    rolled = times.selectExpr("service", f"inline({changes})").groupBy("service", "chunk").transformWithStateInPandas(
+        running_sums(length),
         outputStructType="service string, time bigint, total_events bigint, errors_in_window bigint",
         outputMode="append",
         timeMode="EventTime",

@@ -88,14 +88,15 @@ def test_sessions(stream, batch, rows):
     assert rows_of(got) == closed and max(r[3] for r in closed) > 10
 
 
-def test_rolling_counts(stream, batch, rows):
-    got = jobs.materialize(processors.stream_rolling_errors(stream(), DELAY), "rolling")
+@pytest.mark.parametrize("minutes", [5, 17])
+def test_rolling_counts(stream, batch, rows, minutes):
+    got = jobs.materialize(processors.stream_rolling_errors(stream(), DELAY, chunk=dt.timedelta(minutes=minutes)), "rolling")
     counts = {}
     for r in alerts.rolling_errors(batch).collect():
         before = counts.get((r["service"], r["ts"]), (0, 0))
         counts[r["service"], r["ts"]] = (before[0] + 1, r["errors_in_window"])
-    end = watermark(rows).replace(second=0, microsecond=0)
-    end -= dt.timedelta(minutes=end.minute % 5)
+    end = watermark(rows)
+    end -= (end - dt.datetime(1970, 1, 1)) % dt.timedelta(minutes=minutes)
     want = sorted((*key, *value) for key, value in counts.items() if key[1] < end)
     assert rows_of(got) == want and max(w[3] for w in want) > 3
 
