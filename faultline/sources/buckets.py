@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 
 from faultline.sources.files import delete_folders, folder_names, glob_folders, path_exists
 
-#: Keys are spread evenly by hash, so a bucket is this part of the table; fixed for the life of a table.
-BUCKETS = 256
+#: Keys are spread evenly by hash, so a bucket is this part of the table, and a batch writes at most so many files. Fixed for the life of a table: take
+#: so many that a bucket's keys are work for one task, thousands for tables of 10^11 keys.
+BUCKETS = 64
 #: Changes a bucket gathers before they are merged into a new base.
 MERGE_AFTER = 16
 #: Batches that can still be delivered again, as Spark's own state keeps them.

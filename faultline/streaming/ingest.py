@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from faultline.functions.ranking import first_of_each
 from faultline.operators.quality import MAX_RECEIVES, accepted, parse_messages, rejected
-from faultline.sources.buckets import BucketTable
+from faultline.sources.buckets import BUCKETS, BucketTable
 from faultline.sources.files import folder_names
 from faultline.sources.store import append_new
 from faultline.streaming.jobs import BROKEN_LINE, MESSAGE_SCHEMA, run_available
@@ -31,7 +31,10 @@ DEAD_LETTER_SCHEMA = "message_id string, receives bigint, reject_reason string,
 
 @dataclass(frozen=True)
 class Sinks:
+    """root: where all sinks are; buckets: those of the message counters, fixed for the life of the sinks."""
+
     root: str
+    buckets: int = BUCKETS
 
     @property
     def store(self) -> str:
@@ -48,7 +51,7 @@ class Sinks:
     @property
     def receives(self) -> BucketTable:
         """How often each message has been rejected so far."""
-        return BucketTable(f"{self.root}/receives", "message_id string, receives bigint", "message_id")
+        return BucketTable(f"{self.root}/receives", "message_id string, receives bigint", "message_id", self.buckets)
 
     @property
     def archive(self) -> str:

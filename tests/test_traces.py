@@ -34,10 +34,10 @@ def test_a_small_batch_reads_its_buckets_and_not_the_store(spark, events_of, fil
     touched = table.touched(batch)
     known = traces.known_traces(spark, filled, touched)
     assert {bucket_of(f) for f in known.inputFiles()} <= set(touched) and len(touched) == 2
-    assert known.count() < 20  # of 600
+    assert known.count() < 60  # of 600
     traces.append_once(batch, filled)
     assert stored(spark, filled) == sorted([(i,) for i in range(600)] + [(1001,)])
-    assert sum(len(v) for v in table.versions(spark).values()) <= 256 + 2
+    assert sum(len(v) for v in table.versions(spark).values()) <= 64 + 2
 
 
 def test_a_batch_again_adds_nothing(spark, events_of, filled):
@@ -54,10 +54,10 @@ def test_an_append_that_broke_off_is_completed(spark, events_of, filled, monkeyp
         with pytest.raises(OSError):
             traces.append_once(batch, filled)
     assert (900,) in stored(spark, filled)
-    assert traces.known_traces(spark, filled, range(256)).count() == 600
+    assert traces.known_traces(spark, filled, range(64)).count() == 600
     traces.append_once(batch, filled)
     assert stored(spark, filled)[-2:] == [(900,), (901,)] and len(stored(spark, filled)) == 602
-    assert traces.known_traces(spark, filled, range(256)).count() == 602
+    assert traces.known_traces(spark, filled, range(64)).count() == 602
 
 
 def test_a_store_without_its_table_is_read_once(spark, events_of):
@@ -75,9 +75,9 @@ def test_dropped_days_are_forgotten(spark, events_of, filled):
 def test_compaction_leaves_one_version(spark, events_of, filled):
     for i in range(2):
         traces.append_once(events_of([event(1000 + 300 * i + j, trace=trace(1000 + 300 * i + j)) for j in range(300)]), filled)
-    before = rows_of(traces.known_traces(spark, filled, range(256)))
+    before = rows_of(traces.known_traces(spark, filled, range(64)))
     assert traces.compact(spark, filled)
-    assert rows_of(traces.known_traces(spark, filled, range(256))) == before and len(before) == 1200
+    assert rows_of(traces.known_traces(spark, filled, range(64))) == before and len(before) == 1200
     assert max(len(v) for v in traces.trace_table(filled).versions(spark).values()) == 1
     traces.append_once(events_of([event(5000, trace=trace(3)), event(5001, trace=trace(5001))]), filled)
-    assert traces.known_traces(spark, filled, range(256)).count() == 1201
+    assert traces.known_traces(spark, filled, range(64)).count() == 1201
