@@ -1,0 +1,141 @@
+"""The scores of both classifiers against plain versions: double precision, one document at a time, no blocks and no caches."""
+
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from faultline.llm import quality, toxicity
+from tests.llm.test_classifiers import mentions, tables
+from tests.llm.conftest import prose
+
+
+def plain_terms(text):
+    """Counts of the places of a text's terms, one word after the other."""
+    words = (text or "").encode().split()
+    if not words:
+        return {}
+    found = Counter()
+    for i, word in enumerate(words):
+        shape = "".join("A" if 65 <= b <= 90 else "0" if 48 <= b <= 57 else "a" if 97 <= b <= 122 or b >= 128 else chr(b) for b in word)
+        found[zlib.crc32(word.lower()) % quality.WORD_PLACES] += 1
+        found[quality.WORD_PLACES + zlib.crc32(re.sub(r"(.)\1+", r"\1", shape, flags=re.S).encode()) % quality.SHAPE_PLACES] += 1
+        if i and quality._places(word) == quality._places(words[i - 1]):
+            found[quality.REPEATED_WORD] += 1
+    lines = text.split("\n")
+    if len(lines) > len(set(lines)):
+        found[quality.REPEATED_LINE] += len(lines) - len(set(lines))
+    found[quality.LENGTH_FROM + min(30, len(words).bit_length())] += 1
+    return found
+
+
+def plain_votes(model, text):
+    """The least and the greatest score that the nearest neighbours can give: they differ where the last of them is a tie."""
+    found = plain_terms(text)
+    if not found:
+        return 0.0, 0.0
+    point = sum(np.log1p(n) * model.idf[p] * model.axes[p].astype(np.float64) for p, n in found.items())
+    norm = np.linalg.norm(point)
+    cosine = model.vectors.astype(np.float64) @ (point / norm if norm else point)
+    near = min(quality.NEIGHBOURS, len(cosine))
+    last, rounding = np.sort(cosine)[-near], 2e-6
+    sure, open_ = np.flatnonzero(cosine > last + rounding), np.flatnonzero(abs(cosine - last) <= rounding)
+    ends = []
+    for order in (np.argsort(model.votes[open_], kind="stable"), np.argsort(-model.votes[open_], kind="stable")):
+        chosen = np.concatenate([sure, open_[order][: near - len(sure)]])
+        weight = np.maximum(cosine[chosen], 1e-6) ** quality.SHARPNESS * model.weights[chosen]
+        ends.append((weight * model.votes[chosen]).sum() / weight.sum())
+    return min(ends), max(ends)
+
+
+def test_votes_of_every_document(spark):
+    docs, labels = tables(spark, "0.001")
+    model = quality.fit(docs, labels)
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    rows = quality.digest(docs, labels).collect()
+    assert len(rows) == len(texts) and model.vectors is not None
+    decided = 0
+    for row in rows:
+        low, high = plain_votes(model, texts[row["doc_id"]])
+        assert low - 1e-5 <= row["score"] <= high + 1e-5
+        if not low - 1e-5 <= quality.KEEP_FROM <= high + 1e-5:
+            decided += 1
+            assert row["predicted"] == (low > quality.KEEP_FROM)
+    assert decided > 0.9 * len(rows)
+
+
+def test_the_space_holds_what_singular_vectors_hold(spark):
+    docs, labels = tables(spark, "0.001")
+    model = quality.fit(docs, labels)
+    picked = quality.labelled_sample(docs, labels, "quality", quality.FOLDS, quality.FOLD_OUT, quality.SAMPLE).collect()
+    rows = np.zeros((len(picked), quality.DIMENSIONS))
+    for i, row in enumerate(picked):
+        for place, n in plain_terms(row["text"]).items():
+            rows[i, place] = np.log1p(n) * model.idf[place]
+    rows = rows[np.abs(rows).sum(axis=1) > 0]
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    axes = model.axes.astype(np.float64)
+    assert np.abs(axes.T @ axes - np.eye(axes.shape[1])).max() < 1e-5
+    best = (np.linalg.svd(rows, compute_uv=False)[: quality.RANK] ** 2).sum()
+    assert ((rows @ axes) ** 2).sum() >= 0.97 * best
+
+
+def loss(x, label, weight, own, other, fairness, w, b):
+    z = x @ w + b
+    logistic = (weight * (np.logaddexp(0, z) - label * z)).sum() / weight.sum()
+    return logistic + toxicity.SPARSITY * np.abs(w).sum() + fairness * (((own - other) @ w) ** 2).sum() / max(1, len(own))
+
+
+@pytest.mark.parametrize("fairness", [0.0, 1.0, 30.0])
+def test_the_minimum_is_that_of_a_plain_solver(fairness):
+    draw = np.random.default_rng(6)
+    x = (draw.random((120, 15)) < 0.3).astype(float)
+    label = (draw.random(120) < 1 / (1 + np.exp(-(2 * x[:, 0] + 2 * x[:, 1] - 2 * x[:, 2])))).astype(float)
+    weight = np.where(label == 1, 0.5 / label.mean(), 0.5 / (1 - label.mean()))
+    own = x[x[:, 0] == 1]
+    other = own.copy()
+    other[:, 0], other[:, 3] = 0, 1
+
+    def sparse(rows):
+        return toxicity.Matrix([np.flatnonzero(r) for r in rows], 15)
+
+    w, b = toxicity.train(sparse(x), label, weight, (sparse(own), sparse(other)), fairness, 3000)
+    step, plain, intercept = 0.02 / (1 + fairness), np.zeros(15), 0.0
+    for _ in range(60_000):
+        error = weight * (1 / (1 + np.exp(-(x @ plain + intercept))) - label) / weight.sum()
+        slope = x.T @ error + 2 * fairness * (own - other).T @ ((own - other) @ plain) / len(own)
+        plain = plain - step * slope
+        plain = np.sign(plain) * np.maximum(np.abs(plain) - step * toxicity.SPARSITY, 0)
+        intercept -= step * error.sum()
+    found, least = (loss(x, label, weight, own, other, fairness, *at) for at in ((w, b), (plain, intercept)))
+    assert found <= least + 2e-4
+    if fairness:
+        assert abs(w[0] - w[3]) < 1
+
+
+def plain_toxicity(model, text):
+    words = {w for c in (text or "").encode().split() if (w := c.decode().lower().strip(toxicity._SIGNS))}
+    places = {zlib.crc32(part.encode()) % toxicity.PLACES for w in words for part in [w, *(f"{w[:n]}\x00{n}" for n in (4, 5) if len(w) >= n)]}
+    return 1 / (1 + np.exp(-(sum(model.weights.get(p, 0.0) for p in places) + model.intercept)))
+
+
+def test_toxicity_of_every_document(spark):
+    docs, labels = tables(spark, "0.01")
+    model = toxicity.fit(docs, labels)
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    rows = toxicity.digest(docs, labels).collect()
+    assert len(rows) == len(texts) and model.intercept is not None
+    for row in rows:
+        want = plain_toxicity(model, texts[row["doc_id"]])
+        assert row["score"] == pytest.approx(want, abs=1e-9)
+        assert abs(want - 0.5) < 1e-9 or row["predicted"] == (want > 0.5)
+
+
+def test_the_default_penalty_spares_neutral_mentions(spark):
+    docs, labels = mentions(spark)
+    neutral = f"{prose(9999, 8)} muslims".encode()
+    plain, fair = toxicity.fit(docs, labels, fairness=0.0), toxicity.fit(docs, labels)
+    assert plain.scores([neutral])[0] > fair.scores([neutral])[0] + 0.1
+    assert fair.scores([f"{prose(9999, 8)} grukk".encode()])[0] > 0.5
