@@ -502,10 +502,20 @@ def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return driver_events.to_log_events(driver_events.raw_event_stream(spark, sf_dir))
 
 
+#: Input of one state store, about 10,000 events. A stream cannot merge small partitions as it runs, as a batch does, so its steps have the session's
+#: partitions or, if that is fewer, as many as the table fills.
+STATE_BYTES = 1 << 18
+
+
+def _parts(spark: SparkSession, sf_dir: str) -> int:
+    _, size = _version(spark, sf_dir)
+    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), max(4, -(-size // STATE_BYTES)))
+
+
 @lru_cache(maxsize=None)
 def _ingested(spark: SparkSession, sf_dir: str, version: tuple[int, int]) -> ingest.Sinks:
     sinks = ingest.Sinks(work_path(spark, "ingest"))
-    ingest.ingest(driver_events.messages(_stream(spark, sf_dir)), sinks)
+    ingest.ingest(driver_events.messages(_stream(spark, sf_dir)), sinks, parts=_parts(spark, sf_dir))
     return sinks
 
 
@@ -518,7 +528,7 @@ def _landed(spark: SparkSession, sf_dir: str, version: tuple[int, int]) -> inges
     """The sinks of messages that came as files of lines, some of them cut off."""
     landing, sinks = work_path(spark, "landing"), ingest.Sinks(work_path(spark, "landed"))
     driver_events.landed_lines(_events(spark, sf_dir)).write.text(landing)
-    ingest.ingest(jobs.message_stream(spark, landing), sinks)
+    ingest.ingest(jobs.message_stream(spark, landing), sinks, parts=_parts(spark, sf_dir))
     return sinks
 
 
@@ -545,7 +555,7 @@ def _late_receives(spark: SparkSession, sf_dir: str, version: tuple[int, int]) -
     messages = driver_events.later_receives(driver_events.messages(_events(spark, sf_dir)))
     for part in (F.col("receive") <= 2, F.col("receive") > 2):
         messages.filter(part).write.mode("append").json(landing)
-        ingest.ingest(jobs.message_stream(spark, landing), sinks)
+        ingest.ingest(jobs.message_stream(spark, landing), sinks, parts=_parts(spark, sf_dir))
     return sinks
 
 
@@ -596,33 +606,33 @@ def landed_dead_letter(spark, sf_dir):
 
 @query
 def stream_dedup(spark, sf_dir):
-    return dedup.dedup(driver_events.deliveries(_stream(spark, sf_dir)), work_path(spark, "stream-dedup"), DELAY_SPAN).drop("id")
+    return dedup.dedup(driver_events.deliveries(_stream(spark, sf_dir)), work_path(spark, "stream-dedup"), DELAY_SPAN, parts=_parts(spark, sf_dir)).drop("id")
 
 
 @query
 def stream_dedup_trace(spark, sf_dir):
-    kept = dedup.dedup(driver_events.deliveries(_stream(spark, sf_dir)), work_path(spark, "stream-dedup-trace"), DELAY_SPAN, dedup.TRACE)
+    kept = dedup.dedup(driver_events.deliveries(_stream(spark, sf_dir)), work_path(spark, "stream-dedup-trace"), DELAY_SPAN, dedup.TRACE, _parts(spark, sf_dir))
     return kept.drop("id", "ts")
 
 
 @query
 def stream_error_rate(spark, sf_dir):
-    return jobs.materialize(windows.stream_error_rate(_stream(spark, sf_dir), "5 minutes", DELAY), "stream-rate")
+    return jobs.materialize(windows.stream_error_rate(_stream(spark, sf_dir), "5 minutes", DELAY), "stream-rate", _parts(spark, sf_dir))
 
 
 @query
 def stream_threshold_alerts(spark, sf_dir):
-    return jobs.materialize(processors.stream_threshold_alerts(_stream(spark, sf_dir), RULES, DELAY), "stream-alerts")
+    return jobs.materialize(processors.stream_threshold_alerts(_stream(spark, sf_dir), RULES, DELAY), "stream-alerts", _parts(spark, sf_dir))
 
 
 @query
 def stream_alert_episodes(spark, sf_dir):
-    return jobs.materialize(episodes.stream_alert_episodes(_stream(spark, sf_dir), DELAY), "stream-episodes")
+    return jobs.materialize(episodes.stream_alert_episodes(_stream(spark, sf_dir), DELAY), "stream-episodes", _parts(spark, sf_dir))
 
 
 @query
 def stream_error_sessions(spark, sf_dir):
-    return jobs.materialize(processors.stream_error_sessions(_stream(spark, sf_dir), dt.timedelta(minutes=30), DELAY), "stream-sessions")
+    return jobs.materialize(processors.stream_error_sessions(_stream(spark, sf_dir), dt.timedelta(minutes=30), DELAY), "stream-sessions", _parts(spark, sf_dir))
 
 
 @query
@@ -631,14 +641,14 @@ def stream_silent_services(spark, sf_dir):
     events = _events(spark, sf_dir)
     since = events.agg(F.date_trunc("day", F.min("ts")).cast("timestamp_ntz")).first()[0] or SPLIT
     known = quality.services_of(events).unionByName(spark.createDataFrame([("search-service",)], "service string"))
-    return jobs.materialize(processors.stream_silent_services(_stream(spark, sf_dir), known, since, 60, DELAY), "stream-silent")
+    return jobs.materialize(processors.stream_silent_services(_stream(spark, sf_dir), known, since, 60, DELAY), "stream-silent", _parts(spark, sf_dir))
 
 
 @query
 def stream_rolling_errors(spark, sf_dir):
-    return jobs.materialize(processors.stream_rolling_errors(_stream(spark, sf_dir), DELAY, chunk=dt.timedelta(hours=6)), "stream-rolling")
+    return jobs.materialize(processors.stream_rolling_errors(_stream(spark, sf_dir), DELAY, chunk=dt.timedelta(hours=6)), "stream-rolling", _parts(spark, sf_dir))
 
 
 @query
 def stream_error_spikes(spark, sf_dir):
-    return jobs.materialize(processors.stream_error_spikes(_stream(spark, sf_dir), DELAY), "stream-spikes")
+    return jobs.materialize(processors.stream_error_spikes(_stream(spark, sf_dir), DELAY), "stream-spikes", _parts(spark, sf_dir))
