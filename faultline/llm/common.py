@@ -61,14 +61,20 @@ def class_counts(labels: DataFrame, label: str, folds: int, fold_out: int) -> tu
     return row["zero"], row["one"]
 
 
+#: Longer keys are not kept in caches: texts without spaces are single words, and seldom come again.
+LONGEST = 64
+
+
 class Cache(dict):
-    """Values by key, computed on first use; emptied when it holds `most` entries, which bounds a worker's memory."""
+    """Values by key, computed on first use; emptied when it holds `most` entries of at most LONGEST bytes, which bounds a worker's memory."""
 
     def __init__(self, make, most: int = 150_000):
         super().__init__()
         self.make, self.most = make, most
 
     def __missing__(self, key):
+        if len(key) > LONGEST:
+            return self.make(key)
         if len(self) >= self.most:
             self.clear()
         value = self[key] = self.make(key)

@@ -6,6 +6,8 @@ about FAN * CARRY to a group, so that no group grows with the input. The last gr
 groups, the next one hands on only bins that are at most half full: the others have no room for one another, and best fit leaves at most one
 such bin in a group, so a group misses one place at most. The outcome depends on the rows alone, not on how Spark deals or repeats tasks.
 
+Equal rows are counted first, and each copy is dealt by its number, so that no group gets all copies of a row.
+
 Only the pieces' lengths take part in the rounds. pack_ids() joins the token ids to their places afterwards, by SHA-256 of the ids;
 sequences() gives the packed sequences themselves.
 
@@ -36,6 +38,7 @@ PIECES = 8192
 FAN = 4
 NEARLY_FULL = LENGTH - LENGTH // 128
 CARRY = 4096
+COPIES = 4096  # of one row that a task numbers at a time
 
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _IDS = ", ids_sha256 binary, ids array<int>"
@@ -127,12 +130,25 @@ def _packer(*settings):
     return packed
 
 
+def _numbered(pieces: DataFrame) -> tuple[int, DataFrame]:
+    """How many rows there are, and the rows with `copy`, which numbers equal ones from 0."""
+    columns = pieces.columns
+    counted = saved(pieces.groupBy(*columns).agg(F.count("*").alias("copies")), "pieces")
+    once = counted.where("copies = 1").select(*columns, F.lit(0).cast("long").alias("copy"))
+    blocks = counted.where("copies > 1").select("*", F.explode(F.expr(f"sequence(0L, (copies - 1) div {COPIES})")).alias("block"))
+    blocks = blocks.repartition("doc_id", "piece", "ids_crc32", "block")
+    more = blocks.select(*columns, F.explode(F.expr(f"sequence(block * {COPIES}, least(copies, (block + 1) * {COPIES}) - 1)")).alias("copy"))
+    return counted.agg(F.sum("copies")).first()[0] or 0, once.unionByName(more)
+
+
 def pack(pieces: DataFrame, length: int = LENGTH, per_group: int = PIECES, fan: int = FAN, nearly_full: int = NEARLY_FULL, carry: int = CARRY) -> DataFrame:
     """The rows of cut(), with all their columns, and sequence_id and offset: the place in the sequence, without gaps from 0."""
     columns = pieces.columns
-    pieces = saved(pieces, "pieces")
-    parts = max(1, -(-pieces.count() // per_group))
-    rows = pieces.select("*", F.lit(-1).cast("long").alias("bin"), F.lit(0).cast("long").alias("offset"), F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(parts)).alias("part"))
+    count, numbered = _numbered(pieces)
+    parts = max(1, -(-count // per_group))
+    # A null leaves a hash as it is: the first copy is dealt by its key alone.
+    deal = F.xxhash64("doc_id", "piece", "ids_crc32", F.nullif("copy", F.lit(0)))
+    rows = numbered.select(*columns, F.lit(-1).cast("long").alias("bin"), F.lit(0).cast("long").alias("offset"), F.pmod(deal, F.lit(parts)).alias("part"))
     done, round_, done_from = None, 0, nearly_full
     while True:
         packed = _packer(round_, 0 if parts == 1 else done_from, length)

@@ -1,7 +1,7 @@
 """Token ids of a public byte-pair tokenizer file, for many texts, faster than its own library but with the same ids.
 
 The tokenizer drops white space, so a text's ids are those of its chunks between ASCII white space, joined. Ids of chunks
-are kept in a bounded cache. Chunks not in it are cut into words and encoded together, by a byte-pair encoder that merges by rank of
+of up to LONGEST bytes are kept in a bounded cache. Chunks not in it are cut into words and encoded together, by a byte-pair encoder that merges by rank of
 the merged bytes; a closing byte stands for the vocabulary's word end. Both ways give the same ids where each
 vocabulary entry, encoded alone, is itself one token: if two neighbouring tokens' union were an entry but not by the listed
 pair, the entry alone would pass the same state and end there, too. tests/llm checks this for the whole vocabulary.
@@ -17,6 +17,8 @@ import numpy as np
 import tiktoken
 from tokenizers import Tokenizer
 
+from faultline.llm.common import LONGEST
+
 WORD_END = "</w>"
 CLOSE = "\x01"
 #: Characters for which the letters and numbers of Unicode are the ranges below.
@@ -83,7 +85,11 @@ class Encoder:
         if new := set().union(*split).difference(self.cache):
             self._learn(list(new))
         get = self.cache.__getitem__
-        return [b"".join(map(get, chunks)) for chunks in split]
+        found = [b"".join(map(get, chunks)) for chunks in split]
+        for chunk in new:
+            if len(chunk) > LONGEST:
+                del self.cache[chunk]
+        return found
 
 
 _encoders: dict[str, Encoder] = {}

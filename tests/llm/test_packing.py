@@ -116,3 +116,27 @@ def test_sequences_hold_the_ids_of_all_documents(edges, nothing, library):
     want = sum((library.encode(row[1] or "", add_special_tokens=False).ids + [0] for row in EDGES), [])
     assert sorted(x for r in rows for x in r["ids"]) == sorted(want)
     assert packing.sequences(nothing).collect() == []
+
+
+def test_equal_rows_are_dealt_to_all_groups(spark):
+    rows = [(None, 0, 0, 300, 5)] * 20_000 + [(i, 0, 0, 100, i) for i in range(500)]
+    pieces = spark.createDataFrame(rows, packing._PIECE).repartition(4)
+    count, numbered = packing._numbered(pieces)
+    copies = sorted(r["copy"] for r in numbered.where("doc_id is null").select("copy").collect())
+    assert count == 20_500 and copies == list(range(20_000))
+    assert numbered.where("doc_id is not null").selectExpr("max(copy)", "count(*)").first() == (0, 500)
+    packed = packing.pack(pieces, 1000, per_group=2050, nearly_full=990)
+    first = packed.selectExpr("sequence_id div 16777216 AS part").groupBy("part").count().collect()
+    assert len(first) > 5
+    out = packed.collect()
+    assert len(out) == 20_500 and len(checked(out, 1000)) <= 20_000 / 3 + 12
+    again = packing.pack(pieces.repartition(7), 1000, per_group=2050, nearly_full=990).collect()
+    assert sorted(map(tuple, out), key=str) == sorted(map(tuple, again), key=str)
+
+
+def test_long_chunks_are_not_kept(library):
+    encoder = Encoder(PATH)
+    texts = ["日本語" * 20_000, "x" * 1_000_000, "plain words", "y" * 64, "y" * 65]
+    for text, ids in zip(texts, encoder.encode([t.encode() for t in texts])):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert set(encoder.cache) == {b"plain", b"words", b"y" * 64}
