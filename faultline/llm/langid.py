@@ -6,8 +6,8 @@ paid and the next shorter context asked, down to 8 bits for an unseen byte. Coun
 of a text is a sum over its bytes, each a function of the byte and the ORDER before it. The language with the shortest code is predicted;
 `score` is its share of 2 ^ -code length over all languages.
 
-The trees are learned from about DOCS documents of each language, those with the smallest hashes of their ids, and from a passage
-of BYTES bytes of longer texts; this bounds the model, which is broadcast. Languages are the distinct labels and few, as the model has a column for each.
+The trees are learned from at most DOCS documents of each language, those with the smallest hashes of id and text, repeated rows once, and from a
+passage of BYTES bytes of longer texts; this bounds the model, which is broadcast. Each language with a text that may be learned from is learned. Languages are the distinct labels and few, as the model has a column for each.
 
 Cases: a null text or one without a letter is `und` with score 0, as is every text if nothing could be learned. Equal codes go to the
 first language by code point. Null ids are scored like others and never learned from. Very long texts are scored in pieces of whole bytes.
@@ -155,17 +155,38 @@ class Model:
         return total
 
 
+def _smallest(most: int):
+    def smallest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The smallest `most` hashes of each language in a task, each once."""
+        least: dict[str, np.ndarray] = {}
+        for batch in batches:
+            langs, hashes = batch.column("lang").dictionary_encode(), batch.column("h").to_numpy()
+            of = langs.indices.to_numpy()
+            for code, lang in enumerate(langs.dictionary.to_pylist()):
+                least[lang] = np.unique(np.concatenate([least.get(lang, hashes[:0]), hashes[of == code]]))[:most]
+        for lang, values in least.items():
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(values), pa.string()), pa.array(values)], names=["lang", "h"])
+
+    return smallest
+
+
+def sample(docs: DataFrame, per_lang: int = DOCS) -> tuple[list[str], DataFrame]:
+    """The languages that can be learned, and at most per_lang rows (lang, h, text) of each."""
+    known = docs.where("lang is not null and text <> ''").where(~held_out(FOLDS, FOLD_OUT)).select("lang", F.xxhash64("doc_id", "text").alias("h"), "text")
+    least = known.select("lang", "h").mapInArrow(_smallest(per_lang), "lang string, h long").distinct()
+    least = least.withColumn("nth", F.expr("row_number() over (partition by lang order by h)")).where(F.col("nth") <= per_lang)
+    last = {r["lang"]: r["last"] for r in least.groupBy("lang").agg(F.max("h").alias("last")).collect()}
+    bound = F.lit(None).cast("long")
+    for lang, value in last.items():
+        bound = F.when(F.col("lang") == lang, F.lit(value)).otherwise(bound)
+    return sorted(last), known.where(F.col("h") <= bound).dropDuplicates(["lang", "h"])
+
+
 def fit(docs: DataFrame, per_lang: int = DOCS) -> Model:
     """Learn from documents with text and a language that are not held out."""
-    known = docs.where("lang is not null and text is not null").where(~held_out(FOLDS, FOLD_OUT)).select("doc_id", "lang", "text")
-    of_lang = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    langs = sorted(of_lang)
+    langs, picked = sample(docs, per_lang)
     if not langs:
         return Model([], [(np.empty(0, np.uint64), np.empty((0, 0)))] * (ORDER + 1))
-    rate = F.lit(0.0)
-    for lang, n in of_lang.items():
-        rate = F.when(F.col("lang") == lang, F.lit(per_lang / n)).otherwise(rate)
-    picked = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < rate * float(1 << 30))
     counts = picked.select("lang", "text").mapInArrow(_counts, "lang string, depth int, key long, n long")
     found = counts.groupBy("lang", "depth", "key").agg(F.sum("n").alias("n")).toArrow()
     depth, key, n = (found.column(c).to_numpy() for c in ("depth", "key", "n"))

@@ -1,7 +1,8 @@
 """Code lengths against a slow statement of the method; accuracy on held-out documents."""
 
 import math
-from collections import defaultdict
+import zlib
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -105,3 +106,19 @@ def test_passages():
 
 def test_letters():
     assert [langid.has_letter(t) for t in (None, b"", b"12 ?", "é".encode(), "日".encode(), b"x")] == [False, False, False, True, True, True]
+
+
+def test_the_sample_of_a_language_has_a_true_limit(spark):
+    """Languages whose rows all share an id, are all equal, or are few; the sample is what sorting all rows gives."""
+    one, two, three, four = [i for i in range(50) if zlib.crc32(str(i).encode()) % langid.FOLDS != langid.FOLD_OUT][:4]
+    rows = [(one, f"one id {i}", "shared") for i in range(3000)] + [(two, "the same row", "equal")] * 2000
+    rows += [(i, f"text {i}", "many") for i in range(1000)] + [(three, "a", "few"), (three, "b", "few"), (four, "", "empty"), (four, None, "none")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(6)
+    langs, picked = langid.sample(docs, 250)
+    got = Counter((r["lang"], r["text"]) for r in picked.collect())
+    assert langs == ["equal", "few", "many", "shared"] and set(got.values()) == {1}
+    known = docs.where("text <> ''").where(~langid.held_out(langid.FOLDS, langid.FOLD_OUT)).selectExpr("lang", "text", "xxhash64(doc_id, text) AS h").distinct().collect()
+    want = set()
+    for lang in langs:
+        want |= {(lang, r["text"]) for r in sorted((r for r in known if r["lang"] == lang), key=lambda r: r["h"])[:250]}
+    assert set(got) == want and Counter(x for x, _ in got) == {"equal": 1, "few": 2, "many": 250, "shared": 250}

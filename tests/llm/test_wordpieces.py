@@ -7,6 +7,7 @@ import public_tokenizers
 import pytest
 
 from faultline.llm import wordpieces
+from faultline.llm.common import Cache
 from tests.llm.conftest import EDGES
 
 
@@ -75,3 +76,12 @@ def test_every_word_of_known_bytes_is_spelled(pieces):
 
 def test_no_rows(nothing):
     assert wordpieces.count_tokens(nothing).collect() == []
+
+
+def test_caches_keep_no_long_words():
+    made = []
+    cache = Cache(lambda key: made.append(key) or len(key), most=3)
+    assert [cache[b"a" * n] for n in (1, 64, 65, 65, 1, 1_000_000)] == [1, 64, 65, 65, 1, 1_000_000]
+    assert set(cache) == {b"a", b"a" * 64} and len(made) == 5
+    for n in range(2, 9):
+        assert cache[b"a" * n] == n and len(cache) <= 3
