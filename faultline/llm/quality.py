@@ -9,8 +9,8 @@ and its NEIGHBOURS largest cosines vote, each with its positive cosine to the po
 The sample holds at most SAMPLE learnable documents of either class, which bounds everything that is broadcast.
 
 Cases: an empty or null text has no terms and scores 0. If either class cannot be learned, every other text scores the share of
-label 1 among the learnable rows (0.5 without any). Ties of cosines at the last neighbour are broken by place in the sample, which is
-ordered by hash of id and id.
+label 1 among the learnable rows (0.5 without any). Cosines are compared to DECIMALS decimals; ties at the last neighbour go to the first places in
+the sample, which is ordered by hash of id and by terms. Equal texts score equally, whatever they are batched with: blocks have one shape.
 """
 
 from __future__ import annotations
@@ -35,6 +35,7 @@ NEIGHBOURS = 25
 SHARPNESS = 4
 KEEP_FROM = 0.7
 BLOCK = 512
+DECIMALS = 12
 
 _SHAPE = bytes.maketrans(
     bytes(range(0x41, 0x5B)) + bytes(range(0x61, 0x7B)) + bytes(range(0x30, 0x3A)) + bytes(range(0x80, 0x100)),
@@ -78,10 +79,10 @@ class Model:
         self.share, self.idf, self.axes, self.vectors, self.votes, self.weights = share, idf, axes, vectors, votes, weights
 
     def project(self, found: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-        out = np.zeros((len(found), self.axes.shape[1]), np.float32)
+        out = np.zeros((len(found), self.axes.shape[1]))
         for i, (places, counts) in enumerate(found):
             if len(places):
-                out[i] = (np.log1p(counts) * self.idf[places]).astype(np.float32) @ self.axes[places]
+                out[i] = (np.log1p(counts) * self.idf[places]) @ self.axes[places]
         norm = np.linalg.norm(out, axis=1, keepdims=True)
         return out / np.where(norm > 0, norm, 1)
 
@@ -93,10 +94,16 @@ class Model:
         out = np.zeros(len(texts))
         points = self.project(found)
         near = min(NEIGHBOURS, len(self.vectors))
+        block = np.zeros((BLOCK, points.shape[1]))
         for start in range(0, len(texts), BLOCK):
-            cosine = points[start : start + BLOCK] @ self.vectors.T
-            top = np.argpartition(-cosine, near - 1, axis=1)[:, :near]
-            weight = np.maximum(np.take_along_axis(cosine, top, axis=1), 1e-6).astype(np.float64) ** SHARPNESS * self.weights[top]
+            part = points[start : start + BLOCK]
+            block[: len(part)] = part
+            cosine = np.round((block @ self.vectors.T)[: len(part)], DECIMALS)
+            last = np.partition(cosine, -near, axis=1)[:, -near, None]
+            above, tied = cosine > last, cosine == last
+            chosen = above | (tied & (np.cumsum(tied, axis=1) <= near - above.sum(axis=1, keepdims=True)))
+            top = np.nonzero(chosen)[1].reshape(len(part), near)
+            weight = np.maximum(np.take_along_axis(cosine, top, axis=1), 1e-6) ** SHARPNESS * self.weights[top]
             out[start : start + BLOCK] = (weight * self.votes[top]).sum(axis=1) / weight.sum(axis=1)
         return np.where(empty, 0.0, np.clip(out, 0.0, 1.0))
 
@@ -133,7 +140,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     values = [c * idf[p] for p, c in zip(places, counts)]
     axes = _leading_axes(places, [v / np.linalg.norm(v) for v in values], RANK)
     weights = np.where(votes == 1, share / votes.mean(), (1 - share) / (1 - votes.mean()))
-    model = Model(share, idf, axes.astype(np.float32), None, votes, weights)
+    model = Model(share, idf, axes, None, votes, weights)
     model.vectors = model.project(list(zip(places, [np.expm1(c) for c in counts])))
     return model
 
