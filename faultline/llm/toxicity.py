@@ -3,7 +3,9 @@
 A text's features are its distinct words (lower-cased, without signs at either end) and their beginnings of PREFIXES letters, hashed to PLACES.
 Logistic loss, an absolute penalty that leaves few weights other than zero, and a counterfactual penalty are minimised together
 by accelerated proximal gradient descent: each labelled text that names a group (TERMS, or terms given) is copied with every such term swapped
-for the next of its list, and FAIRNESS times the squared difference of the two scores is added. A weight that only tells groups apart so
+for the next of its list, and FAIRNESS times the squared difference of the two scores is added. A text that names none is copied twice, with
+one term, chosen by the text's hash, put into the first copy and the next of its list into the second: beginnings that terms share with other words are
+so penalised as well. Copies that differ in no known feature are left out. A weight that only tells groups apart so
 costs more than it gains, and neutral mentions are not scored for it.
 
 The sample has at most SAMPLE learnable documents of either class, and of longer texts a passage of BYTES bytes; features in fewer than LEAST_TEXTS of
@@ -90,20 +92,26 @@ def places(text: bytes | None) -> set[int]:
 
 
 def _sampler(swaps: dict[str, str]):
+    names = sorted(swaps)
+
+    def together(words: set[str]) -> np.ndarray:
+        return np.array(sorted(set().union(*(features(w) for w in words if w))), np.int32)
+
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            own, swapped = [], []
+            own, named, swapped = [], [], []
             for text in texts_of(batch):
                 text = passage(text, BYTES)
-                now = places(text)
                 words = {bare(c) for c in set(text.split())}
-                own.append(np.array(sorted(now), np.int32))
-                if words.isdisjoint(swaps):
-                    swapped.append(None)
-                else:
-                    swapped.append(np.array(sorted(set().union(*(features(swaps.get(w, w)) for w in words if w))), np.int32))
-            kind = pa.list_(pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.array(own, kind), pa.array(swapped, kind)], names=["doc_id", "label", "own", "swapped"])
+                own.append(np.array(sorted(places(text)), np.int32))
+                if names and words.isdisjoint(swaps):
+                    words.add(names[zlib.crc32(text) % len(names)])
+                first, second = together(words), together({swaps.get(w, w) for w in words})
+                # What both copies have adds nothing to the difference of their scores.
+                named.append(np.setdiff1d(first, second, assume_unique=True))
+                swapped.append(np.setdiff1d(second, first, assume_unique=True))
+            lists = [pa.array(x, pa.list_(pa.int32())) for x in (own, named, swapped)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), *lists], names=["doc_id", "label", "own", "named", "swapped"])
 
     return sampled
 
@@ -178,11 +186,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, fairness: floa
     zero, one = class_counts(labels, "toxic", FOLDS, FOLD_OUT)
     share = one / (zero + one) if zero + one else 0.0
     picked = labelled_sample(docs, labels, "toxic", FOLDS, FOLD_OUT, sample)
-    table = picked.mapInArrow(_sampler(_swaps(terms)), "doc_id long, label int, own array<int>, swapped array<int>").toArrow().combine_chunks()
+    table = picked.mapInArrow(_sampler(_swaps(terms)), "doc_id long, label int, own array<int>, named array<int>, swapped array<int>").toArrow().combine_chunks()
     label = table["label"].to_numpy().astype(np.float64)
     if not 0 < label.sum() < len(label):
         return Model({}, None, share)
-    own, swapped = ([np.asarray(v.values) if v.is_valid else None for v in table[c]] for c in ("own", "swapped"))
+    own, named, swapped = ([np.asarray(v.values) for v in table[c]] for c in ("own", "named", "swapped"))
     order = sorted(range(len(label)), key=lambda i: (table["doc_id"][i].as_py(), label[i], own[i].tobytes()))
     texts = np.bincount(np.concatenate(own), minlength=PLACES)
     known = np.flatnonzero(texts >= LEAST_TEXTS)
@@ -194,8 +202,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, fairness: floa
 
     label = label[order]
     weight = np.where(label == 1, 0.5 / label.mean(), 0.5 / (1 - label.mean()))
-    both = [i for i in order if swapped[i] is not None]
-    pairs = matrix([own[i] for i in both]), matrix([swapped[i] for i in both])
+    both = [i for i in order if (column[named[i]] >= 0).any() or (column[swapped[i]] >= 0).any()]
+    pairs = matrix([named[i] for i in both]), matrix([swapped[i] for i in both])
     w, b = train(matrix([own[i] for i in order]), label, weight, pairs, fairness)
     return Model({int(known[i]): float(w[i]) for i in np.flatnonzero(w)}, float(b), share)
 

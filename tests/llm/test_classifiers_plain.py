@@ -9,7 +9,7 @@ import pytest
 
 from faultline.llm import quality, toxicity
 from tests.llm.test_classifiers import mentions, tables
-from tests.llm.conftest import prose
+from tests.llm.conftest import COLUMNS, document, prose
 
 
 def plain_terms(text):
@@ -139,3 +139,30 @@ def test_the_default_penalty_spares_neutral_mentions(spark):
     plain, fair = toxicity.fit(docs, labels, fairness=0.0), toxicity.fit(docs, labels)
     assert plain.scores([neutral])[0] > fair.scores([neutral])[0] + 0.1
     assert fair.scores([f"{prose(9999, 8)} grukk".encode()])[0] > 0.5
+
+
+def test_scores_do_not_depend_on_batches(spark):
+    docs, labels = tables(spark, "0.001")
+    model = quality.fit(docs, labels)
+    texts = [(r["text"] or "").encode() for r in docs.limit(200).collect()]
+    texts = [*texts, b"", *texts[:40], *(b"x" * n for n in (1, 100, 100_000))]
+    together = model.scores(texts)
+    assert together[: 40].tolist() == together[201:241].tolist()
+    assert together.tolist() == [float(model.scores([t])[0]) for t in texts]
+
+
+def test_ties_go_to_the_first_of_the_sample():
+    """Thirty equal vectors of which the first 25 vote, whatever is batched with the text."""
+    model = quality.Model(0.5, np.ones(quality.DIMENSIONS), np.ones((quality.DIMENSIONS, 1)), np.ones((30, 1)), np.array([1.0] * 20 + [0.0] * 10), np.ones(30))
+    assert model.scores([b"some text", b"other words"]).tolist() == pytest.approx([20 / 25] * 2)
+
+
+def test_texts_that_name_no_group_give_pairs(spark):
+    """A word of toxic texts alone shares its beginning with a term: the word is scored, the term is not."""
+    rows = [document(i, f"{prose(i, 12)} {'muslin' if i % 2 else 'cotton'}") for i in range(400)]
+    labels = spark.createDataFrame([(i, None, i % 2) for i in range(400)], "doc_id long, quality int, toxic int")
+    docs = spark.createDataFrame(rows, COLUMNS)
+    plain, fair = toxicity.fit(docs, labels, fairness=0.0), toxicity.fit(docs, labels)
+    neutral, insult = f"{prose(9999, 8)} muslims".encode(), f"{prose(9999, 8)} muslin".encode()
+    assert plain.scores([neutral])[0] > fair.scores([neutral])[0] + 0.1
+    assert fair.scores([insult])[0] > 0.7 and toxicity.fit(docs, labels, terms=()).scores([neutral])[0] == plain.scores([neutral])[0]
