@@ -6,7 +6,8 @@ of small words do not vote. The words themselves are compared in the join, so a
 
 A phrase template (BASE) is found at every diagonal that has all its votes: there its words stand one after the other. For a text template
 (TEXTS), diagonals no more than GAP apart are merged, which bridges words that were put in or left out, and its label is given where the merged
-votes cover at least LEAST_COVER of its pairs.
+votes cover at least LEAST_COVER of its pairs. License texts (BODIES) are cut into sections of at most SECTION words, each a template with the license's
+label, so that a part of a license is found without its opening, and votes of a template fit the bits of a number.
 
 Words are runs of a-z, 0-9 and characters beyond ASCII, after lower-casing. Templates are ASCII, so lower-casing other letters changes no result.
 
@@ -23,14 +24,16 @@ from pyspark.sql import functions as F
 
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+ANY_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 GAP = 2
 LEAST_COVER = 0.6
+SECTION = 65
 
 #: Phrases that a label is defined by.
 BASE = (("mit", "mit license"), ("apache", "apache license"), ("gpl", "general public license"))
 
-#: Openings of well-known licenses, and notices that name one. At most 63 pairs each, as votes are bits.
-TEXTS = (
+#: Openings of well-known licenses, and notices that name one.
+NOTICES = (
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
     ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
@@ -43,9 +46,120 @@ TEXTS = (
     ("cc", "licensed under cc by nc 4 0"),
     ("cc", "licensed under cc by sa 4 0"),
     ("unlicense", "this is free and unencumbered software released into the public domain"),
+    ("cc", "licensed under a cc by 4 0 license"),
+    ("cc", "licensed under a cc by sa 4 0 license"),
+    ("cc", "licensed under the creative commons attribution 4 0 international license"),
     ("proprietary", "all rights reserved no part of this publication may be reproduced"),
 )
 
+#: Names in lines that begin with "SPDX-License-Identifier".
+SPDX = (
+    ("mit", "mit"),
+    ("isc", "isc"),
+    ("bsd", "bsd 2 clause"),
+    ("bsd", "bsd 3 clause"),
+    ("apache", "apache 2 0"),
+    ("gpl", "gpl 2 0"),
+    ("gpl", "gpl 3 0"),
+    ("lgpl", "lgpl 2 1"),
+    ("lgpl", "lgpl 3 0"),
+    ("mpl", "mpl 2 0"),
+    ("cc", "cc by 4 0"),
+    ("cc", "cc by sa 4 0"),
+    ("cc", "cc0 1 0"),
+    ("unlicense", "unlicense"),
+)
+
+#: What follows the openings, from the public texts of the licenses, as words.
+BODIES = (
+    (
+        "mit",
+        """to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute
+        sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following
+        conditions the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software""",
+    ),
+    (
+        "mit",
+        """the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of
+        merchantability fitness for a particular purpose and noninfringement in no event shall the authors or copyright holders be liable for any
+        claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software
+        or the use or other dealings in the software""",
+    ),
+    (
+        "isc",
+        """the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties
+        of merchantability and fitness in no event shall the author be liable for any special direct indirect or consequential damages or any
+        damages whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other tortious action arising
+        out of or in connection with the use or performance of this software""",
+    ),
+    (
+        "bsd",
+        """redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer
+        redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the
+        documentation and or other materials provided with the distribution""",
+    ),
+    (
+        "bsd",
+        """neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from
+        this software without specific prior written permission""",
+    ),
+    (
+        "bsd",
+        """this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not
+        limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall the copyright
+        holder or contributors be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to
+        procurement of substitute goods or services loss of use data or profits or business interruption however caused and on any theory of
+        liability whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use of this software
+        even if advised of the possibility of such damage""",
+    ),
+    (
+        "apache",
+        """unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis
+        without warranties or conditions of any kind either express or implied see the license for the specific language governing permissions and
+        limitations under the license""",
+    ),
+    (
+        "apache",
+        """subject to the terms and conditions of this license each contributor hereby grants to you a perpetual worldwide non exclusive no
+        charge royalty free irrevocable copyright license to reproduce prepare derivative works of publicly display publicly perform sublicense and
+        distribute the work and such derivative works in source or object form""",
+    ),
+    (
+        "gpl",
+        """this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of
+        merchantability or fitness for a particular purpose see the gnu general public license for more details""",
+    ),
+    (
+        "gpl",
+        """the licenses for most software and other practical works are designed to take away your freedom to share and change the works by
+        contrast the gnu general public license is intended to guarantee your freedom to share and change all versions of a program to make sure
+        it remains free software for all its users""",
+    ),
+    (
+        "mpl",
+        """if a copy of the mpl was not distributed with this file you can obtain one at""",
+    ),
+    (
+        "unlicense",
+        """anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled
+        binary for any purpose commercial or non commercial and by any means""",
+    ),
+)
+
+
+def sections(bodies: Sequence[tuple[str, str]], most: int = SECTION) -> list[tuple[str, str]]:
+    """The texts cut into as few runs of at most `most` words as there can be, about equally long."""
+    out = []
+    for label, text in bodies:
+        words = text.split()
+        parts = -(-len(words) // most)
+        cuts = [i * len(words) // parts for i in range(parts + 1)]
+        out += [(label, " ".join(words[a:b])) for a, b in zip(cuts, cuts[1:])]
+    return out
+
+
+TEXTS = (*NOTICES, *((label, f"spdx license identifier {name}") for label, name in SPDX), *sections(BODIES))
+
 
 def templates(base: Sequence[tuple[str, str]] = BASE, texts: Sequence[tuple[str, str]] = TEXTS) -> list[tuple]:
     """Rows (template, label, is_base, place, pairs, first, second, third); third is null where no third word is asked for."""
@@ -117,7 +231,8 @@ def scan(docs: DataFrame, base: Sequence[tuple[str, str]] = BASE, texts: Sequenc
         F.max("cover").alias("score"),
     )
     found = found.withColumnsRenamed({"doc_id": "d", "text_hash": "h"})
-    counted = docs.select(*_key(), F.regexp_count(F.lower("text"), F.lit(WORD)).cast("long").alias("n_words"))
+    # Lower-casing makes and breaks no words, so words are counted in the text as it is.
+    counted = docs.select(*_key(), F.regexp_count("text", F.lit(ANY_WORD)).cast("long").alias("n_words"))
     out = counted.join(found, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h")), "left")
     return out.select(
         "doc_id",

@@ -97,3 +97,42 @@ def test_mix_repeats_documents_and_keeps_columns(spark):
     assert Counter(r["doc_id"] for r in numbered) == {k: v for k, v in copies.items() if v}
     assert {r["part"] for r in numbered} == set(range(mixing.SHARDS))
     assert sorted(map(tuple, numbered)) == sorted(map(tuple, mixing.mix(docs.repartition(6), shard="part").collect()))
+
+
+BODY = dict(reversed(licenses.BODIES))
+PARTS = [
+    document(30, f"{prose(30, 90)}\nTHE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, {' '.join(licenses.BODIES[1][1].split()[12:])}\n{prose(31, 90)}"),
+    document(31, "x " + BODY["bsd"].replace("redistributions", "1. Redistributions")),
+    document(32, "// SPDX-License-Identifier: Apache-2.0\nint main() {}"),
+    document(33, "This text is licensed under a CC BY 4.0 license."),
+    document(34, "# SPDX-License-Identifier: MIT"),
+    document(35, "The software is provided to you with a warranty of the authors, for any purpose of the software."),
+    document(36, "SPDX license identifiers name a license. An İdentifier of licenses ſuch as K is"),
+    document(37, " ".join(text for label, text in licenses.BODIES if label == "gpl").upper()),
+]
+
+
+def test_parts_of_licenses_are_found(spark):
+    columns, want = by_sql(queries.ORACLES["op10_license_diagonals"], LICENSED + PARTS)
+    assert rows_of(licenses.scan(spark.createDataFrame(LICENSED + PARTS, COLUMNS)), columns) == want
+    labels = {r[columns.index("doc_id")]: r[columns.index("labels")] for r in want}
+    assert [labels[i] for i in range(30, 38)] == ["mit", "bsd", "apache", "cc", "mit", "", "", "gpl"]
+
+
+def test_each_template_is_found_under_its_label_alone(spark):
+    """A section of one license does not pass for another license."""
+    rows = [document(i, f"qq {text} zz") for i, (_, text) in enumerate(licenses.TEXTS)]
+    found = defaultdict(set)
+    for r in licenses.spans(spark.createDataFrame(rows, COLUMNS), base=()).collect():
+        found[r["doc_id"]].add((r["label"], r["cover"]))
+    for i, (label, text) in enumerate(licenses.TEXTS):
+        assert (label, 1.0) in found[i], text
+        assert {x for x, _ in found[i]} <= {label} | ({"gpl", "lgpl"} if label in ("gpl", "lgpl") else set()), text
+
+
+def test_sections_cover_texts():
+    for label, text in licenses.BODIES:
+        parts = licenses.sections([(label, text)])
+        assert " ".join(p for _, p in parts).split() == text.split() and all(3 <= len(p.split()) <= licenses.SECTION for _, p in parts)
+    with pytest.raises(ValueError):
+        licenses.templates((), (("x", "word " * 80),))
