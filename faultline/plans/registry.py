@@ -61,6 +61,20 @@ def _version(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
     return system.getFileStatus(path).getModificationTime(), system.getContentSummary(path).getLength()
 
 
+#: Bytes of the events' files for one task, some 50,000 rows, of which messages make some 50 MB.
+SPREAD_BYTES = 1 << 20
+
+
+def _spread(spark: SparkSession, sf_dir: str) -> int:
+    """Tasks to deal the events to before they are made into messages or a store."""
+    _, size = _version(spark, sf_dir)
+    return max(1, -(-size // SPREAD_BYTES))
+
+
+def _dealt_events(spark: SparkSession, sf_dir: str, lo: dt.datetime | None = None, hi: dt.datetime | None = None) -> DataFrame:
+    return driver_events.log_events(spark, sf_dir, lo, hi, _spread(spark, sf_dir))
+
+
 @lru_cache(maxsize=None)
 def _stored(spark: SparkSession, sf_dir: str, version: tuple[int, int]) -> str:
     return store.write_daily(_events(spark, sf_dir), work_path(spark, "daily"), "errorifexists")
@@ -512,6 +526,10 @@ def _parts(spark: SparkSession, sf_dir: str) -> int:
     return min(int(spark.conf.get("spark.sql.shuffle.partitions")), max(4, -(-size // STATE_BYTES)))
 
 
+#: Lines repeat much of each other. A compressed file is read by one task, and has the lines of one part of the dealt events.
+LANDING_CODEC = "lz4"
+
+
 @lru_cache(maxsize=None)
 def _ingested(spark: SparkSession, sf_dir: str, version: tuple[int, int]) -> ingest.Sinks:
     sinks = ingest.Sinks(work_path(spark, "ingest"))
@@ -527,7 +545,7 @@ def _sinks(spark: SparkSession, sf_dir: str) -> ingest.Sinks:
 def _landed(spark: SparkSession, sf_dir: str, version: tuple[int, int]) -> ingest.Sinks:
     """The sinks of messages that came as files of lines, some of them cut off."""
     landing, sinks = work_path(spark, "landing"), ingest.Sinks(work_path(spark, "landed"))
-    driver_events.landed_lines(_events(spark, sf_dir)).write.text(landing)
+    driver_events.landed_lines(_dealt_events(spark, sf_dir)).write.text(landing, compression=LANDING_CODEC)
     ingest.ingest(jobs.message_stream(spark, landing), sinks, parts=_parts(spark, sf_dir))
     return sinks
 

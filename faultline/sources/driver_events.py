@@ -28,9 +28,11 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(RAW_SCHEMA).parquet(f"{sf_dir}/events.parquet")
 
 
-def raw_event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_event_stream(spark: SparkSession, sf_dir: str, parts: int | None = None) -> DataFrame:
+    """parts: as for log_events."""
     # The file source wants a folder or a pattern.
-    return spark.readStream.schema(RAW_SCHEMA).parquet(f"{sf_dir}/events.parque[t]")
+    raw = spark.readStream.schema(RAW_SCHEMA).parquet(f"{sf_dir}/events.parque[t]")
+    return raw.repartition(parts) if parts else raw
 
 
 def to_log_events(raw: DataFrame) -> DataFrame:
@@ -53,13 +55,17 @@ def to_log_events(raw: DataFrame) -> DataFrame:
     )
 
 
-def log_events(spark: SparkSession, sf_dir: str, lo: Moment | None = None, hi: Moment | None = None) -> DataFrame:
+def log_events(spark: SparkSession, sf_dir: str, lo: Moment | None = None, hi: Moment | None = None, parts: int | None = None) -> DataFrame:
     """All log events, or those of a range with millisecond bounds.
 
     The range is put on the stored column: cutting to milliseconds cannot move a row across a
     millisecond bound, and a filter on the cut value would not reach the scan.
+
+    parts: deal the rows, while they are small, to so many tasks. A row group is read by one task, and a file may have all its rows in one; without
+    that, whatever is made of them (messages with bodies, quantiles and sorted ranges of a store) is made by that task.
     """
-    return to_log_events(time_range(raw_events(spark, sf_dir), lo, hi))
+    raw = time_range(raw_events(spark, sf_dir), lo, hi)
+    return to_log_events(raw.repartition(parts) if parts else raw)
 
 
 def deliveries(events: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ from faultline.operators.quality import MAX_RECEIVES, accepted, parse_messages,
 from faultline.sources.buckets import BUCKETS, BucketTable
 from faultline.sources.files import folder_names
 from faultline.sources.store import append_new
-from faultline.streaming.jobs import BROKEN_LINE, MESSAGE_SCHEMA, run_available
+from faultline.streaming.jobs import BROKEN_LINE, MESSAGE_SCHEMA, run_available, settings
 
 MESSAGE_COLUMNS = ["message_id", "sent_at", "body", "receive"]
 QUARANTINE_SCHEMA = (
@@ -29,6 +29,10 @@ NO_DAY = "sent_date=__HIVE_DEFAULT_PARTITION__"
 DEAD_LETTER_SCHEMA = "message_id string, receives bigint, reject_reason string, body string, batch bigint"
 
 
+#: Landed bytes for one task. Landed files may be compressed, and a batch's rows are kept with their bodies, at many times that.
+SPLIT_BYTES = 32 << 20
+
+
 @dataclass(frozen=True)
 class Sinks:
     """root: where all sinks are; buckets: those of the message counters, fixed for the life of the sinks."""
@@ -152,4 +156,5 @@ def ingest(messages: DataFrame, sinks: Sinks, max_receives: int = MAX_RECEIVES,
     writer = messages.writeStream.foreachBatch(
         lambda batch, batch_id: ingest_batch(batch, batch_id, sinks, max_receives)
     )
-    run_available(messages.sparkSession, writer, sinks.checkpoint, parts)
+    with settings(messages.sparkSession, {"spark.sql.files.maxPartitionBytes": str(SPLIT_BYTES)}):
+        run_available(messages.sparkSession, writer, sinks.checkpoint, parts)
