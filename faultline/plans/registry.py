@@ -533,7 +533,8 @@ LANDING_CODEC = "lz4"
 @lru_cache(maxsize=None)
 def _ingested(spark: SparkSession, sf_dir: str, version: tuple[int, int]) -> ingest.Sinks:
     sinks = ingest.Sinks(work_path(spark, "ingest"))
-    ingest.ingest(driver_events.messages(_stream(spark, sf_dir)), sinks, parts=_parts(spark, sf_dir))
+    raw = driver_events.raw_event_stream(spark, sf_dir, _spread(spark, sf_dir))
+    ingest.ingest(driver_events.messages(driver_events.to_log_events(raw)), sinks, parts=_parts(spark, sf_dir))
     return sinks
 
 

@@ -30,6 +30,20 @@ def rows_by_task(df):
     return [row["count"] for row in df.groupBy(F.spark_partition_id()).count().collect()]
 
 
+def test_stream_ingest_makes_messages_in_several_tasks(spark, one_group, monkeypatch):
+    path, _ = one_group
+    seen, archive = [], ingest.archive_raw
+
+    def archive_raw(messages, *rest):
+        seen.append(rows_by_task(messages))
+        archive(messages, *rest)
+
+    monkeypatch.setattr(ingest, "archive_raw", archive_raw)
+    assert registry.queries()["stream_ingest"](spark, path).count() == ROWS * 10 // 16
+    (tasks,) = seen
+    assert sum(tasks) == ROWS * 5 // 2 and max(tasks) <= sum(tasks) // 4
+
+
 def landed_share(path):
     """Files of a landing folder, and their bytes for each message."""
     files = [f"{path}/{name}" for name in os.listdir(path) if name.startswith("part-")]
