@@ -77,7 +77,7 @@ def _dealt_events(spark: SparkSession, sf_dir: str, lo: dt.datetime | None = Non
 
 @lru_cache(maxsize=None)
 def _stored(spark: SparkSession, sf_dir: str, version: tuple[int, int]) -> str:
-    return store.write_daily(_events(spark, sf_dir), work_path(spark, "daily"), "errorifexists")
+    return store.write_daily(_dealt_events(spark, sf_dir), work_path(spark, "daily"), "errorifexists")
 
 
 def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,7 +101,7 @@ def scan_events(spark, sf_dir):
 def append_events(spark, sf_dir):
     path = work_path(spark, "append")
     for lo, hi in ((None, SPLIT), (SPLIT, None)):
-        store.append_batch(driver_events.log_events(spark, sf_dir, lo, hi), path)
+        store.append_batch(_dealt_events(spark, sf_dir, lo, hi), path)
     return _listed(store.read_store(spark, path))
 
 
@@ -124,7 +124,7 @@ def overflow_dates(spark, sf_dir):
 
 @query
 def retain_days(spark, sf_dir):
-    path = store.write_daily(_events(spark, sf_dir), work_path(spark, "retained"), "errorifexists")
+    path = store.write_daily(_dealt_events(spark, sf_dir), work_path(spark, "retained"), "errorifexists")
     return _listed(store.retain_days(spark, path, 7, dt.date(2024, 12, 31)))
 
 
@@ -213,7 +213,7 @@ def window_events(spark, sf_dir):
 @query
 def error_lookup_by_level(spark, sf_dir):
     """Q5 on a table that is clustered by level within a service."""
-    path = store.write_daily(_events(spark, sf_dir), work_path(spark, "by-level"), "errorifexists", order=store.LEVEL_ORDER)
+    path = store.write_daily(_dealt_events(spark, sf_dir), work_path(spark, "by-level"), "errorifexists", order=store.LEVEL_ORDER)
     return analytics.error_lookup(store.read_store(spark, path), "notification-service", "2024-01-15", "2024-01-16")
 
 
@@ -444,7 +444,7 @@ def rollup_incremental(spark, sf_dir):
     noon = SPLIT + DAY / 2
     for lo, hi in ((None, noon), (noon, None)):
         batch = driver_events.log_events(spark, sf_dir, lo, hi)
-        store.append_batch(batch, path)
+        store.append_batch(_dealt_events(spark, sf_dir, lo, hi), path)
         alerts.update_rollup(rollup, store.read_store(spark, path), batch)
     return spark.read.parquet(rollup).drop("event_date")
 
@@ -456,7 +456,7 @@ def _histograms(spark: SparkSession, sf_dir: str, version: tuple[int, int]) -> s
     noon = SPLIT + DAY / 2
     for lo, hi in ((None, noon), (noon, None)):
         batch = driver_events.log_events(spark, sf_dir, lo, hi)
-        store.append_batch(batch, path)
+        store.append_batch(_dealt_events(spark, sf_dir, lo, hi), path)
         histograms.update_histograms(rollup, store.read_store(spark, path), batch)
     return rollup
 

@@ -55,3 +55,17 @@ def test_landed_lines_come_in_several_compressed_files(spark, one_group):
     assert registry.queries()["landed_dead_letter"](spark, path).count() > 0
     files, bytes_each = landed_share(f"{root}/landing")
     assert files >= 4 and bytes_each < 150
+
+
+@pytest.mark.parametrize("name", ["p95_from_rollup_range", "append_events", "layout_daily"])
+def test_stores_are_written_from_dealt_events(spark, one_group, monkeypatch, name):
+    path, _ = one_group
+    seen, write_daily = [], store.write_daily
+
+    def recorded(events, *rest, **named):
+        seen.append(rows_by_task(events))
+        return write_daily(events, *rest, **named)
+
+    monkeypatch.setattr(store, "write_daily", recorded)
+    assert registry.queries()[name](spark, path).count() > 0
+    assert sum(map(sum, seen)) == ROWS and all(max(tasks) <= sum(tasks) // 2 for tasks in seen)
