@@ -571,9 +571,9 @@ def stream_dead_letter(spark, sf_dir):
 def _late_receives(spark: SparkSession, sf_dir: str, version: tuple[int, int]) -> ingest.Sinks:
     """The sinks of messages whose receives were sent on different days and come in two batches."""
     landing, sinks = work_path(spark, "receives-landing"), ingest.Sinks(work_path(spark, "receives"))
-    messages = driver_events.later_receives(driver_events.messages(_events(spark, sf_dir)))
+    messages = driver_events.later_receives(driver_events.messages(_dealt_events(spark, sf_dir)))
     for part in (F.col("receive") <= 2, F.col("receive") > 2):
-        messages.filter(part).write.mode("append").json(landing)
+        messages.filter(part).write.mode("append").json(landing, compression=LANDING_CODEC)
         ingest.ingest(jobs.message_stream(spark, landing), sinks, parts=_parts(spark, sf_dir))
     return sinks
 

@@ -57,6 +57,13 @@ def test_landed_lines_come_in_several_compressed_files(spark, one_group):
     assert files >= 4 and bytes_each < 150
 
 
+def test_receives_come_in_several_compressed_files(spark, one_group):
+    path, root = one_group
+    assert registry.queries()["stream_dead_letter_days"](spark, path).count() > 0
+    files, bytes_each = landed_share(f"{root}/receives-landing")
+    assert files >= 8 and bytes_each < 150
+
+
 @pytest.mark.parametrize("name", ["p95_from_rollup_range", "append_events", "layout_daily"])
 def test_stores_are_written_from_dealt_events(spark, one_group, monkeypatch, name):
     path, _ = one_group
